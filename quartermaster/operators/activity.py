@@ -111,3 +111,22 @@ def update_user_grade(users: DataFrame, stats: DataFrame, grades: DataFrame,
     scores = total_scores(users, stats, email=email, attendance=attendance)
     graded = best_grades(scores, grades, **kw).filter(F.col("grade_id").isNotNull())
     return update_from(users, graded.select(email, "grade_id"), email, {grade_col: "grade_id"})
+
+
+def grades_max_by(scores: DataFrame, grades: DataFrame, email: str = "email",
+                  grade_id: str = "id", grade_score: str = "score",
+                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``max_by(grade id, (threshold, id))`` over the grades a score
+    reaches - graded users only. With a checked small grade table this is a
+    broadcast nested-loop join (at most |grades| rows per user, a bound of
+    the parameter table) followed by a partial + final aggregate; otherwise
+    the distributed sweep of :func:`best_grades`."""
+    from quartermaster.operators.joins import fits_broadcast
+    g = grades.select(F.col(grade_id).alias("__gid"), F.col(grade_score).alias("__gs"))
+    if fits_broadcast(g, max_broadcast_rows):
+        j = scores.join(F.broadcast(g), F.col("total_score") >= F.col("__gs"), "inner")
+        return (j.groupBy(email)
+                .agg(F.max_by("__gid", F.struct("__gs", "__gid")).alias("grade_id")))
+    return (best_grades(scores, grades, grade_id=grade_id, grade_score=grade_score,
+                        max_broadcast_rows=max_broadcast_rows)
+            .filter(F.col("grade_id").isNotNull()).select(email, "grade_id"))

@@ -178,3 +178,11 @@ def merge_into_table(source: DataFrame, table: str, key: str | Sequence[str],
      .whenMatched().update({c: F.col(f"src.{c}") for c in update_cols})
      .whenNotMatched().insert({c: F.col(f"src.{c}") for c in keys + list(insert_cols)})
      .merge())
+
+
+def duplicate_keys(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """B3 diagnostics: every key that occurs more than once, with its count
+    (partial + final aggregate; a hot key is pre-counted map-side)."""
+    keys = _as_list(key)
+    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+            .filter(F.col("n") > 1))

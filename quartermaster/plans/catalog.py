@@ -133,3 +133,305 @@ def q_user_grade_sweep(spark, d):
     """P30 with the threshold join forced onto the distributed sweep (the
     path taken when the threshold table is too large to broadcast)."""
     return _graded_users(spark, d, force_sweep=True).select("email", "grade")
+
+
+@register("grade_max_by", f"""
+WITH stats AS ({_STATS_SQL}),
+total_scores AS (
+  SELECT c_custkey AS email,
+         c_nationkey * 5 + COALESCE(s.post_count, 0) * 10 + COALESCE(s.comment_count, 0) * 5 AS total_score
+  FROM customer LEFT JOIN stats s ON c_custkey = s.user_email)
+SELECT ts.email, CAST(arg_max(g.id, g.score * 1000 + g.id) AS INTEGER) AS grade_id
+FROM total_scores ts JOIN {GRADES_SQL} ON ts.total_score >= g.score
+GROUP BY ts.email
+""")
+def q_grade_max_by(spark, d):
+    """The arg-max form of the grading (graded users only)."""
+    u = users(spark, d)
+    stats = activity.user_post_statistics(u, boards(spark, d), comments(spark, d))
+    scores = activity.total_scores(u, stats)
+    return activity.grades_max_by(scores, grades(spark))
+
+
+# ------------------------------------------------------------- issue board
+
+def issues(spark, d) -> DataFrame:
+    """Existing issue rows: finished orders are issues of their own post;
+    pending orders give issues of posts that do not exist (ids shifted by
+    1,000,000); open low-priority orders give issues with a NULL post id."""
+    o = read_table(spark, d, "orders")
+    own = o.filter(F.col("o_orderstatus") == "F").select(
+        F.col("o_orderkey").alias("board_id"),
+        F.concat(F.lit("OLD-"), F.col("o_orderpriority")).alias("board_type"))
+    orphan = o.filter(F.col("o_orderstatus") == "P").select(
+        (F.col("o_orderkey") + 1000000).alias("board_id"),
+        F.lit("ORPHAN").alias("board_type"))
+    nullkey = o.filter((F.col("o_orderstatus") == "O") & (F.col("o_orderpriority") == "5-LOW")).select(
+        F.lit(None).cast("bigint").alias("board_id"), F.lit("NULLKEY").alias("board_type"))
+    return own.unionByName(orphan).unionByName(nullkey)
+
+
+_ISSUES_SQL = """
+issues AS (
+  SELECT o_orderkey AS board_id, 'OLD-' || o_orderpriority AS board_type FROM orders WHERE o_orderstatus = 'F'
+  UNION ALL SELECT o_orderkey + 1000000, 'ORPHAN' FROM orders WHERE o_orderstatus = 'P'
+  UNION ALL SELECT CAST(NULL AS BIGINT), 'NULLKEY' FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority = '5-LOW'),
+boards AS (SELECT o_orderkey AS id, o_orderpriority AS type, CAST(floor(o_totalprice / 20000) AS INTEGER) AS like_count FROM orders)"""
+
+
+@register("issue_delete_in", f"""
+WITH {_ISSUES_SQL}
+SELECT board_id, board_type FROM issues
+WHERE NOT COALESCE(board_id IN (SELECT id FROM boards WHERE like_count < 10), FALSE)
+""")
+def q_issue_delete_in(spark, d):
+    """B9 / D6 (T5): delete issues whose post has fewer than 10 likes; NULL
+    keys stay."""
+    from quartermaster.operators.deletes import delete_in
+    b = boards(spark, d)
+    return delete_in(issues(spark, d), b.filter(F.col("like_count") < 10).select("id"),
+                     "board_id", "id")
+
+
+@register("issue_delete_orphans", f"""
+WITH {_ISSUES_SQL}
+SELECT board_id, board_type FROM issues i
+WHERE EXISTS (SELECT 1 FROM boards b WHERE b.id = i.board_id)
+""")
+def q_issue_delete_orphans(spark, d):
+    """B10 / D7 (T5): delete issues without a post; NULL keys go too."""
+    from quartermaster.operators.deletes import delete_not_exists
+    return delete_not_exists(issues(spark, d), boards(spark, d).select("id"), "board_id", "id")
+
+
+@register("issue_upsert", f"""
+WITH {_ISSUES_SQL},
+src AS (SELECT id AS board_id, type AS board_type FROM boards WHERE like_count >= 10)
+SELECT COALESCE(i.board_id, s.board_id) AS board_id,
+       CASE WHEN s.board_id IS NOT NULL THEN s.board_type ELSE i.board_type END AS board_type
+FROM issues i FULL JOIN src s ON i.board_id = s.board_id
+""")
+def q_issue_upsert(spark, d):
+    """B3 + C6: set-based upsert of posts with at least 10 likes."""
+    from quartermaster.operators.merge import merge
+    src = boards(spark, d).filter(F.col("like_count") >= 10).select(
+        F.col("id").alias("board_id"), F.col("type").alias("board_type"))
+    return merge(issues(spark, d), src, "board_id", duplicates="error")
+
+
+@register("issue_board", f"""
+WITH {_ISSUES_SQL},
+step1 AS (SELECT * FROM issues WHERE NOT COALESCE(board_id IN (SELECT id FROM boards WHERE like_count < 10), FALSE)),
+step2 AS (SELECT * FROM step1 i WHERE EXISTS (SELECT 1 FROM boards b WHERE b.id = i.board_id)),
+src AS (SELECT id AS board_id, type AS board_type FROM boards WHERE like_count >= 10)
+SELECT COALESCE(i.board_id, s.board_id) AS board_id,
+       CASE WHEN s.board_id IS NOT NULL THEN s.board_type ELSE i.board_type END AS board_type
+FROM step2 i FULL JOIN src s ON i.board_id = s.board_id
+""")
+def q_issue_board(spark, d):
+    """B9 -> B10 -> B3, in this order."""
+    from quartermaster.operators.deletes import issue_board
+    return issue_board(issues(spark, d), boards(spark, d),
+                       insert_map={"board_type": "type"})
+
+
+# ------------------------------------------------------------------ expiry
+
+def bans(spark, d) -> DataFrame:
+    """Bans: one per event; error events carry no end time (NULL)."""
+    e = read_table(spark, d, "events")
+    return e.select("event_id", "user_id",
+                    F.when(F.col("event_type") != "error", F.col("ts")).alias("ban_end_time"))
+
+
+@register("expire_bans", """
+SELECT event_id, user_id FROM events
+WHERE NOT COALESCE(CASE WHEN event_type <> 'error' THEN ts END < TIMESTAMP '2024-01-15 00:00:00', FALSE)
+""")
+def q_expire_bans(spark, d):
+    """B8 + C7 (T4): delete expired bans; NULL end times stay."""
+    from quartermaster.operators.deletes import delete_where, expired
+    return delete_where(bans(spark, d), expired("ban_end_time", AS_OF)).select("event_id", "user_id")
+
+
+def _cascade(spark, d):
+    from quartermaster.operators.deletes import cascade_delete
+    req = read_table(spark, d, "events").select(
+        F.col("user_id").alias("email"), F.col("ts").alias("delete_end_time"), "event_id")
+    o = read_table(spark, d, "orders").select(F.col("o_custkey").alias("user_email"), "o_orderkey")
+    return cascade_delete(req, "email", "delete_end_time", AS_OF, {"quests": (o, "user_email")})
+
+
+@register("cascade_delete_children", """
+SELECT o_orderkey FROM orders
+WHERE NOT EXISTS (SELECT 1 FROM events WHERE user_id = o_custkey AND ts < TIMESTAMP '2024-01-15 00:00:00')
+""")
+def q_cascade_children(spark, d):
+    """Children of expired accounts removed (one instant)."""
+    return _cascade(spark, d)["quests"].select("o_orderkey")
+
+
+@register("cascade_delete_parent", """
+SELECT event_id FROM events WHERE NOT COALESCE(ts < TIMESTAMP '2024-01-15 00:00:00', FALSE)
+""")
+def q_cascade_parent(spark, d):
+    """The expired requests themselves removed last."""
+    return _cascade(spark, d)["parent"].select("event_id")
+
+
+# ------------------------------------------------------------------- merges
+
+def _li_target(spark, d):
+    """Target keyed (l_orderkey, l_linenumber): finished orders hold a stale
+    line 1 with a note that only the target has."""
+    o = read_table(spark, d, "orders").filter(F.col("o_orderstatus") == "F")
+    return o.select(F.col("o_orderkey").alias("l_orderkey"), F.lit(1).alias("l_linenumber"),
+                    F.lit(-1.0).alias("l_quantity"), F.lit(-1.0).alias("l_extendedprice"),
+                    F.col("o_orderpriority").alias("note"))
+
+
+@register("merge_last_wins", """
+WITH src AS (
+  SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber
+              ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) AS rn
+    FROM lineitem) WHERE rn = 1),
+tgt AS (SELECT o_orderkey AS l_orderkey, 1 AS l_linenumber, -1.0 AS l_quantity, -1.0 AS l_extendedprice,
+               o_orderpriority AS note FROM orders WHERE o_orderstatus = 'F')
+SELECT COALESCE(t.l_orderkey, s.l_orderkey) AS l_orderkey,
+       COALESCE(t.l_linenumber, s.l_linenumber) AS l_linenumber,
+       CASE WHEN s.l_orderkey IS NOT NULL THEN s.l_quantity ELSE t.l_quantity END AS l_quantity,
+       CASE WHEN s.l_orderkey IS NOT NULL THEN s.l_extendedprice ELSE t.l_extendedprice END AS l_extendedprice,
+       t.note AS note
+FROM tgt t FULL JOIN src s ON t.l_orderkey = s.l_orderkey AND t.l_linenumber = s.l_linenumber
+""")
+def q_merge_last_wins(spark, d):
+    """B1 + E5: duplicate keys in the source, last by ship date wins."""
+    from quartermaster.operators.merge import merge
+    src = read_table(spark, d, "lineitem")
+    return merge(_li_target(spark, d), src, ["l_orderkey", "l_linenumber"],
+                 insert_cols=["l_quantity", "l_extendedprice"],
+                 order_cols=["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"])
+
+
+def _cust_target(spark, d):
+    c = read_table(spark, d, "customer")
+    return c.filter(F.col("c_nationkey") < 20).select("c_custkey", "c_name", "c_acctbal",
+                                                       "c_nationkey", "c_mktsegment")
+
+
+def _cust_source(spark, d):
+    c = read_table(spark, d, "customer")
+    return c.filter(F.col("c_nationkey") >= 5).select(
+        "c_custkey", F.upper("c_name").alias("c_name"),
+        F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_acctbal") + 1).alias("c_acctbal"),
+        (F.col("c_nationkey") + 100).alias("c_nationkey"))
+
+
+_CUST_SQL = """
+tgt AS (SELECT c_custkey, c_name, c_acctbal, c_nationkey, c_mktsegment FROM customer WHERE c_nationkey < 20),
+src AS (SELECT c_custkey, upper(c_name) AS c_name,
+               CASE WHEN c_mktsegment <> 'BUILDING' THEN c_acctbal + 1 END AS c_acctbal,
+               c_nationkey + 100 AS c_nationkey FROM customer WHERE c_nationkey >= 5)"""
+
+
+@register("merge_partial_columns", f"""
+WITH {_CUST_SQL}
+SELECT COALESCE(t.c_custkey, s.c_custkey) AS c_custkey,
+       CASE WHEN t.c_custkey IS NOT NULL THEN t.c_name ELSE s.c_name END AS c_name,
+       CASE WHEN s.c_custkey IS NOT NULL THEN s.c_acctbal ELSE t.c_acctbal END AS c_acctbal,
+       CASE WHEN s.c_custkey IS NOT NULL THEN s.c_nationkey ELSE t.c_nationkey END AS c_nationkey,
+       t.c_mktsegment AS c_mktsegment
+FROM tgt t FULL JOIN src s ON t.c_custkey = s.c_custkey
+""")
+def q_merge_partial_columns(spark, d):
+    """B4 + B5 + T8: update a column subset (NULL overwrites), name is
+    insert-only, segment is curated (kept, NULL for new rows)."""
+    from quartermaster.operators.merge import merge
+    return merge(_cust_target(spark, d), _cust_source(spark, d), "c_custkey",
+                 insert_cols=["c_name", "c_acctbal", "c_nationkey"],
+                 update_cols=["c_acctbal", "c_nationkey"], duplicates="error")
+
+
+@register("merge_insert_only", f"""
+WITH {_CUST_SQL}
+SELECT COALESCE(t.c_custkey, s.c_custkey) AS c_custkey,
+       CASE WHEN t.c_custkey IS NOT NULL THEN t.c_name ELSE s.c_name END AS c_name,
+       CASE WHEN t.c_custkey IS NOT NULL THEN t.c_acctbal ELSE s.c_acctbal END AS c_acctbal,
+       CASE WHEN s.c_custkey IS NOT NULL THEN s.c_nationkey ELSE t.c_nationkey END AS c_nationkey,
+       t.c_mktsegment AS c_mktsegment
+FROM tgt t FULL JOIN src s ON t.c_custkey = s.c_custkey
+""")
+def q_merge_insert_only(spark, d):
+    """B5 (T7): two insert-only columns, one updated column."""
+    from quartermaster.operators.merge import merge
+    return merge(_cust_target(spark, d), _cust_source(spark, d), "c_custkey",
+                 insert_cols=["c_name", "c_acctbal", "c_nationkey"],
+                 update_cols=["c_nationkey"], duplicates="error")
+
+
+@register("merge_composite", """
+WITH src AS (
+  SELECT o_custkey, o_orderpriority, o_orderkey, o_totalprice FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey, o_orderpriority
+                                 ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) WHERE rn = 1),
+tgt AS (SELECT c_custkey AS o_custkey, '1-URGENT' AS o_orderpriority, -1 AS o_orderkey, -1.0 AS o_totalprice
+        FROM customer)
+SELECT COALESCE(t.o_custkey, s.o_custkey) AS o_custkey,
+       COALESCE(t.o_orderpriority, s.o_orderpriority) AS o_orderpriority,
+       CASE WHEN s.o_custkey IS NOT NULL THEN s.o_orderkey ELSE t.o_orderkey END AS o_orderkey,
+       CASE WHEN s.o_custkey IS NOT NULL THEN s.o_totalprice ELSE t.o_totalprice END AS o_totalprice
+FROM tgt t FULL JOIN src s ON t.o_custkey = s.o_custkey AND t.o_orderpriority = s.o_orderpriority
+""")
+def q_merge_composite(spark, d):
+    """B2: composite key (customer, priority), last order by date wins."""
+    from quartermaster.operators.merge import merge
+    tgt = read_table(spark, d, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), F.lit("1-URGENT").alias("o_orderpriority"),
+        F.lit(-1).cast("bigint").alias("o_orderkey"), F.lit(-1.0).alias("o_totalprice"))
+    return merge(tgt, read_table(spark, d, "orders"), ["o_custkey", "o_orderpriority"],
+                 insert_cols=["o_orderkey", "o_totalprice"],
+                 order_cols=["o_orderdate", "o_orderkey"])
+
+
+@register("two_feeders", """
+WITH f1 AS (SELECT p_partkey AS id, p_name AS name_en, p_brand AS short_name, p_type AS image,
+                   p_type AS category FROM part),
+f2 AS (SELECT p_partkey AS id, upper(p_name) AS name_en, p_brand AS image, 'Quest items' AS category
+       FROM part WHERE p_size > 25),
+t1 AS (SELECT id, name_en, short_name, image, category, CAST(NULL AS VARCHAR) AS name_kr FROM f1)
+SELECT COALESCE(t.id, s.id) AS id,
+       CASE WHEN s.id IS NOT NULL THEN s.name_en ELSE t.name_en END AS name_en,
+       t.short_name AS short_name,
+       CASE WHEN s.id IS NOT NULL THEN s.image ELSE t.image END AS image,
+       CASE WHEN s.id IS NOT NULL THEN s.category ELSE t.category END AS category,
+       t.name_kr AS name_kr
+FROM t1 t FULL JOIN f2 s ON t.id = s.id
+""")
+def q_two_feeders(spark, d):
+    """Two feeds into one table with different column subsets; the
+    second feed keeps the first feed's short name."""
+    from quartermaster.operators.merge import merge
+    p = read_table(spark, d, "part")
+    empty = spark.createDataFrame([], "id bigint, name_en string, short_name string, image string, "
+                                      "category string, name_kr string")
+    f1 = p.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name_en"),
+                  F.col("p_brand").alias("short_name"), F.col("p_type").alias("image"),
+                  F.col("p_type").alias("category"), F.col("p_partkey").alias("pos"))
+    f2 = p.filter(F.col("p_size") > 25).select(
+        F.col("p_partkey").alias("id"), F.upper("p_name").alias("name_en"),
+        F.col("p_brand").alias("image"), F.lit("Quest items").alias("category"),
+        F.col("p_partkey").alias("pos"))
+    t1 = merge(empty, f1, "id", insert_cols=["name_en", "short_name", "image", "category"],
+               order_cols="pos")
+    return merge(t1, f2, "id", insert_cols=["name_en", "image", "category"], order_cols="pos")
+
+
+@register("duplicate_key_check", """
+SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1
+""")
+def q_duplicate_key_check(spark, d):
+    """B3 diagnostics: keys a set-based upsert would reject."""
+    from quartermaster.operators.merge import duplicate_keys
+    return duplicate_keys(read_table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
