@@ -19,7 +19,7 @@ class IndexEmit:
     """One output row shape: ``prefix || name`` as value, ``path || id`` (or
     the bare ``path`` when ``with_id`` is False, U5) as link."""
     prefix: str
-    name_col: str
+    name_col: object  # column name or Column
     path: str
     type: str
     with_id: bool = True
@@ -48,7 +48,8 @@ def build_index(branches: list[IndexBranch]) -> DataFrame:
             pid = F.col(br.id_col).cast("string")
             link = F.concat(F.lit(e.path), pid) if e.with_id else F.lit(e.path)
             rows.append(F.struct(
-                F.concat(F.lit(e.prefix), F.col(e.name_col).cast("string")).alias("value"),
+                F.concat(F.lit(e.prefix), (F.col(e.name_col) if isinstance(e.name_col, str)
+                                           else e.name_col).cast("string")).alias("value"),
                 link.alias("link"),
                 pid.alias("page_value"),
                 F.lit(e.type).alias("type"),

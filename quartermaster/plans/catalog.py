@@ -435,3 +435,301 @@ def q_duplicate_key_check(spark, d):
     """B3 diagnostics: keys a set-based upsert would reject."""
     from quartermaster.operators.merge import duplicate_keys
     return duplicate_keys(read_table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+# ------------------------------------------------------------- search index
+
+def _index_branches(spark, d):
+    from quartermaster.operators.index import IndexBranch, IndexEmit
+    r = read_table(spark, d, "region")
+    n = read_table(spark, d, "nation")
+    c = read_table(spark, d, "customer")
+    s = read_table(spark, d, "supplier")
+    p = read_table(spark, d, "part")
+    o = read_table(spark, d, "orders")
+    return [
+        IndexBranch(r, [IndexEmit("지역 : ", "r_name", "/region/", "REGION")], "r_regionkey"),
+        IndexBranch(n, [IndexEmit("국가 : ", "n_name", "/nation/", "NATION"),
+                        IndexEmit("Nation : ", "n_name", "/nation/", "NATION")], "n_nationkey"),
+        IndexBranch(c, [IndexEmit("고객 : ", F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_name")),
+                                  "/customer/", "CUSTOMER"),
+                        IndexEmit("고객 지도 : ", "c_name", "/customer-map/", "CUSTOMER_MAP")],
+                    "c_custkey"),
+        IndexBranch(s, [IndexEmit("공급자 : ", "s_name", "/supplier", "SUPPLIER", with_id=False)],
+                    "s_suppkey"),
+        IndexBranch(p, [IndexEmit("부품 : ", "p_name", "/part?id=", "PART")], "p_partkey"),
+        IndexBranch(o, [IndexEmit("주문 : ", "o_orderpriority", "/order?id=", "ORDER")], "o_orderkey"),
+    ]
+
+
+@register("search_index", """
+WITH u AS (
+  SELECT '지역 : ' || r_name AS value, '/region/' || CAST(r_regionkey AS VARCHAR) AS link,
+         CAST(r_regionkey AS VARCHAR) AS page_value, 'REGION' AS type, 0 AS branch FROM region
+  UNION ALL SELECT '국가 : ' || n_name, '/nation/' || CAST(n_nationkey AS VARCHAR), CAST(n_nationkey AS VARCHAR), 'NATION', 1 FROM nation
+  UNION ALL SELECT 'Nation : ' || n_name, '/nation/' || CAST(n_nationkey AS VARCHAR), CAST(n_nationkey AS VARCHAR), 'NATION', 2 FROM nation
+  UNION ALL SELECT '고객 : ' || CASE WHEN c_mktsegment <> 'BUILDING' THEN c_name END, '/customer/' || CAST(c_custkey AS VARCHAR),
+         CAST(c_custkey AS VARCHAR), 'CUSTOMER', 3 FROM customer
+  UNION ALL SELECT '고객 지도 : ' || c_name, '/customer-map/' || CAST(c_custkey AS VARCHAR), CAST(c_custkey AS VARCHAR), 'CUSTOMER_MAP', 4 FROM customer
+  UNION ALL SELECT '공급자 : ' || s_name, '/supplier', CAST(s_suppkey AS VARCHAR), 'SUPPLIER', 5 FROM supplier
+  UNION ALL SELECT '부품 : ' || p_name, '/part?id=' || CAST(p_partkey AS VARCHAR), CAST(p_partkey AS VARCHAR), 'PART', 6 FROM part
+  UNION ALL SELECT '주문 : ' || o_orderpriority, '/order?id=' || CAST(o_orderkey AS VARCHAR), CAST(o_orderkey AS VARCHAR), 'ORDER', 7 FROM orders)
+SELECT value, link, page_value, type,
+       CAST(ROW_NUMBER() OVER (ORDER BY branch, page_value, value NULLS FIRST, link) AS BIGINT) AS "order"
+FROM u
+""")
+def q_search_index(spark, d):
+    """U1-U5 + X1 (T11, T12) + W2 contiguous numbering."""
+    from quartermaster.operators.index import search_index
+    return search_index(_index_branches(spark, d))
+
+
+# ------------------------------------------------------------------ routing
+
+def part_items(spark, d) -> DataFrame:
+    """Parts as catalogue items: category = p_type, parent = p_brand; the
+    attribute bag is '{}' for PROMO parts, NULL for LARGE ones, else a
+    one-key object."""
+    p = read_table(spark, d, "part")
+    props = (F.when(F.col("p_type") == "PROMO", F.lit("{}"))
+             .when(F.col("p_type") == "LARGE", F.lit(None).cast("string"))
+             .otherwise(F.to_json(F.struct(F.col("p_size").alias("size")))))
+    return p.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"),
+                    F.struct(F.col("p_type").alias("name"),
+                             F.struct(F.col("p_brand").alias("name")).alias("parent")).alias("category"),
+                    props.alias("properties"))
+
+
+def _part_rules():
+    from quartermaster.operators import routing as R
+    f = R.Fields()
+    return {
+        "Gun": R.parent_nonempty(f, "Brand#1"),
+        "Gun image": R.parent_empty_name_has(f, "Brand#1", ["red", "hot gear"]),
+        "Headphones": R.category_is(f, "SMALL"),
+        "Headwear": R.category_except_names(f, "MEDIUM", ["red widget", "blue bolt", "hot gear"]),
+        "Provisions": R.categories_nonempty(f, ["ECONOMY", "STANDARD"]),
+        "Key": R.parent_nonempty(f, "Brand#2"),
+        "Loot": R.parents_or_category_except(f, ["Brand#3", "Brand#4", "Brand#5"], "LARGE",
+                                             ["cold ring", "old rod"], "gear"),
+        "Face Cover": R.category_is(f, "PROMO"),
+        "Ammo": R.category_nonempty(f, "LARGE"),
+    }
+
+
+_PART_ITEMS_SQL = """
+p AS (SELECT p_partkey AS id, p_name AS name, p_type AS cat, p_brand AS parent,
+             CASE WHEN p_type = 'PROMO' THEN '{}' WHEN p_type = 'LARGE' THEN NULL
+                  ELSE '{"size":' || CAST(p_size AS VARCHAR) || '}' END AS props FROM part),
+b AS (SELECT *, COALESCE(len(json_keys(props)) > 0, TRUE) AS ne,
+                COALESCE(len(json_keys(props)) = 0, FALSE) AS em FROM p)"""
+
+
+@register("route_counts", f"""
+WITH {_PART_ITEMS_SQL}
+SELECT 'Gun' AS route, COUNT(*) AS n FROM b WHERE parent = 'Brand#1' AND ne HAVING COUNT(*) > 0
+UNION ALL SELECT 'Gun image', COUNT(*) FROM b WHERE parent = 'Brand#1' AND em
+  AND (contains(name, 'red') OR contains(name, 'hot gear')) HAVING COUNT(*) > 0
+UNION ALL SELECT 'Headphones', COUNT(*) FROM b WHERE cat = 'SMALL' HAVING COUNT(*) > 0
+UNION ALL SELECT 'Headwear', COUNT(*) FROM b WHERE cat = 'MEDIUM'
+  AND name NOT IN ('red widget', 'blue bolt', 'hot gear') HAVING COUNT(*) > 0
+UNION ALL SELECT 'Provisions', COUNT(*) FROM b WHERE cat IN ('ECONOMY', 'STANDARD') AND ne HAVING COUNT(*) > 0
+UNION ALL SELECT 'Key', COUNT(*) FROM b WHERE parent = 'Brand#2' AND ne HAVING COUNT(*) > 0
+UNION ALL SELECT 'Loot', COUNT(*) FROM b WHERE (parent IN ('Brand#3', 'Brand#4', 'Brand#5') OR cat = 'LARGE')
+  AND name NOT IN ('cold ring', 'old rod') AND NOT contains(name, 'gear') HAVING COUNT(*) > 0
+UNION ALL SELECT 'Face Cover', COUNT(*) FROM b WHERE cat = 'PROMO' HAVING COUNT(*) > 0
+UNION ALL SELECT 'Ammo', COUNT(*) FROM b WHERE cat = 'LARGE' AND ne HAVING COUNT(*) > 0
+""")
+def q_route_counts(spark, d):
+    """C5 a-i: one-pass routing with the nine rule shapes."""
+    from quartermaster.operators.routing import route_counts
+    return route_counts(part_items(spark, d), _part_rules())
+
+
+@register("route_rows", f"""
+WITH {_PART_ITEMS_SQL}
+SELECT id, 'Gun image' AS route FROM b WHERE parent = 'Brand#1' AND em
+  AND (contains(name, 'red') OR contains(name, 'hot gear'))
+UNION ALL SELECT id, 'Loot' FROM b WHERE (parent IN ('Brand#3', 'Brand#4', 'Brand#5') OR cat = 'LARGE')
+  AND name NOT IN ('cold ring', 'old rod') AND NOT contains(name, 'gear')
+""")
+def q_route_rows(spark, d):
+    """C5b + C5g: the routed rows themselves (ids and target)."""
+    from quartermaster.operators.routing import route
+    rules = {k: v for k, v in _part_rules().items() if k in ("Gun image", "Loot")}
+    return route(part_items(spark, d), rules).select("id", "route")
+
+
+# --------------------------------------------------------- attribute bags
+
+def event_bags(spark, d) -> DataFrame:
+    e = read_table(spark, d, "events")
+    props = (F.when(F.col("event_type") == "signup", F.lit("{}"))
+             .when(F.col("event_type") == "error", F.lit(None).cast("string"))
+             .when(F.col("event_type") == "view", F.lit('{"k": null}'))
+             .otherwise(F.col("props")))
+    return e.select("event_id", props.alias("properties"))
+
+
+_BAGS_SQL = """
+e AS (SELECT event_id, CASE WHEN event_type = 'signup' THEN '{}' WHEN event_type = 'error' THEN NULL
+                            WHEN event_type = 'view' THEN '{"k": null}' ELSE props END AS props FROM events)"""
+
+
+@register("bag_nonempty", f"""
+WITH {_BAGS_SQL}
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM e
+WHERE COALESCE(len(json_keys(props)) > 0, TRUE)
+""")
+def q_bag_nonempty(spark, d):
+    """A6 + C3 (T1): ``{}`` is empty, ``{"k": null}`` and NULL are not;
+    the bag is decoded with its member schema."""
+    from quartermaster.functions.predicates import bag_nonempty
+    from quartermaster.sources.documents import decode_variant
+    b = event_bags(spark, d)
+    return b.filter(bag_nonempty("properties")).select(
+        "event_id", decode_variant("properties", "k int")["k"].alias("k"))
+
+
+@register("bag_empty", f"""
+WITH {_BAGS_SQL}
+SELECT event_id FROM e WHERE COALESCE(len(json_keys(props)) = 0, FALSE)
+""")
+def q_bag_empty(spark, d):
+    """C4: ``properties == {}``."""
+    from quartermaster.functions.predicates import bag_empty
+    return event_bags(spark, d).filter(bag_empty("properties")).select("event_id")
+
+
+# ------------------------------------------------------- nested documents
+
+def station_docs(spark, d) -> DataFrame:
+    """Station documents built from each order's own columns (two levels,
+    one or two item requirements per level, an empty list for finished
+    orders, one craft), serialised to JSON text and read back with the
+    station schema (A3)."""
+    from quartermaster.sources.documents import STATION_SCHEMA
+    o = read_table(spark, d, "orders")
+    sid = F.col("o_orderkey").cast("string")
+
+    def req(level, tag, name, qty, cnt):
+        return F.struct(F.concat(sid, F.lit(f"-{level}-{tag}")).alias("id"),
+                        F.struct(name.alias("name")).alias("item"),
+                        F.lit(qty).alias("quantity"), F.lit(cnt).alias("count"))
+
+    def level(k, reqs):
+        return F.struct(F.concat(sid, F.lit(f"-{k}")).alias("id"), F.lit(k).alias("level"),
+                        (F.col("o_custkey") * k).alias("constructionTime"),
+                        reqs.alias("itemRequirements"))
+
+    lvl2 = F.when(F.col("o_orderstatus") == "F", F.array().cast(
+        "array<struct<id:string,item:struct<name:string>,quantity:int,count:int>>")).otherwise(
+        F.array(req(2, "a", F.col("o_orderpriority"), 2, 1), req(2, "b", F.col("o_orderstatus"), 2, 2)))
+    crafts = F.array(F.struct(
+        F.concat(sid, F.lit("-c")).alias("id"),
+        F.struct(sid.alias("id")).alias("station"), F.lit(1).alias("level"),
+        F.when(F.col("o_orderstatus") == "F", F.array().cast("array<struct<item:struct<name:string>>>"))
+        .otherwise(F.array(F.struct(F.struct(F.col("o_orderpriority").alias("name")).alias("item"))))
+        .alias("rewardItems")))
+    doc = F.struct(F.col("o_orderkey").cast("int").alias("pos"), sid.alias("id"),
+                   F.concat(F.lit("station "), sid).alias("name"),
+                   F.array(level(1, F.array(req(1, "a", F.col("o_orderpriority"), 1, 1))),
+                           level(2, lvl2)).alias("levels"),
+                   crafts.alias("crafts"))
+    text = o.select(F.to_json(doc).alias("json"))
+    return text.select(F.from_json("json", STATION_SCHEMA).alias("s")).select("s.*")
+
+
+@register("unnest_levels", """
+SELECT CAST(o_orderkey AS VARCHAR) AS station_id, CAST(o_orderkey AS VARCHAR) || '-1' AS level_id,
+       1 AS level, CAST(o_custkey AS INTEGER) AS construction_time FROM orders
+UNION ALL
+SELECT CAST(o_orderkey AS VARCHAR), CAST(o_orderkey AS VARCHAR) || '-2', 2, CAST(o_custkey * 2 AS INTEGER) FROM orders
+""")
+def q_unnest_levels(spark, d):
+    """A3 + N1: station -> level."""
+    from quartermaster.operators.nested import unnest
+    lv = unnest(station_docs(spark, d), "levels", keep=[F.col("id").alias("station_id")], alias="lv")
+    return lv.select("station_id", F.col("lv.id").alias("level_id"), F.col("lv.level").alias("level"),
+                     F.col("lv.constructionTime").alias("construction_time"))
+
+
+@register("unnest_children", """
+SELECT CAST(o_orderkey AS VARCHAR) || '-1-a' AS id, CAST(o_orderkey AS VARCHAR) || '-1' AS level_id,
+       o_orderpriority AS name_en, 1 AS quantity, 1 AS count FROM orders
+UNION ALL SELECT CAST(o_orderkey AS VARCHAR) || '-2-a', CAST(o_orderkey AS VARCHAR) || '-2', o_orderpriority, 2, 1
+  FROM orders WHERE o_orderstatus <> 'F'
+UNION ALL SELECT CAST(o_orderkey AS VARCHAR) || '-2-b', CAST(o_orderkey AS VARCHAR) || '-2', o_orderstatus, 2, 2
+  FROM orders WHERE o_orderstatus <> 'F'
+""")
+def q_unnest_children(spark, d):
+    """Station -> level -> requirement, carrying ``level_id``; empty
+    lists yield no rows."""
+    from quartermaster.operators.nested import unnest2
+    r = unnest2(station_docs(spark, d), "levels", "itemRequirements")
+    return r.select("id", "level_id", F.col("item.name").alias("name_en"), "quantity", "count")
+
+
+@register("collect_child_ids", """
+SELECT CAST(o_orderkey AS VARCHAR) AS station_id,
+       CAST(o_orderkey AS VARCHAR) || '-1,' || CAST(o_orderkey AS VARCHAR) || '-2' AS level_ids FROM orders
+""")
+def q_collect_child_ids(spark, d):
+    """Child ids in document order, within the document."""
+    from quartermaster.operators.nested import child_ids
+    s = station_docs(spark, d)
+    return s.select(F.col("id").alias("station_id"),
+                    F.array_join(child_ids("levels"), ",").alias("level_ids"))
+
+
+@register("first_child", """
+SELECT CAST(o_orderkey AS VARCHAR) || '-c' AS id, CAST(o_orderkey AS VARCHAR) || '-1' AS level_id,
+       CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderpriority END AS name_en FROM orders
+""")
+def q_first_child(spark, d):
+    """Craft -> first reward name (NULL for an empty list),
+    key text ``station-level``."""
+    from quartermaster.functions.scalars import composite_text
+    from quartermaster.operators.nested import first_child, unnest
+    c = unnest(station_docs(spark, d), "crafts", alias="c")
+    return c.select(F.col("c.id").alias("id"),
+                    composite_text(F.col("c.station.id"), F.col("c.level")).alias("level_id"),
+                    first_child("c.rewardItems").alias("name_en"))
+
+
+@register("first_per_key", """
+SELECT o_custkey, o_orderkey AS first_order FROM (
+  SELECT o_custkey, o_orderkey, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn
+  FROM orders) WHERE rn = 1
+""")
+def q_first_per_key(spark, d):
+    """G2 across rows: first order per customer (partial + final min_by)."""
+    from quartermaster.operators.nested import first_per_key
+    return first_per_key(read_table(spark, d, "orders"), "o_custkey", "o_orderkey",
+                         ["o_orderdate", "o_orderkey"], value_alias="first_order")
+
+
+@register("last_map_per_key", """
+SELECT user_id AS key, event_type AS value FROM (
+  SELECT user_id, event_type, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events) WHERE rn = 1
+""")
+def q_last_map_per_key(spark, d):
+    """E4 (T17): last assignment wins, by document order."""
+    from quartermaster.operators.nested import last_value_per_key
+    return last_value_per_key(read_table(spark, d, "events"), "user_id", "event_type",
+                              ["ts", "event_id"])
+
+
+@register("ordered_unnest", """
+SELECT CAST(o_orderkey AS VARCHAR) AS station_id, 0 AS outer_pos, 0 AS inner_pos,
+       CAST(o_orderkey AS VARCHAR) || '-1-a' AS req_id FROM orders
+UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 1, 0, CAST(o_orderkey AS VARCHAR) || '-2-a' FROM orders WHERE o_orderstatus <> 'F'
+UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 1, 1, CAST(o_orderkey AS VARCHAR) || '-2-b' FROM orders WHERE o_orderstatus <> 'F'
+""")
+def q_ordered_unnest(spark, d):
+    """Two-level unnest keeping both positions."""
+    from quartermaster.operators.nested import ordered_unnest2
+    r = ordered_unnest2(station_docs(spark, d), "levels", "itemRequirements", keep=["id"])
+    return r.select(F.col("id").alias("station_id"), "outer_pos", "inner_pos",
+                    F.col("inner.id").alias("req_id"))
