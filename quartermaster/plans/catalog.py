@@ -733,3 +733,298 @@ def q_ordered_unnest(spark, d):
     r = ordered_unnest2(station_docs(spark, d), "levels", "itemRequirements", keep=["id"])
     return r.select(F.col("id").alias("station_id"), "outer_pos", "inner_pos",
                     F.col("inner.id").alias("req_id"))
+
+
+# ------------------------------------------------------ lookups and labels
+
+def _suffix():
+    """Image-name suffixes of three lengths (8, 7, 6 characters)."""
+    return (F.when(F.col("p_partkey") % 3 == 0, F.lit(" Default"))
+            .when(F.col("p_partkey") % 3 == 1, F.lit(" Urbana")).otherwise(F.lit(" Zenit")))
+
+
+def _strip_sql(n):
+    return f"""s{n} AS (SELECT k, img FROM (
+  SELECT left(sn, greatest(length(sn) - {n}, 0)) AS k, img,
+         ROW_NUMBER() OVER (PARTITION BY left(sn, greatest(length(sn) - {n}, 0)) ORDER BY pos DESC) AS rn
+  FROM cand) WHERE rn = 1)"""
+
+
+@register("fallback_lookup", f"""
+WITH cand AS (
+  SELECT p_partkey AS pos, 'img-' || CAST(p_partkey AS VARCHAR) AS img,
+         p_type || CASE WHEN p_partkey % 3 = 0 THEN ' Default' WHEN p_partkey % 3 = 1 THEN ' Urbana' ELSE ' Zenit' END AS sn
+  FROM part),
+{_strip_sql(8)}, {_strip_sql(7)}, {_strip_sql(6)},
+w AS (SELECT p_partkey, p_name, CASE WHEN p_size < 40 THEN p_type ELSE p_name END AS short_name FROM part)
+SELECT w.p_partkey,
+       COALESCE(CASE WHEN w.p_name = 'red widget' THEN 'override-image' END, s8.img, s7.img, s6.img,
+                'own-' || CAST(w.p_partkey AS VARCHAR)) AS image
+FROM w LEFT JOIN s8 ON w.short_name = s8.k LEFT JOIN s7 ON w.short_name = s7.k
+LEFT JOIN s6 ON w.short_name = s6.k
+""")
+def q_fallback_lookup(spark, d):
+    """D9 + X3 (T16): image by suffix-stripped short name, strip lengths in
+    priority 8, 7, 6, last-wins within a length; override first, own value
+    last."""
+    from quartermaster.operators.lookup import lookup_first
+    p = read_table(spark, d, "part")
+    cand = p.select(F.concat(F.col("p_type"), _suffix()).alias("sn"),
+                    F.concat(F.lit("img-"), F.col("p_partkey").cast("string")).alias("img"),
+                    F.col("p_partkey").alias("pos"))
+    w = p.select("p_partkey", "p_name",
+                 F.when(F.col("p_size") < 40, F.col("p_type")).otherwise(F.col("p_name")).alias("short_name"))
+    out = lookup_first(w, "short_name", cand, "sn", "img", [8, 7, 6], "image", order="pos",
+                       override=F.when(F.col("p_name") == "red widget", F.lit("override-image")),
+                       own=F.concat(F.lit("own-"), F.col("p_partkey").cast("string")))
+    return out.select("p_partkey", "image")
+
+
+@register("override_chain", """
+WITH km AS (SELECT p_name AS k, arg_max(p_type, p_partkey) AS v FROM part
+            WHERE p_type = 'PROMO' AND p_size > 45 GROUP BY p_name)
+SELECT p_partkey,
+       CASE WHEN p_name = 'red widget' THEN 'A|B' WHEN p_name = 'small ring' THEN 'C'
+            WHEN contains(p_name, 'gear') THEN 'GEAR' WHEN contains(p_name, 'bolt') THEN 'BOLT'
+            ELSE COALESCE(km.v, 'N/A') END AS codes
+FROM part LEFT JOIN km ON p_name = km.k
+""")
+def q_override_chain(spark, d):
+    """D10 + E4 + X4: fixed list > name-contains rules > joined last-wins
+    dictionary > default."""
+    from quartermaster.operators.lookup import override_chain
+    from quartermaster.operators.nested import last_value_per_key
+    p = read_table(spark, d, "part")
+    km = last_value_per_key(p.filter((F.col("p_type") == "PROMO") & (F.col("p_size") > 45)),
+                            "p_name", F.array("p_type"), ["p_partkey"], key_alias="__k", value_alias="__v")
+    j = p.join(km, p["p_name"] == km["__k"], "left")
+    codes = override_chain("p_name", {"red widget": ["A", "B"], "small ring": ["C"]},
+                           [("gear", ["GEAR"]), ("bolt", ["BOLT"])], F.col("__v"), ["N/A"])
+    return j.select("p_partkey", F.array_join(codes, "|").alias("codes"))
+
+
+@register("label_default", """
+SELECT n_nationkey, CASE n_name WHEN 'NATION_0' THEN 'zero' WHEN 'NATION_1' THEN 'one'
+                                WHEN 'NATION_2' THEN 'two' ELSE '' END AS label FROM nation
+""")
+def q_label_default(spark, d):
+    """L1/L2 shape: dictionary with a literal default."""
+    from quartermaster.functions.labels import label_value
+    n = read_table(spark, d, "nation")
+    return n.select("n_nationkey", label_value("n_name", {"NATION_0": "zero", "NATION_1": "one",
+                                                          "NATION_2": "two"}, default="").alias("label"))
+
+
+@register("label_passthrough", """
+SELECT p_partkey, COALESCE(CASE p_type WHEN 'STANDARD' THEN 'std' WHEN 'ECONOMY' THEN 'eco'
+                                       WHEN 'PROMO' THEN 'promo' END, p_type) AS label FROM part
+""")
+def q_label_passthrough(spark, d):
+    """A9 + D11 + L4-L6 shape: parameter table joined (checked broadcast),
+    unknown values pass through."""
+    from quartermaster.functions.labels import label
+    from quartermaster.sources.tables import lookup_from_pairs
+    lk = lookup_from_pairs(spark, [("STANDARD", "std"), ("ECONOMY", "eco"), ("PROMO", "promo")],
+                           "k string, v string")
+    p = read_table(spark, d, "part").select("p_partkey", "p_type")
+    return label(p, "p_type", lk, "k", "v", "label").select("p_partkey", "label")
+
+
+@register("label_null", """
+SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'U' WHEN '2-HIGH' THEN 'H' END AS label FROM orders
+""")
+def q_label_null(spark, d):
+    """L9 shape: unknown gives NULL."""
+    from quartermaster.functions.labels import label_value
+    o = read_table(spark, d, "orders")
+    return o.select("o_orderkey", label_value("o_orderpriority", {"1-URGENT": "U", "2-HIGH": "H"},
+                                              default=None).alias("label"))
+
+
+@register("label_override", """
+SELECT event_id,
+       CASE WHEN v IS NOT NULL THEN COALESCE(CASE event_type WHEN 'click' THEN 1.5 WHEN 'view' THEN 2.5 END, v) END AS v
+FROM (SELECT event_id, event_type, CASE WHEN event_type <> 'error' THEN value END AS v FROM events)
+""")
+def q_label_override(spark, d):
+    """Override by name only when the value is present."""
+    from quartermaster.functions.labels import override_when_present
+    e = read_table(spark, d, "events")
+    v = F.when(F.col("event_type") != "error", F.col("value"))
+    return e.select("event_id", override_when_present(v, "event_type", {"click": 1.5, "view": 2.5})
+                    .cast("double").alias("v"))
+
+
+_TOKENS = {"red": "R", "blue": "B", "ring": "RING", "bolt": "BOLT", "crimson": "C"}
+
+
+def _case_sql(mapping, var="x"):
+    return "CASE " + var + " " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items()) + " END"
+
+
+@register("relabel_drop", f"""
+SELECT p_partkey, array_to_string(list_filter(list_transform(string_split(p_name, ' '),
+       lambda x: {_case_sql(_TOKENS)}), lambda y: y IS NOT NULL), ' ') AS label FROM part
+""")
+def q_relabel_drop(spark, d):
+    """Unknown elements dropped."""
+    from quartermaster.functions.labels import relabel_array
+    p = read_table(spark, d, "part")
+    return p.select("p_partkey", F.array_join(relabel_array(F.split("p_name", " "), _TOKENS, "drop"),
+                                              " ").alias("label"))
+
+
+@register("relabel_default", f"""
+SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '),
+       lambda x: COALESCE({_case_sql(_TOKENS)}, '?')), ' ') AS label FROM part
+""")
+def q_relabel_default(spark, d):
+    """Unknown elements replaced by a default."""
+    from quartermaster.functions.labels import relabel_array
+    p = read_table(spark, d, "part")
+    return p.select("p_partkey", F.array_join(
+        relabel_array(F.split("p_name", " "), _TOKENS, "default", "?"), " ").alias("label"))
+
+
+@register("relabel_pass", f"""
+SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '),
+       lambda x: COALESCE({_case_sql(_TOKENS)}, x)), ' ') AS label FROM part
+""")
+def q_relabel_pass(spark, d):
+    """Unknown elements passed through."""
+    from quartermaster.functions.labels import relabel_array
+    p = read_table(spark, d, "part")
+    return p.select("p_partkey", F.array_join(
+        relabel_array(F.split("p_name", " "), _TOKENS, "passthrough"), " ").alias("label"))
+
+
+@register("relabel_table", f"""
+SELECT p_partkey, array_to_string(list_filter(list_transform(string_split(p_name, ' '),
+       lambda x: {_case_sql(_TOKENS)}), lambda y: y IS NOT NULL), ' ') AS label FROM part
+""")
+def q_relabel_table(spark, d):
+    """I1 with the dictionary as a parameter table (explode, join, regroup
+    per row in position order)."""
+    from quartermaster.functions.labels import relabel_array_table
+    from quartermaster.sources.tables import lookup_from_pairs
+    lk = lookup_from_pairs(spark, list(_TOKENS.items()), "k string, v string")
+    p = read_table(spark, d, "part").select("p_partkey", F.split("p_name", " ").alias("toks"))
+    r = relabel_array_table(p, "p_partkey", "toks", lk, "k", "v", "lab", policy="drop")
+    return r.select("p_partkey", F.array_join("lab", " ").alias("label"))
+
+
+@register("normalise_element", f"""
+SELECT p_partkey, array_to_string(list_transform(
+         list_transform(string_split(p_name, ' '), lambda x: CASE WHEN x = 'red' THEN 'crimson' ELSE x END),
+       lambda x: COALESCE({_case_sql(_TOKENS)}, '?')), ' ') AS label FROM part
+""")
+def q_normalise_element(spark, d):
+    """I4 then I2: rename one element value, then relabel with a default."""
+    from quartermaster.functions.labels import normalise_element, relabel_array
+    p = read_table(spark, d, "part")
+    arr = normalise_element(F.split("p_name", " "), "red", "crimson")
+    return p.select("p_partkey", F.array_join(relabel_array(arr, _TOKENS, "default", "?"), " ")
+                    .alias("label"))
+
+
+_SUB_RULES = [("e", "E"), ("o", "O"), ("ol", "OL"), ("zz", "ZZ")]
+
+
+@register("substring_rules", """
+SELECT p_partkey, array_to_string(flatten(list_transform(string_split(p_name, ' '), lambda x:
+   list_filter([CASE WHEN contains(x, 'e') THEN 'E' END, CASE WHEN contains(x, 'o') THEN 'O' END,
+                CASE WHEN contains(x, 'ol') THEN 'OL' END, CASE WHEN contains(x, 'zz') THEN 'ZZ' END],
+               lambda y: y IS NOT NULL))), ',') AS modes FROM part
+""")
+def q_substring_rules(spark, d):
+    """Every element emits every matching rule's label, in order."""
+    from quartermaster.functions.labels import substring_rules
+    p = read_table(spark, d, "part")
+    return p.select("p_partkey", F.array_join(substring_rules(F.split("p_name", " "), _SUB_RULES), ",")
+                    .alias("modes"))
+
+
+@register("recategorise", """
+SELECT p_partkey, CASE WHEN p_type IN ('PROMO', 'LARGE') THEN 'Special'
+                       WHEN p_name IN ('red widget', 'blue bolt') THEN 'Jewelry'
+                       WHEN p_brand = 'Brand#1' THEN 'Branded' ELSE p_type END AS category FROM part
+""")
+def q_recategorise(spark, d):
+    """Ordered rule chain, first match wins."""
+    from quartermaster.functions.labels import first_match
+    p = read_table(spark, d, "part")
+    cat = first_match([(F.col("p_type").isin("PROMO", "LARGE"), "Special"),
+                       (F.col("p_name").isin("red widget", "blue bolt"), "Jewelry"),
+                       (F.col("p_brand") == "Brand#1", "Branded")], F.col("p_type"))
+    return p.select("p_partkey", cat.alias("category"))
+
+
+@register("bucket", """
+SELECT l_orderkey, l_linenumber, l_partkey,
+       CASE WHEN d IS NULL THEN NULL WHEN d < 0.02 THEN 'Low' WHEN d < 0.04 THEN 'Medium' ELSE 'High' END AS b
+FROM (SELECT *, CASE WHEN l_returnflag <> 'N' THEN l_discount END AS d FROM lineitem)
+""")
+def q_bucket(spark, d):
+    """X8 (T3): half-open thresholds, NULL stays NULL."""
+    from quartermaster.functions.labels import bucket
+    li = read_table(spark, d, "lineitem")
+    v = F.when(F.col("l_returnflag") != "N", F.col("l_discount"))
+    return li.select("l_orderkey", "l_linenumber", "l_partkey",
+                     bucket(v, [0.02, 0.04], ["Low", "Medium", "High"]).alias("b"))
+
+
+@register("json_encode", """
+SELECT o_orderkey, 4 AS n_keys, CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS price,
+       o_orderpriority AS prio FROM orders
+""")
+def q_json_encode(spark, d):
+    """X11 (T13): JSON text keeps null fields; compared after parsing."""
+    from quartermaster.functions.scalars import json_text
+    o = read_table(spark, d, "orders")
+    j = json_text(F.struct("o_orderkey", "o_orderpriority",
+                           F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")).alias("price"),
+                           F.lit(None).cast("string").alias("note")))
+    t = o.select("o_orderkey", j.alias("j"))
+    return t.select("o_orderkey", F.size(F.json_object_keys("j")).alias("n_keys"),
+                    F.get_json_object("j", "$.price").cast("double").alias("price"),
+                    F.get_json_object("j", "$.o_orderpriority").alias("prio"))
+
+
+@register("falsy_null", """
+SELECT p_partkey, NULLIF(CASE WHEN p_type = 'PROMO' THEN '' ELSE p_brand END, '') AS v FROM part
+""")
+def q_falsy_null(spark, d):
+    """X10 (T15): empty text becomes NULL."""
+    from quartermaster.functions.scalars import falsy_to_null
+    p = read_table(spark, d, "part")
+    return p.select("p_partkey", falsy_to_null(
+        F.when(F.col("p_type") == "PROMO", F.lit("")).otherwise(F.col("p_brand"))).alias("v"))
+
+
+@register("composite_text", """
+SELECT c_custkey,
+       CAST(CASE WHEN c_mktsegment <> 'BUILDING' THEN c_nationkey END AS VARCHAR) || '-' || CAST(c_custkey AS VARCHAR) AS k,
+       COALESCE(CAST(CASE WHEN c_mktsegment <> 'BUILDING' THEN c_nationkey END AS VARCHAR), 'None') || '-' || CAST(c_custkey AS VARCHAR) AS k_none
+FROM customer
+""")
+def q_composite_text(spark, d):
+    """X2 (T14): NULL part gives a NULL key, or the 'None' text variant."""
+    from quartermaster.functions.scalars import composite_text
+    c = read_table(spark, d, "customer")
+    nk = F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_nationkey"))
+    return c.select("c_custkey", composite_text(nk, "c_custkey").alias("k"),
+                    composite_text(nk, "c_custkey", null_text="None").alias("k_none"))
+
+
+@register("conditional_group", """
+SELECT l_orderkey, l_linenumber, l_partkey,
+       CASE WHEN l_returnflag = 'A' THEN l_quantity END AS q,
+       CASE WHEN l_returnflag = 'A' THEN l_discount END AS disc FROM lineitem
+""")
+def q_conditional_group(spark, d):
+    """A column group filled only when a field is present."""
+    from quartermaster.operators.routing import when_present
+    li = read_table(spark, d, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", "l_partkey",
+                     *when_present(F.col("l_returnflag") == "A",
+                                   {"q": F.col("l_quantity"), "disc": F.col("l_discount")}))
