@@ -120,3 +120,11 @@ def effect_rule(e: Column, side: str) -> Column:
 def split_effects(c, side: str) -> Column:
     """The effects that are buffs (or debuffs), in order."""
     return F.filter(_c(c), lambda e: effect_rule(e, side))
+
+
+def reclassify(cond: Column, overrides: dict[str, Column], cols: dict[str, Column]) -> list[Column]:
+    """I8: for records matching ``cond``, the columns in ``overrides`` take
+    the override (a literal, a NULL for removed fields); the others keep
+    their value. Returns the projected columns in ``cols`` order."""
+    return [F.when(cond, overrides[n]).otherwise(c).alias(n) if n in overrides else c.alias(n)
+            for n, c in cols.items()]

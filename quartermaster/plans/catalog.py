@@ -1028,3 +1028,230 @@ def q_conditional_group(spark, d):
     return li.select("l_orderkey", "l_linenumber", "l_partkey",
                      *when_present(F.col("l_returnflag") == "A",
                                    {"q": F.col("l_quantity"), "disc": F.col("l_discount")}))
+
+
+# ------------------------------------------------------------------ effects
+
+_SKILL_OF_PRIORITY = {"1-URGENT": "Health", "2-HIGH": "Strength", "3-MEDIUM": "Memory",
+                      "4-NOT SPECIFIED": "Juggling"}
+_TYPE_OF_STATUS = {"F": "Pain", "O": "Energy recovery", "P": "Mystery"}
+
+
+def order_effects(spark, d) -> DataFrame:
+    """Two effects per order built from its own columns: a skill effect
+    whose sign follows the price, and a typed effect of opposite sign."""
+    from quartermaster.functions.effects import EFFECT_DDL
+    from quartermaster.functions.labels import lookup
+    o = read_table(spark, d, "orders")
+    v = F.col("o_totalprice") / 10000 - 25
+    e1 = F.struct(F.lit(0).alias("delay"), v.alias("value"), F.lit("Skill").alias("type"),
+                  lookup("o_orderpriority", _SKILL_OF_PRIORITY).alias("skillName"),
+                  F.lit(0).alias("duration"), F.lit(1.0).alias("chance"),
+                  F.lit(None).cast("string").alias("krSkill"))
+    e2 = F.struct(F.lit(1).alias("delay"), (-v).alias("value"),
+                  lookup("o_orderstatus", _TYPE_OF_STATUS).alias("type"),
+                  F.lit(None).cast("string").alias("skillName"), F.lit(10).alias("duration"),
+                  F.lit(0.5).alias("chance"), F.lit(None).cast("string").alias("krSkill"))
+    return o.select("o_orderkey", "o_orderpriority", "o_orderstatus",
+                    F.array(e1, e2).cast(f"array<{EFFECT_DDL}>").alias("effects"))
+
+
+def _kr_case(mapping, var):
+    return "CASE " + var + " " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items()) + " END"
+
+
+def _effects_sql():
+    from quartermaster.functions import vocab as V
+    skill = _kr_case(_SKILL_OF_PRIORITY, "o_orderpriority")
+    typ = _kr_case(_TYPE_OF_STATUS, "o_orderstatus")
+    return f"""
+SELECT o_orderkey, 0 AS pos, {_kr_case(V.MED_SKILL_KR, skill)} AS krSkill FROM orders
+UNION ALL
+SELECT o_orderkey, 1, {_kr_case(V.MED_TYPE_KR, typ)} FROM orders"""
+
+
+@register("annotate_effects", _effects_sql())
+def q_annotate_effects(spark, d):
+    """Skill label for known skills, else type label, else NULL."""
+    from quartermaster.functions import vocab as V
+    from quartermaster.functions.effects import annotate
+    e = order_effects(spark, d)
+    a = e.select("o_orderkey", F.posexplode(annotate("effects", V.MED_SKILL_KR, V.MED_TYPE_KR))
+                 .alias("pos", "e"))
+    return a.select("o_orderkey", "pos", F.col("e.krSkill").alias("krSkill"))
+
+
+@register("append_effect", """
+SELECT o_orderkey, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 3 ELSE 2 END AS n_effects,
+       CASE o_orderpriority WHEN '1-URGENT' THEN 'painkillerDuration' WHEN '2-HIGH' THEN 'Skill'
+            ELSE CASE o_orderstatus WHEN 'F' THEN 'Pain' WHEN 'O' THEN 'Energy recovery' WHEN 'P' THEN 'Mystery' END
+       END AS last_type,
+       CASE o_orderpriority WHEN '1-URGENT' THEN 120 WHEN '2-HIGH' THEN 210 ELSE 10 END AS last_duration
+FROM orders
+""")
+def q_append_effect(spark, d):
+    """Append the effect registered for a name."""
+    from quartermaster.functions.effects import append_by_name, effect
+    table = {"1-URGENT": effect(delay=0, value=0.0, type="painkillerDuration", duration=120, chance=1.0),
+             "2-HIGH": effect(delay=1, value=1.0, type="Skill", skillName="Painkiller", duration=210,
+                              krSkill="진통제")}
+    e = order_effects(spark, d).select("o_orderkey",
+                                       append_by_name("effects", "o_orderpriority", table).alias("a"))
+    last = F.element_at("a", -1)
+    return e.select("o_orderkey", F.size("a").alias("n_effects"), last["type"].alias("last_type"),
+                    last["duration"].alias("last_duration"))
+
+
+@register("reclassify", """
+SELECT o_orderkey,
+       CASE WHEN o_orderpriority = '5-LOW' THEN 'Stimulant' ELSE o_orderstatus END AS category,
+       CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_custkey END AS uses,
+       CASE WHEN o_orderpriority = '5-LOW' THEN 3 ELSE 2 END AS n_effects,
+       CASE WHEN o_orderpriority = '5-LOW' THEN 'painkillerDuration' ELSE 'Skill' END AS first_type
+FROM orders
+""")
+def q_reclassify(spark, d):
+    """I8: one product reclassified - category changed, fields removed, a
+    constant effect list installed."""
+    from quartermaster.functions.effects import reclassified_effects, reclassify
+    o = read_table(spark, d, "orders")
+    e = order_effects(spark, d).select("o_orderkey", "effects")
+    j = o.join(e, "o_orderkey")
+    cols = reclassify(F.col("o_orderpriority") == "5-LOW",
+                      {"category": F.lit("Stimulant"), "uses": F.lit(None).cast("bigint"),
+                       "effects": reclassified_effects()},
+                      {"o_orderkey": F.col("o_orderkey"), "category": F.col("o_orderstatus"),
+                       "uses": F.col("o_custkey"), "effects": F.col("effects")})
+    r = j.select(*cols)
+    return r.select("o_orderkey", "category", "uses", F.size("effects").alias("n_effects"),
+                    F.get("effects", 0)["type"].alias("first_type"))
+
+
+def event_effects(spark, d) -> DataFrame:
+    e = read_table(spark, d, "events")
+    typ = (F.when(F.col("event_type") == "click", "Energy recovery")
+           .when(F.col("event_type") == "error", "Pain")
+           .when(F.col("event_type") == "view", "Body temperature")
+           .when(F.col("event_type") == "purchase", "Skill")
+           .otherwise("painkillerDuration"))
+    eff = F.struct(F.lit(0).alias("delay"), (F.col("value") - 100).alias("value"), typ.alias("type"),
+                   F.when(F.col("event_type") == "purchase", F.lit("Health")).alias("skillName"),
+                   F.floor(F.col("value") - 100).cast("int").alias("duration"),
+                   F.lit(1.0).alias("chance"), F.lit(None).cast("string").alias("krSkill"))
+    return e.select("event_id", F.array(eff).alias("effects"))
+
+
+_EVENT_EFFECT_SQL = """
+ev AS (SELECT event_id, value - 100 AS v, CAST(floor(value - 100) AS INTEGER) AS dur,
+  CASE event_type WHEN 'click' THEN 'Energy recovery' WHEN 'error' THEN 'Pain' WHEN 'view' THEN 'Body temperature'
+                  WHEN 'purchase' THEN 'Skill' ELSE 'painkillerDuration' END AS t FROM events)"""
+
+
+@register("split_positive", f"""
+WITH {_EVENT_EFFECT_SQL}
+SELECT event_id FROM ev WHERE t IN ('Antidote', 'Stops and prevents bleedings')
+  OR (t = 'Body temperature' AND v < 0) OR (t = 'Energy recovery' AND v > 0)
+  OR (t = 'painkillerDuration' AND dur > 0) OR (t = 'Skill' AND v > 0)
+""")
+def q_split_positive(spark, d):
+    """Buffs by the signed rule table."""
+    from quartermaster.functions.effects import split_effects
+    e = event_effects(spark, d)
+    return e.filter(F.size(split_effects("effects", "buff")) > 0).select("event_id")
+
+
+@register("split_negative", f"""
+WITH {_EVENT_EFFECT_SQL}
+SELECT event_id FROM ev WHERE t IN ('Hands tremor', 'Pain', 'Tunnel effect')
+  OR (t = 'Body temperature' AND v > 0) OR (t = 'Energy recovery' AND v < 0)
+  OR (t = 'painkillerDuration' AND dur < 0) OR (t = 'Skill' AND v < 0)
+""")
+def q_split_negative(spark, d):
+    """Debuffs by the signed rule table (value 0 in neither)."""
+    from quartermaster.functions.effects import split_effects
+    e = event_effects(spark, d)
+    return e.filter(F.size(split_effects("effects", "debuff")) > 0).select("event_id")
+
+
+# ---------------------------------------------------------- report windows
+
+@register("prev_month_window", """
+SELECT o_orderkey FROM orders
+WHERE o_orderdate >= TIMESTAMP '1997-02-01 00:00:00' AND o_orderdate < TIMESTAMP '1997-03-01 00:00:00'
+""")
+def q_prev_month_window(spark, d):
+    """The calendar month before the run date."""
+    from quartermaster.functions.windows import reporting_window
+    o = read_table(spark, d, "orders")
+    return reporting_window(o, "o_orderdate", _dt.date(1997, 3, 15), "prev_month").select("o_orderkey")
+
+
+@register("interval_window", """
+SELECT event_id FROM events
+WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts < TIMESTAMP '2024-01-12 00:00:00'
+""")
+def q_interval_window(spark, d):
+    """Run interval start .. end - 1 day."""
+    from quartermaster.functions.windows import reporting_window
+    e = read_table(spark, d, "events")
+    return reporting_window(e, "ts", _dt.date(2024, 1, 12), "interval",
+                            start=_dt.date(2024, 1, 5)).select("event_id")
+
+
+@register("trailing_window", """
+SELECT event_id FROM events
+WHERE ts >= TIMESTAMP '2024-01-11 00:00:00' AND ts < TIMESTAMP '2024-01-17 00:00:00'
+""")
+def q_trailing_window(spark, d):
+    """End - 19 .. end - 14 days."""
+    from quartermaster.functions.windows import reporting_window
+    e = read_table(spark, d, "events")
+    return reporting_window(e, "ts", _dt.date(2024, 1, 30), "trailing").select("event_id")
+
+
+@register("local_day_counts", """
+SELECT CAST(CAST(ts + INTERVAL 9 HOUR AS DATE) AS VARCHAR) AS day, COUNT(*) AS n FROM events GROUP BY 1
+""")
+def q_local_day_counts(spark, d):
+    """Events per local calendar day in Asia/Seoul (UTC wall clock in
+    the table)."""
+    from quartermaster.functions.scalars import local_date
+    e = read_table(spark, d, "events")
+    return (e.groupBy(local_date("ts", "Asia/Seoul").cast("string").alias("day"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+# --------------------------------------------------------------- snapshots
+
+_SNAP_DAYS = 10
+
+
+def _stamped_nations(spark, d):
+    from quartermaster.operators.snapshot import stamp
+    n = read_table(spark, d, "nation")
+    out = None
+    for k in range(_SNAP_DAYS):
+        s = stamp(n, AS_OF - _dt.timedelta(days=k))
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+@register("snapshot_retention", """
+SELECT CAST(DATE '2024-01-15' - INTERVAL (k) DAY AS DATE)::VARCHAR AS snapshot_date, n_nationkey
+FROM nation, range(0, 10) AS r(k)
+WHERE k <= 3
+""")
+def q_snapshot_retention(spark, d):
+    """B13 + B14 (T23): dated snapshots, retention of ``keep_days`` = 3."""
+    from quartermaster.operators.snapshot import retain
+    return retain(_stamped_nations(spark, d), 3, AS_OF).select("snapshot_date", "n_nationkey")
+
+
+@register("snapshot_expired", """
+SELECT DISTINCT CAST(DATE '2024-01-15' - INTERVAL (k) DAY AS DATE)::VARCHAR AS snapshot_date
+FROM range(0, 10) AS r(k) WHERE k > 3
+""")
+def q_snapshot_expired(spark, d):
+    """The snapshot dates retention removes."""
+    from quartermaster.operators.snapshot import expired_snapshots
+    return expired_snapshots(_stamped_nations(spark, d), 3, AS_OF)
