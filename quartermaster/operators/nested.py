@@ -13,17 +13,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _explode_inner(path, pos_alias: str, alias: str):
+    """Inner explode written as an outer ``posexplode`` plus a filter on the
+    position. Same rows; but Spark does not add its inferred
+    ``size(arr) > 0`` pre-filter, which would evaluate an expensive array
+    expression (a JSON decode, say) once more per row."""
+    return F.posexplode_outer(path).alias(pos_alias, alias)
+
+
 def unnest(df: DataFrame, path: str, keep: Sequence[str | Column] = (),
            alias: str = "child", with_pos: bool = False, outer: bool = False) -> DataFrame:
     """One row per element of the array at ``path`` (empty or NULL lists
     yield no row unless ``outer``), carrying the ``keep`` columns of the
-    parent. ``with_pos`` adds the element position (``pos``)."""
-    keep = list(keep)
-    if with_pos:
-        gen = F.posexplode_outer(path) if outer else F.posexplode(path)
-        return df.select(*keep, gen.alias(f"{alias}_pos", alias))
-    gen = F.explode_outer(path) if outer else F.explode(path)
-    return df.select(*keep, gen.alias(alias))
+    parent. ``with_pos`` adds the element position (``<alias>_pos``)."""
+    keep = [F.col(k) if isinstance(k, str) else k for k in keep]
+    names = [c for c in df.select(*keep).columns] if keep else []
+    pos = f"{alias}_pos"
+    ex = df.select(*keep, _explode_inner(path, pos, alias))
+    if not outer:
+        ex = ex.filter(F.col(pos).isNotNull())
+    return ex if with_pos else ex.select(*names, alias)
 
 
 def unnest2(df: DataFrame, outer_path: str, inner_field: str,
@@ -32,20 +41,25 @@ def unnest2(df: DataFrame, outer_path: str, inner_field: str,
     """Two levels (station -> level -> requirement); each requirement row
     carries its level's key as ``parent_key_alias``; the requirement's fields
     are flattened into columns."""
-    lv = df.select(*keep, F.explode(outer_path).alias("__lv"))
-    ch = lv.select(*keep, F.col(f"__lv.{parent_key}").alias(parent_key_alias),
-                   F.explode(f"__lv.{inner_field}").alias("__ch"))
-    return ch.select(*keep, parent_key_alias, "__ch.*")
+    names = df.select(*keep).columns if keep else []
+    lv = (df.select(*keep, _explode_inner(outer_path, "__p1", "__lv"))
+          .filter(F.col("__p1").isNotNull()))
+    ch = (lv.select(*names, F.col(f"__lv.{parent_key}").alias(parent_key_alias),
+                    _explode_inner(f"__lv.{inner_field}", "__p2", "__ch"))
+          .filter(F.col("__p2").isNotNull()))
+    return ch.select(*names, parent_key_alias, "__ch.*")
 
 
 def ordered_unnest2(df: DataFrame, outer_path: str, inner_path: str,
                     keep: Sequence[str] = ()) -> DataFrame:
     """Map -> lock -> key with both positions (``outer_pos``,
     ``inner_pos``) for document-order rules such as last-wins."""
-    a = df.select(*keep, F.col("pos").alias("doc_pos") if "pos" in df.columns else F.lit(0).alias("doc_pos"),
-                  F.posexplode(outer_path).alias("outer_pos", "__o"))
-    return a.select(*keep, "doc_pos", "outer_pos", "__o",
-                    F.posexplode(f"__o.{inner_path}").alias("inner_pos", "inner"))
+    doc_pos = F.col("pos") if "pos" in df.columns else F.lit(0)
+    a = (df.select(*keep, doc_pos.alias("doc_pos"), _explode_inner(outer_path, "outer_pos", "__o"))
+         .filter(F.col("outer_pos").isNotNull()))
+    return (a.select(*keep, "doc_pos", "outer_pos", "__o",
+                     _explode_inner(f"__o.{inner_path}", "inner_pos", "inner"))
+            .filter(F.col("inner_pos").isNotNull()))
 
 
 def last_value_per_key(df: DataFrame, key: str | Column, value: str | Column,

@@ -21,7 +21,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quartermaster.operators import activity
-from quartermaster.sources.tables import read_table
+from quartermaster.sources.tables import read_table as _read_table
+import os as _os
+
+#: Spread every single-split scan over all task slots (see
+#: ensure_parallelism). Off by default: only checks with heavy per-row work
+#: (JSON documents, effect arrays) ask for it; for plain projections and for
+#: aggregations the extra round-robin exchange costs more than it saves.
+SPREAD = _os.environ.get("QM_SPREAD", "0") == "1"
+
+
+def read_table(spark, d, name, spread=None):
+    return _read_table(spark, d, name, spread=SPREAD if spread is None else spread)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -609,7 +620,7 @@ def station_docs(spark, d) -> DataFrame:
     orders, one craft), serialised to JSON text and read back with the
     station schema (A3)."""
     from quartermaster.sources.documents import STATION_SCHEMA
-    o = read_table(spark, d, "orders")
+    o = read_table(spark, d, "orders", spread=True)
     sid = F.col("o_orderkey").cast("string")
 
     def req(level, tag, name, qty, cnt):
@@ -980,7 +991,7 @@ SELECT o_orderkey, 4 AS n_keys, CASE WHEN o_orderstatus = 'F' THEN o_totalprice
 def q_json_encode(spark, d):
     """X11 (T13): JSON text keeps null fields; compared after parsing."""
     from quartermaster.functions.scalars import json_text
-    o = read_table(spark, d, "orders")
+    o = read_table(spark, d, "orders", spread=True)
     j = json_text(F.struct("o_orderkey", "o_orderpriority",
                            F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")).alias("price"),
                            F.lit(None).cast("string").alias("note")))
@@ -1042,7 +1053,7 @@ def order_effects(spark, d) -> DataFrame:
     whose sign follows the price, and a typed effect of opposite sign."""
     from quartermaster.functions.effects import EFFECT_DDL
     from quartermaster.functions.labels import lookup
-    o = read_table(spark, d, "orders")
+    o = read_table(spark, d, "orders", spread=True)
     v = F.col("o_totalprice") / 10000 - 25
     e1 = F.struct(F.lit(0).alias("delay"), v.alias("value"), F.lit("Skill").alias("type"),
                   lookup("o_orderpriority", _SKILL_OF_PRIORITY).alias("skillName"),

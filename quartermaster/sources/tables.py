@@ -10,10 +10,25 @@ PROVIDED = ("region", "nation", "customer", "supplier", "part", "orders", "linei
             "conversations")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """One landed table. Parquet keeps filter push-down, column and
-    nested-column pruning; nothing is inferred."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    nested-column pruning; nothing is inferred. ``spread`` applies
+    :func:`ensure_parallelism` (for CPU-heavy per-row work)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(df) if spread else df
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin spread a scan that has fewer splits than the cluster has
+    task slots (a file written as one row group is one task, whatever its
+    size). On a cluster reading many files this is a no-op: the scan already
+    has more splits than slots. Checking the split count plans the scan but
+    runs no job."""
+    sc = df.sparkSession.sparkContext
+    want = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
 
 
 def read_lookup(spark: SparkSession, path: str, schema: str, fmt: str = "csv") -> DataFrame:
