@@ -35,13 +35,9 @@ def effect(delay=None, value=None, type=None, skillName=None, duration=None,
 
 
 def normalise_effects(c) -> Column:
-    """Bring a decoded effect array (any subset of the fields) to the
-    canonical struct, keeping NULL arrays NULL."""
-    def norm(e):
-        names = ["delay", "value", "type", "skillName", "duration", "chance", "krSkill"]
-        types = ["int", "double", "string", "string", "int", "double", "string"]
-        return F.struct(*[e[n].cast(t).alias(n) for n, t in zip(names, types)])
-    return F.transform(_c(c), norm)
+    """A decoded effect array (read with the canonical effect struct) as the
+    canonical array type; NULL arrays stay NULL."""
+    return _c(c).cast(f"array<{EFFECT_DDL}>")
 
 
 def annotate(c, skill_kr: dict, type_kr: dict) -> Column:

@@ -14,8 +14,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Effect struct as read: the fields of both effect selections (``chance``
+#: only exists for stimulants) plus the label field added by I6 - fields
+#: missing from a document read as NULL.
 EFFECT = ("struct<delay:int,value:double,type:string,skillName:string,duration:int,"
-          "chance:double>")
+          "chance:double,krSkill:string>")
 
 ITEM_SCHEMA = ("pos int, id string, name string, weight double, shortName string, "
                "image512pxLink string, "
