@@ -82,8 +82,14 @@ def contiguous_number(df: DataFrame, order_cols: list, out: str = "order",
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = list(df.columns)
-    ranged = (df.repartitionByRange(n, *order_cols)
-              .sortWithinPartitions(*order_cols)
+    # last range key: the row's position in its input split. Rows equal on
+    # the order (a third of the table could be one repeated value) then still
+    # spread over several range partitions instead of landing in one task;
+    # their relative order is immaterial (they are indistinguishable).
+    keys = list(order_cols) + ["__tie"]
+    ranged = (df.withColumn("__tie", F.monotonically_increasing_id())
+              .repartitionByRange(n, *keys)
+              .sortWithinPartitions(*keys)
               .withColumn("__mid", F.monotonically_increasing_id()))
     ranged = materialize(ranged)
     ranged = ranged.select(*cols,

@@ -40,3 +40,12 @@ def test_publish_versions(spark, tmp_path):
     publish_all({"t": b, "u": a}, root, version="002")
     assert rows(read_published(spark, root, "t")) == [(2,), (3,)]
     assert rows(read_published(spark, root, "u")) == [(1,)]
+
+
+def test_contiguous_number_splits_a_hot_value(spark):
+    # one order value holds 40 % of the rows: it must not end up in one partition
+    df = spark.createDataFrame([(0 if i % 5 < 2 else i, i) for i in range(5_000)], "k int, i int").repartition(4)
+    got = contiguous_number(df, ["k"], partitions=8)
+    assert got.agg(F.min("order"), F.max("order"), F.countDistinct("order")).first() == (1, 5_000, 5_000)
+    hot = got.filter("k = 0").agg(F.min("order"), F.max("order")).first()
+    assert hot == (1, 2_000)
