@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quartermaster.session import materialize
+
 #: Parameter / threshold tables above this many rows are not broadcast.
 DEFAULT_BROADCAST_ROWS = 100_000
 
@@ -83,6 +85,9 @@ def _threshold_sweep(facts: DataFrame, value_col: str, thr: DataFrame,
     if buckets is None:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     vals = facts.select(F.col(value_col).alias("__t")).filter(F.col("__t").isNotNull()).distinct()
+    # the quantile pass and the sweep both read the distinct values: cut them
+    # from their lineage once so the facts' upstream plan runs one time only
+    vals = materialize(vals)
     probs = [i / buckets for i in range(1, buckets)]
     both = vals.select("__t").unionByName(thr.select("__t"))
     bounds = sorted(set(b for b in both.approxQuantile("__t", probs, 0.001) if b is not None))
