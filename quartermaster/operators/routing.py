@@ -80,29 +80,34 @@ def category_nonempty(f: Fields, category: str) -> Column:
     return _t((F.col(f.category) == category) & bag_nonempty(f.bag))
 
 
-def catalogue_rules(f: Fields = Fields()) -> dict[str, Column]:
-    """The item catalogue's routing, target name -> predicate."""
-    return {
-        "Gun": parent_nonempty(f, "Weapon"),
-        "Gun image": parent_empty_name_has(f, "Weapon", V.GUN_IMAGE_NAME_PARTS),
-        "Headphones": category_is(f, "Headphones"),
-        "Headwear": category_except_names(f, "Headwear", V.HEADWEAR_EXCLUDED),
-        "Provisions": categories_nonempty(f, ["Food", "Drink"]),
-        "Key": parent_nonempty(f, "Key"),
-        "Meds": parent_nonempty(f, "Meds"),
-        "Loot": parents_or_category_except(f, V.LOOT_PARENTS, V.LOOT_CATEGORY,
-                                           V.LOOT_EXCLUDED, V.LOOT_EXCLUDED_PART),
-        "Face Cover": category_is(f, "Face Cover"),
-        "Arm Band": category_is(f, "Arm Band"),
-        "Vis. observ. device": category_is(f, "Vis. observ. device"),
-        "Knife": category_nonempty(f, "Knife"),
-        "Throwable weapon": category_nonempty(f, "Throwable weapon"),
-        "Armor": category_nonempty(f, "Armor"),
-        "Backpack": category_nonempty(f, "Backpack"),
-        "Common container": category_nonempty(f, "Common container"),
-        "Chest rig": category_nonempty(f, "Chest rig"),
-        "Ammo": category_nonempty(f, "Ammo"),
-    }
+#: The item catalogue's routing, target name -> rule (built on demand).
+CATALOGUE_RULES = {
+    "Gun": lambda f: parent_nonempty(f, "Weapon"),
+    "Gun image": lambda f: parent_empty_name_has(f, "Weapon", V.GUN_IMAGE_NAME_PARTS),
+    "Headphones": lambda f: category_is(f, "Headphones"),
+    "Headwear": lambda f: category_except_names(f, "Headwear", V.HEADWEAR_EXCLUDED),
+    "Provisions": lambda f: categories_nonempty(f, ["Food", "Drink"]),
+    "Key": lambda f: parent_nonempty(f, "Key"),
+    "Meds": lambda f: parent_nonempty(f, "Meds"),
+    "Loot": lambda f: parents_or_category_except(f, V.LOOT_PARENTS, V.LOOT_CATEGORY,
+                                                 V.LOOT_EXCLUDED, V.LOOT_EXCLUDED_PART),
+    "Face Cover": lambda f: category_is(f, "Face Cover"),
+    "Arm Band": lambda f: category_is(f, "Arm Band"),
+    "Vis. observ. device": lambda f: category_is(f, "Vis. observ. device"),
+    "Knife": lambda f: category_nonempty(f, "Knife"),
+    "Throwable weapon": lambda f: category_nonempty(f, "Throwable weapon"),
+    "Armor": lambda f: category_nonempty(f, "Armor"),
+    "Backpack": lambda f: category_nonempty(f, "Backpack"),
+    "Common container": lambda f: category_nonempty(f, "Common container"),
+    "Chest rig": lambda f: category_nonempty(f, "Chest rig"),
+    "Ammo": lambda f: category_nonempty(f, "Ammo"),
+}
+
+
+def catalogue_rules(f: Fields = Fields(), only=None) -> dict[str, Column]:
+    """The item catalogue's routing as predicates (all, or the ``only``
+    targets)."""
+    return {n: r(f) for n, r in CATALOGUE_RULES.items() if only is None or n in only}
 
 
 # ------------------------------------------------------------------ routing

@@ -1266,3 +1266,186 @@ def q_snapshot_expired(spark, d):
     """The snapshot dates retention removes."""
     from quartermaster.operators.snapshot import expired_snapshots
     return expired_snapshots(_stamped_nations(spark, d), 3, AS_OF)
+
+
+# ------------------------------------------- item jobs on a part catalogue
+
+#: p_type -> (category, parent) of the catalogue built from ``part``
+_PART_CATEGORY = {"STANDARD": ("Knife", "Melee"), "ECONOMY": ("Ammo", "Ammo"),
+                  "MEDIUM": ("Headwear", "Equipment"), "SMALL": ("Headphones", "Equipment"),
+                  "LARGE": ("Tools", "Barter item"), "PROMO": ("Armor", "Equipment")}
+
+
+def part_catalogue(spark, d) -> DataFrame:
+    """Item documents built from ``part``: the category follows p_type, the
+    attribute bag is the JSON of the member schema filled from the part's
+    own columns (headphones and loot get ``{}``). Everything the item jobs
+    do runs on it unchanged."""
+    from quartermaster.sources.documents import ITEM_SCHEMA
+    p = read_table(spark, d, "part", spread=True)
+    t = F.col("p_type")
+    cat = F.lit(None).cast("string")
+    par = F.lit(None).cast("string")
+    for k, (c, pa) in _PART_CATEGORY.items():
+        cat = F.when(t == k, F.lit(c)).otherwise(cat)
+        par = F.when(t == k, F.lit(pa)).otherwise(par)
+    cat = F.when((t == "LARGE") & (F.col("p_size") > 45), F.lit("Compass")).otherwise(cat)
+    word = F.initcap(F.split("p_name", " ").getItem(1))
+    props = (F.when(t == "STANDARD", F.to_json(F.struct(
+                F.col("p_size").alias("slashDamage"), (F.col("p_size") * 2).alias("stabDamage"),
+                (F.col("p_retailprice") / 1000).alias("hitRadius"))))
+             .when(t == "ECONOMY", F.to_json(F.struct(
+                 F.col("p_size").alias("damage"), (F.col("p_size") + 10).alias("penetrationPower"),
+                 (F.col("p_retailprice") / 10000).alias("accuracyModifier"))))
+             .when(t == "MEDIUM", F.to_json(F.struct(
+                 (F.col("p_size") % 6).alias("class"),
+                 F.when(F.col("p_size") % 2 == 0, F.array(F.lit("Head, Neck"), F.lit("Head, Ears")))
+                  .otherwise(F.array(F.lit("Head, Face"), F.concat(F.lit("Head, "), word))).alias("headZones"),
+                 (F.col("p_size") / 100).alias("ricochetY"))))
+             .when(t == "PROMO", F.to_json(F.struct(
+                 (F.col("p_size") % 6).alias("class"),
+                 F.array(F.lit("Thorax"), F.concat(F.lit("Stomach, "), word)).alias("zones"))))
+             .otherwise(F.lit("{}")))
+    doc = F.struct(F.col("p_partkey").cast("int").alias("pos"),
+                   F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("id"),
+                   F.concat_ws(" ", "p_name", "p_brand").alias("name"),
+                   (F.col("p_retailprice") / 100).alias("weight"),
+                   F.col("p_brand").alias("shortName"),
+                   F.concat(F.lit("/img/"), F.col("p_partkey").cast("string")).alias("image512pxLink"),
+                   F.struct(cat.alias("name"), F.struct(par.alias("name")).alias("parent")).alias("category"),
+                   props.alias("properties"))
+    text = p.select(F.to_json(doc).alias("json"))
+    return text.select(F.from_json("json", ITEM_SCHEMA).alias("d")).select("d.*")
+
+
+def _part_item_sources(spark, d, table):
+    from quartermaster.plans import items as I
+    empty_maps = spark.createDataFrame([], "pos int, name string, locks array<struct<key:struct<name:string>>>")
+    return I.item_sources(part_catalogue(spark, d), empty_maps, AS_OF, only=[table])
+
+
+_PART_DOC_SQL = """
+pd AS (SELECT 'p' || CAST(p_partkey AS VARCHAR) AS id, p_name || ' ' || p_brand AS name,
+              p_brand AS short_name, '/img/' || CAST(p_partkey AS VARCHAR) AS image, p_type, p_size,
+              p_retailprice, p_name FROM part)"""
+
+
+@register("catalogue_knife", f"""
+WITH {_PART_DOC_SQL}
+SELECT id, name, short_name, image, 'Knife' AS category, p_size AS slash_damage, p_size * 2 AS stab_damage,
+       p_retailprice / 1000 AS hit_radius FROM pd WHERE p_type = 'STANDARD'
+""")
+def q_catalogue_knife(spark, d):
+    """P2 on the part catalogue (A1, A6, C5i, C1)."""
+    return _part_item_sources(spark, d, "tkl_knife")["tkl_knife"].drop("pos", "update_time")
+
+
+@register("catalogue_ammo", f"""
+WITH {_PART_DOC_SQL}
+SELECT id, name, short_name, p_size AS damage, p_size + 10 AS penetration_power,
+       CAST(NULL AS INTEGER) AS armor_damage, p_retailprice / 10000 AS accuracy_modifier,
+       CAST(NULL AS DOUBLE) AS recoil_modifier, CAST(NULL AS DOUBLE) AS light_bleed_modifier,
+       CAST(NULL AS DOUBLE) AS heavy_bleed_modifier, image FROM pd WHERE p_type = 'ECONOMY'
+""")
+def q_catalogue_ammo(spark, d):
+    """P13 on the part catalogue."""
+    return _part_item_sources(spark, d, "tkl_ammo")["tkl_ammo"].drop("pos", "update_time")
+
+
+def _zones_kr_sql(expr, mapping, default):
+    case = "CASE z " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items()) + " END"
+    return f"array_to_string(list_transform({expr}, lambda z: COALESCE({case}, '{default}')), '|')"
+
+
+def _headwear_sql():
+    from quartermaster.functions import vocab as V
+    zones = ("CASE WHEN p_size % 2 = 0 THEN ['Head, Back Neck', 'Head, Ears'] "
+             "ELSE ['Head, Face', 'Head, ' || upper(left(split_part(p_name, ' ', 2), 1)) "
+             "|| lower(substr(split_part(p_name, ' ', 2), 2))] END")
+    return f"""
+WITH {_PART_DOC_SQL}, h AS (SELECT *, {zones} AS zones, p_size / 100 AS r FROM pd WHERE p_type = 'MEDIUM')
+SELECT id, p_size % 6 AS class_value, array_to_string(zones, '|') AS areas_en,
+       {_zones_kr_sql('zones', V.HEAD_ZONES_KR, V.HEAD_ZONE_UNKNOWN_KR)} AS areas_kr,
+       r AS ricochet_chance,
+       CASE WHEN r < 0.2 THEN 'Low' WHEN r < 0.4 THEN 'Medium' ELSE 'High' END AS ricochet_str_en,
+       CASE WHEN r < 0.2 THEN '낮음' WHEN r < 0.4 THEN '중간' ELSE '높음' END AS ricochet_str_kr
+FROM h"""
+
+
+@register("catalogue_headwear", _headwear_sql())
+def q_catalogue_headwear(spark, d):
+    """P5 on the part catalogue: I4 + I2 zones, X8 buckets in two languages."""
+    h = _part_item_sources(spark, d, "tkl_headwear")["tkl_headwear"]
+    return h.select("id", "class_value", F.array_join("areas_en", "|").alias("areas_en"),
+                    F.array_join("areas_kr", "|").alias("areas_kr"), "ricochet_chance",
+                    "ricochet_str_en", "ricochet_str_kr")
+
+
+def _armor_sql():
+    from quartermaster.functions import vocab as V
+    case = "CASE z " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in V.ARMOR_ZONES_KR.items()) + " END"
+    return f"""
+WITH {_PART_DOC_SQL}
+SELECT id, p_size % 6 AS class_value,
+       array_to_string(list_filter(list_transform(['Thorax', 'Stomach, ' || upper(left(split_part(p_name, ' ', 2), 1))
+         || lower(substr(split_part(p_name, ' ', 2), 2))], lambda z: {case}), lambda y: y IS NOT NULL), '|') AS areas_kr
+FROM pd WHERE p_type = 'PROMO'"""
+
+
+@register("catalogue_armor", _armor_sql())
+def q_catalogue_armor(spark, d):
+    """P6 on the part catalogue: I1 drops unknown zones."""
+    a = _part_item_sources(spark, d, "tkl_armor_vest")["tkl_armor_vest"]
+    return a.select("id", "class_value", F.array_join("areas_kr", "|").alias("areas_kr"))
+
+
+@register("catalogue_loot", f"""
+WITH {_PART_DOC_SQL}
+SELECT id, name AS name_en, short_name, image,
+       CASE WHEN p_size > 45 THEN 'Special equipment' ELSE 'Tools' END AS category
+FROM pd WHERE p_type = 'LARGE' AND NOT contains(name, 'Locked')
+""")
+def q_catalogue_loot(spark, d):
+    """P14 on the part catalogue: C5g routing, X7 recategorisation."""
+    return _part_item_sources(spark, d, "tkl_loot")["tkl_loot"].drop("pos", "update_time")
+
+
+@register("catalogue_headset", f"""
+WITH {_PART_DOC_SQL}
+SELECT id, name, short_name, image FROM pd WHERE p_type = 'SMALL'
+""")
+def q_catalogue_headset(spark, d):
+    """P4 on the part catalogue (no bag test)."""
+    return _part_item_sources(spark, d, "tkl_headset")["tkl_headset"].drop("pos", "update_time")
+
+
+@register("catalogue_ammo_upsert", f"""
+WITH {_PART_DOC_SQL},
+src AS (SELECT id, name, short_name, p_size AS damage FROM pd WHERE p_type = 'ECONOMY'),
+tgt AS (SELECT 'p' || CAST(p_partkey AS VARCHAR) AS id, 'old' AS name, 'OLD-' || p_brand AS short_name,
+               'Curated' AS category, -1 AS damage FROM part WHERE p_size <= 25)
+SELECT COALESCE(t.id, s.id) AS id,
+       CASE WHEN s.id IS NOT NULL THEN s.name ELSE t.name END AS name,
+       CASE WHEN t.id IS NOT NULL THEN t.short_name ELSE s.short_name END AS short_name,
+       t.category AS category,
+       CASE WHEN s.id IS NOT NULL THEN s.damage ELSE t.damage END AS damage
+FROM tgt t FULL JOIN src s ON t.id = s.id
+""")
+def q_catalogue_ammo_upsert(spark, d):
+    """P13 + B1/B4/B5 (T6, T7): ammo upserted into a table with curated
+    columns; the short name is written for new rows only."""
+    from quartermaster.plans.items import TARGETS
+    p = read_table(spark, d, "part").filter(F.col("p_size") <= 25)
+    tgt = p.select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("id"),
+                   F.lit("old").alias("name"), F.concat(F.lit("OLD-"), F.col("p_brand")).alias("short_name"),
+                   F.lit("Curated").alias("category"), F.lit(-1).alias("damage"))
+    src = _part_item_sources(spark, d, "tkl_ammo")["tkl_ammo"]
+    t = TARGETS["tkl_ammo"]
+    ins = [c for c in t.insert_cols if c in ("name", "short_name", "damage")]
+    upd = [c for c in t.update_cols if c in ins]
+    return merge_(tgt, src, ins, upd)
+
+
+def merge_(tgt, src, ins, upd):
+    from quartermaster.operators.merge import merge
+    return merge(tgt, src, "id", insert_cols=ins, update_cols=upd, order_cols="pos")

@@ -346,12 +346,21 @@ TARGETS = {
 }
 
 
-def item_sources(items: DataFrame, maps: DataFrame, as_of) -> dict[str, DataFrame]:
-    """Route the catalogue once and build every target's source rows, each
-    stamped with the run's load time (B15)."""
-    routed = route_split(items, catalogue_rules())
+def item_sources(items: DataFrame, maps: DataFrame, as_of,
+                 only: list[str] | None = None) -> dict[str, DataFrame]:
+    """Route the catalogue once and build the source rows of every target
+    (or of the ``only`` targets), each stamped with the run's load time
+    (B15). The routed rows are persisted when more than one target reads
+    them, so the documents are parsed and classified once."""
+    tables = [t for t in TARGETS if only is None or t in only]
+    needed = {TARGETS[t].route for t in tables}
+    if "tkl_weapon" in tables:
+        needed.add("Gun image")
+    rules = catalogue_rules(only=needed)
+    routed = route_split(items, rules, persist=len(tables) > 1)
     out = {}
-    for table, t in TARGETS.items():
+    for table in tables:
+        t = TARGETS[table]
         if table == "tkl_weapon":
             rows = weapon_rows(routed["Gun"], routed["Gun image"])
         elif table == "tkl_key":

@@ -50,7 +50,7 @@ def test_streaming_merge(spark, tmp_path):
     from quartermaster.operators.routing import catalogue_rules, route
 
     def build(batch):
-        return knife_rows(route(batch, {"Knife": catalogue_rules()["Knife"]}).drop("route"))
+        return knife_rows(route(batch, catalogue_rules(only=["Knife"])).drop("route"))
 
     merge_landed(spark, str(landing), ITEM_SCHEMA, root, "tkl_knife", "id",
                  ["name", "short_name", "image", "category", "slash_damage", "stab_damage", "hit_radius"],
