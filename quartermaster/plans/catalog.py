@@ -628,10 +628,34 @@ def station_docs(spark, d) -> DataFrame:
                         F.struct(name.alias("name")).alias("item"),
                         F.lit(qty).alias("quantity"), F.lit(cnt).alias("count"))
 
+    bonuses = F.array(
+        F.struct(F.lit("SkillBoost").alias("type"), F.col("o_orderpriority").alias("name"),
+                 F.col("o_totalprice").alias("value"),
+                 F.when(F.col("o_orderstatus") == "F", F.lit("")).otherwise(F.lit("Strength"))
+                 .alias("skillName")),
+        F.struct(F.when(F.col("o_orderstatus") == "O", F.lit("SkillBoost")).otherwise(F.lit("Rate"))
+                 .alias("type"), F.lit("later").alias("name"),
+                 F.col("o_custkey").cast("double").alias("value"),
+                 F.lit(None).cast("string").alias("skillName")))
+    traders = F.array(F.struct(
+        F.concat(sid, F.lit("-t")).alias("id"), F.lit("loyaltyLevel").alias("requirementType"),
+        (F.col("o_custkey") % 4).cast("int").alias("value"),
+        F.when(F.col("o_orderstatus") != "P", F.struct(
+            F.col("o_orderpriority").alias("name"),
+            F.concat(F.lit("/trader/"), F.col("o_orderpriority")).alias("imageLink"))).alias("trader"),
+        F.lit(">=").alias("compareMethod")))
+
+    bonus_t = "array<struct<type:string,name:string,value:double,skillName:string>>"
+    trader_t = ("array<struct<id:string,requirementType:string,value:int,"
+                "trader:struct<name:string,imageLink:string>,compareMethod:string>>")
+
     def level(k, reqs):
+        b = bonuses if k == 1 else F.array().cast(bonus_t)
+        t = traders if k == 2 else F.array().cast(trader_t)
         return F.struct(F.concat(sid, F.lit(f"-{k}")).alias("id"), F.lit(k).alias("level"),
                         (F.col("o_custkey") * k).alias("constructionTime"),
-                        reqs.alias("itemRequirements"))
+                        reqs.alias("itemRequirements"), b.cast(bonus_t).alias("bonuses"),
+                        t.cast(trader_t).alias("traderRequirements"))
 
     lvl2 = F.when(F.col("o_orderstatus") == "F", F.array().cast(
         "array<struct<id:string,item:struct<name:string>,quantity:int,count:int>>")).otherwise(
@@ -1449,3 +1473,103 @@ def q_catalogue_ammo_upsert(spark, d):
 def merge_(tgt, src, ins, upd):
     from quartermaster.operators.merge import merge
     return merge(tgt, src, "id", insert_cols=ins, update_cols=upd, order_cols="pos")
+
+
+# ------------------------------------- station and quest jobs on orders
+
+def _station_sources(spark, d, table):
+    from quartermaster.plans import stations as S
+    return S.TARGETS[table][0](station_docs(spark, d))
+
+
+@register("stations_master", """
+SELECT CAST(o_orderkey AS VARCHAR) AS id, 'station ' || CAST(o_orderkey AS VARCHAR) AS name_en,
+       CAST(o_orderkey AS VARCHAR) || '-1|' || CAST(o_orderkey AS VARCHAR) || '-2' AS level_ids FROM orders
+""")
+def q_stations_master(spark, d):
+    """Station rows with their level ids."""
+    m = _station_sources(spark, d, "tkl_hideout_master")
+    return m.select("id", "name_en", F.array_join("level_ids", "|").alias("level_ids"))
+
+
+@register("stations_bonus", """
+SELECT CAST(o_orderkey AS VARCHAR) || '-1' AS level_id, 'SkillBoost' AS type,
+       CASE WHEN o_orderstatus = 'O' THEN 'later' ELSE o_orderpriority END AS name_en,
+       CASE WHEN o_orderstatus = 'O' THEN CAST(o_custkey AS DOUBLE) ELSE o_totalprice END AS value,
+       CASE WHEN o_orderstatus IN ('O', 'F') THEN NULL ELSE 'Strength' END AS skill_name_en
+FROM orders
+UNION ALL
+SELECT CAST(o_orderkey AS VARCHAR) || '-1', 'Rate', 'later', CAST(o_custkey AS DOUBLE), NULL
+FROM orders WHERE o_orderstatus <> 'O'
+""")
+def q_stations_bonus(spark, d):
+    """Bonuses keyed (level_id, type), a repeated type in one level is
+    last-wins (B2 + E5), an empty skill name is NULL (X10)."""
+    from quartermaster.plans import stations as S
+    from quartermaster.operators.merge import merge
+    src = S.bonus_rows(station_docs(spark, d))
+    empty = spark.createDataFrame([], "level_id string, type string, name_en string, value double, "
+                                      "skill_name_en string")
+    return merge(empty, src, ["level_id", "type"], insert_cols=["name_en", "value", "skill_name_en"],
+                 order_cols="pos")
+
+
+@register("stations_trader", """
+SELECT CAST(o_orderkey AS VARCHAR) || '-t' AS id, CAST(o_orderkey AS VARCHAR) || '-2' AS level_id,
+       CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS name_en,
+       CAST(o_custkey % 4 AS INTEGER) AS value, 'loyaltyLevel' AS require_type, '>=' AS compare,
+       CASE WHEN o_orderstatus <> 'P' THEN '/trader/' || o_orderpriority END AS image
+FROM orders
+""")
+def q_stations_trader(spark, d):
+    """Trader requirements with a NULL trader."""
+    return _station_sources(spark, d, "tkl_hideout_trader_require").drop("pos")
+
+
+@register("stations_crafts", """
+SELECT CAST(o_orderkey AS VARCHAR) || '-c' AS id, CAST(o_orderkey AS VARCHAR) || '-1' AS level_id,
+       1 AS level, CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderpriority END AS name_en FROM orders
+""")
+def q_stations_crafts(spark, d):
+    """P25: craft rows (X2 key text, I12 first reward)."""
+    return _station_sources(spark, d, "tkl_hideout_crafts").drop("pos")
+
+
+def quest_docs(spark, d) -> DataFrame:
+    """Quest documents from orders: the trader is the priority (empty text
+    for finished orders), one task requirement per order pointing at the
+    customer, one or two objectives."""
+    from quartermaster.sources.documents import QUEST_SCHEMA
+    o = read_table(spark, d, "orders", spread=True)
+    sid = F.col("o_orderkey").cast("string")
+    obj = lambda k, typ: F.struct(F.concat(sid, F.lit(f"-o{k}")).alias("id"), F.lit(typ).alias("type"),
+                                  F.lit(None).cast("struct<id:string,name:string,shortName:string,"
+                                                   "description:string>").alias("questItem"),
+                                  F.lit(k).alias("count"))
+    doc = F.struct(
+        F.col("o_orderkey").cast("int").alias("pos"), sid.alias("id"),
+        F.concat(F.lit("quest "), sid).alias("name"),
+        F.struct(F.when(F.col("o_orderstatus") == "F", F.lit("")).otherwise(F.col("o_orderpriority"))
+                 .alias("name")).alias("trader"),
+        F.array(F.struct(F.struct(F.col("o_custkey").cast("string").alias("id"),
+                                  F.col("o_orderpriority").alias("name")).alias("task"))).alias("taskRequirements"),
+        F.when(F.col("o_orderstatus") == "O", F.array(obj(1, "shoot"), obj(2, "visit")))
+        .otherwise(F.array(obj(1, "shoot"))).alias("objectives"))
+    text = o.select(F.to_json(doc).alias("json"))
+    return text.select(F.from_json("json", QUEST_SCHEMA).alias("q")).select("q.*")
+
+
+@register("quests_loaded", """
+SELECT CAST(o_orderkey AS VARCHAR) AS id, 'quest ' || CAST(o_orderkey AS VARCHAR) AS name,
+       CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderpriority END AS npc_name,
+       CAST(o_custkey AS VARCHAR) AS first_task,
+       CASE WHEN o_orderstatus = 'O' THEN 2 ELSE 1 END AS n_objectives
+FROM orders
+""")
+def q_quests_loaded(spark, d):
+    """P26 (A4, X10, X11): quest rows with JSON lists, read back as JSON."""
+    from quartermaster.plans.quests import quest_rows
+    q = quest_rows(quest_docs(spark, d))
+    return q.select("id", "name", "npc_name",
+                    F.get_json_object("task_requirements", "$[0].task.id").alias("first_task"),
+                    F.json_array_length("objectives").alias("n_objectives"))
