@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quartermaster.operators.joins import DEFAULT_BROADCAST_ROWS, checked_broadcast
@@ -56,7 +56,8 @@ def override_when_present(c, key, mapping: dict) -> Column:
 
 
 def label(df: DataFrame, col: str, table: DataFrame, key: str, value: str,
-          out: str, default=_PASS, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+          out: str, default=_PASS, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+          observation: Observation | None = None) -> DataFrame:
     """Label ``col`` from a parameter table ``(key, value)``.
 
     The table is broadcast behind a size check. Duplicate keys in the table
@@ -65,6 +66,10 @@ def label(df: DataFrame, col: str, table: DataFrame, key: str, value: str,
     """
     t = table.groupBy(F.col(key).alias("__lk")).agg(F.max(value).alias("__lv"))
     j = df.join(checked_broadcast(t, max_broadcast_rows), df[col] == F.col("__lk"), "left")
+    if observation is not None:
+        # unmatched labels counted in the same pass (no extra job)
+        j = j.observe(observation, F.count(F.lit(1)).alias("rows"),
+                      F.count_if(F.col("__lk").isNull() & F.col(col).isNotNull()).alias("unmatched"))
     if default is _PASS:
         v = F.coalesce("__lv", F.col(col))
     elif default is None:

@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quartermaster.functions import vocab as V
@@ -112,13 +112,27 @@ def catalogue_rules(f: Fields = Fields(), only=None) -> dict[str, Column]:
 
 # ------------------------------------------------------------------ routing
 
-def route(df: DataFrame, rules: dict[str, Column], out: str = "route") -> DataFrame:
+def route(df: DataFrame, rules: dict[str, Column], out: str = "route",
+          observation: Observation | None = None, fields: Fields = Fields()) -> DataFrame:
     """One row per (input row, matching rule), tagged with the rule name,
     in a single pass (a ``Generate`` node; no shuffle). Rows matching no rule
-    disappear."""
+    disappear.
+
+    With an ``Observation`` the same pass also counts the input rows, the
+    rows that matched nothing and the rows whose category or parent is NULL
+    (T2: dropped where the catalogue's own code would have failed) - read
+    them from ``observation.get`` after the first action."""
     tags = F.filter(F.array(*[F.when(p, F.lit(n)) for n, p in rules.items()]),
                     lambda x: x.isNotNull())
-    return df.withColumn(out, F.explode(tags))
+    tagged = df.withColumn("__tags", tags)
+    if observation is not None:
+        tagged = tagged.observe(
+            observation,
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.size("__tags") == 0).alias("unrouted"),
+            F.count_if(F.col(fields.category).isNull() | F.col(fields.parent).isNull())
+            .alias("null_category"))
+    return tagged.withColumn(out, F.explode("__tags")).drop("__tags")
 
 
 def route_split(df: DataFrame, rules: dict[str, Column], persist: bool = True) -> dict[str, DataFrame]:

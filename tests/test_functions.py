@@ -102,3 +102,22 @@ def test_snapshot_roundtrip_and_retention(spark, tmp_path):
     all_ = spark.read.parquet(f"{root}/nation")
     kept = retain(all_, 4, dt.date(2024, 1, 15)).select(F.col("snapshot_date").cast("string")).distinct()
     assert rows(kept) == [("2024-01-11",), ("2024-01-12",), ("2024-01-15",)]
+
+
+def test_observed_routing_and_labels(spark):
+    from pyspark.sql import Observation
+    from quartermaster.functions.labels import label
+    from quartermaster.operators.routing import Fields, category_is, route
+    df = spark.createDataFrame(
+        [("a", ("Knife", ("Melee",))), ("b", None), ("c", ("Other", None))],
+        "name string, category struct<name:string, parent:struct<name:string>>")
+    obs = Observation("routing")
+    out = route(df, {"Knife": category_is(Fields(), "Knife")}, observation=obs)
+    assert rows(out, "name", "route") == [("a", "Knife")]
+    assert obs.get == {"rows": 3, "unrouted": 2, "null_category": 2}
+    lk = spark.createDataFrame([("Knife", "칼")], "k string, v string")
+    obs2 = Observation("labels")
+    lab = label(df.select("name", F.col("category.name").alias("c")), "c", lk, "k", "v", "kr",
+                observation=obs2)
+    assert rows(lab, "name", "kr") == [("a", "칼"), ("b", None), ("c", "Other")]
+    assert obs2.get == {"rows": 3, "unmatched": 1}
