@@ -49,3 +49,23 @@ def test_index_numbering_has_no_single_partition_data_exchange(spark):
     # the only single-partition exchange allowed is over the per-partition counts
     assert p.count("SinglePartition") <= 1
     assert "rangepartitioning" in p.lower() or "Scan ExistingRDD" in p or "LogicalRDD" in p
+
+
+#: checks whose plan may hold a single-partition exchange, and over what
+SINGLE_PARTITION_OK = {
+    "search_index": "prefix sums over one row per range partition (W2)",
+    "user_grade": "interval bounds over the checked-small threshold table",
+    "user_grade_sweep": "carry over one row per value bucket",
+}
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_single_partition_only_over_bounded_tables(spark, name):
+    p = plan(E.queries()[name](spark, SF))
+    if name not in SINGLE_PARTITION_OK:
+        assert "SinglePartition" not in p, name
+
+
+def test_merge_dedups_map_side(spark):
+    p = plan(E.queries()["merge_last_wins"](spark, SF))
+    assert "partial_max_by" in p
