@@ -110,6 +110,12 @@ def _threshold_sweep(facts: DataFrame, value_col: str, thr: DataFrame,
                .join(F.broadcast(carry), "__b", "left")
                .select(F.col("__t").alias("__v"),
                        F.greatest("__best", "__carry")["p"].alias("__p")))
+    # one mapping row per distinct fact value: its size is the (materialised,
+    # cheap to count) distinct set - broadcast it when that is small so the
+    # facts are not shuffled; otherwise an equi-join whose build side is
+    # unique per key (a hot value on the fact side is split by AQE)
+    if fits_broadcast(vals):
+        mapping = F.broadcast(mapping)
     j = facts.join(mapping, facts[value_col] == mapping["__v"], "left")
     return j.select(*facts.columns, *[F.col("__p")[c].alias(prefix + c) for c in payload])
 

@@ -82,6 +82,19 @@ def assert_unique_keys(df: DataFrame, key: str | Sequence[str],
     return checked.select(*keys, *[F.col("__row")[c].alias(c) for c in others])
 
 
+def _reject_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """A NULL key fails the job (a primary key cannot be NULL).
+
+    The check is a projection of the key columns, not a filter: Spark may
+    evaluate the predicates of one filter in any order (an earlier
+    ``isnotnull`` can end up last), while filters are only ever pushed
+    *below* projections - so the check sees exactly the rows that reach the
+    merge, with no extra pass."""
+    msg = F.lit(f"NULL key {keys} in merge source")
+    return df.select(*[F.when(F.col(c).isNull(), F.raise_error(msg)).otherwise(F.col(c)).alias(c)
+                       if c in keys else F.col(c) for c in df.columns])
+
+
 def merge(target: DataFrame, source: DataFrame, key: str | Sequence[str],
           insert_cols: Sequence[str] | None = None,
           update_cols: Sequence[str] | None = None,
@@ -112,7 +125,8 @@ def merge(target: DataFrame, source: DataFrame, key: str | Sequence[str],
     if duplicates == "last":
         if order_cols is None:
             raise ValueError("duplicates='last' needs order_cols")
-        src = last_per_key(source, keys, order_cols, cols=keys + list(insert_cols))
+        src = last_per_key(_reject_null_keys(source, keys), keys, order_cols,
+                           cols=keys + list(insert_cols))
     elif duplicates == "error":
         src = assert_unique_keys(source.select(*keys, *insert_cols), keys)
     else:

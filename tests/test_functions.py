@@ -121,3 +121,15 @@ def test_observed_routing_and_labels(spark):
                 observation=obs2)
     assert rows(lab, "name", "kr") == [("a", "칼"), ("b", None), ("c", "Other")]
     assert obs2.get == {"rows": 3, "unmatched": 1}
+
+
+def test_read_lookup_and_parallelism(spark, tmp_path):
+    from quartermaster.sources.tables import ensure_parallelism, read_lookup
+    p = tmp_path / "lk.csv"
+    p.write_text("k,v\nThorax,흉부\nStomach,복부\n", encoding="utf-8")
+    lk = read_lookup(spark, str(p), "k string, v string")
+    assert rows(lk) == [("Stomach", "복부"), ("Thorax", "흉부")]
+    one = spark.range(100).coalesce(1)
+    assert ensure_parallelism(one, 4).rdd.getNumPartitions() == 4
+    many = spark.range(100).repartition(6)
+    assert ensure_parallelism(many, 4).rdd.getNumPartitions() == 6

@@ -75,3 +75,11 @@ def test_duplicate_keys_and_last_per_key(spark):
     df = spark.createDataFrame([(1, "x", 0), (1, "y", 1), (2, "z", 0)], "k int, v string, pos int")
     assert rows(duplicate_keys(df, "k")) == [(1, 2)]
     assert rows(last_per_key(df, "k", "pos", cols=["k", "v"])) == [(1, "y"), (2, "z")]
+
+
+def test_merge_last_wins_rejects_null_key(spark):
+    t = spark.createDataFrame([], TGT)
+    s = spark.createDataFrame([(None, 1, 1, 0)], "id string, a int, b int, pos int")
+    with pytest.raises(Exception) as e:
+        merge(t, s, "id", insert_cols=["a", "b"], order_cols="pos").collect()
+    assert "NULL key" in str(e.value)
