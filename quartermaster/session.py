@@ -35,14 +35,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the checkpoint folder of this session.
 
     On a cluster the folder is a shared one named by ``spark.checkpoint.dir``
     and we only read it. Only when nothing is configured (unit tests on one
-    machine) do we pick a fresh local folder.
+    machine) do we pick a fresh local folder. A Spark Connect session has no
+    driver-side context: its server's own setting applies (``None``).
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext
+        return None
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -82,7 +82,15 @@ def main():
     import __spark_entry__ as e
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]
-    spark = local_session(8)
+    if os.environ.get("QM_PLAIN_SESSION") == "1":
+        # the driver's kind of session: defaults only
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[*]")
+                 .config("spark.sql.shuffle.partitions", "8").getOrCreate())
+    else:
+        spark = local_session(8)
+    if os.environ.get("QM_TZ"):
+        spark.conf.set("spark.sql.session.timeZone", os.environ["QM_TZ"])
     con = duck(sf_dir)
     qs, sqls = e.queries(), e.oracle_sql()
     bad = 0
