@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 
 from quartermaster.functions.labels import lookup as dict_lookup
 from quartermaster.functions.scalars import drop_last_chars
-from quartermaster.operators.joins import DEFAULT_BROADCAST_ROWS, fits_broadcast
+from quartermaster.operators.joins import DEFAULT_BROADCAST_ROWS
 
 
 def lookup_first(df: DataFrame, key: str | Column, candidates: DataFrame, cand_key: str,
                  cand_value: str, strips: Sequence[int], out: str,
                  order: str | None = None, override: Column | None = None,
                  own: str | Column | None = None,
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                 candidates_bound: int | None = None) -> DataFrame:
     """Attach ``out`` = ``override``, else the value of the first strip
     length (in the given priority order) whose suffix-stripped candidate key
     equals ``key``, else ``own``.
@@ -24,8 +25,9 @@ def lookup_first(df: DataFrame, key: str | Column, candidates: DataFrame, cand_k
     Within one strip length, duplicate stripped keys are last-wins by
     ``order`` (dictionary comprehension semantics). The candidate side is
     reduced to one row per stripped key - ``min_by(value, (priority, -pos))``
-    - and joined once; it is broadcast when its size is checked, else
-    shuffled on the key.
+    - and joined once; it is broadcast up front only when the caller gives a
+    row bound (``candidates_bound``), else AQE decides from its measured
+    size.
     """
     pos = F.col(order) if order else F.lit(0)
     stripped = None
@@ -36,8 +38,12 @@ def lookup_first(df: DataFrame, key: str | Column, candidates: DataFrame, cand_k
         stripped = part if stripped is None else stripped.unionByName(part)
     best = (stripped.groupBy("__k")
             .agg(F.min_by("__v", F.struct(F.col("__prio"), -F.col("__pos"))).alias("__img")))
-    if fits_broadcast(best, max_broadcast_rows):
+    if isinstance(candidates_bound, int) and candidates_bound <= max_broadcast_rows:
+        # the caller vouches for the candidate count (a parameter table)
         best = F.broadcast(best)
+    # otherwise the candidates come from data: one row per stripped key after
+    # the aggregate, and AQE broadcasts it at run time when its measured size
+    # is small (no extra counting job over the documents)
     k = F.col(key) if isinstance(key, str) else key
     j = df.join(best, k == F.col("__k"), "left")
     own_c = F.col(own) if isinstance(own, str) else (own if own is not None else F.lit(None))

@@ -132,7 +132,11 @@ def route(df: DataFrame, rules: dict[str, Column], out: str = "route",
             F.count_if(F.size("__tags") == 0).alias("unrouted"),
             F.count_if(F.col(fields.category).isNull() | F.col(fields.parent).isNull())
             .alias("null_category"))
-    return tagged.withColumn(out, F.explode("__tags")).drop("__tags")
+    # outer explode + a filter on the generated column: an inner explode makes
+    # Spark infer ``size(tags) > 0`` and push it down to the scan, where it
+    # would evaluate every rule (and any decoding under them) a second time
+    return (tagged.withColumn(out, F.explode_outer("__tags")).drop("__tags")
+            .filter(F.col(out).isNotNull()))
 
 
 def route_split(df: DataFrame, rules: dict[str, Column], persist: bool = True) -> dict[str, DataFrame]:

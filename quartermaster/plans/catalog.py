@@ -1573,3 +1573,125 @@ def q_quests_loaded(spark, d):
     return q.select("id", "name", "npc_name",
                     F.get_json_object("task_requirements", "$[0].task.id").alias("first_task"),
                     F.json_array_length("objectives").alias("n_objectives"))
+
+
+def part_armory(spark, d) -> DataFrame:
+    """Weapon documents from ``part``: parts of size up to 10 are image-only
+    entries (empty bag, name containing 'Default', short name = brand plus a
+    suffix of 8, 7 or 6 characters); the others are weapons whose short name
+    is the brand, with fire modes built from the part name."""
+    from quartermaster.sources.documents import ITEM_SCHEMA
+    p = read_table(spark, d, "part", spread=True)
+    img = F.col("p_size") <= 10
+    word = F.initcap(F.split("p_name", " ").getItem(0))
+    modes = F.when(F.col("p_size") > 40, F.array(F.lit("Single fire"), F.concat(word, F.lit(" Burst Fire")),
+                                                  F.lit("Semi-auto")))\
+        .otherwise(F.array(F.lit("Single fire"), F.concat(word, F.lit(" Burst Fire"))))
+    props = F.when(img, F.lit("{}")).otherwise(F.to_json(F.struct(
+        F.col("p_type").alias("caliber"), modes.alias("fireModes"),
+        (F.col("p_size") * 10).alias("fireRate"))))
+    doc = F.struct(
+        F.col("p_partkey").cast("int").alias("pos"),
+        F.concat(F.lit("w"), F.col("p_partkey").cast("string")).alias("id"),
+        F.when(img, F.concat_ws(" ", "p_name", F.lit("Default"))).otherwise(F.col("p_name")).alias("name"),
+        F.lit(3.0).alias("weight"),
+        F.when(img, F.concat(F.col("p_brand"), _suffix())).otherwise(F.col("p_brand")).alias("shortName"),
+        F.concat(F.lit("/img/w"), F.col("p_partkey").cast("string")).alias("image512pxLink"),
+        F.struct(F.when(F.col("p_type") == "SMALL", F.lit("Revolver")).otherwise(F.lit("Assault rifle"))
+                 .alias("name"), F.struct(F.lit("Weapon").alias("name")).alias("parent")).alias("category"),
+        props.alias("properties"))
+    return p.select(F.to_json(doc).alias("j")).select(F.from_json("j", ITEM_SCHEMA).alias("d")).select("d.*")
+
+
+def _armory_strip_sql(n):
+    return f"""s{n} AS (SELECT k, img FROM (
+  SELECT left(sn, greatest(length(sn) - {n}, 0)) AS k, img,
+         ROW_NUMBER() OVER (PARTITION BY left(sn, greatest(length(sn) - {n}, 0)) ORDER BY pos DESC) AS rn
+  FROM cand) WHERE rn = 1)"""
+
+
+@register("catalogue_weapon", f"""
+WITH cand AS (
+  SELECT p_partkey AS pos, '/img/w' || CAST(p_partkey AS VARCHAR) AS img,
+         p_brand || CASE WHEN p_partkey % 3 = 0 THEN ' Default' WHEN p_partkey % 3 = 1 THEN ' Urbana' ELSE ' Zenit' END AS sn
+  FROM part WHERE p_size <= 10),
+{_armory_strip_sql(8)}, {_armory_strip_sql(7)}, {_armory_strip_sql(6)},
+w AS (SELECT * FROM part WHERE p_size > 10)
+SELECT 'w' || CAST(w.p_partkey AS VARCHAR) AS id, w.p_brand AS short_name,
+       COALESCE(s8.img, s7.img, s6.img, '/img/w' || CAST(w.p_partkey AS VARCHAR)) AS image,
+       CASE WHEN w.p_type = 'SMALL' THEN 'Handgun' ELSE 'Assault rifle' END AS category,
+       CASE WHEN w.p_size > 40 THEN '단발|점사|반자동' ELSE '단발|점사' END AS modes_kr,
+       w.p_size * 10 AS fire_rate, w.p_type AS carliber
+FROM w LEFT JOIN s8 ON w.p_brand = s8.k LEFT JOIN s7 ON w.p_brand = s7.k LEFT JOIN s6 ON w.p_brand = s6.k
+""")
+def q_catalogue_weapon(spark, d):
+    """P1 on a part armory: C5a/C5b routing, D9 image by suffix strip 8 > 7 >
+    6 (last-wins within a length), X6 recategorisation, I5 fire modes."""
+    from quartermaster.plans import items as I
+    maps = spark.createDataFrame([], "pos int, name string, locks array<struct<key:struct<name:string>>>")
+    w = I.item_sources(part_armory(spark, d), maps, AS_OF, only=["tkl_weapon"])["tkl_weapon"]
+    return w.select("id", "short_name", "image", "category",
+                    F.array_join("modes_kr", "|").alias("modes_kr"), "fire_rate", "carliber")
+
+
+def event_pharmacy(spark, d) -> DataFrame:
+    """Medical documents from ``events``: errors are the reclassified
+    product, views an injector that gets a painkiller appended, clicks a
+    painkiller with a duration override and cures, purchases and sign-ups
+    carry one signed skill / duration effect."""
+    from quartermaster.sources.documents import ITEM_SCHEMA
+    e = read_table(spark, d, "events", spread=True)
+    et = F.col("event_type")
+    name = (F.when(et == "error", F.lit("Morphine injector"))
+            .when(et == "view", F.lit("Adrenaline injector"))
+            .when(et == "click", F.lit("Analgin painkillers"))
+            .otherwise(F.concat(F.lit("med "), F.col("event_id").cast("string"))))
+    v = F.col("value") - 100
+    eff = F.struct(F.lit(0).alias("delay"), v.alias("value"),
+                   F.when(et == "view", F.lit("Body temperature")).when(et == "purchase", F.lit("Skill"))
+                   .otherwise(F.lit("painkillerDuration")).alias("type"),
+                   F.when(et == "purchase", F.lit("Health")).alias("skillName"),
+                   F.floor(v).cast("int").alias("duration"), F.lit(1.0).alias("chance"))
+    props = (F.when(et == "click", F.to_json(F.struct(
+                F.array(F.lit("Pain"), F.lit("Odd")).alias("cures"), F.lit(2).alias("uses"),
+                F.floor("value").cast("int").alias("painkillerDuration"))))
+             .when(et == "error", F.to_json(F.struct(F.array(F.lit("Pain")).alias("cures"),
+                                                     F.lit(1).alias("uses"), F.lit(300).alias("painkillerDuration"))))
+             .otherwise(F.to_json(F.struct(F.array(eff).alias("stimEffects")))))
+    doc = F.struct(F.col("event_id").cast("int").alias("pos"),
+                   F.concat(F.lit("m"), F.col("event_id").cast("string")).alias("id"),
+                   name.alias("name"), F.lit(0.1).alias("weight"), et.alias("shortName"),
+                   F.lit("/img/m").alias("image512pxLink"),
+                   F.struct(F.lit("Drug").alias("name"), F.struct(F.lit("Meds").alias("name")).alias("parent"))
+                   .alias("category"), props.alias("properties"))
+    return e.select(F.to_json(doc).alias("j")).select(F.from_json("j", ITEM_SCHEMA).alias("d")).select("d.*")
+
+
+@register("catalogue_medical", """
+SELECT 'm' || CAST(event_id AS VARCHAR) AS id,
+       CASE WHEN event_type = 'error' THEN 'Stimulant' ELSE 'Drug' END AS category,
+       CASE WHEN event_type = 'click' THEN '고통 제거' END AS cures_kr,
+       CASE WHEN event_type = 'click' THEN 95 END AS painkiller_duration,
+       CASE event_type
+         WHEN 'error' THEN 1
+         WHEN 'click' THEN NULL
+         WHEN 'view' THEN 1 + CASE WHEN value - 100 < 0 THEN 1 ELSE 0 END
+         WHEN 'purchase' THEN CASE WHEN value - 100 > 0 THEN 1 ELSE 0 END
+         ELSE CASE WHEN floor(value - 100) > 0 THEN 1 ELSE 0 END END AS n_buff,
+       CASE event_type
+         WHEN 'error' THEN 2
+         WHEN 'click' THEN NULL
+         WHEN 'view' THEN CASE WHEN value - 100 > 0 THEN 1 ELSE 0 END
+         WHEN 'purchase' THEN CASE WHEN value - 100 < 0 THEN 1 ELSE 0 END
+         ELSE CASE WHEN floor(value - 100) < 0 THEN 1 ELSE 0 END END AS n_debuff
+FROM events
+""")
+def q_catalogue_medical(spark, d):
+    """P12 on an event pharmacy: I8 reclassification, I7 injector
+    painkiller, I6 labels, I9 / I10 split, I1 cures, L11 override."""
+    from quartermaster.plans import items as I
+    maps = spark.createDataFrame([], "pos int, name string, locks array<struct<key:struct<name:string>>>")
+    m = I.item_sources(event_pharmacy(spark, d), maps, AS_OF, only=["tkl_medical"])["tkl_medical"]
+    return m.select("id", "category", F.array_join("cures_kr", "|").alias("cures_kr"),
+                    "painkiller_duration",
+                    F.json_array_length("buff").alias("n_buff"), F.json_array_length("debuff").alias("n_debuff"))

@@ -33,10 +33,14 @@ from quartermaster.operators.routing import catalogue_rules, route_split
 from quartermaster.sources.documents import MEDICAL_SCHEMA, PROPERTY_SCHEMAS, decode_variant
 
 
-def _p(member: str) -> Column:
-    """The decoded ``properties`` bag with one member schema."""
+def _decoded(df: DataFrame, member: str) -> tuple[DataFrame, Column]:
+    """``df`` with the ``properties`` bag decoded once into a column, and
+    that column. Decoding in its own projection matters: a ``from_json``
+    written into several ``when`` branches would be parsed once per branch
+    (common-subexpression elimination skips conditional branches), while
+    Spark does not collapse a projection that would duplicate it."""
     schema = MEDICAL_SCHEMA if member == "Medical" else PROPERTY_SCHEMAS[member]
-    return decode_variant("properties", schema)
+    return df.withColumn("__p", decode_variant("properties", schema)), F.col("__p")
 
 
 def _base(name_col: str = "name") -> list[Column]:
@@ -65,7 +69,7 @@ def weapon_rows(guns: DataFrame, gun_images: DataFrame) -> DataFrame:
         out="image", order="pos", override=lookup("name", V.WEAPON_IMAGE_OVERRIDE),
         own="image512pxLink")
     short = F.coalesce(lookup("name", V.WEAPON_SHORT_NAME), F.col("shortName"))
-    p = _p("Weapon")
+    with_img, p = _decoded(with_img, "Weapon")
     cat = first_match([
         (short.isin(*V.WEAPON_SPECIAL), "Special weapons"),
         (short.isin(*V.WEAPON_GRENADE), "Grenade launcher"),
@@ -87,14 +91,14 @@ def weapon_rows(guns: DataFrame, gun_images: DataFrame) -> DataFrame:
 # ------------------------------------------------------- P2-P4, P7, P8, P16
 
 def knife_rows(df: DataFrame) -> DataFrame:
-    p = _p("Melee")
+    df, p = _decoded(df, "Melee")
     return df.select(*_base(), _image(), F.col("category.name").alias("category"),
                      p["slashDamage"].alias("slash_damage"), p["stabDamage"].alias("stab_damage"),
                      p["hitRadius"].alias("hit_radius"))
 
 
 def throwable_rows(df: DataFrame) -> DataFrame:
-    p = _p("Grenade")
+    df, p = _decoded(df, "Grenade")
     return df.select(*_base(), _image(), F.col("category.name").alias("category"),
                      p["fuse"].alias("fuse"),
                      p["minExplosionDistance"].alias("min_explosion_distance"),
@@ -107,13 +111,13 @@ def headset_rows(df: DataFrame) -> DataFrame:
 
 
 def backpack_rows(df: DataFrame) -> DataFrame:
-    p = _p("Backpack")
+    df, p = _decoded(df, "Backpack")
     return df.select(*_base(), "weight", _image(), json_text(p["grids"]).alias("grids"),
                      p["capacity"].alias("capacity"))
 
 
 def container_rows(df: DataFrame) -> DataFrame:
-    p = _p("Container")
+    df, p = _decoded(df, "Container")
     return df.select(*_base("name_en"), _image(), json_text(p["grids"]).alias("grids"),
                      p["capacity"].alias("capacity"))
 
@@ -127,7 +131,7 @@ def arm_band_rows(df: DataFrame) -> DataFrame:
 def headwear_rows(df: DataFrame) -> DataFrame:
     """P5: filled only for a non-empty bag (C3); zones renamed (I4) then
     labelled with a default (I2); ricochet override (L13) then buckets (X8)."""
-    p = _p("Helmet")
+    df, p = _decoded(df, "Helmet")
     filled = bag_nonempty("properties")
     zones = normalise_element(p["headZones"], *V.HEAD_ZONE_RENAME)
     ric = F.coalesce(lookup("name", V.RICOCHET_OVERRIDE), p["ricochetY"])
@@ -145,7 +149,7 @@ def headwear_rows(df: DataFrame) -> DataFrame:
 def face_cover_rows(df: DataFrame) -> DataFrame:
     """Like P5 without the ricochet override; everything NULL for a
     NULL bag (and, unlike the catalogue, no failure for ``{}``)."""
-    p = _p("Helmet")
+    df, p = _decoded(df, "Helmet")
     zones = normalise_element(p["headZones"], *V.HEAD_ZONE_RENAME)
     ric = p["ricochetY"]
     return df.select(*_base(), p["class"].alias("class_value"), zones.alias("areas_en"),
@@ -158,7 +162,7 @@ def face_cover_rows(df: DataFrame) -> DataFrame:
 # ------------------------------------------------------------- P6, P10, P17
 
 def armor_vest_rows(df: DataFrame) -> DataFrame:
-    p = _p("Armor")
+    df, p = _decoded(df, "Armor")
     return df.select(*_base(), "weight", _image(), p["class"].alias("class_value"),
                      p["zones"].alias("areas_en"),
                      relabel_array(p["zones"], V.ARMOR_ZONES_KR, "drop").alias("areas_kr"))
@@ -166,7 +170,7 @@ def armor_vest_rows(df: DataFrame) -> DataFrame:
 
 def rig_rows(df: DataFrame) -> DataFrame:
     """P10: class, zones and labels only when the class is present."""
-    p = _p("ChestRig")
+    df, p = _decoded(df, "ChestRig")
     has = p["class"].isNotNull()
     return df.select(*_base(), "weight", _image(),
                      F.when(has, p["class"]).alias("class_value"),
@@ -176,7 +180,7 @@ def rig_rows(df: DataFrame) -> DataFrame:
 
 
 def glasses_rows(df: DataFrame) -> DataFrame:
-    p = _p("Glasses")
+    df, p = _decoded(df, "Glasses")
     has = p["class"].isNotNull()
     return df.select(*_base(), F.when(has, p["class"]).alias("class_value"),
                      F.when(has, p["durability"]).alias("durability"),
@@ -203,7 +207,7 @@ def key_rows(keys: DataFrame, maps: DataFrame) -> DataFrame:
     j = keys.join(km, keys["name"] == km["__key"], "left")
     codes = override_chain("name", V.KEY_MAP_OVERRIDE, V.KEY_MAP_CONTAINS, F.col("__codes"),
                            V.MAP_CODES_DEFAULT)
-    p = _p("Key")
+    j, p = _decoded(j, "Key")
     return j.select(*_base(), _image(), p["uses"].alias("uses"),
                     relabel_array(codes, V.MAP_CODE_EN, "passthrough").alias("use_map_en"),
                     relabel_array(codes, V.MAP_CODE_KR, "passthrough").alias("use_map_kr"),
@@ -215,9 +219,10 @@ def key_rows(keys: DataFrame, maps: DataFrame) -> DataFrame:
 def provisions_rows(df: DataFrame) -> DataFrame:
     """Effects labelled (I6, provisions vocabulary), then the drink
     painkiller appended with its own label (I7), then JSON (X11)."""
-    p = _p("FoodDrink")
-    eff = annotate(normalise_effects(p["stimEffects"]), V.FOOD_SKILL_KR, V.FOOD_TYPE_KR)
-    eff = append_by_name(eff, "name", drink_painkillers())
+    df, p = _decoded(df, "FoodDrink")
+    df = df.withColumn("__e0", annotate(normalise_effects(p["stimEffects"]),
+                                        V.FOOD_SKILL_KR, V.FOOD_TYPE_KR))
+    eff = append_by_name("__e0", "name", drink_painkillers())
     return df.select(*_base("name_en"), F.col("category.name").alias("category"),
                      p["energy"].alias("energy"), p["hydration"].alias("hydration"),
                      json_text(eff).alias("stim_effects"), _image())
@@ -229,22 +234,26 @@ def medical_rows(df: DataFrame) -> DataFrame:
     JSON. An empty effect list gives ``[]``, an absent one NULL. Cures are
     labelled (I1); the painkiller duration is overridden by name when
     present (L11)."""
-    p = _p("Medical")
+    df, p = _decoded(df, "Medical")
     morph = F.col("name") == V.RECLASSIFIED_NAME
 
     def dropped(field: str) -> Column:
         return F.when(~morph, p[field]) if field in V.RECLASSIFIED_DROPPED else p[field]
 
-    eff = F.when(morph, reclassified_effects()).otherwise(normalise_effects(p["stimEffects"]))
-    eff = append_by_name(eff, "name", injector_painkillers())
-    eff = annotate(eff, V.MED_SKILL_KR, V.MED_TYPE_KR)
+    # one projection per step: each step's array is computed once per row
+    # and referenced by the next (nesting them would repeat the work in
+    # every branch that mentions the array)
+    df = df.withColumn("__e0", F.when(morph, reclassified_effects())
+                       .otherwise(normalise_effects(p["stimEffects"])))
+    df = df.withColumn("__e1", append_by_name("__e0", "name", injector_painkillers()))
+    df = df.withColumn("__eff", annotate("__e1", V.MED_SKILL_KR, V.MED_TYPE_KR))
     cures = dropped("cures")
     return df.select(
         *_base("name_en"), cures.alias("cures_en"),
         relabel_array(cures, V.CURES_KR, "drop").alias("cures_kr"),
         F.when(morph, F.lit(V.RECLASSIFIED_CATEGORY)).otherwise(F.col("category.name")).alias("category"),
-        json_text(split_effects(eff, "buff")).alias("buff"),
-        json_text(split_effects(eff, "debuff")).alias("debuff"),
+        json_text(split_effects("__eff", "buff")).alias("buff"),
+        json_text(split_effects("__eff", "debuff")).alias("debuff"),
         dropped("useTime").alias("use_time"), dropped("uses").alias("uses"),
         dropped("energyImpact").alias("energy_impact"),
         dropped("hydrationImpact").alias("hydration_impact"),
@@ -256,7 +265,7 @@ def medical_rows(df: DataFrame) -> DataFrame:
 # --------------------------------------------------------- P13, P14 misc
 
 def ammo_rows(df: DataFrame) -> DataFrame:
-    p = _p("Ammo")
+    df, p = _decoded(df, "Ammo")
     return df.select(*_base(), p["damage"].alias("damage"),
                      p["penetrationPower"].alias("penetration_power"),
                      p["armorDamage"].alias("armor_damage"),
@@ -350,14 +359,14 @@ def item_sources(items: DataFrame, maps: DataFrame, as_of,
                  only: list[str] | None = None) -> dict[str, DataFrame]:
     """Route the catalogue once and build the source rows of every target
     (or of the ``only`` targets), each stamped with the run's load time
-    (B15). The routed rows are persisted when more than one target reads
-    them, so the documents are parsed and classified once."""
+    (B15). The routed rows are persisted when more than one route is read,
+    so the documents are parsed and classified once."""
     tables = [t for t in TARGETS if only is None or t in only]
     needed = {TARGETS[t].route for t in tables}
     if "tkl_weapon" in tables:
         needed.add("Gun image")
     rules = catalogue_rules(only=needed)
-    routed = route_split(items, rules, persist=len(tables) > 1)
+    routed = route_split(items, rules, persist=len(rules) > 1)
     out = {}
     for table in tables:
         t = TARGETS[table]
