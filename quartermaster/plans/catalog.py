@@ -1361,7 +1361,7 @@ SELECT id, name, short_name, image, 'Knife' AS category, p_size AS slash_damage,
 """)
 def q_catalogue_knife(spark, d):
     """P2 on the part catalogue (A1, A6, C5i, C1)."""
-    return _part_item_sources(spark, d, "tkl_knife")["tkl_knife"].drop("pos", "update_time")
+    return _part_item_sources(spark, d, "knife")["knife"].drop("pos", "update_time")
 
 
 @register("catalogue_ammo", f"""
@@ -1373,7 +1373,7 @@ SELECT id, name, short_name, p_size AS damage, p_size + 10 AS penetration_power,
 """)
 def q_catalogue_ammo(spark, d):
     """P13 on the part catalogue."""
-    return _part_item_sources(spark, d, "tkl_ammo")["tkl_ammo"].drop("pos", "update_time")
+    return _part_item_sources(spark, d, "ammo")["ammo"].drop("pos", "update_time")
 
 
 def _zones_kr_sql(expr, mapping, default):
@@ -1399,7 +1399,7 @@ FROM h"""
 @register("catalogue_headwear", _headwear_sql())
 def q_catalogue_headwear(spark, d):
     """P5 on the part catalogue: I4 + I2 zones, X8 buckets in two languages."""
-    h = _part_item_sources(spark, d, "tkl_headwear")["tkl_headwear"]
+    h = _part_item_sources(spark, d, "headwear")["headwear"]
     return h.select("id", "class_value", F.array_join("areas_en", "|").alias("areas_en"),
                     F.array_join("areas_kr", "|").alias("areas_kr"), "ricochet_chance",
                     "ricochet_str_en", "ricochet_str_kr")
@@ -1419,7 +1419,7 @@ FROM pd WHERE p_type = 'PROMO'"""
 @register("catalogue_armor", _armor_sql())
 def q_catalogue_armor(spark, d):
     """P6 on the part catalogue: I1 drops unknown zones."""
-    a = _part_item_sources(spark, d, "tkl_armor_vest")["tkl_armor_vest"]
+    a = _part_item_sources(spark, d, "armor_vest")["armor_vest"]
     return a.select("id", "class_value", F.array_join("areas_kr", "|").alias("areas_kr"))
 
 
@@ -1431,7 +1431,7 @@ FROM pd WHERE p_type = 'LARGE' AND NOT contains(name, 'Locked')
 """)
 def q_catalogue_loot(spark, d):
     """P14 on the part catalogue: C5g routing, X7 recategorisation."""
-    return _part_item_sources(spark, d, "tkl_loot")["tkl_loot"].drop("pos", "update_time")
+    return _part_item_sources(spark, d, "loot")["loot"].drop("pos", "update_time")
 
 
 @register("catalogue_headset", f"""
@@ -1440,7 +1440,7 @@ SELECT id, name, short_name, image FROM pd WHERE p_type = 'SMALL'
 """)
 def q_catalogue_headset(spark, d):
     """P4 on the part catalogue (no bag test)."""
-    return _part_item_sources(spark, d, "tkl_headset")["tkl_headset"].drop("pos", "update_time")
+    return _part_item_sources(spark, d, "headset")["headset"].drop("pos", "update_time")
 
 
 @register("catalogue_ammo_upsert", f"""
@@ -1463,8 +1463,8 @@ def q_catalogue_ammo_upsert(spark, d):
     tgt = p.select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("id"),
                    F.lit("old").alias("name"), F.concat(F.lit("OLD-"), F.col("p_brand")).alias("short_name"),
                    F.lit("Curated").alias("category"), F.lit(-1).alias("damage"))
-    src = _part_item_sources(spark, d, "tkl_ammo")["tkl_ammo"]
-    t = TARGETS["tkl_ammo"]
+    src = _part_item_sources(spark, d, "ammo")["ammo"]
+    t = TARGETS["ammo"]
     ins = [c for c in t.insert_cols if c in ("name", "short_name", "damage")]
     upd = [c for c in t.update_cols if c in ins]
     return merge_(tgt, src, ins, upd)
@@ -1488,7 +1488,7 @@ SELECT CAST(o_orderkey AS VARCHAR) AS id, 'station ' || CAST(o_orderkey AS VARCH
 """)
 def q_stations_master(spark, d):
     """Station rows with their level ids."""
-    m = _station_sources(spark, d, "tkl_hideout_master")
+    m = _station_sources(spark, d, "hideout_master")
     return m.select("id", "name_en", F.array_join("level_ids", "|").alias("level_ids"))
 
 
@@ -1523,7 +1523,7 @@ FROM orders
 """)
 def q_stations_trader(spark, d):
     """Trader requirements with a NULL trader."""
-    return _station_sources(spark, d, "tkl_hideout_trader_require").drop("pos")
+    return _station_sources(spark, d, "hideout_trader_require").drop("pos")
 
 
 @register("stations_crafts", """
@@ -1532,7 +1532,7 @@ SELECT CAST(o_orderkey AS VARCHAR) || '-c' AS id, CAST(o_orderkey AS VARCHAR) ||
 """)
 def q_stations_crafts(spark, d):
     """P25: craft rows (X2 key text, I12 first reward)."""
-    return _station_sources(spark, d, "tkl_hideout_crafts").drop("pos")
+    return _station_sources(spark, d, "hideout_crafts").drop("pos")
 
 
 def quest_docs(spark, d) -> DataFrame:
@@ -1629,7 +1629,7 @@ def q_catalogue_weapon(spark, d):
     6 (last-wins within a length), X6 recategorisation, I5 fire modes."""
     from quartermaster.plans import items as I
     maps = spark.createDataFrame([], "pos int, name string, locks array<struct<key:struct<name:string>>>")
-    w = I.item_sources(part_armory(spark, d), maps, AS_OF, only=["tkl_weapon"])["tkl_weapon"]
+    w = I.item_sources(part_armory(spark, d), maps, AS_OF, only=["weapon"])["weapon"]
     return w.select("id", "short_name", "image", "category",
                     F.array_join("modes_kr", "|").alias("modes_kr"), "fire_rate", "carliber")
 
@@ -1691,7 +1691,7 @@ def q_catalogue_medical(spark, d):
     painkiller, I6 labels, I9 / I10 split, I1 cures, L11 override."""
     from quartermaster.plans import items as I
     maps = spark.createDataFrame([], "pos int, name string, locks array<struct<key:struct<name:string>>>")
-    m = I.item_sources(event_pharmacy(spark, d), maps, AS_OF, only=["tkl_medical"])["tkl_medical"]
+    m = I.item_sources(event_pharmacy(spark, d), maps, AS_OF, only=["medical"])["medical"]
     return m.select("id", "category", F.array_join("cures_kr", "|").alias("cures_kr"),
                     "painkiller_duration",
                     F.json_array_length("buff").alias("n_buff"), F.json_array_length("debuff").alias("n_debuff"))

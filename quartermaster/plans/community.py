@@ -25,62 +25,62 @@ def _t(spark, root, name):
 
 def issue_job(spark: SparkSession, root: str) -> dict[str, str]:
     """Demote (B9), drop orphans (B10), promote (B3), in that order."""
-    out = issue_board(_t(spark, root, "tkl_board_issue"), _t(spark, root, "tkl_board_union"),
+    out = issue_board(_t(spark, root, "board_issue"), _t(spark, root, "board_union"),
                       like_bound=V.LIKE_BOUND)
-    return publish_all({"tkl_board_issue": out}, root)
+    return publish_all({"board_issue": out}, root)
 
 
 def statistics_and_grades_job(spark: SparkSession, root: str) -> dict[str, str]:
     """P29 then P30: statistics upserted (duplicates are an error), grades
     updated from the new statistics in the same run."""
-    users = _t(spark, root, "tkl_user")
-    boards = _t(spark, root, "tkl_board_union")
-    comments = _t(spark, root, "tkl_comments")
+    users = _t(spark, root, "user")
+    boards = _t(spark, root, "board_union")
+    comments = _t(spark, root, "comments")
     src = activity.user_post_statistics(users, boards, comments)
-    stats = merge(_t(spark, root, "tkl_user_post_statistics"), src, "user_email",
+    stats = merge(_t(spark, root, "user_post_statistics"), src, "user_email",
                   insert_cols=["post_count", "comment_count"], duplicates="error")
-    graded = activity.update_user_grade(users, stats, _t(spark, root, "tkl_user_grade"))
-    return publish_all({"tkl_user_post_statistics": stats, "tkl_user": graded}, root)
+    graded = activity.update_user_grade(users, stats, _t(spark, root, "user_grade"))
+    return publish_all({"user_post_statistics": stats, "user": graded}, root)
 
 
 def expiry_job(spark: SparkSession, root: str, as_of) -> dict[str, str]:
     """Expired bans (B8), then expired accounts with their icons and
     quests (B11) - one instant, one commit."""
-    bans = delete_where(_t(spark, root, "tkl_user_ban"), expired("ban_end_time", as_of))
-    cas = cascade_delete(_t(spark, root, "tkl_user_delete"), "email", "delete_end_time", as_of,
-                         {"tkl_user_icon": (_t(spark, root, "tkl_user_icon"), "user_email"),
-                          "tkl_user_quest": (_t(spark, root, "tkl_user_quest"), "user_email")})
-    return publish_all({"tkl_user_ban": bans, "tkl_user_delete": cas["parent"],
-                        "tkl_user_icon": cas["tkl_user_icon"],
-                        "tkl_user_quest": cas["tkl_user_quest"]}, root)
+    bans = delete_where(_t(spark, root, "user_ban"), expired("ban_end_time", as_of))
+    cas = cascade_delete(_t(spark, root, "user_delete"), "email", "delete_end_time", as_of,
+                         {"user_icon": (_t(spark, root, "user_icon"), "user_email"),
+                          "user_quest": (_t(spark, root, "user_quest"), "user_email")})
+    return publish_all({"user_ban": bans, "user_delete": cas["parent"],
+                        "user_icon": cas["user_icon"],
+                        "user_quest": cas["user_quest"]}, root)
 
 
 #: FIXED VALUES: the search index's branches in union order:
 #: (table, [(label prefix, name column)], link path, type, link carries the id)
 INDEX_SPEC = [
-    ("tkl_map_parent", [("타르코프 지도 : ", "name_kr")], "/map-of-tarkov/", "MAP_OF_TARKOV", True),
-    ("tkl_map_parent", [("대화형 지도 : ", "name_kr")], "/map/", "MAP", True),
-    ("tkl_boss", [("보스 : ", "name_kr")], "/boss/", "BOSS", True),
-    ("tkl_hideout_master", [("하이드아웃 : ", "name_en"), ("하이드아웃 : ", "name_kr")], "/hideout", "HIDEOUT", False),
-    ("tkl_quest", [("퀘스트 : ", "name_kr"), ("퀘스트 : ", "name_en")], "/quest/detail/", "QUEST", True),
-    ("tkl_npc", [("상인 : ", "name_kr")], "/quest", "TRADER", False),
-    ("tkl_weapon", [("무기 : ", "name")], "/weapon?id=", "WEAPON", True),
-    ("tkl_throwable", [("무기 : ", "name")], "/weapon?id=", "WEAPON", True),
-    ("tkl_knife", [("무기 : ", "name")], "/weapon?id=", "WEAPON", True),
-    ("tkl_ammo", [("탄약 : ", "name")], "/ammo?id=", "AMMO", True),
-    ("tkl_headwear", [("방탄모 : ", "name")], "/head-wear?id=", "HEADWEAR", True),
-    ("tkl_rig", [("전술 조끼 : ", "name")], "/rig?id=", "RIG", True),
-    ("tkl_armor_vest", [("방탄 조끼 : ", "name")], "/armor-vest?id=", "ARMOR_VEST", True),
-    ("tkl_headset", [("헤드셋 : ", "name")], "/headset?id=", "HEADSET", True),
-    ("tkl_backpack", [("가방 : ", "name")], "/backpack?id=", "BACKPACK", True),
-    ("tkl_medical", [("의료품 : ", "name_kr")], "/medical?id=", "MEDICAL", True),
-    ("tkl_container", [("컨테이너 : ", "name_kr")], "/container?id=", "CONTAINER", True),
-    ("tkl_key", [("키 : ", "name")], "/key?id=", "KEY", True),
-    ("tkl_provisions", [("식량 : ", "name_kr")], "/provisions?id=", "PROVISIONS", True),
-    ("tkl_loot", [("전리품 : ", "name_kr")], "/loot?id=", "LOOT", True),
-    ("tkl_face_cover", [("얼굴 커버 : ", "name")], "/face-cover?id=", "FACE_COVER", True),
-    ("tkl_arm_band", [("완장 : ", "name")], "/arm-band?id=", "ARM_BAND", True),
-    ("tkl_glasses", [("안경 : ", "name")], "/glasses?id=", "GLASSES", True),
+    ("map_parent", [("타르코프 지도 : ", "name_kr")], "/map-of-tarkov/", "MAP_OF_TARKOV", True),
+    ("map_parent", [("대화형 지도 : ", "name_kr")], "/map/", "MAP", True),
+    ("boss", [("보스 : ", "name_kr")], "/boss/", "BOSS", True),
+    ("hideout_master", [("하이드아웃 : ", "name_en"), ("하이드아웃 : ", "name_kr")], "/hideout", "HIDEOUT", False),
+    ("quest", [("퀘스트 : ", "name_kr"), ("퀘스트 : ", "name_en")], "/quest/detail/", "QUEST", True),
+    ("npc", [("상인 : ", "name_kr")], "/quest", "TRADER", False),
+    ("weapon", [("무기 : ", "name")], "/weapon?id=", "WEAPON", True),
+    ("throwable", [("무기 : ", "name")], "/weapon?id=", "WEAPON", True),
+    ("knife", [("무기 : ", "name")], "/weapon?id=", "WEAPON", True),
+    ("ammo", [("탄약 : ", "name")], "/ammo?id=", "AMMO", True),
+    ("headwear", [("방탄모 : ", "name")], "/head-wear?id=", "HEADWEAR", True),
+    ("rig", [("전술 조끼 : ", "name")], "/rig?id=", "RIG", True),
+    ("armor_vest", [("방탄 조끼 : ", "name")], "/armor-vest?id=", "ARMOR_VEST", True),
+    ("headset", [("헤드셋 : ", "name")], "/headset?id=", "HEADSET", True),
+    ("backpack", [("가방 : ", "name")], "/backpack?id=", "BACKPACK", True),
+    ("medical", [("의료품 : ", "name_kr")], "/medical?id=", "MEDICAL", True),
+    ("container", [("컨테이너 : ", "name_kr")], "/container?id=", "CONTAINER", True),
+    ("key", [("키 : ", "name")], "/key?id=", "KEY", True),
+    ("provisions", [("식량 : ", "name_kr")], "/provisions?id=", "PROVISIONS", True),
+    ("loot", [("전리품 : ", "name_kr")], "/loot?id=", "LOOT", True),
+    ("face_cover", [("얼굴 커버 : ", "name")], "/face-cover?id=", "FACE_COVER", True),
+    ("arm_band", [("완장 : ", "name")], "/arm-band?id=", "ARM_BAND", True),
+    ("glasses", [("안경 : ", "name")], "/glasses?id=", "GLASSES", True),
 ]
 
 
@@ -96,7 +96,7 @@ def index_branches(spark: SparkSession, root: str) -> list[IndexBranch]:
 
 def search_index_job(spark: SparkSession, root: str) -> dict[str, str]:
     """Rebuild the index (U1, W2) and switch versions."""
-    return publish_all({"tkl_search": search_index(index_branches(spark, root))}, root)
+    return publish_all({"search": search_index(index_branches(spark, root))}, root)
 
 
 def snapshot_job(spark: SparkSession, root: str, snap_root: str, tables: list[str], as_of) -> bool:

@@ -302,39 +302,39 @@ def _cols(*names):
 
 
 TARGETS = {
-    "tkl_weapon": Target("Gun", None, _cols("name", "short_name", "image", "category", "carliber",
+    "weapon": Target("Gun", None, _cols("name", "short_name", "image", "category", "carliber",
                                             "default_ammo", "modes_en", "modes_kr", "fire_rate",
                                             "ergonomics", "recoil_vertical", "recoil_horizontal")),
-    "tkl_knife": Target("Knife", knife_rows, _cols("name", "short_name", "image", "category",
+    "knife": Target("Knife", knife_rows, _cols("name", "short_name", "image", "category",
                                                    "slash_damage", "stab_damage", "hit_radius")),
-    "tkl_throwable": Target("Throwable weapon", throwable_rows,
+    "throwable": Target("Throwable weapon", throwable_rows,
                             _cols("name", "short_name", "image", "category", "fuse",
                                   "min_explosion_distance", "max_explosion_distance", "fragments")),
-    "tkl_headset": Target("Headphones", headset_rows, _cols("name", "short_name", "image")),
-    "tkl_headwear": Target("Headwear", headwear_rows,
+    "headset": Target("Headphones", headset_rows, _cols("name", "short_name", "image")),
+    "headwear": Target("Headwear", headwear_rows,
                            _cols("name", "short_name", "class_value", "areas_en", "areas_kr",
                                  "ricochet_chance", "weight", "image", "ricochet_str_en",
                                  "ricochet_str_kr")),
-    "tkl_armor_vest": Target("Armor", armor_vest_rows,
+    "armor_vest": Target("Armor", armor_vest_rows,
                              _cols("name", "short_name", "weight", "image", "class_value",
                                    "areas_en", "areas_kr")),
-    "tkl_backpack": Target("Backpack", backpack_rows,
+    "backpack": Target("Backpack", backpack_rows,
                            _cols("name", "short_name", "weight", "image", "grids", "capacity")),
-    "tkl_container": Target("Common container", container_rows,
+    "container": Target("Common container", container_rows,
                             _cols("name_en", "short_name", "image", "grids", "capacity")),
-    "tkl_key": Target("Key", None, _cols("name", "short_name", "image", "uses", "use_map_en",
+    "key": Target("Key", None, _cols("name", "short_name", "image", "uses", "use_map_en",
                                          "use_map_kr", "map_value")),
-    "tkl_rig": Target("Chest rig", rig_rows,
+    "rig": Target("Chest rig", rig_rows,
                       _cols("name", "short_name", "weight", "image", "class_value", "areas_en",
                             "areas_kr", "capacity")),
-    "tkl_provisions": Target("Provisions", provisions_rows,
+    "provisions": Target("Provisions", provisions_rows,
                              _cols("name_en", "short_name", "category", "energy", "hydration",
                                    "stim_effects", "image")),
-    "tkl_medical": Target("Meds", medical_rows,
+    "medical": Target("Meds", medical_rows,
                           _cols("name_en", "short_name", "cures_en", "cures_kr", "category", "buff",
                                 "debuff", "use_time", "uses", "energy_impact", "hydration_impact",
                                 "painkiller_duration", "hitpoints", "image")),
-    "tkl_ammo": Target("Ammo", ammo_rows,
+    "ammo": Target("Ammo", ammo_rows,
                        _cols("name", "short_name", "damage", "penetration_power", "armor_damage",
                              "accuracy_modifier", "recoil_modifier", "light_bleed_modifier",
                              "heavy_bleed_modifier", "image"),
@@ -342,14 +342,14 @@ TARGETS = {
                        _cols("name", "damage", "penetration_power", "armor_damage",
                              "accuracy_modifier", "recoil_modifier", "light_bleed_modifier",
                              "heavy_bleed_modifier", "image")),
-    "tkl_loot": Target("Loot", loot_rows, _cols("name_en", "short_name", "image", "category")),
-    "tkl_face_cover": Target("Face Cover", face_cover_rows,
+    "loot": Target("Loot", loot_rows, _cols("name_en", "short_name", "image", "category")),
+    "face_cover": Target("Face Cover", face_cover_rows,
                              _cols("name", "short_name", "class_value", "areas_en", "areas_kr",
                                    "ricochet_chance", "weight", "image", "ricochet_str_en",
                                    "ricochet_str_kr")),
-    "tkl_arm_band": Target("Arm Band", arm_band_rows,
+    "arm_band": Target("Arm Band", arm_band_rows,
                            _cols("name", "short_name", "weight", "image")),
-    "tkl_glasses": Target("Vis. observ. device", glasses_rows,
+    "glasses": Target("Vis. observ. device", glasses_rows,
                           _cols("name", "short_name", "class_value", "durability",
                                 "blindness_protection", "image")),
 }
@@ -363,16 +363,16 @@ def item_sources(items: DataFrame, maps: DataFrame, as_of,
     so the documents are parsed and classified once."""
     tables = [t for t in TARGETS if only is None or t in only]
     needed = {TARGETS[t].route for t in tables}
-    if "tkl_weapon" in tables:
+    if "weapon" in tables:
         needed.add("Gun image")
     rules = catalogue_rules(only=needed)
     routed = route_split(items, rules, persist=len(rules) > 1)
     out = {}
     for table in tables:
         t = TARGETS[table]
-        if table == "tkl_weapon":
+        if table == "weapon":
             rows = weapon_rows(routed["Gun"], routed["Gun image"])
-        elif table == "tkl_key":
+        elif table == "key":
             rows = key_rows(routed["Key"], maps)
         else:
             rows = t.build(routed[t.route])

@@ -98,18 +98,18 @@ def craft_rows(st: DataFrame, missing_station: str | None = None) -> DataFrame:
 
 #: target -> (row builder, key, insert columns)
 TARGETS = {
-    "tkl_hideout_master": (master_rows, ["id"], ["name_en", "image", "level_ids"]),
-    "tkl_hideout_level": (level_rows, ["id"], ["level", "construction_time"]),
-    "tkl_hideout_item_require": (item_require_rows, ["id"],
+    "hideout_master": (master_rows, ["id"], ["name_en", "image", "level_ids"]),
+    "hideout_level": (level_rows, ["id"], ["level", "construction_time"]),
+    "hideout_item_require": (item_require_rows, ["id"],
                                  ["level_id", "name_en", "quantity", "count", "image"]),
-    "tkl_hideout_trader_require": (trader_require_rows, ["id"],
+    "hideout_trader_require": (trader_require_rows, ["id"],
                                    ["level_id", "name_en", "value", "require_type", "compare",
                                     "image"]),
-    "tkl_hideout_station_require": (station_require_rows, ["id"],
+    "hideout_station_require": (station_require_rows, ["id"],
                                     ["level_id", "level", "name_en", "image"]),
-    "tkl_hideout_skill_require": (skill_require_rows, ["id"], ["level_id", "level", "name_en"]),
-    "tkl_hideout_bonus": (bonus_rows, ["level_id", "type"], ["name_en", "value", "skill_name_en"]),
-    "tkl_hideout_crafts": (craft_rows, ["id"], ["level_id", "level", "name_en"]),
+    "hideout_skill_require": (skill_require_rows, ["id"], ["level_id", "level", "name_en"]),
+    "hideout_bonus": (bonus_rows, ["level_id", "type"], ["name_en", "value", "skill_name_en"]),
+    "hideout_crafts": (craft_rows, ["id"], ["level_id", "level", "name_en"]),
 }
 
 

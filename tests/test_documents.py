@@ -30,7 +30,7 @@ def by_id(df):
 
 
 def test_weapon(sources):
-    w = by_id(sources["tkl_weapon"])
+    w = by_id(sources["weapon"])
     assert set(w) == {"w1", "w2", "w4", "w5", "w6", "w7"}          # image-only rows are not weapons
     assert w["w1"]["image"] == "img/w1-default-2"                   # strip 8, last wins
     assert w["w4"]["image"] == "img/dvl-urbana"                     # strip 7
@@ -42,28 +42,28 @@ def test_weapon(sources):
 
 
 def test_headwear_and_face_cover(sources):
-    h = by_id(sources["tkl_headwear"])
+    h = by_id(sources["headwear"])
     assert "hw5" not in h
     assert h["hw1"]["areas_en"] == ["Head, Top of the head", "Head, Back Neck", "Head, Mystery"]
     assert h["hw1"]["areas_kr"] == ["윗머리", "목 뒤쪽", "알 수 없는 부위"]
     assert [h[k]["ricochet_str_en"] for k in ("hw1", "hw2", "hw6", "hw7")] == ["Low", "Medium", "Medium", "High"]
     assert h["hw3"]["ricochet_chance"] == 0.4 and h["hw3"]["ricochet_str_kr"] == "높음"
     assert h["hw4"]["class_value"] is None and h["hw4"]["ricochet_str_en"] is None
-    f = by_id(sources["tkl_face_cover"])
+    f = by_id(sources["face_cover"])
     assert f["fc1"]["areas_kr"] == ["목 뒤쪽", "얼굴"] and f["fc2"]["areas_en"] is None
 
 
 def test_zones_rig_glasses(sources):
-    assert by_id(sources["tkl_armor_vest"])["av1"]["areas_kr"] == ["흉부", "복부"]
-    r = by_id(sources["tkl_rig"])
+    assert by_id(sources["armor_vest"])["av1"]["areas_kr"] == ["흉부", "복부"]
+    r = by_id(sources["rig"])
     assert r["rig1"]["areas_kr"] == ["흉부"] and r["rig2"]["class_value"] is None
     assert r["rig2"]["capacity"] == 16
-    g = by_id(sources["tkl_glasses"])
+    g = by_id(sources["glasses"])
     assert g["gl2"]["durability"] is None and g["gl1"]["blindness_protection"] == 0.2
 
 
 def test_keys(sources):
-    k = by_id(sources["tkl_key"])
+    k = by_id(sources["key"])
     assert k["key1"]["map_value"] == ["SHORELINE"]                 # last map wins
     assert k["key6"]["map_value"] == ["N/A"]                       # last map unknown
     assert k["key2"]["map_value"] == ["SHORELINE"]                 # fixed list
@@ -72,7 +72,7 @@ def test_keys(sources):
 
 
 def test_medical(sources):
-    m = by_id(sources["tkl_medical"])
+    m = by_id(sources["medical"])
     morph = m["md1"]
     assert morph["category"] == "Stimulant" and morph["cures_en"] is None and morph["uses"] is None
     assert [e["type"] for e in json.loads(morph["buff"])] == ["painkillerDuration"]
@@ -87,7 +87,7 @@ def test_medical(sources):
 
 
 def test_provisions(sources):
-    p = by_id(sources["tkl_provisions"])
+    p = by_id(sources["provisions"])
     eff = json.loads(p["pv1"]["stim_effects"])
     assert [e["krSkill"] for e in eff] == ["손 떨림", None, "진통제"]
     assert eff[-1]["duration"] == 250 and eff[-1]["skillName"] == "Painkiller"
@@ -95,13 +95,13 @@ def test_provisions(sources):
 
 
 def test_loot_and_routing(sources):
-    lt = by_id(sources["tkl_loot"])
+    lt = by_id(sources["loot"])
     assert {k: v["category"] for k, v in lt.items()} == {
         "lt1": "Building material", "lt2": "Special equipment", "lt3": "Jewelry",
         "lt4": "Lubricant", "lt7": "Info"}
-    assert set(by_id(sources["tkl_knife"])) == {"k1"}
-    assert set(by_id(sources["tkl_backpack"])) == {"bp1"}
-    assert json.loads(by_id(sources["tkl_container"])["ct1"]["grids"]) == \
+    assert set(by_id(sources["knife"])) == {"k1"}
+    assert set(by_id(sources["backpack"])) == {"bp1"}
+    assert json.loads(by_id(sources["container"])["ct1"]["grids"]) == \
         [{"width": 2, "height": 2}, {"width": 1, "height": 3}]
 
 
@@ -116,16 +116,16 @@ def test_upserts_with_curated_columns(spark):
                   "damage int, penetration_power int, armor_damage int, accuracy_modifier double, " \
                   "recoil_modifier double, light_bleed_modifier double, heavy_bleed_modifier double, " \
                   "image string, update_time timestamp_ntz"
-    targets["tkl_ammo"] = spark.createDataFrame(
+    targets["ammo"] = spark.createDataFrame(
         [("am1", "old", "PS-OLD", "Curated", "5.45", 1, 1, 1, 0.0, 0.0, 0.0, 0.0, "old", None)], ammo_schema)
     out = I.upsert_items(targets, it, mp, AS_OF)
-    a = by_id(out["tkl_ammo"])
+    a = by_id(out["ammo"])
     # Short name kept for an existing row; T6: curated columns kept; values updated
     assert a["am1"]["short_name"] == "PS-OLD" and a["am1"]["category"] == "Curated"
     assert a["am1"]["damage"] == 50 and a["am2"]["short_name"] == "BT" and a["am2"]["category"] is None
     assert a["am1"]["update_time"] == AS_OF
-    assert by_id(out["tkl_knife"])["k1"]["name"] == "Bayonet v2"      # last in document order
-    loot = out["tkl_loot"].withColumn("name_kr", F.lit(None).cast("string"))
+    assert by_id(out["knife"])["k1"]["name"] == "Bayonet v2"      # last in document order
+    loot = out["loot"].withColumn("name_kr", F.lit(None).cast("string"))
     qi = read_documents(spark, os.path.join(FIXTURES, "quest_items.jsonl"), QUEST_ITEM_SCHEMA)
     l2 = by_id(Q.upsert_quest_items(loot, qi, AS_OF))
     # The quest-item feed updates its own columns, keeps the first feed's short name
@@ -137,21 +137,21 @@ def test_upserts_with_curated_columns(spark):
 def test_stations(spark):
     st = read_documents(spark, os.path.join(FIXTURES, "stations.jsonl"), STATION_SCHEMA)
     src = S.station_sources(st, AS_OF)
-    m = by_id(src["tkl_hideout_master"])
+    m = by_id(src["hideout_master"])
     assert m["st1"]["level_ids"] == ["st1-l1", "st1-l2"] and m["st2"]["level_ids"] == []
-    assert rows(src["tkl_hideout_level"], "id", "level", "construction_time") == \
+    assert rows(src["hideout_level"], "id", "level", "construction_time") == \
         [("st1-l1", 1, 0), ("st1-l2", 2, 3600)]
-    tr = by_id(src["tkl_hideout_trader_require"])
+    tr = by_id(src["hideout_trader_require"])
     assert tr["tr2"]["name_en"] is None and tr["tr1"]["image"] == "img/mech"
-    assert rows(src["tkl_hideout_item_require"], "id", "level_id", "name_en") == [("ir1", "st1-l1", "Bolts")]
-    cr = by_id(src["tkl_hideout_crafts"])
+    assert rows(src["hideout_item_require"], "id", "level_id", "name_en") == [("ir1", "st1-l1", "Bolts")]
+    cr = by_id(src["hideout_crafts"])
     assert cr["cr1"]["level_id"] == "st1-1" and cr["cr1"]["name_en"] == "Ammo pack"
     assert cr["cr2"]["level_id"] is None and cr["cr2"]["name_en"] is None
     empty = {t: spark.createDataFrame([], ", ".join(
         f"{c.name} {c.dataType.simpleString()}" for c in s.schema if c.name != "pos"))
         for t, s in src.items()}
     out = S.upsert_stations(empty, st, AS_OF)
-    b = rows(out["tkl_hideout_bonus"], "level_id", "type", "name_en", "skill_name_en")
+    b = rows(out["hideout_bonus"], "level_id", "type", "name_en", "skill_name_en")
     assert b == [("st1-l1", "ExperienceRate", "XP", None),
                  ("st1-l1", "SkillGroupLevelingBoost", "Skill boost later", "Strength")]
 

@@ -14,28 +14,28 @@ def test_community_jobs(spark, tmp_path):
     root = str(tmp_path / "db")
     T = lambda data, schema: spark.createDataFrame(data, schema)
     publish_all({
-        "tkl_user": T([("a", 10, 0), ("b", 1, 0)], "email string, attendance_count int, grade int"),
-        "tkl_user_post_statistics": T([], "user_email string, post_count bigint, comment_count bigint"),
-        "tkl_user_grade": T([(1, 0), (2, 60)], "id int, score int"),
-        "tkl_board_union": T([("p1", "a", "t", 12, None), ("p2", "b", "t", 3, None)],
+        "user": T([("a", 10, 0), ("b", 1, 0)], "email string, attendance_count int, grade int"),
+        "user_post_statistics": T([], "user_email string, post_count bigint, comment_count bigint"),
+        "user_grade": T([(1, 0), (2, 60)], "id int, score int"),
+        "board_union": T([("p1", "a", "t", 12, None), ("p2", "b", "t", 3, None)],
                              "id string, writer string, type string, like_count int, create_time timestamp_ntz"),
-        "tkl_comments": T([("p1", "b", False, False)],
+        "comments": T([("p1", "b", False, False)],
                           "board_id string, user_email string, is_delete_by_user boolean, is_delete_by_admin boolean"),
-        "tkl_board_issue": T([("p2", "t", None)], "board_id string, board_type string, create_time timestamp_ntz"),
-        "tkl_user_ban": T([(dt.datetime(2024, 1, 1),), (None,)], "ban_end_time timestamp_ntz"),
-        "tkl_user_delete": T([("a", dt.datetime(2024, 1, 1))], "email string, delete_end_time timestamp_ntz"),
-        "tkl_user_icon": T([("a", 1), ("b", 2)], "user_email string, icon int"),
-        "tkl_user_quest": T([("a", 1)], "user_email string, quest int"),
+        "board_issue": T([("p2", "t", None)], "board_id string, board_type string, create_time timestamp_ntz"),
+        "user_ban": T([(dt.datetime(2024, 1, 1),), (None,)], "ban_end_time timestamp_ntz"),
+        "user_delete": T([("a", dt.datetime(2024, 1, 1))], "email string, delete_end_time timestamp_ntz"),
+        "user_icon": T([("a", 1), ("b", 2)], "user_email string, icon int"),
+        "user_quest": T([("a", 1)], "user_email string, quest int"),
     }, root, version="000")
     C.issue_job(spark, root)
-    assert rows(read_published(spark, root, "tkl_board_issue"), "board_id") == [("p1",)]
+    assert rows(read_published(spark, root, "board_issue"), "board_id") == [("p1",)]
     C.statistics_and_grades_job(spark, root)
-    assert rows(read_published(spark, root, "tkl_user")) == [("a", 10, 2), ("b", 1, 1)]
+    assert rows(read_published(spark, root, "user")) == [("a", 10, 2), ("b", 1, 1)]
     C.expiry_job(spark, root, dt.datetime(2024, 1, 15))
-    assert read_published(spark, root, "tkl_user_ban").count() == 1
-    assert rows(read_published(spark, root, "tkl_user_icon"), "icon") == [(2,)]
-    assert read_published(spark, root, "tkl_user_quest").count() == 0
-    ok = C.snapshot_job(spark, root, str(tmp_path / "snap"), ["tkl_user"], dt.date(2024, 1, 15))
+    assert read_published(spark, root, "user_ban").count() == 1
+    assert rows(read_published(spark, root, "user_icon"), "icon") == [(2,)]
+    assert read_published(spark, root, "user_quest").count() == 0
+    ok = C.snapshot_job(spark, root, str(tmp_path / "snap"), ["user"], dt.date(2024, 1, 15))
     assert ok
 
 
@@ -43,7 +43,7 @@ def test_streaming_merge(spark, tmp_path):
     root = str(tmp_path / "db")
     landing = tmp_path / "landing"
     landing.mkdir()
-    publish_all({"tkl_knife": spark.createDataFrame(
+    publish_all({"knife": spark.createDataFrame(
         [], "id string, name string, short_name string, image string, category string, "
             "slash_damage int, stab_damage int, hit_radius double")}, root, version="a0")
     shutil.copy(os.path.join(FIXTURES, "items.jsonl"), landing / "batch1.jsonl")
@@ -52,7 +52,7 @@ def test_streaming_merge(spark, tmp_path):
     def build(batch):
         return knife_rows(route(batch, catalogue_rules(only=["Knife"])).drop("route"))
 
-    merge_landed(spark, str(landing), ITEM_SCHEMA, root, "tkl_knife", "id",
+    merge_landed(spark, str(landing), ITEM_SCHEMA, root, "knife", "id",
                  ["name", "short_name", "image", "category", "slash_damage", "stab_damage", "hit_radius"],
                  build, str(tmp_path / "ckpt"))
-    assert rows(read_published(spark, root, "tkl_knife"), "id", "name") == [("k1", "Bayonet v2")]
+    assert rows(read_published(spark, root, "knife"), "id", "name") == [("k1", "Bayonet v2")]
