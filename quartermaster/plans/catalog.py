@@ -1467,10 +1467,6 @@ def q_catalogue_ammo_upsert(spark, d):
     t = TARGETS["ammo"]
     ins = [c for c in t.insert_cols if c in ("name", "short_name", "damage")]
     upd = [c for c in t.update_cols if c in ins]
-    return merge_(tgt, src, ins, upd)
-
-
-def merge_(tgt, src, ins, upd):
     from quartermaster.operators.merge import merge
     return merge(tgt, src, "id", insert_cols=ins, update_cols=upd, order_cols="pos")
 

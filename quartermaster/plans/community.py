@@ -9,7 +9,6 @@ half-applied run. ``as_of`` is the run clock (one instant per run).
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from quartermaster.functions import vocab as V
 from quartermaster.operators import activity

@@ -1,6 +1,4 @@
 import pytest
-from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from conftest import rows
 from quartermaster.operators.merge import (assert_unique_keys, duplicate_keys, last_per_key,
