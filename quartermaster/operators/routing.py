@@ -139,12 +139,22 @@ def route(df: DataFrame, rules: dict[str, Column], out: str = "route",
             .filter(F.col(out).isNotNull()))
 
 
-def route_split(df: DataFrame, rules: dict[str, Column], persist: bool = True) -> dict[str, DataFrame]:
-    """One DataFrame per target over one shared classification. The
-    tagged rows are persisted once so that N targets do not mean N scans of
-    the landed documents (write them partitioned by ``route`` instead when the
-    catalogue outgrows executor memory)."""
+def route_split(df: DataFrame, rules: dict[str, Column], persist: bool = True,
+                stage_dir: str | None = None) -> dict[str, DataFrame]:
+    """One DataFrame per target over one shared classification, so N
+    targets do not mean N parses of the landed documents.
+
+    * ``stage_dir``: the tagged rows are written once as Parquet partitioned
+      by ``route`` (in a shared folder); each target then reads only its own
+      partition (partition pruning) and a lost executor re-reads files
+      instead of recomputing the parse. The choice for large catalogues.
+    * else ``persist``: the tagged rows are cached (memory and disk).
+    """
     tagged = route(df, rules)
+    if stage_dir is not None:
+        tagged.write.mode("overwrite").partitionBy("route").parquet(stage_dir)
+        staged = df.sparkSession.read.parquet(stage_dir)
+        return {n: staged.filter(F.col("route") == n).drop("route") for n in rules}
     if persist:
         tagged = tagged.persist()
     return {n: tagged.filter(F.col("route") == n).drop("route") for n in rules}

@@ -356,7 +356,7 @@ TARGETS = {
 
 
 def item_sources(items: DataFrame, maps: DataFrame, as_of,
-                 only: list[str] | None = None) -> dict[str, DataFrame]:
+                 only: list[str] | None = None, stage_dir: str | None = None) -> dict[str, DataFrame]:
     """Route the catalogue once and build the source rows of every target
     (or of the ``only`` targets), each stamped with the run's load time
     (B15). The routed rows are persisted when more than one route is read,
@@ -366,7 +366,7 @@ def item_sources(items: DataFrame, maps: DataFrame, as_of,
     if "weapon" in tables:
         needed.add("Gun image")
     rules = catalogue_rules(only=needed)
-    routed = route_split(items, rules, persist=len(rules) > 1)
+    routed = route_split(items, rules, persist=len(rules) > 1, stage_dir=stage_dir)
     out = {}
     for table in tables:
         t = TARGETS[table]
@@ -381,10 +381,11 @@ def item_sources(items: DataFrame, maps: DataFrame, as_of,
 
 
 def upsert_items(targets: dict[str, DataFrame], items: DataFrame, maps: DataFrame,
-                 as_of) -> dict[str, DataFrame]:
+                 as_of, stage_dir: str | None = None) -> dict[str, DataFrame]:
     """The new state of each item table (last-wins by document
-    position, column subsets per table)."""
-    sources = item_sources(items, maps, as_of)
+    position, column subsets per table). With ``stage_dir`` the routed
+    documents are staged as Parquet partitioned by target first."""
+    sources = item_sources(items, maps, as_of, stage_dir=stage_dir)
     out = {}
     for table, src in sources.items():
         t = TARGETS[table]

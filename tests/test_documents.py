@@ -169,3 +169,16 @@ def test_enveloped_read(spark, tmp_path):
     p.write_text(json.dumps({"data": {"items": [{"id": "a", "name": "A"}, {"id": "b", "name": "B"}]}}))
     df = read_enveloped(spark, str(p), "items", "pos int, id string, name string")
     assert rows(df, "pos", "id") == [(0, "a"), (1, "b")]
+
+
+def test_staged_routing_matches_cached(spark, tmp_path):
+    it = read_documents(spark, os.path.join(FIXTURES, "items.jsonl"), ITEM_SCHEMA)
+    mp = read_documents(spark, os.path.join(FIXTURES, "maps.jsonl"), MAP_SCHEMA)
+    cached = I.item_sources(it, mp, AS_OF)
+    staged = I.item_sources(it, mp, AS_OF, stage_dir=str(tmp_path / "routed"))
+    for t in cached:
+        assert rows(cached[t].drop("update_time")) == rows(staged[t].drop("update_time")), t
+    assert sorted(p.name for p in (tmp_path / "routed").iterdir() if p.name.startswith("route=")) \
+        == sorted(f"route={r}" for r in {"Gun", "Gun image", "Headphones", "Headwear", "Provisions", "Key",
+                                          "Meds", "Loot", "Face Cover", "Arm Band", "Vis. observ. device",
+                                          "Knife", "Armor", "Backpack", "Common container", "Chest rig", "Ammo"})
