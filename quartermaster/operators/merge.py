@@ -200,3 +200,56 @@ def duplicate_keys(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     keys = _as_list(key)
     return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
             .filter(F.col("n") > 1))
+
+
+BUCKET_COL = "key_bucket"
+
+
+def key_bucket(keys: Sequence[str], buckets: int) -> Column:
+    """Stable bucket of a key: ``pmod(xxhash64(key...), buckets)``."""
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
+def merge_into_path(source: DataFrame, path: str, key: str | Sequence[str],
+                    insert_cols: Sequence[str], update_cols: Sequence[str] | None = None,
+                    order_cols: str | Sequence[str | Column] | None = None,
+                    duplicates: str = "last", buckets: int = 64,
+                    target_schema: str | None = None) -> list[int]:
+    """B1 for a large target kept as Parquet partitioned by ``key_bucket``:
+    only the buckets the source touches are read, merged and rewritten.
+
+    1. the touched buckets are computed from the source (at most
+       ``buckets`` small integers reach the driver);
+    2. the target is read with a partition filter on those buckets
+       (partition pruning: untouched buckets are not even listed);
+    3. :func:`merge` on that slice, checkpointed so that the write does not
+       read the path it replaces;
+    4. dynamic partition overwrite replaces exactly the touched bucket
+       folders in one job commit.
+
+    A first run (no table yet) writes the merged source against an empty
+    target of ``target_schema``. Returns the touched buckets.
+    """
+    from pyspark.errors import AnalysisException
+
+    from quartermaster.session import materialize
+
+    spark = source.sparkSession
+    keys = _as_list(key)
+    src = source.withColumn(BUCKET_COL, key_bucket(keys, buckets))
+    touched = sorted(r[0] for r in src.select(BUCKET_COL).distinct().collect())
+    try:
+        current = spark.read.parquet(path)
+    except AnalysisException:
+        if target_schema is None:
+            raise
+        current = spark.createDataFrame([], target_schema).withColumn(
+            BUCKET_COL, F.lit(None).cast("int"))
+    target = current.filter(F.col(BUCKET_COL).isin(touched))
+    merged = merge(target, src, keys, insert_cols=list(insert_cols) + [BUCKET_COL],
+                   update_cols=(list(update_cols) if update_cols is not None else list(insert_cols))
+                   + [BUCKET_COL], order_cols=order_cols, duplicates=duplicates)
+    merged = materialize(merged)
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BUCKET_COL).parquet(path))
+    return touched

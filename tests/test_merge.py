@@ -81,3 +81,32 @@ def test_merge_last_wins_rejects_null_key(spark):
     with pytest.raises(Exception) as e:
         merge(t, s, "id", insert_cols=["a", "b"], order_cols="pos").collect()
     assert "NULL key" in str(e.value)
+
+
+def test_merge_into_path_rewrites_only_touched_buckets(spark, tmp_path):
+    import os
+    from quartermaster.operators.merge import merge_into_path
+    path = str(tmp_path / "t")
+    schema = "id bigint, v string, curated string"
+    first = spark.createDataFrame([(i, f"v{i}", None, i) for i in range(200)],
+                                  "id bigint, v string, curated string, pos int")
+    merge_into_path(first, path, "id", ["v"], order_cols="pos", buckets=8, target_schema=schema)
+
+    def files():
+        out = {}
+        for d in os.listdir(path):
+            if d.startswith("key_bucket="):
+                out[d] = sorted(f for f in os.listdir(os.path.join(path, d)) if f.endswith(".parquet"))
+        return out
+    before = files()
+    assert len(before) == 8
+    upd = spark.createDataFrame([(3, "new3", None, 0), (3, "newer3", None, 1), (1000, "n", None, 0)],
+                                "id bigint, v string, curated string, pos int")
+    touched = merge_into_path(upd, path, "id", ["v"], order_cols="pos", buckets=8)
+    after = files()
+    for b, fs in before.items():
+        if int(b.split("=")[1]) not in touched:
+            assert after[b] == fs            # untouched bucket folders are not rewritten
+    t = spark.read.parquet(path)
+    assert t.count() == 201
+    assert sorted(rows(t.filter("id in (3, 1000)"), "id", "v")) == [(3, "newer3"), (1000, "n")]
