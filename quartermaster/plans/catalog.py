@@ -839,15 +839,15 @@ def q_override_chain(spark, d):
 
 
 @register("label_default", """
-SELECT n_nationkey, CASE n_name WHEN 'NATION_0' THEN 'zero' WHEN 'NATION_1' THEN 'one'
-                                WHEN 'NATION_2' THEN 'two' ELSE '' END AS label FROM nation
+SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN 'b' WHEN 'MACHINERY' THEN 'm'
+                                    WHEN 'FURNITURE' THEN 'f' ELSE '' END AS label FROM customer
 """)
 def q_label_default(spark, d):
     """L1/L2 shape: dictionary with a literal default."""
     from quartermaster.functions.labels import label_value
-    n = read_table(spark, d, "nation")
-    return n.select("n_nationkey", label_value("n_name", {"NATION_0": "zero", "NATION_1": "one",
-                                                          "NATION_2": "two"}, default="").alias("label"))
+    c = read_table(spark, d, "customer")
+    return c.select("c_custkey", label_value("c_mktsegment", {"BUILDING": "b", "MACHINERY": "m",
+                                                              "FURNITURE": "f"}, default="").alias("label"))
 
 
 @register("label_passthrough", """
@@ -1261,9 +1261,10 @@ def q_local_day_counts(spark, d):
 _SNAP_DAYS = 10
 
 
-def _stamped_nations(spark, d):
+def _stamped_suppliers(spark, d):
+    """``supplier`` snapshotted on ten consecutive days up to the run date."""
     from quartermaster.operators.snapshot import stamp
-    n = read_table(spark, d, "nation")
+    n = read_table(spark, d, "supplier").select("s_suppkey")
     out = None
     for k in range(_SNAP_DAYS):
         s = stamp(n, AS_OF - _dt.timedelta(days=k))
@@ -1272,24 +1273,24 @@ def _stamped_nations(spark, d):
 
 
 @register("snapshot_retention", """
-SELECT CAST(DATE '2024-01-15' - INTERVAL (k) DAY AS DATE)::VARCHAR AS snapshot_date, n_nationkey
-FROM nation, range(0, 10) AS r(k)
+SELECT CAST(DATE '2024-01-15' - INTERVAL (k) DAY AS DATE)::VARCHAR AS snapshot_date, s_suppkey
+FROM supplier, range(0, 10) AS r(k)
 WHERE k <= 3
 """)
 def q_snapshot_retention(spark, d):
     """B13 + B14 (T23): dated snapshots, retention of ``keep_days`` = 3."""
     from quartermaster.operators.snapshot import retain
-    return retain(_stamped_nations(spark, d), 3, AS_OF).select("snapshot_date", "n_nationkey")
+    return retain(_stamped_suppliers(spark, d), 3, AS_OF).select("snapshot_date", "s_suppkey")
 
 
 @register("snapshot_expired", """
 SELECT DISTINCT CAST(DATE '2024-01-15' - INTERVAL (k) DAY AS DATE)::VARCHAR AS snapshot_date
-FROM range(0, 10) AS r(k) WHERE k > 3
+FROM supplier, range(0, 10) AS r(k) WHERE k > 3
 """)
 def q_snapshot_expired(spark, d):
     """The snapshot dates retention removes."""
     from quartermaster.operators.snapshot import expired_snapshots
-    return expired_snapshots(_stamped_nations(spark, d), 3, AS_OF)
+    return expired_snapshots(_stamped_suppliers(spark, d), 3, AS_OF)
 
 
 # ------------------------------------------- item jobs on a part catalogue
