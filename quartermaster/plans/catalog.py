@@ -1692,3 +1692,75 @@ def q_catalogue_medical(spark, d):
     return m.select("id", "category", F.array_join("cures_kr", "|").alias("cures_kr"),
                     "painkiller_duration",
                     F.json_array_length("buff").alias("n_buff"), F.json_array_length("debuff").alias("n_debuff"))
+
+
+_MAP_NAMES = ["Factory", "Customs", "Woods", "Lighthouse", "Shoreline", "Reserve", "Interchange",
+              "Streets of Tarkov", "Night Factory", "The Lab", "Ground Zero", "Ground Zero 21+",
+              "Nowhere"]
+
+
+def part_maps(spark, d) -> DataFrame:
+    """Map documents from ``part``: one map per part, named by its size
+    (thirteen names, one unknown), with one lock whose key is named after the
+    brand - so each key name appears on many maps and the last one wins."""
+    from quartermaster.sources.documents import MAP_SCHEMA
+    p = read_table(spark, d, "part", spread=True)
+    names = F.array(*[F.lit(n) for n in _MAP_NAMES])
+    doc = F.struct(F.col("p_partkey").cast("int").alias("pos"),
+                   F.element_at(names, (F.col("p_size") % len(_MAP_NAMES) + 1).cast("int")).alias("name"),
+                   F.array(F.struct(F.struct(F.concat(F.lit("key "), F.col("p_brand")).alias("name"))
+                                    .alias("key"))).alias("locks"))
+    return p.select(F.to_json(doc).alias("j")).select(F.from_json("j", MAP_SCHEMA).alias("m")).select("m.*")
+
+
+def customer_keys(spark, d) -> DataFrame:
+    """Key items from ``customer``: named after one of 30 brands (five of
+    them on no map), some carrying a fixed-list name or a name-contains
+    rule."""
+    from quartermaster.sources.documents import ITEM_SCHEMA
+    c = read_table(spark, d, "customer", spread=True)
+    brand = F.concat(F.lit("key Brand#"), (F.col("c_custkey") % 30 + 1).cast("string"))
+    name = (F.when(F.col("c_mktsegment") == "BUILDING", F.lit("Gas station safe key"))
+            .when(F.col("c_mktsegment") == "MACHINERY", F.concat(brand, F.lit(" Health Resort")))
+            .otherwise(brand))
+    doc = F.struct(F.col("c_custkey").cast("int").alias("pos"),
+                   F.concat(F.lit("k"), F.col("c_custkey").cast("string")).alias("id"), name.alias("name"),
+                   F.lit(0.01).alias("weight"), F.lit("key").alias("shortName"),
+                   F.lit("/img/k").alias("image512pxLink"),
+                   F.struct(F.lit("Mechanical Key").alias("name"),
+                            F.struct(F.lit("Key").alias("name")).alias("parent")).alias("category"),
+                   F.to_json(F.struct(F.col("c_nationkey").alias("uses"))).alias("properties"))
+    return c.select(F.to_json(doc).alias("j")).select(F.from_json("j", ITEM_SCHEMA).alias("d")).select("d.*")
+
+
+def _keys_sql():
+    from quartermaster.functions import vocab as V
+    code = "CASE map " + " ".join(f"WHEN '{k}' THEN '{v[0]}'" for k, v in V.MAP_CODES.items()) + " ELSE 'N/A' END"
+    en = "CASE c " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in V.MAP_CODE_EN.items()) + " ELSE c END"
+    names = ", ".join(f"'{n}'" for n in _MAP_NAMES)
+    return f"""
+WITH maps AS (SELECT p_partkey AS pos, [{names}][p_size % {len(_MAP_NAMES)} + 1] AS map,
+                     'key ' || p_brand AS key FROM part),
+km AS (SELECT key, arg_max(map, pos) AS map FROM maps GROUP BY key),
+keys AS (SELECT c_custkey, c_nationkey,
+                CASE WHEN c_mktsegment = 'BUILDING' THEN 'Gas station safe key'
+                     WHEN c_mktsegment = 'MACHINERY' THEN 'key Brand#' || CAST(c_custkey % 30 + 1 AS VARCHAR) || ' Health Resort'
+                     ELSE 'key Brand#' || CAST(c_custkey % 30 + 1 AS VARCHAR) END AS name FROM customer),
+coded AS (SELECT c_custkey, c_nationkey, name,
+                 CASE WHEN name = 'Gas station safe key' THEN 'SHORELINE'
+                      WHEN contains(name, 'Health Resort') THEN 'SHORELINE'
+                      WHEN km.map IS NULL THEN 'N/A'
+                      ELSE (SELECT {code} FROM (SELECT km.map AS map)) END AS c
+          FROM keys LEFT JOIN km ON keys.name = km.key)
+SELECT 'k' || CAST(c_custkey AS VARCHAR) AS id, name, c_nationkey AS uses, c AS map_value,
+       {en} AS use_map_en FROM coded"""
+
+
+@register("catalogue_keys", _keys_sql())
+def q_catalogue_keys(spark, d):
+    """A2 maps -> locks, N3 + E4 last map per key name (T17), L10 map
+    codes, D10 override chain, I3 English names (unknown codes pass)."""
+    from quartermaster.plans import items as I
+    k = I.item_sources(customer_keys(spark, d), part_maps(spark, d), AS_OF, only=["key"])["key"]
+    return k.select("id", "name", "uses", F.array_join("map_value", "|").alias("map_value"),
+                    F.array_join("use_map_en", "|").alias("use_map_en"))
