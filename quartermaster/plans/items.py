@@ -359,14 +359,17 @@ def item_sources(items: DataFrame, maps: DataFrame, as_of,
                  only: list[str] | None = None, stage_dir: str | None = None) -> dict[str, DataFrame]:
     """Route the catalogue once and build the source rows of every target
     (or of the ``only`` targets), each stamped with the run's load time
-    (B15). The routed rows are persisted when more than one route is read,
-    so the documents are parsed and classified once."""
+    (B15). When several targets are built the routed rows are persisted
+    (or staged with ``stage_dir``), so the documents are parsed and
+    classified once per run."""
     tables = [t for t in TARGETS if only is None or t in only]
     needed = {TARGETS[t].route for t in tables}
     if "weapon" in tables:
         needed.add("Gun image")
     rules = catalogue_rules(only=needed)
-    routed = route_split(items, rules, persist=len(rules) > 1, stage_dir=stage_dir)
+    # a full run (many targets) caches the classified documents for its
+    # lifetime; a single-target build does not pin anything in the cache
+    routed = route_split(items, rules, persist=len(tables) > 1, stage_dir=stage_dir)
     out = {}
     for table in tables:
         t = TARGETS[table]
