@@ -1301,7 +1301,7 @@ _PART_CATEGORY = {"STANDARD": ("Knife", "Melee"), "ECONOMY": ("Ammo", "Ammo"),
                   "LARGE": ("Tools", "Barter item"), "PROMO": ("Armor", "Equipment")}
 
 
-def part_catalogue(spark, d) -> DataFrame:
+def part_catalogue(spark, d, raw: bool = False) -> DataFrame:
     """Item documents built from ``part``: the category follows p_type, the
     attribute bag is the JSON of the member schema filled from the part's
     own columns (headphones and loot get ``{}``). Everything the item jobs
@@ -1340,6 +1340,8 @@ def part_catalogue(spark, d) -> DataFrame:
                    F.struct(cat.alias("name"), F.struct(par.alias("name")).alias("parent")).alias("category"),
                    props.alias("properties"))
     text = p.select(F.to_json(doc).alias("json"))
+    if raw:
+        return text
     return text.select(F.from_json("json", ITEM_SCHEMA).alias("d")).select("d.*")
 
 
@@ -1764,3 +1766,69 @@ def q_catalogue_keys(spark, d):
     k = I.item_sources(customer_keys(spark, d), part_maps(spark, d), AS_OF, only=["key"])["key"]
     return k.select("id", "name", "uses", F.array_join("map_value", "|").alias("map_value"),
                     F.array_join("use_map_en", "|").alias("use_map_en"))
+
+
+@register("catalogue_narrow", f"""
+WITH {_PART_DOC_SQL}
+SELECT id, name, CASE p_type WHEN 'STANDARD' THEN 'Knife' WHEN 'ECONOMY' THEN 'Ammo' WHEN 'MEDIUM' THEN 'Headwear'
+  WHEN 'SMALL' THEN 'Headphones' WHEN 'PROMO' THEN 'Armor'
+  ELSE CASE WHEN p_size > 45 THEN 'Compass' ELSE 'Tools' END END AS category
+FROM pd
+""")
+def q_catalogue_narrow(spark, d):
+    """The same documents read with a narrow schema (fields not in it
+    are skipped by the parser)."""
+    from quartermaster.sources.documents import narrow
+    narrow_schema = "id string, name string, category struct<name:string>"
+    docs = part_catalogue(spark, d, raw=True).select(F.from_json("json", narrow_schema).alias("d")).select("d.*")
+    return narrow(docs, ["id", "name", F.col("category.name").alias("category")])
+
+
+def event_pantry(spark, d) -> DataFrame:
+    """Food and drink documents from ``events``: clicks are the vodka that
+    gets a painkiller appended; every item has one effect whose type / skill
+    follows the event type."""
+    from quartermaster.sources.documents import ITEM_SCHEMA
+    e = read_table(spark, d, "events", spread=True)
+    et = F.col("event_type")
+    eff = F.struct(F.lit(0).alias("delay"), (F.col("value") - 100).alias("value"),
+                   F.when(et == "purchase", F.lit("Skill")).when(et == "view", F.lit("Hands tremor"))
+                   .when(et == "signup", F.lit("Skill")).otherwise(F.lit("Energy recovery")).alias("type"),
+                   F.when(et == "purchase", F.lit("Metabolism")).when(et == "signup", F.lit("Recoil Control"))
+                   .alias("skillName"),
+                   F.lit(60).alias("duration"))
+    doc = F.struct(F.col("event_id").cast("int").alias("pos"),
+                   F.concat(F.lit("f"), F.col("event_id").cast("string")).alias("id"),
+                   F.when(et == "click", F.lit("Bottle of Tarkovskaya vodka"))
+                   .otherwise(F.concat(F.lit("food "), F.col("event_id").cast("string"))).alias("name"),
+                   F.lit(0.5).alias("weight"), et.alias("shortName"), F.lit("/img/f").alias("image512pxLink"),
+                   F.struct(F.when(et == "click", F.lit("Drink")).otherwise(F.lit("Food")).alias("name"),
+                            F.struct(F.lit("Food and drink").alias("name")).alias("parent")).alias("category"),
+                   F.to_json(F.struct(F.floor("value").cast("int").alias("energy"),
+                                      F.array(eff).alias("stimEffects"))).alias("properties"))
+    return e.select(F.to_json(doc).alias("j")).select(F.from_json("j", ITEM_SCHEMA).alias("d")).select("d.*")
+
+
+@register("catalogue_provisions", """
+SELECT 'f' || CAST(event_id AS VARCHAR) AS id,
+       CASE WHEN event_type = 'click' THEN 'Drink' ELSE 'Food' END AS category,
+       CAST(floor(value) AS INTEGER) AS energy,
+       CASE WHEN event_type = 'click' THEN 2 ELSE 1 END AS n_effects,
+       CASE event_type WHEN 'purchase' THEN '신진대사' WHEN 'view' THEN '손 떨림'
+                       WHEN 'signup' THEN NULL ELSE '에너지 회복' END AS first_label,
+       CASE WHEN event_type = 'click' THEN '진통제'
+            ELSE CASE event_type WHEN 'purchase' THEN '신진대사' WHEN 'view' THEN '손 떨림'
+                                 WHEN 'signup' THEN NULL ELSE '에너지 회복' END END AS last_label
+FROM events
+""")
+def q_catalogue_provisions(spark, d):
+    """I6 with the food vocabulary (Recoil Control is not in it), then
+    I7 drink painkiller with its own label, then JSON (X11)."""
+    from quartermaster.plans import items as I
+    maps = spark.createDataFrame([], "pos int, name string, locks array<struct<key:struct<name:string>>>")
+    pv = I.item_sources(event_pantry(spark, d), maps, AS_OF, only=["provisions"])["provisions"]
+    return pv.select("id", "category", "energy",
+                     F.json_array_length("stim_effects").alias("n_effects"),
+                     F.get_json_object("stim_effects", "$[0].krSkill").alias("first_label"),
+                     F.element_at(F.from_json("stim_effects", "array<struct<krSkill:string>>"), -1)
+                     ["krSkill"].alias("last_label"))
