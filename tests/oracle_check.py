@@ -37,6 +37,11 @@ def _norm(v):
     return v
 
 
+_SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                  "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+                  "smallint": "SMALLINT", "float": "FLOAT"}
+
+
 def duck(sf_dir):
     con = duckdb.connect()
     for t in TABLES:
@@ -60,7 +65,14 @@ def compare(spark, con, name, fn, sql, sf_dir):
         return dict(name=name, ok=None, rows=len(srows), sec=round(t1 - t0, 2))
     res = con.execute(sql)
     dcols = [d[0] for d in res.description]
+    dtypes = {d[0]: str(d[1]) for d in res.description}
     drows = res.fetchall()
+    type_diff = []
+    for f in df.schema.fields:
+        want = _SPARK_TO_DUCK.get(f.dataType.simpleString())
+        got = dtypes.get(f.name)
+        if want and got and want != got.upper():
+            type_diff.append((f.name, f.dataType.simpleString(), got))
     ok = sorted(scols) == sorted(dcols) and len(srows) == len(drows)
     detail = ""
     if sorted(scols) != sorted(dcols):
@@ -74,7 +86,8 @@ def compare(spark, con, name, fn, sql, sf_dir):
             ok = False
             diff = [(x, y) for x, y in zip(a, b) if x != y][:3]
             detail = f"values differ e.g. {diff}"
-    return dict(name=name, ok=ok, rows=len(srows), sec=round(t1 - t0, 2), detail=detail)
+    return dict(name=name, ok=ok, rows=len(srows), sec=round(t1 - t0, 2), detail=detail,
+                types=type_diff)
 
 
 def main():
