@@ -84,10 +84,11 @@ def _threshold_sweep(facts: DataFrame, value_col: str, thr: DataFrame,
     spark = facts.sparkSession
     if buckets is None:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # the quantile pass, the sweep and the final join all read the facts:
+    # cut them from their lineage once so the plan that produces them (a
+    # multi-join aggregate, typically) runs one time only
+    facts = materialize(facts)
     vals = facts.select(F.col(value_col).alias("__t")).filter(F.col("__t").isNotNull()).distinct()
-    # the quantile pass and the sweep both read the distinct values: cut them
-    # from their lineage once so the facts' upstream plan runs one time only
-    vals = materialize(vals)
     probs = [i / buckets for i in range(1, buckets)]
     both = vals.select("__t").unionByName(thr.select("__t"))
     bounds = sorted(set(b for b in both.approxQuantile("__t", probs, 0.001) if b is not None))
@@ -110,10 +111,11 @@ def _threshold_sweep(facts: DataFrame, value_col: str, thr: DataFrame,
                .join(F.broadcast(carry), "__b", "left")
                .select(F.col("__t").alias("__v"),
                        F.greatest("__best", "__carry")["p"].alias("__p")))
-    # one mapping row per distinct fact value: its size is the (materialised,
-    # cheap to count) distinct set - broadcast it when that is small so the
-    # facts are not shuffled; otherwise an equi-join whose build side is
-    # unique per key (a hot value on the fact side is split by AQE)
+    # one mapping row per distinct fact value: its size is the distinct set
+    # (cheap to count over the materialised facts) - broadcast it when that
+    # is small so the facts are not shuffled; otherwise an equi-join whose
+    # build side is unique per key (a hot value on the fact side is split by
+    # AQE)
     if fits_broadcast(vals):
         mapping = F.broadcast(mapping)
     j = facts.join(mapping, facts[value_col] == mapping["__v"], "left")
