@@ -15,20 +15,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quartermaster.operators.index import publish_all, read_published
-from quartermaster.operators.merge import merge
+from quartermaster.operators.merge import merge, merge_into_path
 
 
 def merge_landed(spark: SparkSession, landing: str, schema: str, root: str, table: str,
                  key: str | list[str], insert_cols: list[str], build: Callable[[DataFrame], DataFrame],
                  checkpoint: str, update_cols: list[str] | None = None,
-                 order_col: str = "pos") -> None:
+                 order_col: str = "pos", buckets: int | None = None,
+                 target_schema: str | None = None) -> None:
     """Merge every newly landed JSON-lines file under ``landing`` into the
     published ``table`` (last-wins by ``order_col`` inside a batch; batches
     apply in arrival order). ``build`` turns documents into source rows
-    (one of the ``*_rows`` functions)."""
+    (one of the ``*_rows`` functions). With ``buckets`` the table is kept as
+    Parquet partitioned by key bucket and each batch rewrites only the
+    buckets it touches (:func:`merge_into_path`); otherwise every batch
+    publishes a new version of the whole table."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         src = build(batch)
+        if buckets:
+            # large target: rewrite only the key buckets this batch touches
+            merge_into_path(src, f"{root.rstrip('/')}/{table}", key, insert_cols,
+                            update_cols=update_cols, order_cols=order_col, buckets=buckets,
+                            target_schema=target_schema)
+            return
         new = merge(read_published(spark, root, table), src, key, insert_cols=insert_cols,
                     update_cols=update_cols, order_cols=order_col)
         publish_all({table: new}, root, version=f"b{batch_id:012d}")

@@ -56,3 +56,22 @@ def test_streaming_merge(spark, tmp_path):
                  ["name", "short_name", "image", "category", "slash_damage", "stab_damage", "hit_radius"],
                  build, str(tmp_path / "ckpt"))
     assert rows(read_published(spark, root, "knife"), "id", "name") == [("k1", "Bayonet v2")]
+
+
+def test_streaming_merge_bucketed(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    shutil.copy(os.path.join(FIXTURES, "items.jsonl"), landing / "batch1.jsonl")
+    from quartermaster.operators.routing import catalogue_rules, route
+
+    def build(batch):
+        return knife_rows(route(batch, catalogue_rules(only=["Knife"])).drop("route"))
+
+    cols = ["name", "short_name", "image", "category", "slash_damage", "stab_damage", "hit_radius"]
+    schema = ("id string, name string, short_name string, image string, category string, "
+              "slash_damage int, stab_damage int, hit_radius double")
+    root = str(tmp_path / "db")
+    merge_landed(spark, str(landing), ITEM_SCHEMA, root, "knife", "id", cols, build,
+                 str(tmp_path / "ckpt"), buckets=4, target_schema=schema)
+    t = spark.read.parquet(f"{root}/knife")
+    assert rows(t, "id", "name") == [("k1", "Bayonet v2")]
