@@ -98,7 +98,7 @@ def main():
     if os.environ.get("QM_PLAIN_SESSION") == "1":
         # the driver's kind of session: defaults only
         from pyspark.sql import SparkSession
-        spark = (SparkSession.builder.master("local[*]")
+        spark = (SparkSession.builder.master("local[*]").config("spark.ui.enabled", "false")
                  .config("spark.sql.shuffle.partitions", "8").getOrCreate())
     else:
         spark = local_session(8)
