@@ -130,8 +130,9 @@ def publish_all(tables: dict[str, DataFrame], root: str, version: str | None = N
         path = f"{root.rstrip('/')}/{name}/v={version}"
         df.write.mode("errorifexists").parquet(path)
         paths[name] = path
-    log = spark.createDataFrame([(n, version, p) for n, p in paths.items()],
-                                "name string, version string, path string")
+    committed = _dt.datetime.now(_dt.timezone.utc)
+    log = spark.createDataFrame([(n, version, p, committed) for n, p in paths.items()],
+                                "name string, version string, path string, committed_at timestamp")
     log.coalesce(1).write.mode("append").parquet(_versions_path(root))
     return paths
 
@@ -146,7 +147,8 @@ def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The latest committed version of ``name`` (one small row read from the
     version log)."""
     log = spark.read.parquet(_versions_path(root)).filter(F.col("name") == name)
-    row = log.orderBy(F.col("version").desc()).select("path").first()
+    # latest commit wins, whatever the version labels look like
+    row = log.orderBy(F.col("committed_at").desc(), F.col("version").desc()).select("path").first()
     if row is None:
         raise FileNotFoundError(f"no published version of {name} under {root}")
     return spark.read.parquet(row["path"])

@@ -49,3 +49,10 @@ def test_contiguous_number_splits_a_hot_value(spark):
     assert got.agg(F.min("order"), F.max("order"), F.countDistinct("order")).first() == (1, 5_000, 5_000)
     hot = got.filter("k = 0").agg(F.min("order"), F.max("order")).first()
     assert hot == (1, 2_000)
+
+
+def test_latest_commit_wins_over_version_label(spark, tmp_path):
+    root = str(tmp_path / "tables")
+    publish_all({"t": spark.createDataFrame([(1,)], "x int")}, root, version="b000000000009")
+    publish_all({"t": spark.createDataFrame([(2,)], "x int")}, root, version="20240101T000000Z")
+    assert rows(read_published(spark, root, "t")) == [(2,)]
