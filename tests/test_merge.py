@@ -110,3 +110,18 @@ def test_merge_into_path_rewrites_only_touched_buckets(spark, tmp_path):
     t = spark.read.parquet(path)
     assert t.count() == 201
     assert sorted(rows(t.filter("id in (3, 1000)"), "id", "v")) == [(3, "newer3"), (1000, "n")]
+
+
+def test_bucketed_read_is_partition_pruned(spark, tmp_path):
+    import contextlib
+    import io
+    from pyspark.sql import functions as F
+    from quartermaster.operators.merge import BUCKET_COL, merge_into_path
+    path = str(tmp_path / "t")
+    src = spark.createDataFrame([(i, "v", i) for i in range(50)], "id bigint, v string, pos int")
+    merge_into_path(src, path, "id", ["v"], order_cols="pos", buckets=8, target_schema="id bigint, v string")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        spark.read.parquet(path).filter(F.col(BUCKET_COL).isin([1, 5])).explain()
+    import re
+    assert re.search(r"PartitionFilters: \[key_bucket#\d+ IN \(1,5\)\]", buf.getvalue())
