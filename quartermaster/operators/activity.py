@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from quartermaster.functions.scalars import weighted_sum
 from quartermaster.operators.joins import DEFAULT_BROADCAST_ROWS, threshold_lookup
-from quartermaster.operators.merge import update_from
 
 #: Score weights of the grading rule: attendance, posts, boards commented on.
 SCORE_WEIGHTS = (5, 10, 5)
@@ -78,15 +77,17 @@ def user_post_statistics(users: DataFrame, boards: DataFrame, comments: DataFram
 
 def total_scores(users: DataFrame, stats: DataFrame, email: str = "email",
                  attendance: str = "attendance_count",
-                 weights=SCORE_WEIGHTS) -> DataFrame:
+                 weights=SCORE_WEIGHTS, keep_all: bool = False) -> DataFrame:
     """D1 + X9: ``attendance*5 + coalesce(posts,0)*10 + coalesce(boards,0)*5``.
-    A NULL attendance gives a NULL score (T20)."""
+    A NULL attendance gives a NULL score (T20). ``keep_all`` carries every
+    user column (for updating the users table in the same pass)."""
     s = stats.select(F.col("user_email").alias("__e"), "post_count", "comment_count")
-    j = users.select(F.col(email).alias("__e"), F.col(attendance).alias("__a")) \
+    cols = users.columns if keep_all else [email]
+    j = users.select(*cols, F.col(email).alias("__e"), F.col(attendance).alias("__a")) \
         .join(s, "__e", "left")
     score = weighted_sum([("__a", weights[0]), ("post_count", weights[1]),
                           ("comment_count", weights[2])], [False, True, True])
-    return j.select(F.col("__e").alias(email), score.cast("bigint").alias("total_score"))
+    return j.select(*cols, score.cast("bigint").alias("total_score"))
 
 
 def best_grades(scores: DataFrame, grades: DataFrame, grade_id: str = "id",
@@ -107,10 +108,17 @@ def update_user_grade(users: DataFrame, stats: DataFrame, grades: DataFrame,
                       email: str = "email", attendance: str = "attendance_count",
                       grade_col: str = "grade", **kw) -> DataFrame:
     """The users table with ``grade`` set from the best grade; users
-    without a grade keep their old value (B12 left join, T20)."""
-    scores = total_scores(users, stats, email=email, attendance=attendance)
-    graded = best_grades(scores, grades, **kw).filter(F.col("grade_id").isNotNull())
-    return update_from(users, graded.select(email, "grade_id"), email, {grade_col: "grade_id"})
+    without a grade (NULL score, or below every threshold) keep their old
+    value (B12 semantics, T20).
+
+    The update source is derived from the users rows themselves (one score
+    per row, a threshold join that keeps every row), so the new grade is set
+    in the same pass - no join back to the users table."""
+    scores = total_scores(users, stats, email=email, attendance=attendance, keep_all=True)
+    graded = best_grades(scores, grades, **kw)
+    return graded.select(*[
+        F.coalesce(F.col("grade_id").cast(users.schema[grade_col].dataType), F.col(grade_col))
+        .alias(grade_col) if c == grade_col else F.col(c) for c in users.columns])
 
 
 def grades_max_by(scores: DataFrame, grades: DataFrame, email: str = "email",

@@ -1832,3 +1832,18 @@ def q_catalogue_provisions(spark, d):
                      F.get_json_object("stim_effects", "$[0].krSkill").alias("first_label"),
                      F.element_at(F.from_json("stim_effects", "array<struct<krSkill:string>>"), -1)
                      ["krSkill"].alias("last_label"))
+
+
+@register("update_from_join", """
+WITH s AS (SELECT o_custkey, CAST(COUNT(*) AS DOUBLE) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey)
+SELECT c_custkey, CASE WHEN s.o_custkey IS NOT NULL THEN s.n ELSE c_acctbal END AS c_acctbal
+FROM customer LEFT JOIN s ON c_custkey = s.o_custkey
+""")
+def q_update_from_join(spark, d):
+    """``UPDATE t SET c = s.x FROM s WHERE t.k = s.k`` - unmatched
+    target rows unchanged; the source is an aggregate (one row per key)."""
+    from quartermaster.operators.merge import update_from
+    c = read_table(spark, d, "customer").select("c_custkey", "c_acctbal")
+    s = (read_table(spark, d, "orders").filter(F.col("o_orderstatus") == "F")
+         .groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).cast("double").alias("n")))
+    return update_from(c, s, "c_custkey", {"c_acctbal": "n"})
