@@ -269,9 +269,9 @@ def encode_decode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     return d.mapInArrow(batches, f"doc_id {kind}, ids array<int>, decoded string")
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)``."""
-    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+def digests(encoded: DataFrame, *more: str) -> DataFrame:
+    """``(doc_id, *more, n_tokens, ids_sha256, decoded_sha256)``."""
+    return encoded.select("doc_id", *more, F.size("ids").cast("long").alias("n_tokens"),
                           F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 

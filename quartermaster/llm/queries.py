@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from quartermaster.llm import simhash
+from quartermaster.llm import lines, mixing, pieces, quality, simhash
 
 #: query name -> function of (spark, sf_dir)
 QUERIES = {
+    "op1_quality_classifier": quality.op1_quality_classifier,
+    "op4_mixing": mixing.op4_mixing,
     "op6_simhash_near_dedup": simhash.op6_simhash_near_dedup,
+    "op8_sentencepiece": pieces.op8_sentencepiece,
+    "op9_line_dedup": lines.op9_line_dedup,
 }
 
 #: query name -> DuckDB SQL, where SQL can express it on whole tables
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_mixing": mixing.ORACLE,
+    "op9_line_dedup": lines.ORACLE,
+}

@@ -291,5 +291,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (all columns) that stay: of each group of linked
+    documents the one with the smallest doc_id. Rows that share that doc_id
+    count as one document, of which one row stays. Rows without doc_id stay
+    when no member of their group has one."""
+    found = near_duplicates(docs)
+    keep = materialize(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+                       .groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")))
+    once = keep.filter("n = 1 or doc_id is null").select(F.col("doc_id").alias("__id"))
+    out = docs.join(once, docs["doc_id"].eqNullSafe(once["__id"]), "left_semi")
+    more = keep.filter("n > 1 and doc_id is not null").select(F.col("doc_id").alias("__id"))
+    if more.take(1):
+        rows = docs.join(more, docs["doc_id"] == more["__id"], "left_semi")
+        out = out.union(rows.dropDuplicates(["doc_id"]))
+    return out
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
