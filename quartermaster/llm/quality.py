@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quartermaster.llm.common import binary_column, byte_chunks, ids_and_texts, read
 
@@ -243,7 +244,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     shared = docs.sparkSession.sparkContext.broadcast(weights)
     names = docs.columns
     mark = "__accepted"
-    schema = docs.schema.add(mark, "boolean")
+    schema = T.StructType([*docs.schema.fields, T.StructField(mark, T.BooleanType())])
     at = names.index("text")
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
