@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from quartermaster.llm import lines, mixing, pieces, quality, simhash, winnowing
+from quartermaster.llm import lattice, lines, mixing, pieces, quality, secrets, simhash, winnowing
 
 #: query name -> function of (spark, sf_dir)
 QUERIES = {
     "op1_quality_classifier": quality.op1_quality_classifier,
+    "op3_secret_scan": secrets.op3_secret_scan,
     "op4_mixing": mixing.op4_mixing,
     "op5_fingerprints": winnowing.op5_fingerprints,
     "op6_simhash_near_dedup": simhash.op6_simhash_near_dedup,
     "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_line_dedup": lines.op9_line_dedup,
+    "op10_embedding_near_dedup": lattice.op10_embedding_near_dedup,
 }
 
 #: query name -> DuckDB SQL, where SQL can express it on whole tables
