@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from quartermaster.llm import lattice, lines, mixing, pieces, quality, secrets, simhash, winnowing
+from quartermaster.llm import lattice, licenses, lines, mixing, pieces, quality, secrets, simhash, winnowing
 
 #: query name -> function of (spark, sf_dir)
 QUERIES = {
     "op1_quality_classifier": quality.op1_quality_classifier,
+    "op2_license_scan": licenses.op2_license_scan,
     "op3_secret_scan": secrets.op3_secret_scan,
     "op4_mixing": mixing.op4_mixing,
     "op5_fingerprints": winnowing.op5_fingerprints,
