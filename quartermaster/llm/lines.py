@@ -40,7 +40,7 @@ def _lines(text: Column) -> Column:
 
 
 def later_windows(docs: DataFrame) -> DataFrame:
-    """``(key, positions)``: per row key of ``docs`` the positions (from 0) of
+    """``(key, doc_id, positions)``: per row key of ``docs`` the positions (from 0) of
     its windows that are not the first of their kind. Rows that share doc_id
     and text count as one."""
     d = docs.select(docs["doc_id"].alias("doc_id"), row_key(docs).alias("key"), _lines(docs["text"]).alias("lines"))
@@ -55,8 +55,8 @@ def later_windows(docs: DataFrame) -> DataFrame:
     first = (rows.groupBy("h", "g").agg(F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "pos")).alias("first")))
     later = (rows.join(first, ["h", "g"])
              .filter(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("pos") == F.col("first.pos"))))
-             .select("key", "pos"))
-    return later.groupBy("key").agg(F.collect_set("pos").alias("positions"))
+             .select("key", "doc_id", "pos"))
+    return later.groupBy("key", "doc_id").agg(F.collect_set("pos").alias("positions"))
 
 
 def dedup_lines(docs: DataFrame, counts: bool = False) -> DataFrame:
@@ -70,8 +70,8 @@ def dedup_lines(docs: DataFrame, counts: bool = False) -> DataFrame:
     equal lines the first stays). Rows that repeat a document are treated
     alike; a NULL doc_id comes after all others. Extra columns are kept.
     """
-    found = later_windows(docs).select(F.col("key").alias("__key"), F.col("positions").alias("__positions"))
-    d = docs.withColumn("__key", row_key(docs)).join(found, "__key", "left")
+    found = later_windows(docs).withColumnsRenamed({"key": "__key", "doc_id": "__id", "positions": "__positions"})
+    d = docs.join(found, (row_key(docs) == found["__key"]) & docs["doc_id"].eqNullSafe(found["__id"]), "left")
     covered = F.flatten(F.transform("__positions", lambda p: F.array(*(p + k for k in range(WINDOW)))))
     d = d.withColumn("__lines", F.when(F.col("__positions").isNotNull(), _lines(F.col("text"))))
     d = d.withColumn("__kept", F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), covered))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quartermaster.llm import lattice, licenses, lines, mixing, pieces, quality, secrets, simhash, winnowing
+from quartermaster.llm import lattice, licenses, lines, mixing, pieces, quality, secrets, simhash, suffix_dedup, winnowing
 
 #: query name -> function of (spark, sf_dir)
 QUERIES = {
@@ -12,6 +12,7 @@ QUERIES = {
     "op4_mixing": mixing.op4_mixing,
     "op5_fingerprints": winnowing.op5_fingerprints,
     "op6_simhash_near_dedup": simhash.op6_simhash_near_dedup,
+    "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
     "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_line_dedup": lines.op9_line_dedup,
     "op10_embedding_near_dedup": lattice.op10_embedding_near_dedup,
@@ -20,5 +21,6 @@ QUERIES = {
 #: query name -> DuckDB SQL, where SQL can express it on whole tables
 ORACLE: dict[str, str] = {
     "op4_mixing": mixing.ORACLE,
+    "op7_suffix_dedup": suffix_dedup.ORACLE,
     "op9_line_dedup": lines.ORACLE,
 }
