@@ -205,8 +205,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int
             .select("text", "label", F.explode(F.sequence(F.lit(1), F.lit(EPOCHS))).alias("epoch"), "id"))
     order = ["epoch", F.xxhash64("epoch", "id"), "text"]
     sample = rows.repartition(1).sortWithinPartitions(*order).select("text", "label")
-    blob = sample.mapInArrow(_train_batches, "weights binary").first()["weights"]
-    return np.frombuffer(blob, np.float32)
+    found = sample.mapInArrow(_train_batches, "weights binary").first()
+    return np.frombuffer(found["weights"], np.float32) if found else np.zeros((1 << BITS) + 1, np.float32)
 
 
 # ------------------------------------------------------------------ scoring
