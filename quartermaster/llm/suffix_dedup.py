@@ -15,18 +15,20 @@ input. Matches never cross texts.
    (``run_index``), whose matching statistics are streamed and marked where
    they reach ``length``. A window lies in one segment only, so a match
    within a block is a match between two places of the table.
-4. A gram with very many segments would be a group of its own that grows
-   with the table; the windows of such grams are counted by digest instead,
-   with map-side combining.
+4. A gram with very many segments is dealt out in parts, so that no group
+   grows with the table. The blocks of such grams also give out a digest of
+   each distinct window they hold; a window that is unique in its block but
+   has its digest in another one repeats as well.
 5. The spans of each text are merged and cut out of it.
 
-The texts are dealt out once by row; both joins that need them read the same
-shuffle.
+Only narrow rows (a few numbers per segment) and the bytes of step 3 are
+shuffled besides the texts themselves, which two joins deal out by row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +40,7 @@ from quartermaster.llm.common import binary_column, long_array, read, row_key, s
 from quartermaster.llm.run_index import SEPARATOR, RunIndex
 
 LENGTH = 200
-#: bytes in one index, and the segments of a gram from which digests are counted
+#: bytes in one index, and the most segments of a gram in one part
 BLOCK, HOT = 1 << 20, 4096
 
 ORACLE = r"""
@@ -84,7 +86,8 @@ def _repeated(docs: DataFrame) -> DataFrame:
         _segment_batches, f"doc_id {kind}, key long, first long, windows int, gram long, content long")
     grams = (rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("content").alias("lo"), F.max("content").alias("hi"))
              .filter("n > 1").select("gram", "n", (F.col("lo") == F.col("hi")).alias("alike")))
-    return rows.join(grams, "gram")
+    # written first: the join then reads two plain shuffles, and Spark can split a hot gram
+    return rows.join(stage(grams), "gram")
 
 
 # ------------------------------------------------------------------- blocks
@@ -105,93 +108,88 @@ def repeated_windows(segments: list[bytes], length: int = LENGTH) -> list[np.nda
 
 
 def _fetch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, key, text, wanted) -> (gram, hot, doc_id, key, first, bytes)."""
+    """(doc_id, key, text, wanted) -> (route, hot, doc_id, key, first, bytes)."""
     for batch in batches:
         texts = binary_column(batch, "text")
-        rows, gram, hot, first, parts, size = [], [], [], [], [], 0
+        rows, route, hot, first, parts, size = [], [], [], [], [], 0
         for row, wanted in enumerate(batch.column(batch.schema.get_field_index("wanted")).to_pylist()):
             for w in wanted:
                 rows.append(row)
-                gram.append(w["gram"])
+                route.append(w["route"])
                 hot.append(w["hot"])
                 first.append(w["first"])
                 parts.append(texts[row][w["first"]:w["first"] + w["windows"] + LENGTH - 1])
                 size += len(parts[-1])
                 if size > BLOCK:
-                    yield _fetched(batch, rows, gram, hot, first, parts)
-                    rows, gram, hot, first, parts, size = [], [], [], [], [], 0
+                    yield _fetched(batch, rows, route, hot, first, parts)
+                    rows, route, hot, first, parts, size = [], [], [], [], [], 0
         if rows:
-            yield _fetched(batch, rows, gram, hot, first, parts)
+            yield _fetched(batch, rows, route, hot, first, parts)
 
 
-def _fetched(batch, rows, gram, hot, first, parts) -> pa.RecordBatch:
+def _fetched(batch, rows, route, hot, first, parts) -> pa.RecordBatch:
     at = pa.array(rows, pa.int32())
     return pa.RecordBatch.from_arrays(
-        [pa.array(gram, pa.int64()), pa.array(hot, pa.bool_()), batch.column(0).take(at), batch.column(1).take(at),
+        [pa.array(route, pa.int64()), pa.array(hot, pa.bool_()), batch.column(0).take(at), batch.column(1).take(at),
          pa.array(first, pa.int64()), pa.array(parts, pa.binary())],
-        names=["gram", "hot", "doc_id", "key", "first", "bytes"])
+        names=["route", "hot", "doc_id", "key", "first", "bytes"])
 
 
 def _index_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by gram -> spans; an index holds whole grams."""
+    """Rows sorted by route -> spans (doc_id, key, start, end) of repeated
+    windows, and for hot rows also a row with a digest for each distinct
+    window of the block; ``alone`` says that the block holds it once."""
     held: list[pa.RecordBatch] = []
     size = 0
 
-    def spans(rows: pa.Table) -> pa.RecordBatch:
-        parts = rows.column("bytes").to_pylist()
-        at, start, end = [], [], []
-        first = rows.column("first").to_pylist()
+    def results(rows: pa.Table) -> pa.RecordBatch:
+        parts, first, hot = (rows.column(c).to_pylist() for c in ("bytes", "first", "hot"))
+        at, start, end, digest, alone = [], [], [], [], []
+        seen = set()
         for i, marked in enumerate(repeated_windows(parts)):
-            if marked.any():
-                a, b = _runs(marked)
-                at += [i] * len(a)
-                start += (first[i] + a).tolist()
-                end += (first[i] + b + LENGTH).tolist()
-        take = pa.array(at, pa.int64())
-        ids = rows.select(["doc_id", "key"]).combine_chunks().take(take)
+            a, b = _runs(marked)
+            at += [i] * len(a)
+            start += (first[i] + a).tolist()
+            end += (first[i] + b + LENGTH).tolist()
+            digest += [None] * len(a)
+            alone += [False] * len(a)
+            if not hot[i]:
+                continue
+            for k, again in enumerate(marked.tolist()):
+                d = blake2b(parts[i][k:k + LENGTH], digest_size=16).digest()
+                if again and d in seen:
+                    continue
+                seen.add(d)
+                at.append(i)
+                start.append(first[i] + k)
+                end.append(first[i] + k + LENGTH)
+                digest.append(d)
+                alone.append(not again)
+        ids = rows.select(["doc_id", "key"]).take(pa.array(at, pa.int64())).combine_chunks()
+        one = lambda c: c.chunk(0) if c.num_chunks else pa.array([], c.type)
         return pa.RecordBatch.from_arrays(
-            [ids.column(0).combine_chunks(), ids.column(1).combine_chunks(), pa.array(start, pa.int64()), pa.array(end, pa.int64())],
-            names=["doc_id", "key", "start", "end"])
+            [one(ids.column(0)), one(ids.column(1)), pa.array(start, pa.int64()), pa.array(end, pa.int64()),
+             pa.array(digest, pa.binary()), pa.array(alone, pa.bool_())],
+            names=["doc_id", "key", "start", "end", "digest", "alone"])
 
     for batch in batches:
-        # whole grams up to the last one in the batch, which may go on
-        gram = batch.column(0).to_numpy()
+        # whole routes up to the last one in the batch, which may go on
+        route = batch.column(0).to_numpy()
+        lengths = np.array([len(x) for x in batch.column("bytes").to_pylist()], np.int64)
         a = 0
-        while a < len(gram):
-            sizes = np.cumsum([len(x) for x in batch.column(4)[a:].to_pylist()])
-            b = a + int(np.searchsorted(sizes, BLOCK - size)) + 1
-            if b >= len(gram):
-                break
-            border = np.flatnonzero(gram[b:] != gram[b - 1])
+        while a < len(route):
+            b = a + int(np.searchsorted(np.cumsum(lengths[a:]), BLOCK - size)) + 1
+            border = np.flatnonzero(route[b:] != route[b - 1:-1]) if b < len(route) else []
             if not len(border):
                 break
             b += int(border[0])
-            yield spans(pa.Table.from_batches([*held, batch.slice(a, b - a)]))
+            yield results(pa.Table.from_batches([*held, batch.slice(a, b - a)]))
             held, size, a = [], 0, b
-        if a < len(gram):
+        if a < len(route):
             held.append(batch.slice(a))
-            size += sum(len(x) for x in batch.column(4)[a:].to_pylist())
+            size += int(lengths[a:].sum())
     if held:
-        yield spans(pa.Table.from_batches(held))
-
-
-def _digest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every window of segments of hot grams, by digest."""
-    from hashlib import blake2b
-    for batch in batches:
-        first = batch.column(batch.schema.get_field_index("first")).to_pylist()
-        parts = batch.column(batch.schema.get_field_index("bytes")).to_pylist()
-        for a in range(0, len(parts), 256):
-            at, start, digest = [], [], []
-            for i in range(a, min(a + 256, len(parts))):
-                n = len(parts[i]) - LENGTH + 1
-                at += [i] * n
-                start += range(first[i], first[i] + n)
-                digest += [blake2b(parts[i][k:k + LENGTH], digest_size=16).digest() for k in range(n)]
-            take = pa.array(at, pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index("doc_id")).take(take), batch.column(batch.schema.get_field_index("key")).take(take),
-                 pa.array(start, pa.int64()), pa.array(digest, pa.binary())], names=["doc_id", "key", "start", "digest"])
+        yield results(pa.Table.from_batches(held))
 
 
 # ------------------------------------------------------------------ removal
@@ -251,24 +249,24 @@ def dedup(docs: DataFrame) -> DataFrame:
     kinds = mixed.groupBy("gram", "content", "windows").agg(F.count(F.lit(1)).alias("m"), F.min(place).alias("p"), F.max("n").alias("n"))
     again = kinds.filter("m > 1").select("gram", "content")
     sure = span(rows.filter("alike")).union(span(mixed.join(again, ["gram", "content"], "left_semi")))
-    wanted = (kinds.select("p.key", "p.doc_id", F.struct("gram", (F.col("n") > HOT).alias("hot"), F.col("p.first").alias("first"), "windows").alias("w"))
-              .groupBy("key", "doc_id").agg(F.collect_list("w").alias("wanted")))
+    part = F.when(F.col("n") > HOT, F.pmod(F.xxhash64("p.key", "p.first"), F.ceil(F.col("n") / HOT))).otherwise(0)
+    wanted = (kinds.select("p.key", "p.doc_id", F.struct(
+        F.xxhash64("gram", part).alias("route"), (F.col("n") > HOT).alias("hot"), F.col("p.first").alias("first"), "windows").alias("w"))
+        .groupBy("key", "doc_id").agg(F.collect_list("w").alias("wanted")))
 
     def with_texts(x: DataFrame, how: str) -> DataFrame:
-        """Joined by the same two columns each time: one shuffle of the texts."""
         x = x.withColumnsRenamed({"key": "__key", "doc_id": "__id"})
         return d.join(x, (d["key"] == x["__key"]) & d["doc_id"].eqNullSafe(x["__id"]), how)
 
-    fetched = stage(with_texts(wanted, "inner").select("doc_id", "key", "text", "wanted").mapInArrow(
-        _fetch_batches, f"gram long, hot boolean, doc_id {kind}, key long, first long, bytes binary"))
-    indexed = (fetched.filter("not hot").drop("hot").repartition(n, "gram").sortWithinPartitions("gram")
-               .select("gram", "doc_id", "key", "first", "bytes")
-               .mapInArrow(_index_batches, f"doc_id {kind}, key long, start long, end long"))
-    windows = fetched.filter("hot").mapInArrow(_digest_batches, f"doc_id {kind}, key long, start long, digest binary")
-    twice = windows.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest")
-    counted = (windows.join(twice, "digest", "left_semi")
-               .select("doc_id", "key", "start", (F.col("start") + LENGTH).alias("end")))
-    spans = (sure.union(indexed).union(counted).groupBy("key", "doc_id")
+    fetched = with_texts(wanted, "inner").select("doc_id", "key", "text", "wanted").mapInArrow(
+        _fetch_batches, f"route long, hot boolean, doc_id {kind}, key long, first long, bytes binary")
+    found = stage(fetched.repartition(n, "route").sortWithinPartitions("route").mapInArrow(
+        _index_batches, f"doc_id {kind}, key long, start long, end long, digest binary, alone boolean"))
+    indexed = found.filter("digest is null").select("doc_id", "key", "start", "end")
+    twice = (found.filter("digest is not null").groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
+             .filter("n > 1").select("digest"))
+    across = found.filter("alone").join(twice, "digest", "left_semi").select("doc_id", "key", "start", "end")
+    spans = (sure.union(indexed).union(across).groupBy("key", "doc_id")
              .agg(F.collect_set(F.struct("start", "end")).alias("spans")))
     return with_texts(spans, "left").select("doc_id", "text", "spans").mapInArrow(
         _cut_batches, f"doc_id {kind}, n_bytes long, spans array<struct<start long, end long>>, kept binary")
