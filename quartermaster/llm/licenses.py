@@ -27,7 +27,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quartermaster.llm.common import materialize, read, row_key
+from quartermaster.llm.common import materialize, read, row_key, stage
 
 UNKNOWN = "unknown"
 CONFIRM = 0.8
@@ -218,10 +218,13 @@ def scan(docs: DataFrame) -> DataFrame:
     empty texts none."""
     model, classes, least = train(docs)
     d = docs.select(docs["doc_id"].alias("doc_id"), row_key(docs).alias("key"), docs["text"].alias("text"))
-    lines = (d.filter(has_stem(F.col("text"))).dropDuplicates(["key"])
+    lines = (d.filter(has_stem(F.col("text")))
              .select("doc_id", "key", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-             .filter(has_stem(F.col("line"))))
-    found = _believed(model, classes, _featured(lines)).filter((F.col("family") != UNKNOWN) & (F.col("probability") >= least))
+             .filter(has_stem(F.col("line"))).dropDuplicates(["key", "pos"]))
+    # the few lines with a stem are written with their terms: a condition on the prediction would
+    # otherwise be moved down to where every mention of a term reads the line anew
+    lines = stage(_featured(lines).drop("line"))
+    found = _believed(model, classes, lines).filter((F.col("family") != UNKNOWN) & (F.col("probability") >= least))
     wanted = docs.sparkSession.createDataFrame([(f, n) for f, notices in TEMPLATES.items() for n in notices],
                                                "family string, line string")
     wanted = _featured(wanted).select(F.col("family").alias("f"), F.array_distinct("pairs").alias("want"))
