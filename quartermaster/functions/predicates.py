@@ -41,5 +41,5 @@ def below(c, bound) -> Column:
 
 
 def is_false(c) -> Column:
-    """``flag = FALSE`` - NULL flags do not pass."""
-    return F.coalesce(_c(c) == F.lit(False), F.lit(False))
+    """``flag = FALSE`` - as a filter; a NULL flag does not pass."""
+    return _c(c) == F.lit(False)

@@ -11,47 +11,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quartermaster.functions.predicates import is_false
 from quartermaster.functions.scalars import weighted_sum
-from quartermaster.operators.joins import DEFAULT_BROADCAST_ROWS, threshold_lookup
+from quartermaster.operators.joins import threshold_lookup
 
 #: Score weights of the grading rule: attendance, posts, boards commented on.
 SCORE_WEIGHTS = (5, 10, 5)
 
 
-def post_counts(users: DataFrame, boards: DataFrame, email: str = "email",
-                writer: str = "writer") -> DataFrame:
-    """D5 + E1: posts per writer, restricted to known users.
-
-    The semi join only trims the aggregate input; ``count`` plans as a
-    partial + final aggregate, so a prolific writer is pre-counted on the
-    map side before the shuffle.
-    """
-    u = users.select(F.col(email).alias("__e"))
-    b = boards.select(F.col(writer).alias("__e"))
-    return (b.join(u, "__e", "left_semi")
+def post_counts(boards: DataFrame, writer: str = "writer") -> DataFrame:
+    """Posts per writer. Counted before anything is joined: each map task
+    sends one row per writer, so a prolific writer never meets in one task.
+    Writers that are no users drop out of the left join that starts from the
+    users (D5)."""
+    return (boards.select(F.col(writer).alias("__e")).filter(F.col("__e").isNotNull())
             .groupBy("__e").agg(F.count(F.lit(1)).alias("total_posts")))
 
 
-def comment_counts(users: DataFrame, boards: DataFrame, comments: DataFrame,
-                   email: str = "email", board_id: str = "id",
-                   c_board: str = "board_id", c_user: str = "user_email",
+def comment_counts(boards: DataFrame, comments: DataFrame,
+                   board_id: str = "id", c_board: str = "board_id", c_user: str = "user_email",
                    deleted_flags=("is_delete_by_user", "is_delete_by_admin")) -> DataFrame:
     """D3 + C8 + E2 (T19): number of *distinct existing boards* each user
     commented on, counting only comments whose delete flags are FALSE
     (NULL flags are excluded, as ``flag = FALSE`` does).
 
     Flags are filtered before anything else; comments are reduced to
-    distinct (user, board) pairs before they meet the boards, so a popular
-    board contributes one row per commenter, not one per comment. The join to
-    boards only tests existence (semi join): ``COUNT(DISTINCT board.id)``
-    over an inner join equals the count of distinct pairs that have a board.
+    distinct (user, board) pairs - on the map side first, and dealt out by
+    both columns - before they meet the boards, so neither a popular board
+    nor a busy user is one group. The join to boards only tests existence
+    (semi join): ``COUNT(DISTINCT board.id)`` over an inner join equals the
+    count of distinct pairs that have a board. The final count is again
+    combined on the map side.
     """
     c = comments
     for flag in deleted_flags:
-        c = c.filter(F.col(flag) == F.lit(False))
-    pairs = (c.select(F.col(c_user).alias("__e"), F.col(c_board).alias("__b"))
-             .join(users.select(F.col(email).alias("__e")), "__e", "left_semi")
-             .distinct())
+        c = c.filter(is_false(flag))
+    pairs = c.select(F.col(c_user).alias("__e"), F.col(c_board).alias("__b")).dropna().distinct()
     existing = pairs.join(boards.select(F.col(board_id).alias("__b")), "__b", "left_semi")
     return existing.groupBy("__e").agg(F.count(F.lit(1)).alias("total_comments"))
 
@@ -61,8 +56,8 @@ def user_post_statistics(users: DataFrame, boards: DataFrame, comments: DataFram
     """P29 source rows: ``(user_email, post_count, comment_count)`` for every
     user, zero-filled (D2 + E3). Users repeated in ``users`` repeat here,
     which the set-based upsert then rejects (B3)."""
-    p = post_counts(users, boards, email=email, writer=names.get("writer", "writer"))
-    c = comment_counts(users, boards, comments, email=email,
+    p = post_counts(boards, writer=names.get("writer", "writer"))
+    c = comment_counts(boards, comments,
                        board_id=names.get("board_id", "id"),
                        c_board=names.get("c_board", "board_id"),
                        c_user=names.get("c_user", "user_email"),
@@ -91,16 +86,12 @@ def total_scores(users: DataFrame, stats: DataFrame, email: str = "email",
 
 
 def best_grades(scores: DataFrame, grades: DataFrame, grade_id: str = "id",
-                grade_score: str = "score",
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                force_sweep: bool = False) -> DataFrame:
+                grade_score: str = "score", strategy: str = "broadcast") -> DataFrame:
     """D4 + W1 / E6: the grade with the highest threshold not above the
     score (ties on the threshold: highest grade id). Users with a NULL score
     or a score below every threshold get a NULL grade."""
     return threshold_lookup(scores, "total_score", grades, grade_score,
-                            payload=[grade_id], tie_cols=[grade_id], prefix="grade_",
-                            max_broadcast_rows=max_broadcast_rows,
-                            force_sweep=force_sweep) \
+                            payload=[grade_id], tie_cols=[grade_id], prefix="grade_", strategy=strategy) \
         .withColumnRenamed(f"grade_{grade_id}", "grade_id")
 
 
@@ -122,19 +113,9 @@ def update_user_grade(users: DataFrame, stats: DataFrame, grades: DataFrame,
 
 
 def grades_max_by(scores: DataFrame, grades: DataFrame, email: str = "email",
-                  grade_id: str = "id", grade_score: str = "score",
-                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                  grade_id: str = "id", grade_score: str = "score", strategy: str = "broadcast") -> DataFrame:
     """``max_by(grade id, (threshold, id))`` over the grades a score
-    reaches - graded users only. With a checked small grade table this is a
-    broadcast nested-loop join (at most |grades| rows per user, a bound of
-    the parameter table) followed by a partial + final aggregate; otherwise
-    the distributed sweep of :func:`best_grades`."""
-    from quartermaster.operators.joins import fits_broadcast
-    g = grades.select(F.col(grade_id).alias("__gid"), F.col(grade_score).alias("__gs"))
-    if fits_broadcast(g, max_broadcast_rows):
-        j = scores.join(F.broadcast(g), F.col("total_score") >= F.col("__gs"), "inner")
-        return (j.groupBy(email)
-                .agg(F.max_by("__gid", F.struct("__gs", "__gid")).alias("grade_id")))
-    return (best_grades(scores, grades, grade_id=grade_id, grade_score=grade_score,
-                        max_broadcast_rows=max_broadcast_rows)
+    reaches - graded users only. Same route as :func:`best_grades`: at most
+    one grade per user is ever produced."""
+    return (best_grades(scores, grades, grade_id=grade_id, grade_score=grade_score, strategy=strategy)
             .filter(F.col("grade_id").isNotNull()).select(email, "grade_id"))

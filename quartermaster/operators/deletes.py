@@ -12,7 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quartermaster.functions.predicates import at_least, below
 from quartermaster.functions.scalars import as_of_lit
+from quartermaster.session import materialize
 
 
 def _keys(on: str | Sequence[str]) -> list[str]:
@@ -63,11 +65,6 @@ def delete_not_exists(df: DataFrame, parent: DataFrame, on: str | Sequence[str],
     return df.join(k, cond, "left_semi")
 
 
-def deleted_not_exists(df: DataFrame, parent: DataFrame, on, key_on=None) -> DataFrame:
-    k, cond = _on(df, parent, on, key_on)
-    return df.join(k, cond, "left_anti")
-
-
 def cascade_delete(parent: DataFrame, key: str, expiry_col: str, as_of,
                    children: dict[str, tuple[DataFrame, str]]) -> dict[str, DataFrame]:
     """Expired parents remove their children, then themselves.
@@ -79,7 +76,8 @@ def cascade_delete(parent: DataFrame, key: str, expiry_col: str, as_of,
     Returns ``{"parent": kept_parents, name: kept_children, ...}``.
     """
     cond = expired(expiry_col, as_of)
-    gone = deleted_where(parent, cond).select(F.col(key).alias("__gone")).distinct()
+    # written once: every child reads the same set, whatever happens to the parents meanwhile
+    gone = materialize(deleted_where(parent, cond).select(F.col(key).alias("__gone")).distinct())
     out = {"parent": delete_where(parent, cond)}
     for name, (child, ck) in children.items():
         out[name] = delete_in(child, gone, ck, "__gone")
@@ -99,10 +97,10 @@ def issue_board(issues: DataFrame, boards: DataFrame, like_bound: int = 10,
     from quartermaster.operators.merge import merge
 
     insert_map = insert_map or {"board_type": "type", "create_time": "create_time"}
-    demoted = boards.filter(F.col(likes) < like_bound).select(board_id)
+    demoted = boards.filter(below(likes, like_bound)).select(board_id)
     step1 = delete_in(issues, demoted, board_key, board_id)
     step2 = delete_not_exists(step1, boards.select(board_id), board_key, board_id)
-    promoted = boards.filter(F.col(likes) >= like_bound).select(
+    promoted = boards.filter(at_least(likes, like_bound)).select(
         F.col(board_id).alias(board_key),
         *[F.col(src).alias(dst) for dst, src in insert_map.items()])
     return merge(step2, promoted, board_key, insert_cols=list(insert_map),

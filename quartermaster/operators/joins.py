@@ -1,129 +1,101 @@
-"""Join helpers: size-checked broadcast and the backward threshold join.
+"""The backward threshold join (D4 + W1 / E6) in two strategies.
 
-A broadcast is only planned for a side whose row count has been checked
-against a bound; beyond the bound the operators fall back to a plan whose
-memory use does not grow with that side.
+Which one runs is the caller's explicit choice; both give the same rows.
+Ordinary lookups in this package are plain equi-joins: Spark broadcasts a
+side from its measured size at run time, and no job counts anything while a
+query is being built.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quartermaster.session import materialize
 
-#: Parameter / threshold tables above this many rows are not broadcast.
-DEFAULT_BROADCAST_ROWS = 100_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan
-    early), so it is cheap for small tables and bounded for large ones.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if its size is within the bound, else ``df`` as is
-    (AQE may still broadcast it at run time if it turns out small)."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+#: Most rows a threshold table may have under ``strategy="broadcast"``; a
+#: larger one fails the job (use ``strategy="sweep"``).
+BROADCAST_THRESHOLDS = 10_000
 
 
 def threshold_lookup(facts: DataFrame, value_col: str, thresholds: DataFrame,
                      threshold_col: str, payload: Sequence[str],
                      tie_cols: Sequence[str] = (), prefix: str = "",
-                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                     force_sweep: bool = False) -> DataFrame:
+                     strategy: str = "broadcast") -> DataFrame:
     """D4 + W1/E6: attach to every fact the threshold row with the largest
-    ``threshold_col <= value_col`` (ties on the threshold broken by the
-    largest ``tie_cols``). Facts without such a row (value NULL or below the
-    lowest threshold) get NULL payload; every fact row is kept exactly once.
+    ``threshold_col <= value_col``. Ties on the threshold go to the largest
+    ``tie_cols``, then to the largest payload, so the result does not depend
+    on the strategy or on row order. Facts without such a row (value NULL or
+    below the lowest threshold) get NULL payload; every fact row is kept
+    exactly once.
 
     Equivalent to ``JOIN ... ON value >= threshold`` followed by
     ``ROW_NUMBER() OVER (PARTITION BY fact ORDER BY threshold DESC) = 1``,
     without materialising the fact x threshold pairs.
 
-    * small threshold table (checked): intervals ``[t_i, t_{i+1})`` are
-      computed on the small table, and one broadcast nested-loop *left* join
-      matches each fact to at most one interval - no shuffle of the facts;
-    * large threshold table: :func:`_threshold_sweep`.
+    * ``broadcast``: for a parameter table of at most
+      :data:`BROADCAST_THRESHOLDS` distinct thresholds (more fail the job at
+      run time). Intervals ``[t_i, t_{i+1})`` are computed on that table, and
+      one broadcast left join matches each fact to at most one interval - no
+      shuffle of the facts.
+    * ``sweep``: any size, any orderable type (:func:`_threshold_sweep`).
     """
-    payload = list(payload)
-    ties = list(tie_cols)
-    thr = thresholds.select(F.col(threshold_col).alias("__t"), *payload, *ties) \
-        .filter(F.col("__t").isNotNull())
-    if not force_sweep and fits_broadcast(thr, max_broadcast_rows):
-        best = (thr.groupBy("__t")
-                .agg(F.max_by(F.struct(*payload), F.struct(*ties) if ties else F.lit(0)).alias("__p")))
-        w = Window.orderBy("__t")  # small, checked table: one partition is fine
-        intervals = best.select("__t", F.lead("__t").over(w).alias("__next"), "__p")
+    if strategy not in ("broadcast", "sweep"):
+        raise ValueError("strategy must be 'broadcast' or 'sweep'")
+    payload, ties = list(payload), list(tie_cols)
+    thr = (thresholds.select(F.col(threshold_col).alias("__t"), F.struct(*payload).alias("__p"),
+                             F.struct(*ties, F.struct(*payload).alias("__all")).alias("__r"))
+           .filter(F.col("__t").isNotNull())
+           .groupBy("__t").agg(F.max_by("__p", "__r").alias("__p")))
+    if strategy == "sweep":
+        j = _threshold_sweep(facts, value_col, thr)
+    else:
+        w = Window.orderBy("__t")  # a bounded parameter table: one partition is fine
+        checked = F.when(F.count(F.lit(1)).over(Window.partitionBy()) > BROADCAST_THRESHOLDS, F.raise_error(F.lit(
+            f"more than {BROADCAST_THRESHOLDS} thresholds: use strategy='sweep'"))).otherwise(F.col("__t"))
+        intervals = thr.select(checked.alias("__t"), F.lead("__t").over(w).alias("__next"), "__p")
         cond = (F.col(value_col) >= F.col("__t")) & \
             (F.col("__next").isNull() | (F.col(value_col) < F.col("__next")))
         j = facts.join(F.broadcast(intervals), cond, "left")
-        return j.select(*facts.columns,
-                        *[F.col("__p")[c].alias(prefix + c) for c in payload])
-    return _threshold_sweep(facts, value_col, thr, payload, ties, prefix)
+    return j.select(*facts.columns, *[F.col("__p")[c].alias(prefix + c) for c in payload])
 
 
-def _threshold_sweep(facts: DataFrame, value_col: str, thr: DataFrame,
-                     payload: list[str], ties: list[str], prefix: str,
-                     buckets: int | None = None) -> DataFrame:
-    """Distributed backward as-of lookup for a large threshold table.
+def _threshold_sweep(facts: DataFrame, value_col: str, thr: DataFrame) -> DataFrame:
+    """Distributed backward as-of lookup.
 
     1. reduce the facts to their distinct values (partial aggregation absorbs
-       a hot value), 2. cut the value axis into ``buckets`` ranges from
-       approximate quantiles (a bounded list on the driver), 3. one shuffle by
-       bucket and a running max of the threshold struct inside each bucket,
-    4. carry the max of all earlier buckets through a ``buckets``-row table,
-    5. equi-join the facts back on the value.
+       a hot value) and union them with the thresholds;
+    2. range-partition the union by value and checkpoint it, so that later
+       passes see the same partitions;
+    3. running maximum inside each partition, and the maximum of all earlier
+       partitions from a table with one row per partition;
+    4. equi-join the facts back on the value: the value -> payload side is
+       unique, so a hot value on the fact side is split by AQE.
     """
-    spark = facts.sparkSession
-    if buckets is None:
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # the quantile pass, the sweep and the final join all read the facts:
-    # cut them from their lineage once so the plan that produces them (a
-    # multi-join aggregate, typically) runs one time only
+    # the distinct values and the final join both read the facts: the plan
+    # that produces them (a multi-join aggregate, typically) runs one time
     facts = materialize(facts)
-    vals = facts.select(F.col(value_col).alias("__t")).filter(F.col("__t").isNotNull()).distinct()
-    probs = [i / buckets for i in range(1, buckets)]
-    both = vals.select("__t").unionByName(thr.select("__t"))
-    bounds = sorted(set(b for b in both.approxQuantile("__t", probs, 0.001) if b is not None))
-    bound_arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
-    bucket = F.size(F.filter(bound_arr, lambda b: b <= F.col("__t").cast("double")))
-
-    rank = F.struct(F.col("__t"), *[F.col(c) for c in ties]) if ties else F.struct(F.col("__t"))
-    tstruct = F.struct(rank.alias("r"), F.struct(*payload).alias("p"))
-    u = (thr.select("__t", F.lit(0).alias("__kind"), tstruct.alias("__s"))
-         .unionByName(vals.select("__t", F.lit(1).alias("__kind"),
-                                  F.lit(None).cast(tstruct_type(thr, payload, ties)).alias("__s")))
-         .withColumn("__b", bucket))
+    value = F.col(value_col)
+    best: Column = F.struct(F.col("__t"), F.col("__p"))
+    kind = thr.select(best.alias("__s")).schema["__s"].dataType
+    vals = (facts.select(value.alias("__t")).filter(F.col("__t").isNotNull()).distinct()
+            .select("__t", F.lit(1).alias("__kind"), F.lit(None).cast(kind).alias("__s")))
+    n = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialize(thr.select("__t", F.lit(0).alias("__kind"), best.alias("__s")).unionByName(vals)
+                         .repartitionByRange(n, "__t", "__kind")
+                         .withColumn("__b", F.spark_partition_id()))
     w = (Window.partitionBy("__b").orderBy("__t", "__kind")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = u.withColumn("__best", F.max("__s").over(w))
-    per_bucket = u.groupBy("__b").agg(F.max("__s").alias("__m"))
     wc = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_bucket.select("__b", F.max("__m").over(wc).alias("__carry"))
-    mapping = (local.filter(F.col("__kind") == 1)
-               .join(F.broadcast(carry), "__b", "left")
-               .select(F.col("__t").alias("__v"),
-                       F.greatest("__best", "__carry")["p"].alias("__p")))
-    # one mapping row per distinct fact value: its size is the distinct set
-    # (cheap to count over the materialised facts) - broadcast it when that
-    # is small so the facts are not shuffled; otherwise an equi-join whose
-    # build side is unique per key (a hot value on the fact side is split by
-    # AQE)
-    if fits_broadcast(vals):
-        mapping = F.broadcast(mapping)
-    j = facts.join(mapping, facts[value_col] == mapping["__v"], "left")
-    return j.select(*facts.columns, *[F.col("__p")[c].alias(prefix + c) for c in payload])
-
-
-def tstruct_type(thr: DataFrame, payload: list[str], ties: list[str]) -> str:
-    fields = {f.name: f.dataType.simpleString() for f in thr.schema.fields}
-    r = ",".join([f"__t:{fields['__t']}"] + [f"{c}:{fields[c]}" for c in ties])
-    p = ",".join(f"{c}:{fields[c]}" for c in payload)
-    return f"struct<r:struct<{r}>,p:struct<{p}>>"
+    # thresholds only grow with the partition: the last one seen is the largest
+    last = F.max_by("__s", "__t")
+    carry = (ranged.filter("__kind = 0").groupBy("__b").agg(last.alias("__m"))
+             .unionByName(ranged.select("__b").distinct().withColumn("__m", F.lit(None).cast(kind)))
+             .groupBy("__b").agg(F.first("__m", ignorenulls=True).alias("__m"))
+             .select("__b", F.last("__m", ignorenulls=True).over(wc).alias("__carry")))
+    mapping = (ranged.withColumn("__own", F.last("__s", ignorenulls=True).over(w)).filter("__kind = 1")
+               .join(F.broadcast(carry), "__b")  # one row per partition
+               .select(F.col("__t").alias("__v"), F.coalesce("__own", "__carry")["__p"].alias("__p")))
+    return facts.join(mapping, facts[value_col] == mapping["__v"], "left")

@@ -15,20 +15,27 @@ Semantics (B1-B6, B12, B15):
   deletes.
 
 Plan shape: the source is reduced to one row per key with a partial + final
-aggregate (map-side combine absorbs a hot key), then full-outer joined to
-the target on the key. Both sides are hash-partitioned on the key once.
+aggregate (map-side combine absorbs a hot key). Target rows take their new
+values through a left join with it, and keys that the target lacks are added
+by an anti join: unlike a full outer join, both can be split by AQE when a
+partition is skewed. Target rows whose key is NULL match nothing and go round
+the join, so they never meet in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quartermaster.functions.scalars import as_of_lit
+from quartermaster.session import materialize
+
 _S = "__src_"
 _S_PRESENT = "__src_present"
-_T_PRESENT = "__tgt_present"
 
 
 def _as_list(x: str | Sequence[str] | None) -> list[str]:
@@ -59,40 +66,47 @@ def last_per_key(df: DataFrame, key: str | Sequence[str],
     return agg.select(*keys, *[F.col("__last")[c].alias(c) for c in payload])
 
 
+def _checked(agg: DataFrame, keys: list[str], bad: Column, message: str) -> DataFrame:
+    """``agg`` with its keys raising where ``bad`` holds or a key is NULL.
+
+    ``agg`` is an aggregate with the row count ``__n``, and the check reads
+    that count: a condition on the keys that Spark infers from a later join
+    can then not be moved below the aggregate, where it might see rows that a
+    filter is about to drop. No extra pass."""
+    text = F.concat(F.lit(f"{message}: "), F.to_json(F.struct(*keys)))
+    null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]) & (F.col("__n") > 0)
+    return agg.select(*[F.when(bad | null, F.raise_error(text)).otherwise(F.col(k)).alias(k) for k in keys],
+                      *[c for c in agg.columns if c not in keys])
+
+
 def assert_unique_keys(df: DataFrame, key: str | Sequence[str],
                        what: str = "source") -> DataFrame:
     """Fail the job when a key repeats or is NULL.
 
     The check rides along the aggregation that de-duplicates anyway, so it
-    costs no extra pass: the filter raises while the rows stream through.
+    costs no extra pass: the projection of the keys raises while the rows
+    stream through.
     """
     keys = _as_list(key)
     others = [c for c in df.columns if c not in keys]
     agg = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("__n"),
-        *( [F.first(F.struct(*others)).alias("__row")] if others else [] ))
-    bad_key = F.concat(F.lit(f"duplicate or NULL key in {what}: "),
-                       F.to_json(F.struct(*keys)))
-    null_key = F.lit(False)
-    for k in keys:
-        null_key = null_key | F.col(k).isNull()
-    check = F.when((F.col("__n") > 1) | null_key,
-                   F.raise_error(bad_key)).otherwise(F.lit(None)).cast("boolean")
-    checked = agg.filter(F.coalesce(check, F.lit(True)))
+        *([F.first(F.struct(*others)).alias("__row")] if others else []))
+    checked = _checked(agg, keys, F.col("__n") > 1, f"duplicate or NULL key in {what}")
     return checked.select(*keys, *[F.col("__row")[c].alias(c) for c in others])
 
 
-def _reject_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """A NULL key fails the job (a primary key cannot be NULL).
-
-    The check is a projection of the key columns, not a filter: Spark may
-    evaluate the predicates of one filter in any order (an earlier
-    ``isnotnull`` can end up last), while filters are only ever pushed
-    *below* projections - so the check sees exactly the rows that reach the
-    merge, with no extra pass."""
-    msg = F.lit(f"NULL key {keys} in merge source")
-    return df.select(*[F.when(F.col(c).isNull(), F.raise_error(msg)).otherwise(F.col(c)).alias(c)
-                       if c in keys else F.col(c) for c in df.columns])
+def last_row_per_key(df: DataFrame, key: str | Sequence[str], order_cols: str | Sequence[str | Column],
+                     cols: Sequence[str]) -> DataFrame:
+    """:func:`last_per_key` for a table whose key must not be NULL (a NULL
+    fails the job), with the columns ``cols`` and the key."""
+    keys = _as_list(key)
+    payload = [c for c in cols if c not in keys]
+    order = [F.col(c) if isinstance(c, str) else c for c in _as_list(order_cols)]
+    row = [F.max_by(F.struct(*payload), F.struct(*order)).alias("__last")] if payload else []
+    agg = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *row)
+    checked = _checked(agg, keys, F.lit(False), "NULL key in merge source")
+    return checked.select(*keys, *[F.col("__last")[c].alias(c) for c in payload])
 
 
 def merge(target: DataFrame, source: DataFrame, key: str | Sequence[str],
@@ -125,31 +139,23 @@ def merge(target: DataFrame, source: DataFrame, key: str | Sequence[str],
     if duplicates == "last":
         if order_cols is None:
             raise ValueError("duplicates='last' needs order_cols")
-        src = last_per_key(_reject_null_keys(source, keys), keys, order_cols,
-                           cols=keys + list(insert_cols))
+        src = last_row_per_key(source, keys, order_cols, insert_cols)
     elif duplicates == "error":
         src = assert_unique_keys(source.select(*keys, *insert_cols), keys)
     else:
         raise ValueError("duplicates must be 'last' or 'error'")
 
-    s = src.select(*keys, *[F.col(c).alias(_S + c) for c in insert_cols],
+    s = src.select(*[F.col(k).alias(_S + k) for k in keys], *[F.col(c).alias(_S + c) for c in insert_cols],
                    F.lit(True).alias(_S_PRESENT))
-    t = target.withColumn(_T_PRESENT, F.lit(True))
-    j = t.join(s, on=keys, how="full_outer")
-
-    out = []
-    for c in tcols:
-        if c in keys:
-            out.append(F.col(c))
-        elif c in update_cols:
-            out.append(F.when(F.col(_S_PRESENT), F.col(_S + c))
-                       .otherwise(F.col(c)).alias(c))
-        elif c in insert_cols:
-            out.append(F.when(F.col(_T_PRESENT), F.col(c))
-                       .otherwise(F.col(_S + c)).alias(c))
-        else:
-            out.append(F.col(c))
-    return j.select(*out)
+    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    matching = reduce(lambda a, b: a & b, [F.col(k) == F.col(_S + k) for k in keys])
+    kept = (target.filter(has_key).join(s, matching, "left")
+            .select(*[F.when(F.col(_S_PRESENT), F.col(_S + c)).otherwise(F.col(c)).alias(c)
+                      if c in update_cols else F.col(c) for c in tcols]))
+    added = (s.join(target.select(*keys), matching, "left_anti")
+             .select(*[(F.col(_S + c) if c in keys + insert_cols else F.lit(None))
+                       .cast(target.schema[c].dataType).alias(c) for c in tcols]))
+    return kept.unionByName(target.filter(~has_key)).unionByName(added)
 
 
 def update_from(target: DataFrame, source: DataFrame, key: str | Sequence[str],
@@ -173,27 +179,9 @@ def update_from(target: DataFrame, source: DataFrame, key: str | Sequence[str],
 
 def with_load_time(df: DataFrame, as_of, col: str = "update_time") -> DataFrame:
     """One load instant per run, passed in (reproducible)."""
-    from quartermaster.functions.scalars import as_of_lit
     return df.withColumn(col, as_of_lit(as_of))
 
 
-def merge_into_table(source: DataFrame, table: str, key: str | Sequence[str],
-                     insert_cols: Sequence[str], update_cols: Sequence[str]) -> None:
-    """B1 on a row-level (v2) catalog table via ``DataFrame.mergeInto``.
-
-    Same column-subset semantics as :func:`merge`; the source must already be
-    one row per key (use :func:`last_per_key` / :func:`assert_unique_keys`).
-    """
-    keys = _as_list(key)
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & (F.col(f"{table}.{k}") == F.col(f"src.{k}"))
-    (source.alias("src").mergeInto(table, cond)
-     .whenMatched().update({c: F.col(f"src.{c}") for c in update_cols})
-     .whenNotMatched().insert({c: F.col(f"src.{c}") for c in keys + list(insert_cols)})
-     .merge())
-
-
 def duplicate_keys(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """B3 diagnostics: every key that occurs more than once, with its count
     (partial + final aggregate; a hot key is pre-counted map-side)."""
@@ -203,6 +191,8 @@ def duplicate_keys(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
 
 
 BUCKET_COL = "key_bucket"
+#: where a bucketed table keeps its bucket count (hidden from table reads)
+LAYOUT = "_layout"
 
 
 def key_bucket(keys: Sequence[str], buckets: int) -> Column:
@@ -210,6 +200,17 @@ def key_bucket(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
+def _stored_buckets(spark: SparkSession, path: str) -> int | None:
+    """The bucket count stored beside a bucketed table; None when there is
+    no table yet. Any other trouble in reading it is an error."""
+    try:
+        return spark.read.schema("buckets int").json(f"{path.rstrip('/')}/{LAYOUT}").first()["buckets"]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def merge_into_path(source: DataFrame, path: str, key: str | Sequence[str],
                     insert_cols: Sequence[str], update_cols: Sequence[str] | None = None,
                     order_cols: str | Sequence[str | Column] | None = None,
@@ -218,38 +219,49 @@ def merge_into_path(source: DataFrame, path: str, key: str | Sequence[str],
     """B1 for a large target kept as Parquet partitioned by ``key_bucket``:
     only the buckets the source touches are read, merged and rewritten.
 
-    1. the touched buckets are computed from the source (at most
-       ``buckets`` small integers reach the driver);
+    The number of buckets is stored beside the table (``_layout``) when it is
+    first written and must be the same ever after: another number would put a
+    key into another folder, so a mismatch fails. Choose it so that a bucket
+    is a few hundred megabytes.
+
+    1. the source is reduced and checkpointed once; the buckets it touches
+       (at most ``buckets`` small integers) reach the driver;
     2. the target is read with a partition filter on those buckets
        (partition pruning: untouched buckets are not even listed);
-    3. :func:`merge` on that slice, checkpointed so that the write does not
-       read the path it replaces;
+    3. :func:`merge` on that slice, dealt out by bucket so that each folder
+       is written by one task, into a staged copy;
     4. dynamic partition overwrite replaces exactly the touched bucket
        folders in one job commit.
 
-    A first run (no table yet) writes the merged source against an empty
-    target of ``target_schema``. Returns the touched buckets.
+    Only a missing table starts empty (with ``target_schema``). Returns the
+    touched buckets.
     """
-    from pyspark.errors import AnalysisException
-
-    from quartermaster.session import materialize
-
     spark = source.sparkSession
     keys = _as_list(key)
+    stored = _stored_buckets(spark, path)
+    if stored is None:
+        if target_schema is None:
+            raise ValueError(f"no table at {path}: a first run needs target_schema")
+        current = spark.createDataFrame([], target_schema).withColumn(BUCKET_COL, F.lit(None).cast("int"))
+    elif stored != buckets:
+        raise ValueError(f"{path} has {stored} buckets, not {buckets}")
+    else:
+        current = spark.read.parquet(path)
+    cols = [*insert_cols, BUCKET_COL]
     src = source.withColumn(BUCKET_COL, key_bucket(keys, buckets))
+    if duplicates == "last":
+        if order_cols is None:
+            raise ValueError("duplicates='last' needs order_cols")
+        src = last_row_per_key(src, keys, order_cols, cols)
+    src = materialize(src.select(*keys, *cols))
     touched = sorted(r[0] for r in src.select(BUCKET_COL).distinct().collect())
-    try:
-        current = spark.read.parquet(path)
-    except AnalysisException:
-        if target_schema is None:
-            raise
-        current = spark.createDataFrame([], target_schema).withColumn(
-            BUCKET_COL, F.lit(None).cast("int"))
     target = current.filter(F.col(BUCKET_COL).isin(touched))
-    merged = merge(target, src, keys, insert_cols=list(insert_cols) + [BUCKET_COL],
-                   update_cols=(list(update_cols) if update_cols is not None else list(insert_cols))
-                   + [BUCKET_COL], order_cols=order_cols, duplicates=duplicates)
-    merged = materialize(merged)
+    merged = merge(target, src, keys, insert_cols=cols,
+                   update_cols=[*(update_cols if update_cols is not None else insert_cols), BUCKET_COL],
+                   duplicates="error")
+    merged = materialize(merged.repartition(BUCKET_COL))
+    if stored is None:
+        spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.json(f"{path.rstrip('/')}/{LAYOUT}")
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BUCKET_COL).parquet(path))
     return touched

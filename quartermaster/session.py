@@ -4,6 +4,7 @@ shared checkpoint folder of whatever session we are handed."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,26 +38,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
-    """Return the checkpoint folder of this session.
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The checkpoint folder of this session.
 
-    On a cluster the folder is a shared one named by ``spark.checkpoint.dir``
-    and we only read it. Only when nothing is configured (unit tests on one
-    machine) do we pick a fresh local folder. A Spark Connect session has no
-    driver-side context: its server's own setting applies (``None``).
+    On a cluster it is the shared folder that ``spark.checkpoint.dir`` names;
+    without one this raises, because a folder of one machine is not seen by
+    the others. Only where everything runs on one machine (a ``local[n]``
+    master, as in tests) a fresh local folder is set when none is named.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext
-        return None
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="qm-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            configured = tempfile.mkdtemp(prefix="qm-ckpt-")
+        sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir()
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -125,3 +125,52 @@ def test_bucketed_read_is_partition_pruned(spark, tmp_path):
         spark.read.parquet(path).filter(F.col(BUCKET_COL).isin([1, 5])).explain()
     import re
     assert re.search(r"PartitionFilters: \[key_bucket#\d+ IN \(1,5\)\]", buf.getvalue())
+
+
+def test_bucket_count_is_stored_and_checked(spark, tmp_path):
+    from quartermaster.operators.merge import merge_into_path
+    path = str(tmp_path / "t")
+    src = spark.createDataFrame([(i, "v", i) for i in range(50)], "id bigint, v string, pos int")
+    merge_into_path(src, path, "id", ["v"], order_cols="pos", buckets=8, target_schema="id bigint, v string")
+    with pytest.raises(ValueError, match="8 buckets"):
+        merge_into_path(src, path, "id", ["v"], order_cols="pos", buckets=16)
+    merge_into_path(src, path, "id", ["v"], order_cols="pos", buckets=8)
+    assert spark.read.parquet(path).count() == 50
+
+
+def test_only_a_missing_table_starts_empty(spark, tmp_path):
+    from quartermaster.operators.merge import merge_into_path
+    src = spark.createDataFrame([(1, "v", 1)], "id bigint, v string, pos int")
+    with pytest.raises(ValueError, match="target_schema"):
+        merge_into_path(src, str(tmp_path / "none"), "id", ["v"], order_cols="pos")
+    (tmp_path / "odd" / "_layout").mkdir(parents=True)
+    (tmp_path / "odd" / "_layout" / "part-0.json").write_text("no json", encoding="utf-8")
+    with pytest.raises(Exception):
+        merge_into_path(src, str(tmp_path / "odd"), "id", ["v"], order_cols="pos", target_schema="id bigint, v string")
+
+
+def test_merge_plan_has_no_full_outer_join_and_null_keys_stay_out(spark):
+    import contextlib
+    import io
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        t = spark.range(2000).selectExpr("CASE WHEN id % 3 = 0 THEN NULL ELSE id END AS a", "id % 7 AS b", "id AS v")
+        s = spark.range(500).selectExpr("id + 1800 AS a", "(id + 1800) % 7 AS b", "-id AS v", "id AS pos")
+        out = merge(t, s, ["a", "b"], insert_cols=["v"], order_cols="pos")
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            out.explain()
+        plan = buf.getvalue()
+        assert "FullOuter" not in plan and "LeftAnti" in plan and "isnotnull(a" in plan.replace("#", "").lower().replace("isnotnull(cast(a", "isnotnull(a") or "CASE" in plan
+        assert plan.count("SortMergeJoin [a#") + plan.count("SortMergeJoin [CASE") >= 1
+        assert out.count() == 2000 + 500 - t.filter("a >= 1800").count()
+        assert out.filter("a IS NULL").count() == t.filter("a IS NULL").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_key_checks_see_only_rows_that_a_filter_lets_through(spark):
+    t = spark.createDataFrame([(1, 0)], "id int, a int")
+    s = spark.createDataFrame([(None, 1, 0), (2, 2, 1)], "id int, a int, pos int").filter("id IS NOT NULL")
+    assert rows(merge(t, s, "id", insert_cols=["a"], order_cols="pos")) == [(1, 0), (2, 2)]
+    assert rows(merge(t, s.drop("pos"), "id", insert_cols=["a"], duplicates="error")) == [(1, 0), (2, 2)]
