@@ -42,9 +42,8 @@ def normalise_effects(c) -> Column:
 
 def annotate(c, skill_kr: dict, type_kr: dict) -> Column:
     """``krSkill`` = the skill label when the type is ``Skill`` and the
-    skill is known, else the type label; NULL when neither is known (the
-    catalogue leaves the field out - equal after JSON parsing only when the
-    reader treats an absent field as null)."""
+    skill is known, else the type label; NULL when neither is known
+    (:func:`effects_json` then leaves the field out)."""
     sk, ty = map_lit(skill_kr), map_lit(type_kr)
 
     def one(e):
@@ -118,6 +117,21 @@ def split_effects(c, side: str) -> Column:
     return F.filter(_c(c), lambda e: effect_rule(e, side))
 
 
+def effects_json(c, chance: bool = True) -> Column:
+    """X11 for an effect array: the fields of its selection, null ones kept
+    (food and drink effects have no ``chance``), and ``krSkill`` only where
+    there is a label. A NULL array stays NULL."""
+    fields = ["delay", "value", "type", "skillName", "duration", *(["chance"] if chance else [])]
+
+    def one(e):
+        plain = [e[f].alias(f) for f in fields]
+        keep = {"ignoreNullFields": "false"}
+        return F.when(e["krSkill"].isNull(), F.to_json(F.struct(*plain), keep)) \
+            .otherwise(F.to_json(F.struct(*plain, e["krSkill"].alias("krSkill")), keep))
+    arr = _c(c)
+    return F.when(arr.isNotNull(), F.concat(F.lit("["), F.array_join(F.transform(arr, one), ","), F.lit("]")))
+
+
 def reclassify(cond: Column, overrides: dict[str, Column], cols: dict[str, Column]) -> list[Column]:
     """I8: for records matching ``cond``, the columns in ``overrides`` take
     the override (a literal, a NULL for removed fields); the others keep

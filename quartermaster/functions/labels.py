@@ -13,8 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from quartermaster.operators.joins import DEFAULT_BROADCAST_ROWS, checked_broadcast
-
 _PASS = object()
 
 
@@ -55,17 +53,29 @@ def override_when_present(c, key, mapping: dict) -> Column:
     return F.when(_c(c).isNotNull(), F.coalesce(lookup(key, mapping), _c(c)))
 
 
+def _dictionary(table: DataFrame, key: str, value: str, order: str | None) -> DataFrame:
+    """``(__lk, __lv)`` with one row per key: of repeated keys the last one by
+    ``order`` (a dictionary built in that order); without an order a repeated
+    key fails the job. NULL keys match nothing and are left out."""
+    g = table.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("__lk"))
+    if order is not None:
+        return g.agg(F.max_by(F.struct(F.col(value).alias("v")), F.col(order)).alias("__e")) \
+            .select("__lk", F.col("__e.v").alias("__lv"))
+    repeated = F.raise_error(F.concat(F.lit("repeated dictionary key: "), F.col("__lk").cast("string")))
+    return g.agg(F.count(F.lit(1)).alias("__n"), F.max(value).alias("__lv")) \
+        .select(F.when(F.col("__n") > 1, repeated).otherwise(F.col("__lk")).alias("__lk"), "__lv")
+
+
 def label(df: DataFrame, col: str, table: DataFrame, key: str, value: str,
-          out: str, default=_PASS, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+          out: str, default=_PASS, order: str | None = None,
           observation: Observation | None = None) -> DataFrame:
-    """Label ``col`` from a parameter table ``(key, value)``.
-
-    The table is broadcast behind a size check. Duplicate keys in the table
-    are reduced first (last one by key order is arbitrary: keep max value),
-    so every input row stays exactly one row.
-    """
-    t = table.groupBy(F.col(key).alias("__lk")).agg(F.max(value).alias("__lv"))
-    j = df.join(checked_broadcast(t, max_broadcast_rows), df[col] == F.col("__lk"), "left")
+    """Label ``col`` from a parameter table ``(key, value)``, which
+    may have an ``order`` column in which later rows replace earlier ones of
+    the same key. A plain left join with one row per key: every input row
+    stays exactly one row, and Spark broadcasts the table when it is small.
+    ``default`` is a literal, a list (an array), ``None`` (NULL), or omitted
+    to pass the input through."""
+    j = df.join(_dictionary(table, key, value, order), df[col] == F.col("__lk"), "left")
     if observation is not None:
         # unmatched labels counted in the same pass (no extra job)
         j = j.observe(observation, F.count(F.lit(1)).alias("rows"),
@@ -75,7 +85,8 @@ def label(df: DataFrame, col: str, table: DataFrame, key: str, value: str,
     elif default is None:
         v = F.col("__lv")
     else:
-        v = F.coalesce("__lv", F.lit(default))
+        d = F.array(*[F.lit(x) for x in default]) if isinstance(default, list) else F.lit(default)
+        v = F.coalesce("__lv", d.cast(table.schema[value].dataType))
     return j.select(*[c for c in df.columns if c != out], v.alias(out))
 
 
@@ -100,30 +111,35 @@ def relabel_array(c, mapping: dict | Column, policy: str = "drop", default=None)
     raise ValueError("policy must be drop, default or passthrough")
 
 
-def relabel_array_table(df: DataFrame, key: str, col: str, table: DataFrame,
+def relabel_array_table(df: DataFrame, col: str, table: DataFrame,
                         tkey: str, tvalue: str, out: str, policy: str = "drop",
-                        default=None) -> DataFrame:
-    """I1-I3 with a dictionary kept as a (possibly large) table: explode with
-    positions, join the dictionary, regroup per row ``key`` in position
-    order. Each group is one input row's own array, so its size is bounded
-    by that row. A NULL array stays NULL; an empty array stays empty."""
-    t = table.groupBy(F.col(tkey).alias("__lk")).agg(F.max(tvalue).alias("__lv"))
-    ex = df.select(key, F.posexplode_outer(col).alias("__pos", "__x"))
-    j = ex.join(checked_broadcast(t), ex["__x"] == F.col("__lk"), "left")
+                        default=None, order: str | None = None) -> DataFrame:
+    """I1-I3 with a dictionary kept as a (possibly large) table; the same
+    results as :func:`relabel_array`, element for element.
+
+    The new array depends on the old one alone, so each *distinct* array is
+    exploded, joined to the dictionary and put together again in position
+    order, and the rows take theirs by an equi-join: rows need no key, and a
+    group is never more than one array. A NULL array stays NULL, an empty one
+    empty; the element type is the dictionary's."""
+    t = _dictionary(table, tkey, tvalue, order)
+    label_type = table.schema[tvalue].dataType
+    arrays = df.select(F.col(col).alias("__a")).filter(F.col("__a").isNotNull()).distinct()
+    j = (arrays.select("__a", F.posexplode_outer("__a").alias("__pos", "__x"))
+         .join(t, F.col("__x") == F.col("__lk"), "left"))
     if policy == "drop":
-        v = F.col("__lv")
+        v, keep = F.col("__lv"), F.col("__lv").isNotNull()
     elif policy == "default":
-        v = F.when(F.col("__pos").isNotNull(), F.coalesce("__lv", F.lit(default)))
+        v, keep = F.coalesce("__lv", F.lit(default).cast(label_type)), F.col("__pos").isNotNull()
+    elif policy == "passthrough":
+        v, keep = F.coalesce("__lv", F.col("__x").cast(label_type)), F.col("__pos").isNotNull()
     else:
-        v = F.when(F.col("__pos").isNotNull(), F.coalesce("__lv", F.col("__x")))
-    g = (j.groupBy(key)
-         .agg(F.array_sort(F.collect_list(F.when(v.isNotNull(), F.struct(F.col("__pos"), v.alias("v")))))
-              .alias("__a"), F.max(F.col("__pos").isNotNull()).alias("__has")))
-    arr = F.when(F.col("__has"), F.transform("__a", lambda s: s["v"])) \
-        .otherwise(F.lit(None).cast("array<string>"))
-    relabelled = g.select(key, arr.alias(out))
-    base = df.drop(out) if out in df.columns else df
-    return base.join(relabelled, key, "left")
+        raise ValueError("policy must be drop, default or passthrough")
+    items = F.array_sort(F.collect_list(F.when(keep, F.struct(F.col("__pos"), v.alias("v")))))
+    made = j.groupBy("__a").agg(items.alias("__items")) \
+        .select("__a", F.transform("__items", lambda s: s["v"]).alias("__new"))
+    return (df.join(made, df[col] == F.col("__a"), "left")
+            .select(*[c for c in df.columns if c != out], F.col("__new").alias(out)))
 
 
 def normalise_element(c, old: str, new: str) -> Column:

@@ -5,6 +5,7 @@ predicate reaches the Parquet scan (``PushedFilters``)."""
 from __future__ import annotations
 
 import datetime as _dt
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,24 +44,22 @@ def window_bounds(as_of, kind: str, start=None, days: tuple[int, int] = (19, 14)
     raise ValueError(f"unknown window kind {kind}")
 
 
+def _utc_start(day: _dt.date, zone: str) -> _dt.datetime:
+    """The UTC wall-clock instant at which ``day`` begins in ``zone``."""
+    start = _dt.datetime.combine(day, _dt.time(), ZoneInfo(zone))
+    return start.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+
+
 def reporting_window(df: DataFrame, ts_col: str, as_of, kind: str, start=None,
                      days: tuple[int, int] = (19, 14), zone: str | None = None) -> DataFrame:
     """Rows of ``df`` whose timestamp falls on a day of the window:
     ``first <= ts < last + 1 day`` - a literal range that Parquet can use
     for row-group skipping. With ``zone`` (X18) the day is the local day in
-    that zone of a UTC wall-clock timestamp."""
+    that zone of a UTC wall-clock timestamp: the two bounds are moved to UTC,
+    the column stays bare."""
     first, last = window_bounds(as_of, kind, start, days)
-    lo = F.lit(first.isoformat()).cast("timestamp_ntz")
-    hi = F.lit((last + _dt.timedelta(days=1)).isoformat()).cast("timestamp_ntz")
+    after = last + _dt.timedelta(days=1)
+    lo, hi = (first, after) if zone is None else (_utc_start(first, zone), _utc_start(after, zone))
     ts = F.col(ts_col)
-    if zone is not None:
-        ts = F.convert_timezone(F.lit("UTC"), F.lit(zone), ts.cast("timestamp_ntz"))
+    lo, hi = (F.lit(x.isoformat(" ") if isinstance(x, _dt.datetime) else x.isoformat()).cast("timestamp_ntz") for x in (lo, hi))
     return df.filter((ts >= lo) & (ts < hi))
-
-
-def month_bounds_expr(d):
-    """X15 as column expressions (for per-row dates): first and last day of
-    the previous month."""
-    c = F.col(d) if isinstance(d, str) else d
-    prev = F.add_months(c, -1)
-    return F.trunc(prev, "MM"), F.last_day(prev)

@@ -6,9 +6,11 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quartermaster.functions.scalars import prefixed_text
 from quartermaster.session import materialize
 
 _IDX_BITS = 33  # monotonically_increasing_id = partition << 33 | row index
@@ -46,10 +48,9 @@ def build_index(branches: list[IndexBranch]) -> DataFrame:
         rows = []
         for e in br.emits:
             pid = F.col(br.id_col).cast("string")
-            link = F.concat(F.lit(e.path), pid) if e.with_id else F.lit(e.path)
+            link = prefixed_text(e.path, pid) if e.with_id else F.lit(e.path)
             rows.append(F.struct(
-                F.concat(F.lit(e.prefix), (F.col(e.name_col) if isinstance(e.name_col, str)
-                                           else e.name_col).cast("string")).alias("value"),
+                prefixed_text(e.prefix, e.name_col).alias("value"),
                 link.alias("link"),
                 pid.alias("page_value"),
                 F.lit(e.type).alias("type"),
@@ -119,16 +120,22 @@ def _versions_path(root: str) -> str:
 def publish_all(tables: dict[str, DataFrame], root: str, version: str | None = None) -> dict[str, str]:
     """Write each table to a new version folder, then commit all
     of them with a single append to the version log. Readers never see a
-    half-written or empty table (the reference truncates first), and a
-    failure before the log append publishes nothing."""
+    half-written or empty table, and a failure before the log append
+    publishes nothing. Publishing a ``version`` that the log already holds
+    does nothing (a retried run), and what an unfinished attempt at it left
+    behind is written over."""
     if not tables:
         return {}
     spark = next(iter(tables.values())).sparkSession
+    if version is not None:
+        done = _committed(spark, root, version)
+        if set(tables) <= set(done):
+            return {name: done[name] for name in tables}
     version = version or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
     paths = {}
     for name, df in tables.items():
         path = f"{root.rstrip('/')}/{name}/v={version}"
-        df.write.mode("errorifexists").parquet(path)
+        df.write.mode("overwrite").parquet(path)
         paths[name] = path
     committed = _dt.datetime.now(_dt.timezone.utc)
     log = spark.createDataFrame([(n, version, p, committed) for n, p in paths.items()],
@@ -137,6 +144,17 @@ def publish_all(tables: dict[str, DataFrame], root: str, version: str | None = N
     return paths
 
 
+def _committed(spark: SparkSession, root: str, version: str) -> dict[str, str]:
+    """The tables that the log holds for ``version`` (a few small rows)."""
+    try:
+        log = spark.read.parquet(_versions_path(root))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    return {r["name"]: r["path"] for r in log.filter(F.col("version") == version).collect()}
+
+
 def replace_table(df: DataFrame, root: str, name: str, version: str | None = None) -> str:
     """Truncate-and-reload as a version switch (never overwrite the path
     being read)."""

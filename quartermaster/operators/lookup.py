@@ -9,46 +9,36 @@ from pyspark.sql import functions as F
 
 from quartermaster.functions.labels import lookup as dict_lookup
 from quartermaster.functions.scalars import drop_last_chars
-from quartermaster.operators.joins import DEFAULT_BROADCAST_ROWS
 
 
 def lookup_first(df: DataFrame, key: str | Column, candidates: DataFrame, cand_key: str,
                  cand_value: str, strips: Sequence[int], out: str,
                  order: str | None = None, override: Column | None = None,
-                 own: str | Column | None = None,
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                 candidates_bound: int | None = None) -> DataFrame:
+                 own: str | Column | None = None) -> DataFrame:
     """Attach ``out`` = ``override``, else the value of the first strip
     length (in the given priority order) whose suffix-stripped candidate key
-    equals ``key``, else ``own``.
+    equals ``key`` - that value as it is, NULL included -, else ``own``.
 
     Within one strip length, duplicate stripped keys are last-wins by
-    ``order`` (dictionary comprehension semantics). The candidate side is
-    reduced to one row per stripped key - ``min_by(value, (priority, -pos))``
-    - and joined once; it is broadcast up front only when the caller gives a
-    row bound (``candidates_bound``), else AQE decides from its measured
-    size.
+    ``order`` (dictionary comprehension semantics). The candidates are read
+    once: each row gives one (stripped key, priority) per strip length, and
+    an aggregate keeps one row per stripped key - ``min_by(value, (priority,
+    -pos))`` -, which joins once; AQE broadcasts it when it is small.
     """
-    pos = F.col(order) if order else F.lit(0)
-    stripped = None
-    for prio, n in enumerate(strips):
-        part = candidates.select(drop_last_chars(cand_key, n).alias("__k"),
-                                 F.lit(prio).alias("__prio"), pos.alias("__pos"),
-                                 F.col(cand_value).alias("__v"))
-        stripped = part if stripped is None else stripped.unionByName(part)
-    best = (stripped.groupBy("__k")
-            .agg(F.min_by("__v", F.struct(F.col("__prio"), -F.col("__pos"))).alias("__img")))
-    if isinstance(candidates_bound, int) and candidates_bound <= max_broadcast_rows:
-        # the caller vouches for the candidate count (a parameter table)
-        best = F.broadcast(best)
-    # otherwise the candidates come from data: one row per stripped key after
-    # the aggregate, and AQE broadcasts it at run time when its measured size
-    # is small (no extra counting job over the documents)
+    pos = F.col(order).cast("bigint") if order else F.lit(0).cast("bigint")
+    forms = F.array(*[F.struct(drop_last_chars(cand_key, n).alias("k"), F.lit(prio).alias("prio"))
+                      for prio, n in enumerate(strips)])
+    best = (candidates.select(F.explode(forms).alias("f"), pos.alias("__pos"), F.col(cand_value).alias("__v"))
+            .filter(F.col("f.k").isNotNull())
+            .groupBy(F.col("f.k").alias("__k"))
+            # wrapped in a struct: min_by passes over NULL values, and a match without a value is a match
+            .agg(F.min_by(F.struct("__v"), F.struct(F.col("f.prio"), -F.col("__pos"))).alias("__hit")))
     k = F.col(key) if isinstance(key, str) else key
     j = df.join(best, k == F.col("__k"), "left")
     own_c = F.col(own) if isinstance(own, str) else (own if own is not None else F.lit(None))
-    chain = [c for c in (override, F.col("__img"), own_c) if c is not None]
-    return j.select(*[c for c in df.columns if c != out], F.coalesce(*chain).alias(out))
+    found = F.when(F.col("__hit").isNotNull(), F.col("__hit")["__v"]).otherwise(own_c)
+    value = found if override is None else F.coalesce(override, found)
+    return j.select(*[c for c in df.columns if c != out], value.alias(out))
 
 
 def override_chain(name, fixed: dict, contains: Sequence[tuple[str, object]],

@@ -4,8 +4,8 @@ The catalogue is classified in one pass: every rule is a ``Column``
 predicate over (category name, parent name, item name, raw ``properties``
 JSON); :func:`route` tags each row with the names of the rules it matches,
 and :func:`route_split` gives one DataFrame per target over a single staged
-copy of the tagged rows (persisted once, or written partitioned by route
-so that each target reads only its own partition).
+copy of the tagged rows (written partitioned by route, so that each target
+reads only its own partition).
 
 Rules are built from *shapes* (the nine forms C5a-C5i) and constants;
 :func:`catalogue_rules` instantiates them with the catalogue's fixed values.
@@ -14,6 +14,7 @@ A row whose category or parent is NULL matches no rule that tests it (T2).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 
 from quartermaster.functions import vocab as V
 from quartermaster.functions.predicates import bag_empty, bag_nonempty
+from quartermaster.session import ensure_checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -139,25 +141,20 @@ def route(df: DataFrame, rules: dict[str, Column], out: str = "route",
             .filter(F.col(out).isNotNull()))
 
 
-def route_split(df: DataFrame, rules: dict[str, Column], persist: bool = True,
-                stage_dir: str | None = None) -> dict[str, DataFrame]:
+def route_split(df: DataFrame, rules: dict[str, Column], stage_dir: str | None = None) -> dict[str, DataFrame]:
     """One DataFrame per target over one shared classification, so N
-    targets do not mean N parses of the landed documents.
-
-    * ``stage_dir``: the tagged rows are written once as Parquet partitioned
-      by ``route`` (in a shared folder); each target then reads only its own
-      partition (partition pruning) and a lost executor re-reads files
-      instead of recomputing the parse. The choice for large catalogues.
-    * else ``persist``: the tagged rows are cached (memory and disk).
-    """
+    targets do not mean N parses of the landed documents: the tagged rows are
+    written once as Parquet partitioned by ``route`` (in ``stage_dir``, by
+    default a fresh folder under the shared checkpoint folder). Each target
+    reads only its own partition, and a lost executor re-reads files instead
+    of recomputing the parse."""
+    spark = df.sparkSession
+    if stage_dir is None:
+        stage_dir = f"{ensure_checkpoint_dir(spark).rstrip('/')}/routed-{uuid.uuid4().hex}"
     tagged = route(df, rules)
-    if stage_dir is not None:
-        tagged.write.mode("overwrite").partitionBy("route").parquet(stage_dir)
-        staged = df.sparkSession.read.parquet(stage_dir)
-        return {n: staged.filter(F.col("route") == n).drop("route") for n in rules}
-    if persist:
-        tagged = tagged.persist()
-    return {n: tagged.filter(F.col("route") == n).drop("route") for n in rules}
+    tagged.write.mode("overwrite").partitionBy("route").parquet(stage_dir)
+    staged = spark.read.schema(tagged.schema).parquet(stage_dir)
+    return {n: staged.filter(F.col("route") == n).drop("route") for n in rules}
 
 
 def route_counts(df: DataFrame, rules: dict[str, Column]) -> DataFrame:

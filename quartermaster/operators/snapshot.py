@@ -60,9 +60,22 @@ def retain(df: DataFrame, keep_days: int, as_of, col: str = SNAP_COL) -> DataFra
     return df.filter(F.col(col).cast("date") >= F.lit(first.isoformat()).cast("date"))
 
 
+def apply_retention(spark: SparkSession, root: str, name: str, keep_days: int, as_of) -> list[str]:
+    """Remove the partition folders of ``name`` that :func:`retain`
+    would not read, and return their dates. Only to be called once
+    :func:`verify_snapshot` holds for the run's own snapshot. The dates are a
+    handful of folder names; no data passes through the driver."""
+    path = f"{root.rstrip('/')}/{name}"
+    gone = sorted(str(r[0]) for r in expired_snapshots(spark.read.parquet(path), keep_days, as_of).collect())
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for date in gone:
+        folder = hadoop.Path(f"{path}/{SNAP_COL}={date}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return gone
+
+
 def expired_snapshots(df: DataFrame, keep_days: int, as_of, col: str = SNAP_COL) -> DataFrame:
-    """The snapshot dates that retention would remove (file deletion itself
-    is left to the storage layer)."""
+    """The snapshot dates that retention would remove."""
     first = _date(as_of) - _dt.timedelta(days=keep_days)
     return (df.filter(F.col(col).cast("date") < F.lit(first.isoformat()).cast("date"))
             .select(col).distinct())

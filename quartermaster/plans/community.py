@@ -8,14 +8,17 @@ half-applied run. ``as_of`` is the run clock (one instant per run).
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Callable
+from itertools import groupby
+
+from pyspark.sql import DataFrame, SparkSession
 
 from quartermaster.functions import vocab as V
 from quartermaster.operators import activity
 from quartermaster.operators.deletes import cascade_delete, delete_where, expired, issue_board
 from quartermaster.operators.index import IndexBranch, IndexEmit, publish_all, read_published, search_index
 from quartermaster.operators.merge import merge
-from quartermaster.operators.snapshot import snapshot, verify_snapshot
+from quartermaster.operators.snapshot import apply_retention, snapshot, verify_snapshot
 
 
 def _t(spark, root, name):
@@ -30,28 +33,32 @@ def issue_job(spark: SparkSession, root: str) -> dict[str, str]:
 
 
 def statistics_and_grades_job(spark: SparkSession, root: str) -> dict[str, str]:
-    """P29 then P30: statistics upserted (duplicates are an error), grades
-    updated from the new statistics in the same run."""
+    """P29 then P30: statistics upserted (duplicates are an error) and
+    published; then the users are graded from the published statistics, so
+    they are computed once."""
     users = _t(spark, root, "user")
-    boards = _t(spark, root, "board_union")
-    comments = _t(spark, root, "comments")
-    src = activity.user_post_statistics(users, boards, comments)
+    src = activity.user_post_statistics(users, _t(spark, root, "board_union"), _t(spark, root, "comments"))
     stats = merge(_t(spark, root, "user_post_statistics"), src, "user_email",
                   insert_cols=["post_count", "comment_count"], duplicates="error")
-    graded = activity.update_user_grade(users, stats, _t(spark, root, "user_grade"))
-    return publish_all({"user_post_statistics": stats, "user": graded}, root)
+    done = publish_all({"user_post_statistics": stats}, root)
+    graded = activity.update_user_grade(users, _t(spark, root, "user_post_statistics"), _t(spark, root, "user_grade"))
+    return done | publish_all({"user": graded}, root)
+
+
+def expire(frames: dict[str, DataFrame], as_of) -> dict[str, DataFrame]:
+    """P31 on frames: expired bans (B8), then expired accounts with their
+    icons and quests (B11), all at one instant."""
+    cas = cascade_delete(frames["user_delete"], "email", "delete_end_time", as_of,
+                         {"user_icon": (frames["user_icon"], "user_email"),
+                          "user_quest": (frames["user_quest"], "user_email")})
+    return {"user_ban": delete_where(frames["user_ban"], expired("ban_end_time", as_of)),
+            "user_delete": cas["parent"], "user_icon": cas["user_icon"], "user_quest": cas["user_quest"]}
 
 
 def expiry_job(spark: SparkSession, root: str, as_of) -> dict[str, str]:
-    """Expired bans (B8), then expired accounts with their icons and
-    quests (B11) - one instant, one commit."""
-    bans = delete_where(_t(spark, root, "user_ban"), expired("ban_end_time", as_of))
-    cas = cascade_delete(_t(spark, root, "user_delete"), "email", "delete_end_time", as_of,
-                         {"user_icon": (_t(spark, root, "user_icon"), "user_email"),
-                          "user_quest": (_t(spark, root, "user_quest"), "user_email")})
-    return publish_all({"user_ban": bans, "user_delete": cas["parent"],
-                        "user_icon": cas["user_icon"],
-                        "user_quest": cas["user_quest"]}, root)
+    """:func:`expire` on the published tables, one commit."""
+    frames = {t: _t(spark, root, t) for t in ("user_ban", "user_delete", "user_icon", "user_quest")}
+    return publish_all(expire(frames, as_of), root)
 
 
 #: FIXED VALUES: the search index's branches in union order:
@@ -83,25 +90,35 @@ INDEX_SPEC = [
 ]
 
 
-def index_branches(spark: SparkSession, root: str) -> list[IndexBranch]:
-    """U1-U5 over the published tables; a table read twice in a row of the
-    spec (U3: the map list under two paths) is scanned once per spec row."""
+def index_branches(table: Callable[[str], DataFrame]) -> list[IndexBranch]:
+    """U1-U5 over the tables that ``table`` returns by name. Neighbouring
+    spec rows of one table (U3: the map list under two paths) are one branch
+    with several emits, so the table is read once."""
     out = []
-    for table, variants, path, typ, with_id in INDEX_SPEC:
-        df = _t(spark, root, table)
-        out.append(IndexBranch(df, [IndexEmit(p, c, path, typ, with_id) for p, c in variants]))
+    for name, rows in groupby(INDEX_SPEC, key=lambda r: r[0]):
+        out.append(IndexBranch(table(name), [IndexEmit(prefix, col, path, typ, with_id)
+                                             for _, variants, path, typ, with_id in rows for prefix, col in variants]))
     return out
 
 
 def search_index_job(spark: SparkSession, root: str) -> dict[str, str]:
     """Rebuild the index (U1, W2) and switch versions."""
-    return publish_all({"search": search_index(index_branches(spark, root))}, root)
+    return publish_all({"search": search_index(index_branches(lambda name: _t(spark, root, name)))}, root)
+
+
+#: Days for which dated snapshots are kept
+KEEP_DAYS = 3
 
 
-def snapshot_job(spark: SparkSession, root: str, snap_root: str, tables: list[str], as_of) -> bool:
-    """Dated snapshot of every table (B13) and the verification gate of
-    retention (B14). Old snapshots are only to be dropped when this returns
-    True; reads of the retained window go through ``retain``."""
+def snapshot_job(spark: SparkSession, root: str, snap_root: str, tables: list[str], as_of,
+                 keep_days: int = KEEP_DAYS) -> bool:
+    """Dated snapshot of every table (B13); when all of them hold as
+    many rows as their sources, older ones beyond ``keep_days`` go (B14).
+    False (and nothing removed) when the gate fails."""
     frames = {t: _t(spark, root, t) for t in tables}
     snapshot(frames, snap_root, as_of)
-    return all(verify_snapshot(spark, snap_root, t, frames[t], as_of) for t in tables)
+    if not all(verify_snapshot(spark, snap_root, t, frames[t], as_of) for t in tables):
+        return False
+    for t in tables:
+        apply_retention(spark, snap_root, t, keep_days, as_of)
+    return True

@@ -18,16 +18,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quartermaster.functions import vocab as V
-from quartermaster.functions.effects import (annotate, append_by_name, drink_painkillers,
+from quartermaster.functions.effects import (annotate, append_by_name, drink_painkillers, effects_json,
                                              injector_painkillers, normalise_effects,
                                              reclassified_effects, split_effects)
 from quartermaster.functions.labels import (bucket, first_match, label_value, lookup,
                                             normalise_element, override_when_present,
                                             relabel_array, substring_rules)
 from quartermaster.functions.predicates import bag_nonempty
-from quartermaster.functions.scalars import as_of_lit, json_text
+from quartermaster.functions.scalars import json_text
 from quartermaster.operators.lookup import lookup_first, override_chain
-from quartermaster.operators.merge import merge
+from quartermaster.operators.merge import merge, with_load_time
 from quartermaster.operators.nested import last_value_per_key
 from quartermaster.operators.routing import catalogue_rules, route_split
 from quartermaster.sources.documents import MEDICAL_SCHEMA, PROPERTY_SCHEMAS, decode_variant
@@ -225,7 +225,7 @@ def provisions_rows(df: DataFrame) -> DataFrame:
     eff = append_by_name("__e0", "name", drink_painkillers())
     return df.select(*_base("name_en"), F.col("category.name").alias("category"),
                      p["energy"].alias("energy"), p["hydration"].alias("hydration"),
-                     json_text(eff).alias("stim_effects"), _image())
+                     effects_json(eff, chance=False).alias("stim_effects"), _image())
 
 
 def medical_rows(df: DataFrame) -> DataFrame:
@@ -252,8 +252,8 @@ def medical_rows(df: DataFrame) -> DataFrame:
         *_base("name_en"), cures.alias("cures_en"),
         relabel_array(cures, V.CURES_KR, "drop").alias("cures_kr"),
         F.when(morph, F.lit(V.RECLASSIFIED_CATEGORY)).otherwise(F.col("category.name")).alias("category"),
-        json_text(split_effects("__eff", "buff")).alias("buff"),
-        json_text(split_effects("__eff", "debuff")).alias("debuff"),
+        effects_json(split_effects("__eff", "buff")).alias("buff"),
+        effects_json(split_effects("__eff", "debuff")).alias("debuff"),
         dropped("useTime").alias("use_time"), dropped("uses").alias("uses"),
         dropped("energyImpact").alias("energy_impact"),
         dropped("hydrationImpact").alias("hydration_impact"),
@@ -359,17 +359,15 @@ def item_sources(items: DataFrame, maps: DataFrame, as_of,
                  only: list[str] | None = None, stage_dir: str | None = None) -> dict[str, DataFrame]:
     """Route the catalogue once and build the source rows of every target
     (or of the ``only`` targets), each stamped with the run's load time
-    (B15). When several targets are built the routed rows are persisted
-    (or staged with ``stage_dir``), so the documents are parsed and
-    classified once per run."""
+    (B15). The routed rows are staged once as Parquet partitioned by target
+    (in ``stage_dir``, by default a fresh folder under the shared checkpoint
+    folder), so the documents are parsed and classified once per run however
+    many targets are built, and each target reads only its own partition."""
     tables = [t for t in TARGETS if only is None or t in only]
     needed = {TARGETS[t].route for t in tables}
     if "weapon" in tables:
         needed.add("Gun image")
-    rules = catalogue_rules(only=needed)
-    # a full run (many targets) caches the classified documents for its
-    # lifetime; a single-target build does not pin anything in the cache
-    routed = route_split(items, rules, persist=len(tables) > 1, stage_dir=stage_dir)
+    routed = route_split(items, catalogue_rules(only=needed), stage_dir=stage_dir)
     out = {}
     for table in tables:
         t = TARGETS[table]
@@ -379,15 +377,14 @@ def item_sources(items: DataFrame, maps: DataFrame, as_of,
             rows = key_rows(routed["Key"], maps)
         else:
             rows = t.build(routed[t.route])
-        out[table] = rows.withColumn("update_time", as_of_lit(as_of))
+        out[table] = with_load_time(rows, as_of)
     return out
 
 
 def upsert_items(targets: dict[str, DataFrame], items: DataFrame, maps: DataFrame,
                  as_of, stage_dir: str | None = None) -> dict[str, DataFrame]:
     """The new state of each item table (last-wins by document
-    position, column subsets per table). With ``stage_dir`` the routed
-    documents are staged as Parquet partitioned by target first."""
+    position, column subsets per table)."""
     sources = item_sources(items, maps, as_of, stage_dir=stage_dir)
     out = {}
     for table, src in sources.items():

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quartermaster.functions import vocab as V
-from quartermaster.functions.scalars import as_of_lit, falsy_to_null, json_text
-from quartermaster.operators.merge import merge
+from quartermaster.functions.scalars import falsy_to_null, json_text
+from quartermaster.operators.merge import merge, with_load_time
 
 
 def quest_rows(quests: DataFrame) -> DataFrame:
@@ -20,7 +20,7 @@ def quest_rows(quests: DataFrame) -> DataFrame:
 
 
 def upsert_quests(target: DataFrame, quests: DataFrame, as_of) -> DataFrame:
-    src = quest_rows(quests).withColumn("update_time", as_of_lit(as_of))
+    src = with_load_time(quest_rows(quests), as_of)
     return merge(target, src, "id", insert_cols=["name", "npc_name", "task_requirements",
                                                  "objectives", "update_time"], order_cols="pos")
 
@@ -36,6 +36,6 @@ def upsert_quest_items(loot: DataFrame, quest_items: DataFrame, as_of) -> DataFr
     """Second feeder of the loot table - its own column subset (no
     short name), so the first feed's short name and the curated local name
     survive."""
-    src = quest_item_rows(quest_items).withColumn("update_time", as_of_lit(as_of))
+    src = with_load_time(quest_item_rows(quest_items), as_of)
     return merge(loot, src, "id", insert_cols=["name_en", "image", "category", "update_time"],
                  order_cols="pos")

@@ -7,12 +7,15 @@ the scan stage, no shuffle before the merge.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quartermaster.functions.scalars import as_of_lit, composite_text, falsy_to_null
-from quartermaster.operators.merge import merge
+from quartermaster.functions.scalars import composite_text, falsy_to_null
+from quartermaster.operators.merge import merge, with_load_time
 from quartermaster.operators.nested import child_ids, first_child, unnest
+from quartermaster.session import ensure_checkpoint_dir
 
 
 def _levels(st: DataFrame) -> DataFrame:
@@ -114,8 +117,14 @@ TARGETS = {
 
 
 def station_sources(stations: DataFrame, as_of) -> dict[str, DataFrame]:
-    return {t: build(stations).withColumn("update_time", as_of_lit(as_of))
-            for t, (build, _, _) in TARGETS.items()}
+    """The source rows of every target. The documents are parsed once: a
+    Parquet copy under the shared checkpoint folder serves all targets, each
+    of which reads only the columns and nested fields it needs."""
+    spark = stations.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stations-{uuid.uuid4().hex}"
+    stations.write.parquet(path)
+    staged = spark.read.schema(stations.schema).parquet(path)
+    return {t: with_load_time(build(staged), as_of) for t, (build, _, _) in TARGETS.items()}
 
 
 def upsert_stations(targets: dict[str, DataFrame], stations: DataFrame, as_of) -> dict[str, DataFrame]:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 EFFECT = ("struct<delay:int,value:double,type:string,skillName:string,duration:int,"
           "chance:double,krSkill:string>")
 
-ITEM_SCHEMA = ("pos int, id string, name string, weight double, shortName string, "
+ITEM_SCHEMA = ("pos bigint, id string, name string, weight double, shortName string, "
                "image512pxLink string, "
                "category struct<name:string,parent:struct<name:string>>, properties string")
 
@@ -54,10 +54,10 @@ PROPERTY_SCHEMAS = {
 MEDICAL_SCHEMA = ("cures array<string>, useTime int, uses int, hitpoints int, energyImpact int, "
                   f"hydrationImpact int, painkillerDuration int, stimEffects array<{EFFECT}>")
 
-MAP_SCHEMA = "pos int, name string, locks array<struct<key:struct<name:string>>>"
+MAP_SCHEMA = "pos bigint, name string, locks array<struct<key:struct<name:string>>>"
 
 STATION_SCHEMA = (
-    "pos int, id string, name string, imageLink string, "
+    "pos bigint, id string, name string, imageLink string, "
     "levels array<struct<id:string, level:int, constructionTime:int, "
     "itemRequirements:array<struct<id:string, item:struct<name:string, image512pxLink:string>, "
     "quantity:int, count:int>>, "
@@ -72,12 +72,12 @@ STATION_SCHEMA = (
     "rewardItems:array<struct<item:struct<name:string>>>>>")
 
 QUEST_SCHEMA = (
-    "pos int, id string, name string, trader struct<name:string>, "
+    "pos bigint, id string, name string, trader struct<name:string>, "
     "taskRequirements array<struct<task:struct<id:string, name:string>>>, "
     "objectives array<struct<id:string, type:string, "
     "questItem:struct<id:string, name:string, shortName:string, description:string>, count:int>>")
 
-QUEST_ITEM_SCHEMA = "pos int, id string, name string, image512pxLink string"
+QUEST_ITEM_SCHEMA = "pos bigint, id string, name string, image512pxLink string"
 
 
 def read_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -93,7 +93,7 @@ def read_enveloped(spark: SparkSession, path: str, root: str, entity_schema: str
     env = f"data struct<{root}: array<struct<{_strip_pos(entity_schema)}>>>"
     doc = spark.read.schema(env).option("multiLine", "true").option("mode", "FAILFAST").json(path)
     ex = doc.select(F.posexplode(f"data.{root}").alias("pos", "e"))
-    return ex.select("pos", "e.*")
+    return ex.select(F.col("pos").cast("bigint").alias("pos"), "e.*")
 
 
 def _strip_pos(schema: str) -> str:
@@ -120,9 +120,11 @@ def _split_top(schema: str) -> list[str]:
 
 def decode_variant(raw: str | Column, member_schema: str) -> Column:
     """Decode the raw ``properties`` JSON with one member's schema.
-    ``null`` / NULL decode to NULL; ``{}`` decodes to a struct of NULLs."""
+    ``null`` / NULL decode to NULL; ``{}`` decodes to a struct of NULLs. A bag
+    that is no JSON, or holds a value of another type than the schema's,
+    fails the job (FAILFAST): its attributes must not vanish silently."""
     c = F.col(raw) if isinstance(raw, str) else raw
-    return F.from_json(c, member_schema)
+    return F.from_json(F.nullif(F.trim(c), F.lit("null")), member_schema, {"mode": "FAILFAST"})
 
 
 def narrow(df: DataFrame, fields: list[str]) -> DataFrame:

@@ -10,32 +10,19 @@ PROVIDED = ("region", "nation", "customer", "supplier", "part", "orders", "linei
             "conversations")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, partitions: int | None = None) -> DataFrame:
     """One landed table. Parquet keeps filter push-down, column and
-    nested-column pruning; nothing is inferred. ``spread`` applies
-    :func:`ensure_parallelism` (for CPU-heavy per-row work)."""
+    nested-column pruning; nothing is inferred. ``partitions`` deals the rows
+    out round-robin (for CPU-heavy work per row on a table that was written
+    as a few large row groups)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return ensure_parallelism(df) if spread else df
-
-
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin spread a scan that has fewer splits than the cluster has
-    task slots (a file written as one row group is one task, whatever its
-    size). On a cluster reading many files this is a no-op: the scan already
-    has more splits than slots. Checking the split count plans the scan but
-    runs no job."""
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - Spark Connect has no RDD view: leave as is
-        return df
-    return df.repartition(want) if have < want else df
+    return df.repartition(partitions) if partitions else df
 
 
 def read_lookup(spark: SparkSession, path: str, schema: str, fmt: str = "csv") -> DataFrame:
     """A label dictionary kept as data (CSV with header, or Parquet).
     The schema is explicit; these tables are small by nature and are
-    broadcast by the operators that use them, behind a size check."""
+    broadcast by Spark from their measured size."""
     reader = spark.read.schema(schema)
     if fmt == "csv":
         return reader.option("header", "true").option("mode", "FAILFAST").csv(path)

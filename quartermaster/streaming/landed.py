@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quartermaster.operators.index import publish_all, read_published
 from quartermaster.operators.merge import merge, merge_into_path
@@ -24,15 +25,20 @@ def merge_landed(spark: SparkSession, landing: str, schema: str, root: str, tabl
                  order_col: str = "pos", buckets: int | None = None,
                  target_schema: str | None = None) -> None:
     """Merge every newly landed JSON-lines file under ``landing`` into the
-    published ``table`` (last-wins by ``order_col`` inside a batch; batches
-    apply in arrival order). ``build`` turns documents into source rows
+    published ``table`` (inside a batch the last row wins by the time and
+    name of its file, then by ``order_col``; batches apply in arrival order;
+    a batch that is retried after it was published changes nothing). ``build`` turns documents into source rows
     (one of the ``*_rows`` functions). With ``buckets`` the table is kept as
     Parquet partitioned by key bucket and each batch rewrites only the
     buckets it touches (:func:`merge_into_path`); otherwise every batch
     publishes a new version of the whole table."""
 
+    # one total order for a batch of several files: a later file replaces an earlier one
+    order = F.struct(F.col("_metadata.file_modification_time").alias("at"),
+                     F.col("_metadata.file_name").alias("file"), F.col(order_col).alias("pos"))
+
     def apply(batch: DataFrame, batch_id: int) -> None:
-        src = build(batch)
+        src = build(batch.withColumn(order_col, order))
         if buckets:
             # large target: rewrite only the key buckets this batch touches
             merge_into_path(src, f"{root.rstrip('/')}/{table}", key, insert_cols,
@@ -44,6 +50,7 @@ def merge_landed(spark: SparkSession, landing: str, schema: str, root: str, tabl
         publish_all({table: new}, root, version=f"b{batch_id:012d}")
 
     q = (spark.readStream.schema(schema).option("mode", "FAILFAST").json(landing)
+         .select("*", "_metadata")
          .writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
