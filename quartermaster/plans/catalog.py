@@ -22,17 +22,13 @@ from pyspark.sql import functions as F
 
 from quartermaster.operators import activity
 from quartermaster.sources.tables import read_table as _read_table
-import os as _os
 
-#: Spread every single-split scan over all task slots (see
-#: ensure_parallelism). Off by default: only checks with heavy per-row work
-#: (JSON documents, effect arrays) ask for it; for plain projections and for
-#: aggregations the extra round-robin exchange costs more than it saves.
-SPREAD = _os.environ.get("QM_SPREAD", "0") == "1"
 
+def read_table(spark, d, name, spread: bool = False):
+    """A provided table; ``spread`` deals it out over all task slots, for the
+    checks that build and parse a JSON document per row."""
+    return _read_table(spark, d, name, spark.sparkContext.defaultParallelism if spread else None)
 
-def read_table(spark, d, name, spread=None):
-    return _read_table(spark, d, name, spread=SPREAD if spread is None else spread)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -86,22 +82,13 @@ def grades(spark) -> DataFrame:
 
 # ---------------------------------------------------------------- community
 
-_STATS_SQL = """
-WITH emails AS (SELECT c_custkey AS email FROM customer),
-post_counts AS (
-  SELECT o_custkey AS email, COUNT(*) AS total_posts FROM orders
-  WHERE o_custkey IN (SELECT email FROM emails) GROUP BY o_custkey),
-comment_counts AS (
-  SELECT l_suppkey AS email, COUNT(DISTINCT o_orderkey) AS total_comments
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  WHERE l_suppkey IN (SELECT email FROM emails)
-    AND (l_returnflag = 'R') = FALSE AND (l_linestatus = 'O') = FALSE
-  GROUP BY l_suppkey)
-SELECT e.email AS user_email,
-       CAST(COALESCE(p.total_posts, 0) AS BIGINT) AS post_count,
-       CAST(COALESCE(c.total_comments, 0) AS BIGINT) AS comment_count
-FROM emails e LEFT JOIN post_counts p ON e.email = p.email
-LEFT JOIN comment_counts c ON e.email = c.email
+#: P29 per user, as two counts looked up for that user
+_POSTS_OF = "(SELECT count(*) FROM orders WHERE o_custkey = c_custkey)"
+_BOARDS_OF = """(SELECT count(DISTINCT l_orderkey) FROM lineitem
+   WHERE l_suppkey = c_custkey AND l_returnflag <> 'R' AND l_linestatus <> 'O'
+     AND l_orderkey IN (SELECT o_orderkey FROM orders))"""
+_STATS_SQL = f"""
+SELECT c_custkey AS user_email, {_POSTS_OF} AS post_count, {_BOARDS_OF} AS comment_count FROM customer
 """
 
 
@@ -111,26 +98,21 @@ def q_user_post_statistics(spark, d):
     return activity.user_post_statistics(users(spark, d), boards(spark, d), comments(spark, d))
 
 
+#: The grade is read off the largest (threshold, id) not above the score
+_SCORED = f"""scored AS (
+  SELECT c_custkey AS email, 5 * c_nationkey + 10 * {_POSTS_OF} + 5 * {_BOARDS_OF} AS points FROM customer),
+reached AS (
+  SELECT email, (SELECT max(g.score * 100 + g.id) FROM {GRADES_SQL} WHERE g.score <= points) AS top FROM scored)"""
 _GRADE_SQL = f"""
-WITH stats AS ({_STATS_SQL}),
-total_scores AS (
-  SELECT c_custkey AS email,
-         c_nationkey * 5 + COALESCE(s.post_count, 0) * 10 + COALESCE(s.comment_count, 0) * 5 AS total_score
-  FROM customer LEFT JOIN stats s ON c_custkey = s.user_email),
-graded AS (
-  SELECT ts.email, g.id AS grade_id,
-         ROW_NUMBER() OVER (PARTITION BY ts.email ORDER BY g.score DESC, g.id DESC) AS rn
-  FROM total_scores ts JOIN {GRADES_SQL} ON ts.total_score >= g.score)
-SELECT c_custkey AS email, CAST(COALESCE(gu.grade_id, -1) AS INTEGER) AS grade
-FROM customer LEFT JOIN (SELECT email, grade_id FROM graded WHERE rn = 1) gu
-  ON c_custkey = gu.email
+WITH {_SCORED}
+SELECT email, CAST(CASE WHEN top IS NULL THEN -1 ELSE top % 100 END AS INTEGER) AS grade FROM reached
 """
 
 
-def _graded_users(spark, d, force_sweep=False):
+def _graded_users(spark, d, strategy="broadcast"):
     u = users(spark, d)
     stats = activity.user_post_statistics(u, boards(spark, d), comments(spark, d))
-    return activity.update_user_grade(u, stats, grades(spark), force_sweep=force_sweep)
+    return activity.update_user_grade(u, stats, grades(spark), strategy=strategy)
 
 
 @register("user_grade", _GRADE_SQL)
@@ -141,20 +123,13 @@ def q_user_grade(spark, d):
 
 @register("user_grade_sweep", _GRADE_SQL)
 def q_user_grade_sweep(spark, d):
-    """P30 with the threshold join forced onto the distributed sweep (the
-    path taken when the threshold table is too large to broadcast)."""
-    return _graded_users(spark, d, force_sweep=True).select("email", "grade")
+    """P30 with the threshold join as a distributed sweep."""
+    return _graded_users(spark, d, "sweep").select("email", "grade")
 
 
 @register("grade_max_by", f"""
-WITH stats AS ({_STATS_SQL}),
-total_scores AS (
-  SELECT c_custkey AS email,
-         c_nationkey * 5 + COALESCE(s.post_count, 0) * 10 + COALESCE(s.comment_count, 0) * 5 AS total_score
-  FROM customer LEFT JOIN stats s ON c_custkey = s.user_email)
-SELECT ts.email, CAST(arg_max(g.id, g.score * 1000 + g.id) AS INTEGER) AS grade_id
-FROM total_scores ts JOIN {GRADES_SQL} ON ts.total_score >= g.score
-GROUP BY ts.email
+WITH {_SCORED}
+SELECT email, CAST(top % 100 AS INTEGER) AS grade_id FROM reached WHERE top IS NOT NULL
 """)
 def q_grade_max_by(spark, d):
     """The arg-max form of the grading (graded users only)."""
@@ -164,6 +139,35 @@ def q_grade_max_by(spark, d):
     return activity.grades_max_by(scores, grades(spark))
 
 
+def _thresholds(spark, d, strategy):
+    """Order dates as thresholds for event times: many orders share a day,
+    and no tie column is given."""
+    from quartermaster.operators.joins import threshold_lookup
+    days = read_table(spark, d, "orders").select(
+        (F.col("o_orderdate") + F.expr("make_interval(27)")).alias("day"), "o_orderpriority", "o_orderstatus")
+    facts = read_table(spark, d, "events").select("event_id", "ts")
+    return threshold_lookup(facts, "ts", days, "day", ["o_orderpriority", "o_orderstatus"], strategy=strategy)
+
+
+_THRESHOLDS_SQL = """
+WITH t AS (SELECT o_orderdate + INTERVAL 27 YEAR AS day, max({'p': o_orderpriority, 's': o_orderstatus}) AS b
+           FROM orders GROUP BY 1)
+SELECT event_id, ts, b.p AS o_orderpriority, b.s AS o_orderstatus FROM events ASOF LEFT JOIN t ON ts >= day
+"""
+
+
+@register("threshold_times", _THRESHOLDS_SQL)
+def q_threshold_times(spark, d):
+    """D4 on timestamps with tied thresholds and no tie column."""
+    return _thresholds(spark, d, "broadcast")
+
+
+@register("threshold_times_sweep", _THRESHOLDS_SQL)
+def q_threshold_times_sweep(spark, d):
+    """The same rows from the distributed sweep."""
+    return _thresholds(spark, d, "sweep")
+
+
 # ------------------------------------------------------------- issue board
 
 def issues(spark, d) -> DataFrame:
@@ -294,9 +298,9 @@ def q_cascade_parent(spark, d):
 
 def _li_target(spark, d):
     """Target keyed (l_orderkey, l_linenumber): finished orders hold a stale
-    line 1 with a note that only the target has."""
+    line with a note that only the target has."""
     o = read_table(spark, d, "orders").filter(F.col("o_orderstatus") == "F")
-    return o.select(F.col("o_orderkey").alias("l_orderkey"), F.lit(1).alias("l_linenumber"),
+    return o.select(F.col("o_orderkey").alias("l_orderkey"), (F.col("o_orderkey") % 4 + 1).cast("int").alias("l_linenumber"),
                     F.lit(-1.0).alias("l_quantity"), F.lit(-1.0).alias("l_extendedprice"),
                     F.col("o_orderpriority").alias("note"))
 
@@ -307,8 +311,8 @@ WITH src AS (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber
               ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) AS rn
     FROM lineitem) WHERE rn = 1),
-tgt AS (SELECT o_orderkey AS l_orderkey, 1 AS l_linenumber, -1.0 AS l_quantity, -1.0 AS l_extendedprice,
-               o_orderpriority AS note FROM orders WHERE o_orderstatus = 'F')
+tgt AS (SELECT o_orderkey AS l_orderkey, CAST(o_orderkey % 4 + 1 AS INTEGER) AS l_linenumber, -1.0 AS l_quantity,
+               -1.0 AS l_extendedprice, o_orderpriority AS note FROM orders WHERE o_orderstatus = 'F')
 SELECT COALESCE(t.l_orderkey, s.l_orderkey) AS l_orderkey,
        COALESCE(t.l_linenumber, s.l_linenumber) AS l_linenumber,
        CASE WHEN s.l_orderkey IS NOT NULL THEN s.l_quantity ELSE t.l_quantity END AS l_quantity,
@@ -386,8 +390,8 @@ WITH src AS (
   SELECT o_custkey, o_orderpriority, o_orderkey, o_totalprice FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey, o_orderpriority
                                  ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) WHERE rn = 1),
-tgt AS (SELECT c_custkey AS o_custkey, '1-URGENT' AS o_orderpriority, -1 AS o_orderkey, -1.0 AS o_totalprice
-        FROM customer)
+tgt AS (SELECT c_custkey AS o_custkey, ['1-URGENT', '2-HIGH', '5-LOW'][c_nationkey % 3 + 1] AS o_orderpriority,
+               -1 AS o_orderkey, -1.0 AS o_totalprice FROM customer)
 SELECT COALESCE(t.o_custkey, s.o_custkey) AS o_custkey,
        COALESCE(t.o_orderpriority, s.o_orderpriority) AS o_orderpriority,
        CASE WHEN s.o_custkey IS NOT NULL THEN s.o_orderkey ELSE t.o_orderkey END AS o_orderkey,
@@ -398,7 +402,9 @@ def q_merge_composite(spark, d):
     """B2: composite key (customer, priority), last order by date wins."""
     from quartermaster.operators.merge import merge
     tgt = read_table(spark, d, "customer").select(
-        F.col("c_custkey").alias("o_custkey"), F.lit("1-URGENT").alias("o_orderpriority"),
+        F.col("c_custkey").alias("o_custkey"),
+        F.element_at(F.array(F.lit("1-URGENT"), F.lit("2-HIGH"), F.lit("5-LOW")), (F.col("c_nationkey") % 3 + 1).cast("int"))
+        .alias("o_orderpriority"),
         F.lit(-1).cast("bigint").alias("o_orderkey"), F.lit(-1.0).alias("o_totalprice"))
     return merge(tgt, read_table(spark, d, "orders"), ["o_custkey", "o_orderpriority"],
                  insert_cols=["o_orderkey", "o_totalprice"],
@@ -649,12 +655,28 @@ def station_docs(spark, d) -> DataFrame:
     trader_t = ("array<struct<id:string,requirementType:string,value:int,"
                 "trader:struct<name:string,imageLink:string>,compareMethod:string>>")
 
+    skill_t = "array<struct<id:string,name:string,level:int,skill:struct<id:string,name:string>>>"
+    needs_t = "array<struct<id:string,level:int,station:struct<name:string,imageLink:string>>>"
+    skills = F.array(F.struct(
+        F.concat(sid, F.lit("-s")).alias("id"), F.lit("unused").alias("name"),
+        (F.col("o_custkey") % 5).cast("int").alias("level"),
+        F.when(F.col("o_orderstatus") != "P", F.struct(F.lit("k").alias("id"), F.col("o_orderpriority").alias("name")))
+        .alias("skill")))
+    needs = F.array(*[F.struct(
+        F.concat(sid, F.lit(f"-n{i}")).alias("id"), (F.col("o_custkey") % 3 + i).cast("int").alias("level"),
+        F.when(F.col("o_orderstatus") != "F", F.struct(
+            F.concat(F.lit("station "), (F.col("o_custkey") + i).cast("string")).alias("name"),
+            F.lit("/station").alias("imageLink"))).alias("station")) for i in (0, 1)])
+
     def level(k, reqs):
         b = bonuses if k == 1 else F.array().cast(bonus_t)
         t = traders if k == 2 else F.array().cast(trader_t)
+        s = skills if k == 1 else F.array().cast(skill_t)
+        n = needs if k == 2 else F.array().cast(needs_t)
         return F.struct(F.concat(sid, F.lit(f"-{k}")).alias("id"), F.lit(k).alias("level"),
                         (F.col("o_custkey") * k).alias("constructionTime"),
                         reqs.alias("itemRequirements"), b.cast(bonus_t).alias("bonuses"),
+                        s.cast(skill_t).alias("skillRequirements"), n.cast(needs_t).alias("stationLevelRequirements"),
                         t.cast(trader_t).alias("traderRequirements"))
 
     lvl2 = F.when(F.col("o_orderstatus") == "F", F.array().cast(
@@ -666,7 +688,7 @@ def station_docs(spark, d) -> DataFrame:
         F.when(F.col("o_orderstatus") == "F", F.array().cast("array<struct<item:struct<name:string>>>"))
         .otherwise(F.array(F.struct(F.struct(F.col("o_orderpriority").alias("name")).alias("item"))))
         .alias("rewardItems")))
-    doc = F.struct(F.col("o_orderkey").cast("int").alias("pos"), sid.alias("id"),
+    doc = F.struct(F.col("o_orderkey").alias("pos"), sid.alias("id"),
                    F.concat(F.lit("station "), sid).alias("name"),
                    F.array(level(1, F.array(req(1, "a", F.col("o_orderpriority"), 1, 1))),
                            level(2, lvl2)).alias("levels"),
@@ -787,25 +809,26 @@ def _strip_sql(n):
 
 @register("fallback_lookup", f"""
 WITH cand AS (
-  SELECT p_partkey AS pos, 'img-' || CAST(p_partkey AS VARCHAR) AS img,
+  SELECT p_partkey AS pos, CASE WHEN p_size % 3 > 0 THEN 'img-' || CAST(p_partkey AS VARCHAR) END AS img,
          p_type || CASE WHEN p_partkey % 3 = 0 THEN ' Default' WHEN p_partkey % 3 = 1 THEN ' Urbana' ELSE ' Zenit' END AS sn
   FROM part),
 {_strip_sql(8)}, {_strip_sql(7)}, {_strip_sql(6)},
 w AS (SELECT p_partkey, p_name, CASE WHEN p_size < 40 THEN p_type ELSE p_name END AS short_name FROM part)
 SELECT w.p_partkey,
-       COALESCE(CASE WHEN w.p_name = 'red widget' THEN 'override-image' END, s8.img, s7.img, s6.img,
-                'own-' || CAST(w.p_partkey AS VARCHAR)) AS image
+       CASE WHEN w.p_name = 'red widget' THEN 'override-image' WHEN s8.k IS NOT NULL THEN s8.img
+            WHEN s7.k IS NOT NULL THEN s7.img WHEN s6.k IS NOT NULL THEN s6.img
+            ELSE 'own-' || CAST(w.p_partkey AS VARCHAR) END AS image
 FROM w LEFT JOIN s8 ON w.short_name = s8.k LEFT JOIN s7 ON w.short_name = s7.k
 LEFT JOIN s6 ON w.short_name = s6.k
 """)
 def q_fallback_lookup(spark, d):
     """D9 + X3 (T16): image by suffix-stripped short name, strip lengths in
     priority 8, 7, 6, last-wins within a length; override first, own value
-    last."""
+    last; a matching candidate without an image gives NULL."""
     from quartermaster.operators.lookup import lookup_first
     p = read_table(spark, d, "part")
     cand = p.select(F.concat(F.col("p_type"), _suffix()).alias("sn"),
-                    F.concat(F.lit("img-"), F.col("p_partkey").cast("string")).alias("img"),
+                    F.when(F.col("p_size") % 3 > 0, F.concat(F.lit("img-"), F.col("p_partkey").cast("string"))).alias("img"),
                     F.col("p_partkey").alias("pos"))
     w = p.select("p_partkey", "p_name",
                  F.when(F.col("p_size") < 40, F.col("p_type")).otherwise(F.col("p_name")).alias("short_name"))
@@ -933,19 +956,40 @@ def q_relabel_pass(spark, d):
         relabel_array(F.split("p_name", " "), _TOKENS, "passthrough"), " ").alias("label"))
 
 
+#: words of a part's name, with 'hot' missing, under a key that repeats
+_SPARSE_SQL = "list_transform(string_split(p_name, ' '), lambda x: CASE WHEN x <> 'hot' THEN x END)"
+
+
+def _relabel_table(spark, d, policy):
+    from quartermaster.functions.labels import relabel_array_table
+    from quartermaster.sources.tables import lookup_from_pairs
+    pairs = [(k, "stale", 0) for k in _TOKENS] + [(k, v, 1) for k, v in _TOKENS.items()]
+    lk = lookup_from_pairs(spark, pairs, "k string, v string, pos int")
+    p = read_table(spark, d, "part").select("p_size", F.transform(
+        F.split("p_name", " "), lambda x: F.when(x != "hot", x)).alias("toks"))
+    r = relabel_array_table(p, "toks", lk, "k", "v", "lab", policy=policy, order="pos")
+    shown = F.array_join(F.transform("lab", lambda x: F.coalesce(x, F.lit("~"))), " ")
+    return r.groupBy("p_size", shown.alias("label")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("relabel_table", f"""
-SELECT p_partkey, array_to_string(list_filter(list_transform(string_split(p_name, ' '),
-       lambda x: {_case_sql(_TOKENS)}), lambda y: y IS NOT NULL), ' ') AS label FROM part
+SELECT p_size, array_to_string(list_filter(list_transform({_SPARSE_SQL},
+       lambda x: {_case_sql(_TOKENS)}), lambda y: y IS NOT NULL), ' ') AS label, COUNT(*) AS n FROM part GROUP BY ALL
 """)
 def q_relabel_table(spark, d):
-    """I1 with the dictionary as a parameter table (explode, join, regroup
-    per row in position order)."""
-    from quartermaster.functions.labels import relabel_array_table
-    from quartermaster.sources.tables import lookup_from_pairs
-    lk = lookup_from_pairs(spark, list(_TOKENS.items()), "k string, v string")
-    p = read_table(spark, d, "part").select("p_partkey", F.split("p_name", " ").alias("toks"))
-    r = relabel_array_table(p, "p_partkey", "toks", lk, "k", "v", "lab", policy="drop")
-    return r.select("p_partkey", F.array_join("lab", " ").alias("label"))
+    """I1 with the dictionary as a parameter table with repeated keys (the
+    last one by position counts), arrays with NULL elements, rows without a
+    unique key."""
+    return _relabel_table(spark, d, "drop")
+
+
+@register("relabel_table_pass", f"""
+SELECT p_size, array_to_string(list_transform({_SPARSE_SQL},
+       lambda x: COALESCE({_case_sql(_TOKENS)}, x, '~')), ' ') AS label, COUNT(*) AS n FROM part GROUP BY ALL
+""")
+def q_relabel_table_pass(spark, d):
+    """I3 in the table form: unknown and NULL elements stay in place."""
+    return _relabel_table(spark, d, "passthrough")
 
 
 @register("normalise_element", f"""
@@ -1087,7 +1131,7 @@ def order_effects(spark, d) -> DataFrame:
                   lookup("o_orderstatus", _TYPE_OF_STATUS).alias("type"),
                   F.lit(None).cast("string").alias("skillName"), F.lit(10).alias("duration"),
                   F.lit(0.5).alias("chance"), F.lit(None).cast("string").alias("krSkill"))
-    return o.select("o_orderkey", "o_orderpriority", "o_orderstatus",
+    return o.select("o_orderkey", "o_orderpriority", "o_orderstatus", "o_custkey",
                     F.array(e1, e2).cast(f"array<{EFFECT_DDL}>").alias("effects"))
 
 
@@ -1137,29 +1181,38 @@ def q_append_effect(spark, d):
                     last["duration"].alias("last_duration"))
 
 
-@register("reclassify", """
-SELECT o_orderkey,
-       CASE WHEN o_orderpriority = '5-LOW' THEN 'Stimulant' ELSE o_orderstatus END AS category,
-       CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_custkey END AS uses,
-       CASE WHEN o_orderpriority = '5-LOW' THEN 3 ELSE 2 END AS n_effects,
-       CASE WHEN o_orderpriority = '5-LOW' THEN 'painkillerDuration' ELSE 'Skill' END AS first_type
-FROM orders
-""")
+def _reclassify_sql():
+    from quartermaster.functions import vocab as V
+    types = ", ".join(f"'{t}'" for _, t, _ in V.RECLASSIFIED_EFFECTS)
+    values = ", ".join(f"{float(v)}" for _, _, v in V.RECLASSIFIED_EFFECTS)
+    durations = ", ".join(str(x) for x, _, _ in V.RECLASSIFIED_EFFECTS)
+    typ = "CASE o_orderstatus WHEN 'F' THEN 'Pain' WHEN 'O' THEN 'Energy recovery' WHEN 'P' THEN 'Mystery' END"
+    low = "o_orderpriority = '5-LOW'"
+    return f"""
+SELECT o_orderkey, CASE WHEN {low} THEN 'Stimulant' ELSE o_orderstatus END AS category,
+       CASE WHEN {low} THEN NULL ELSE o_custkey END AS uses,
+       array_to_string(CASE WHEN {low} THEN [{types}] ELSE ['Skill', {typ}] END, '|') AS types,
+       list_sum(CASE WHEN {low} THEN [{values}]
+                ELSE [o_totalprice / 10000 - 25, -(o_totalprice / 10000 - 25)] END) AS value_sum,
+       CAST(list_sum(CASE WHEN {low} THEN [{durations}] ELSE [0, 10] END) AS BIGINT) AS duration_sum
+FROM orders"""
+
+
+@register("reclassify", _reclassify_sql())
 def q_reclassify(spark, d):
     """I8: one product reclassified - category changed, fields removed, a
     constant effect list installed."""
     from quartermaster.functions.effects import reclassified_effects, reclassify
-    o = read_table(spark, d, "orders")
-    e = order_effects(spark, d).select("o_orderkey", "effects")
-    j = o.join(e, "o_orderkey")
     cols = reclassify(F.col("o_orderpriority") == "5-LOW",
                       {"category": F.lit("Stimulant"), "uses": F.lit(None).cast("bigint"),
                        "effects": reclassified_effects()},
                       {"o_orderkey": F.col("o_orderkey"), "category": F.col("o_orderstatus"),
                        "uses": F.col("o_custkey"), "effects": F.col("effects")})
-    r = j.select(*cols)
-    return r.select("o_orderkey", "category", "uses", F.size("effects").alias("n_effects"),
-                    F.get("effects", 0)["type"].alias("first_type"))
+    r = order_effects(spark, d).select(*cols)
+    add = lambda a, b: a + b
+    return r.select("o_orderkey", "category", "uses", F.array_join("effects.type", "|").alias("types"),
+                    F.aggregate("effects.value", F.lit(0.0), add).alias("value_sum"),
+                    F.aggregate("effects.duration", F.lit(0), add).cast("bigint").alias("duration_sum"))
 
 
 def event_effects(spark, d) -> DataFrame:
@@ -1233,6 +1286,20 @@ def q_interval_window(spark, d):
                             start=_dt.date(2024, 1, 5)).select("event_id")
 
 
+@register("zoned_window", """
+SELECT event_id FROM events
+WHERE timezone('Asia/Seoul', timezone('UTC', ts)) >= TIMESTAMP '2024-01-05 00:00:00'
+  AND timezone('Asia/Seoul', timezone('UTC', ts)) < TIMESTAMP '2024-01-12 00:00:00'
+""")
+def q_zoned_window(spark, d):
+    """X16 + X18: run interval in local days; the bounds move, not the
+    column."""
+    from quartermaster.functions.windows import reporting_window
+    e = read_table(spark, d, "events")
+    return reporting_window(e, "ts", _dt.date(2024, 1, 12), "interval", start=_dt.date(2024, 1, 5),
+                            zone="Asia/Seoul").select("event_id")
+
+
 @register("trailing_window", """
 SELECT event_id FROM events
 WHERE ts >= TIMESTAMP '2024-01-11 00:00:00' AND ts < TIMESTAMP '2024-01-17 00:00:00'
@@ -1301,6 +1368,15 @@ _PART_CATEGORY = {"STANDARD": ("Knife", "Melee"), "ECONOMY": ("Ammo", "Ammo"),
                   "LARGE": ("Tools", "Barter item"), "PROMO": ("Armor", "Equipment")}
 
 
+def _helmets():
+    """Three names with a fixed ricochet chance."""
+    from quartermaster.functions import vocab as V
+    return list(V.RICOCHET_OVERRIDE)[:3]
+
+
+_HELMET_SQL = "[" + ", ".join(f"'{n}'" for n in _helmets()) + "][p_partkey % 3 + 1]"
+
+
 def part_catalogue(spark, d, raw: bool = False) -> DataFrame:
     """Item documents built from ``part``: the category follows p_type, the
     attribute bag is the JSON of the member schema filled from the part's
@@ -1316,6 +1392,7 @@ def part_catalogue(spark, d, raw: bool = False) -> DataFrame:
         par = F.when(t == k, F.lit(pa)).otherwise(par)
     cat = F.when((t == "LARGE") & (F.col("p_size") > 45), F.lit("Compass")).otherwise(cat)
     word = F.initcap(F.split("p_name", " ").getItem(1))
+    helmets = F.array(*map(F.lit, _helmets()))
     props = (F.when(t == "STANDARD", F.to_json(F.struct(
                 F.col("p_size").alias("slashDamage"), (F.col("p_size") * 2).alias("stabDamage"),
                 (F.col("p_retailprice") / 1000).alias("hitRadius"))))
@@ -1331,9 +1408,11 @@ def part_catalogue(spark, d, raw: bool = False) -> DataFrame:
                  (F.col("p_size") % 6).alias("class"),
                  F.array(F.lit("Thorax"), F.concat(F.lit("Stomach, "), word)).alias("zones"))))
              .otherwise(F.lit("{}")))
-    doc = F.struct(F.col("p_partkey").cast("int").alias("pos"),
+    doc = F.struct(F.col("p_partkey").alias("pos"),
                    F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("id"),
-                   F.concat_ws(" ", "p_name", "p_brand").alias("name"),
+                   F.when((t == "MEDIUM") & (F.col("p_size") % 4 == 0),
+                          F.element_at(helmets, (F.col("p_partkey") % 3 + 1).cast("int")))
+                   .otherwise(F.concat_ws(" ", "p_name", "p_brand")).alias("name"),
                    (F.col("p_retailprice") / 100).alias("weight"),
                    F.col("p_brand").alias("shortName"),
                    F.concat(F.lit("/img/"), F.col("p_partkey").cast("string")).alias("image512pxLink"),
@@ -1347,14 +1426,15 @@ def part_catalogue(spark, d, raw: bool = False) -> DataFrame:
 
 def _part_item_sources(spark, d, table):
     from quartermaster.plans import items as I
-    empty_maps = spark.createDataFrame([], "pos int, name string, locks array<struct<key:struct<name:string>>>")
+    empty_maps = spark.createDataFrame([], "pos bigint, name string, locks array<struct<key:struct<name:string>>>")
     return I.item_sources(part_catalogue(spark, d), empty_maps, AS_OF, only=[table])
 
 
-_PART_DOC_SQL = """
-pd AS (SELECT 'p' || CAST(p_partkey AS VARCHAR) AS id, p_name || ' ' || p_brand AS name,
+_PART_DOC_SQL = f"""
+pd AS (SELECT 'p' || CAST(p_partkey AS VARCHAR) AS id,
+              CASE WHEN p_type = 'MEDIUM' AND p_size % 4 = 0 THEN {_HELMET_SQL} ELSE p_name || ' ' || p_brand END AS name,
               p_brand AS short_name, '/img/' || CAST(p_partkey AS VARCHAR) AS image, p_type, p_size,
-              p_retailprice, p_name FROM part)"""
+              p_retailprice, p_retailprice / 100 AS weight, p_name FROM part)"""
 
 
 @register("catalogue_knife", f"""
@@ -1389,9 +1469,11 @@ def _headwear_sql():
     zones = ("CASE WHEN p_size % 2 = 0 THEN ['Head, Back Neck', 'Head, Ears'] "
              "ELSE ['Head, Face', 'Head, ' || upper(left(split_part(p_name, ' ', 2), 1)) "
              "|| lower(substr(split_part(p_name, ' ', 2), 2))] END")
+    fixed = V.RICOCHET_OVERRIDE[_helmets()[0]]
     return f"""
-WITH {_PART_DOC_SQL}, h AS (SELECT *, {zones} AS zones, p_size / 100 AS r FROM pd WHERE p_type = 'MEDIUM')
-SELECT id, p_size % 6 AS class_value, array_to_string(zones, '|') AS areas_en,
+WITH {_PART_DOC_SQL}, h AS (SELECT *, {zones} AS zones, CASE WHEN p_size % 4 = 0 THEN CAST({fixed} AS DOUBLE) ELSE p_size / 100 END AS r
+                            FROM pd WHERE p_type = 'MEDIUM')
+SELECT id, name, short_name, weight, image, TIMESTAMP '2024-01-15 00:00:00' AS update_time, p_size % 6 AS class_value, array_to_string(zones, '|') AS areas_en,
        {_zones_kr_sql('zones', V.HEAD_ZONES_KR, V.HEAD_ZONE_UNKNOWN_KR)} AS areas_kr,
        r AS ricochet_chance,
        CASE WHEN r < 0.2 THEN 'Low' WHEN r < 0.4 THEN 'Medium' ELSE 'High' END AS ricochet_str_en,
@@ -1403,7 +1485,8 @@ FROM h"""
 def q_catalogue_headwear(spark, d):
     """P5 on the part catalogue: I4 + I2 zones, X8 buckets in two languages."""
     h = _part_item_sources(spark, d, "headwear")["headwear"]
-    return h.select("id", "class_value", F.array_join("areas_en", "|").alias("areas_en"),
+    return h.select("id", "name", "short_name", "weight", "image", "update_time", "class_value",
+                    F.array_join("areas_en", "|").alias("areas_en"),
                     F.array_join("areas_kr", "|").alias("areas_kr"), "ricochet_chance",
                     "ricochet_str_en", "ricochet_str_kr")
 
@@ -1478,7 +1561,7 @@ def q_catalogue_ammo_upsert(spark, d):
 
 def _station_sources(spark, d, table):
     from quartermaster.plans import stations as S
-    return S.TARGETS[table][0](station_docs(spark, d))
+    return S.station_sources(station_docs(spark, d), AS_OF)[table]
 
 
 @register("stations_master", """
@@ -1522,7 +1605,7 @@ FROM orders
 """)
 def q_stations_trader(spark, d):
     """Trader requirements with a NULL trader."""
-    return _station_sources(spark, d, "hideout_trader_require").drop("pos")
+    return _station_sources(spark, d, "hideout_trader_require").drop("pos", "update_time")
 
 
 @register("stations_crafts", """
@@ -1531,7 +1614,7 @@ SELECT CAST(o_orderkey AS VARCHAR) || '-c' AS id, CAST(o_orderkey AS VARCHAR) ||
 """)
 def q_stations_crafts(spark, d):
     """P25: craft rows (X2 key text, I12 first reward)."""
-    return _station_sources(spark, d, "hideout_crafts").drop("pos")
+    return _station_sources(spark, d, "hideout_crafts").drop("pos", "update_time")
 
 
 def quest_docs(spark, d) -> DataFrame:
@@ -1546,7 +1629,7 @@ def quest_docs(spark, d) -> DataFrame:
                                                    "description:string>").alias("questItem"),
                                   F.lit(k).alias("count"))
     doc = F.struct(
-        F.col("o_orderkey").cast("int").alias("pos"), sid.alias("id"),
+        F.col("o_orderkey").alias("pos"), sid.alias("id"),
         F.concat(F.lit("quest "), sid).alias("name"),
         F.struct(F.when(F.col("o_orderstatus") == "F", F.lit("")).otherwise(F.col("o_orderpriority"))
                  .alias("name")).alias("trader"),
@@ -1574,14 +1657,23 @@ def q_quests_loaded(spark, d):
                     F.json_array_length("objectives").alias("n_objectives"))
 
 
+def _known_weapons():
+    """Names with a fixed short name or a fixed image."""
+    from quartermaster.functions import vocab as V
+    return [*V.WEAPON_SHORT_NAME, *V.WEAPON_IMAGE_OVERRIDE]
+
+
 def part_armory(spark, d) -> DataFrame:
     """Weapon documents from ``part``: parts of size up to 10 are image-only
     entries (empty bag, name containing 'Default', short name = brand plus a
     suffix of 8, 7 or 6 characters); the others are weapons whose short name
-    is the brand, with fire modes built from the part name."""
+    is the brand (a fifth of them under a name with a fixed short name or
+    image), with fire modes built from the part name."""
     from quartermaster.sources.documents import ITEM_SCHEMA
     p = read_table(spark, d, "part", spread=True)
     img = F.col("p_size") <= 10
+    known = _known_weapons()
+    names = F.array(*map(F.lit, known))
     word = F.initcap(F.split("p_name", " ").getItem(0))
     modes = F.when(F.col("p_size") > 40, F.array(F.lit("Single fire"), F.concat(word, F.lit(" Burst Fire")),
                                                   F.lit("Semi-auto")))\
@@ -1590,9 +1682,11 @@ def part_armory(spark, d) -> DataFrame:
         F.col("p_type").alias("caliber"), modes.alias("fireModes"),
         (F.col("p_size") * 10).alias("fireRate"))))
     doc = F.struct(
-        F.col("p_partkey").cast("int").alias("pos"),
+        F.col("p_partkey").alias("pos"),
         F.concat(F.lit("w"), F.col("p_partkey").cast("string")).alias("id"),
-        F.when(img, F.concat_ws(" ", "p_name", F.lit("Default"))).otherwise(F.col("p_name")).alias("name"),
+        F.when(img, F.concat_ws(" ", "p_name", F.lit("Default")))
+        .when(F.col("p_partkey") % 5 == 0, F.element_at(names, (F.col("p_size") % len(known) + 1).cast("int")))
+        .otherwise(F.col("p_name")).alias("name"),
         F.lit(3.0).alias("weight"),
         F.when(img, F.concat(F.col("p_brand"), _suffix())).otherwise(F.col("p_brand")).alias("shortName"),
         F.concat(F.lit("/img/w"), F.col("p_partkey").cast("string")).alias("image512pxLink"),
@@ -1609,28 +1703,48 @@ def _armory_strip_sql(n):
   FROM cand) WHERE rn = 1)"""
 
 
-@register("catalogue_weapon", f"""
+def _weapon_sql():
+    from quartermaster.functions import vocab as V
+    known = ", ".join(f"'{n}'" for n in _known_weapons())
+    given = lambda m, x: f"CASE {x} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in m.items()) + " END"
+    names = lambda v: ", ".join(f"'{x}'" for x in v)
+    word = "upper(left(split_part(p_name, ' ', 1), 1)) || lower(substr(split_part(p_name, ' ', 1), 2))"
+    return f"""
 WITH cand AS (
   SELECT p_partkey AS pos, '/img/w' || CAST(p_partkey AS VARCHAR) AS img,
          p_brand || CASE WHEN p_partkey % 3 = 0 THEN ' Default' WHEN p_partkey % 3 = 1 THEN ' Urbana' ELSE ' Zenit' END AS sn
   FROM part WHERE p_size <= 10),
 {_armory_strip_sql(8)}, {_armory_strip_sql(7)}, {_armory_strip_sql(6)},
-w AS (SELECT * FROM part WHERE p_size > 10)
-SELECT 'w' || CAST(w.p_partkey AS VARCHAR) AS id, w.p_brand AS short_name,
-       COALESCE(s8.img, s7.img, s6.img, '/img/w' || CAST(w.p_partkey AS VARCHAR)) AS image,
-       CASE WHEN w.p_type = 'SMALL' THEN 'Handgun' ELSE 'Assault rifle' END AS category,
+n AS (SELECT *, CASE WHEN p_partkey % 5 = 0 THEN [{known}][p_size % {len(_known_weapons())} + 1] ELSE p_name END AS name,
+             {word} || ' Burst Fire' AS burst FROM part WHERE p_size > 10),
+w AS (SELECT *, COALESCE({given(V.WEAPON_SHORT_NAME, 'name')}, p_brand) AS short FROM n)
+SELECT 'w' || CAST(w.p_partkey AS VARCHAR) AS id, w.name, w.short AS short_name,
+       CASE WHEN {given(V.WEAPON_IMAGE_OVERRIDE, 'w.name')} IS NOT NULL THEN {given(V.WEAPON_IMAGE_OVERRIDE, 'w.name')}
+            WHEN s8.k IS NOT NULL THEN s8.img WHEN s7.k IS NOT NULL THEN s7.img WHEN s6.k IS NOT NULL THEN s6.img
+            ELSE '/img/w' || CAST(w.p_partkey AS VARCHAR) END AS image,
+       CASE WHEN w.short IN ({names(V.WEAPON_SPECIAL)}) THEN 'Special weapons'
+            WHEN w.short IN ({names(V.WEAPON_GRENADE)}) THEN 'Grenade launcher'
+            WHEN w.short = '{V.WEAPON_SHOTGUN}' THEN 'Shotgun' WHEN w.p_type = 'SMALL' THEN 'Handgun'
+            WHEN w.short IN ({names(V.WEAPON_CARBINE)}) THEN 'Assault carbine'
+            ELSE 'Assault rifle' END AS category,
+       'Single fire|' || burst || CASE WHEN w.p_size > 40 THEN '|Semi-auto' ELSE '' END AS modes_en,
        CASE WHEN w.p_size > 40 THEN '단발|점사|반자동' ELSE '단발|점사' END AS modes_kr,
-       w.p_size * 10 AS fire_rate, w.p_type AS carliber
-FROM w LEFT JOIN s8 ON w.p_brand = s8.k LEFT JOIN s7 ON w.p_brand = s7.k LEFT JOIN s6 ON w.p_brand = s6.k
-""")
+       w.p_size * 10 AS fire_rate, w.p_type AS carliber, CAST(NULL AS VARCHAR) AS default_ammo,
+       CAST(NULL AS INTEGER) AS ergonomics, CAST(NULL AS INTEGER) AS recoil_vertical,
+       CAST(NULL AS INTEGER) AS recoil_horizontal, TIMESTAMP '2024-01-15 00:00:00' AS update_time
+FROM w LEFT JOIN s8 ON w.p_brand = s8.k LEFT JOIN s7 ON w.p_brand = s7.k LEFT JOIN s6 ON w.p_brand = s6.k"""
+
+
+@register("catalogue_weapon", _weapon_sql())
 def q_catalogue_weapon(spark, d):
     """P1 on a part armory: C5a/C5b routing, D9 image by suffix strip 8 > 7 >
     6 (last-wins within a length), X6 recategorisation, I5 fire modes."""
     from quartermaster.plans import items as I
-    maps = spark.createDataFrame([], "pos int, name string, locks array<struct<key:struct<name:string>>>")
+    maps = spark.createDataFrame([], "pos bigint, name string, locks array<struct<key:struct<name:string>>>")
     w = I.item_sources(part_armory(spark, d), maps, AS_OF, only=["weapon"])["weapon"]
-    return w.select("id", "short_name", "image", "category",
-                    F.array_join("modes_kr", "|").alias("modes_kr"), "fire_rate", "carliber")
+    return w.select("id", "name", "short_name", "image", "category", F.array_join("modes_en", "|").alias("modes_en"),
+                    F.array_join("modes_kr", "|").alias("modes_kr"), "fire_rate", "carliber", "default_ammo",
+                    "ergonomics", "recoil_vertical", "recoil_horizontal", "update_time")
 
 
 def event_pharmacy(spark, d) -> DataFrame:
@@ -1657,7 +1771,7 @@ def event_pharmacy(spark, d) -> DataFrame:
              .when(et == "error", F.to_json(F.struct(F.array(F.lit("Pain")).alias("cures"),
                                                      F.lit(1).alias("uses"), F.lit(300).alias("painkillerDuration"))))
              .otherwise(F.to_json(F.struct(F.array(eff).alias("stimEffects")))))
-    doc = F.struct(F.col("event_id").cast("int").alias("pos"),
+    doc = F.struct(F.col("event_id").cast("bigint").alias("pos"),
                    F.concat(F.lit("m"), F.col("event_id").cast("string")).alias("id"),
                    name.alias("name"), F.lit(0.1).alias("weight"), et.alias("shortName"),
                    F.lit("/img/m").alias("image512pxLink"),
@@ -1666,50 +1780,82 @@ def event_pharmacy(spark, d) -> DataFrame:
     return e.select(F.to_json(doc).alias("j")).select(F.from_json("j", ITEM_SCHEMA).alias("d")).select("d.*")
 
 
-@register("catalogue_medical", """
+def _effect_content(col):
+    """The effects of a JSON list as text: type, label, duration and the
+    names of the fields of each, and the sum of the values."""
+    e = F.from_json(col, "array<struct<type:string,krSkill:string,duration:int,value:double>>")
+    raw = F.from_json(col, "array<string>")
+    return [F.array_join(F.transform(e, lambda x: F.concat_ws(":", x["type"], F.coalesce(x["krSkill"], F.lit("-")),
+                                                              x["duration"].cast("string"))), "|").alias(f"{col}_effects"),
+            F.array_join(F.transform(raw, lambda x: F.array_join(F.array_sort(F.json_object_keys(x)), ",")), "|").alias(f"{col}_fields"),
+            F.aggregate(e, F.lit(0.0), lambda a, x: a + x["value"]).alias(f"{col}_value")]
+
+
+def _medical_sql():
+    from quartermaster.functions import vocab as V
+    kr = lambda t: V.MED_TYPE_KR[t]
+    full = "chance,delay,duration,krSkill,skillName,type,value"
+    one = (f"CASE event_type WHEN 'view' THEN 'Body temperature:{kr('Body temperature')}:' "
+           f"WHEN 'purchase' THEN 'Skill:{V.MED_SKILL_KR['Health']}:' ELSE 'painkillerDuration:{kr('painkillerDuration')}:' END "
+           "|| CAST(CAST(floor(value - 100) AS INTEGER) AS VARCHAR)")
+    extra = f"'painkillerDuration:{kr('painkillerDuration')}:{dict(V.INJECTOR_PAINKILLER)['Adrenaline injector']}'"
+    fixed = {side: "|".join(f"{t}:{kr(t)}:{x}" for x, t, v in V.RECLASSIFIED_EFFECTS if (v >= 0) == (side == "buff"))
+             for side in ("buff", "debuff")}
+    total = {side: sum(v for _, _, v in V.RECLASSIFIED_EFFECTS if (v >= 0) == (side == "buff")) for side in ("buff", "debuff")}
+    count = {side: sum(1 for _, _, v in V.RECLASSIFIED_EFFECTS if (v >= 0) == (side == "buff")) for side in ("buff", "debuff")}
+    out = []
+    for side, sign in (("buff", ">"), ("debuff", "<")):
+        turned = "<" if sign == ">" else ">"
+        own = (f"(CASE event_type WHEN 'view' THEN value - 100 {turned} 0 WHEN 'purchase' THEN value - 100 {sign} 0 "
+               f"ELSE floor(value - 100) {sign} 0 END)")
+        injector = side == "buff"
+        some = f"[CASE WHEN {own} THEN {one} END{', CASE WHEN event_type = ' + chr(39) + 'view' + chr(39) + ' THEN ' + extra + ' END' if injector else ''}]"
+        n = f"(CASE WHEN {own} THEN 1 ELSE 0 END{' + CASE WHEN event_type = ' + chr(39) + 'view' + chr(39) + ' THEN 1 ELSE 0 END' if injector else ''})"
+        out += [f"""CASE event_type WHEN 'error' THEN '{fixed[side]}' WHEN 'click' THEN NULL
+         ELSE array_to_string(list_filter({some}, lambda x: x IS NOT NULL), '|') END AS {side}_effects""",
+                f"""CASE event_type WHEN 'error' THEN array_to_string(list_resize(['{full}'], {count[side]}, '{full}'), '|')
+         WHEN 'click' THEN NULL
+         ELSE array_to_string(list_resize(CAST([] AS VARCHAR[]), {n}, '{full}'), '|') END AS {side}_fields""",
+                f"""CASE event_type WHEN 'error' THEN CAST({total[side]} AS DOUBLE) WHEN 'click' THEN NULL
+         ELSE CASE WHEN {own} THEN value - 100 ELSE CAST(0 AS DOUBLE) END END AS {side}_value"""]
+    return f"""
 SELECT 'm' || CAST(event_id AS VARCHAR) AS id,
        CASE WHEN event_type = 'error' THEN 'Stimulant' ELSE 'Drug' END AS category,
-       CASE WHEN event_type = 'click' THEN '고통 제거' END AS cures_kr,
+       CASE WHEN event_type = 'click' THEN 'Pain|Odd' END AS cures_en,
+       CASE WHEN event_type = 'click' THEN '{V.CURES_KR["Pain"]}' END AS cures_kr,
        CASE WHEN event_type = 'click' THEN 95 END AS painkiller_duration,
-       CASE event_type
-         WHEN 'error' THEN 1
-         WHEN 'click' THEN NULL
-         WHEN 'view' THEN 1 + CASE WHEN value - 100 < 0 THEN 1 ELSE 0 END
-         WHEN 'purchase' THEN CASE WHEN value - 100 > 0 THEN 1 ELSE 0 END
-         ELSE CASE WHEN floor(value - 100) > 0 THEN 1 ELSE 0 END END AS n_buff,
-       CASE event_type
-         WHEN 'error' THEN 2
-         WHEN 'click' THEN NULL
-         WHEN 'view' THEN CASE WHEN value - 100 > 0 THEN 1 ELSE 0 END
-         WHEN 'purchase' THEN CASE WHEN value - 100 < 0 THEN 1 ELSE 0 END
-         ELSE CASE WHEN floor(value - 100) < 0 THEN 1 ELSE 0 END END AS n_debuff
-FROM events
-""")
+       CASE WHEN event_type = 'click' THEN 2 END AS uses, TIMESTAMP '2024-01-15 00:00:00' AS update_time,
+       {(","+chr(10)+"       ").join(out)}
+FROM events"""
+
+
+@register("catalogue_medical", _medical_sql())
 def q_catalogue_medical(spark, d):
     """P12 on an event pharmacy: I8 reclassification, I7 injector
     painkiller, I6 labels, I9 / I10 split, I1 cures, L11 override."""
     from quartermaster.plans import items as I
-    maps = spark.createDataFrame([], "pos int, name string, locks array<struct<key:struct<name:string>>>")
+    maps = spark.createDataFrame([], "pos bigint, name string, locks array<struct<key:struct<name:string>>>")
     m = I.item_sources(event_pharmacy(spark, d), maps, AS_OF, only=["medical"])["medical"]
-    return m.select("id", "category", F.array_join("cures_kr", "|").alias("cures_kr"),
-                    "painkiller_duration",
-                    F.json_array_length("buff").alias("n_buff"), F.json_array_length("debuff").alias("n_debuff"))
+    return m.select("id", "category", F.array_join("cures_en", "|").alias("cures_en"),
+                    F.array_join("cures_kr", "|").alias("cures_kr"), "painkiller_duration", "uses", "update_time",
+                    *_effect_content("buff"), *_effect_content("debuff"))
 
 
-_MAP_NAMES = ["Factory", "Customs", "Woods", "Lighthouse", "Shoreline", "Reserve", "Interchange",
-              "Streets of Tarkov", "Night Factory", "The Lab", "Ground Zero", "Ground Zero 21+",
-              "Nowhere"]
+def _map_names():
+    """Every map of the vocabulary, and one that is not in it."""
+    from quartermaster.functions import vocab as V
+    return [*V.MAP_CODES, "Nowhere"]
 
 
 def part_maps(spark, d) -> DataFrame:
     """Map documents from ``part``: one map per part, named by its size
-    (thirteen names, one unknown), with one lock whose key is named after the
+    (the known names and one unknown), with one lock whose key is named after the
     brand - so each key name appears on many maps and the last one wins."""
     from quartermaster.sources.documents import MAP_SCHEMA
     p = read_table(spark, d, "part", spread=True)
-    names = F.array(*[F.lit(n) for n in _MAP_NAMES])
-    doc = F.struct(F.col("p_partkey").cast("int").alias("pos"),
-                   F.element_at(names, (F.col("p_size") % len(_MAP_NAMES) + 1).cast("int")).alias("name"),
+    names = F.array(*[F.lit(n) for n in _map_names()])
+    doc = F.struct(F.col("p_partkey").alias("pos"),
+                   F.element_at(names, (F.col("p_size") % len(_map_names()) + 1).cast("int")).alias("name"),
                    F.array(F.struct(F.struct(F.concat(F.lit("key "), F.col("p_brand")).alias("name"))
                                     .alias("key"))).alias("locks"))
     return p.select(F.to_json(doc).alias("j")).select(F.from_json("j", MAP_SCHEMA).alias("m")).select("m.*")
@@ -1725,7 +1871,7 @@ def customer_keys(spark, d) -> DataFrame:
     name = (F.when(F.col("c_mktsegment") == "BUILDING", F.lit("Gas station safe key"))
             .when(F.col("c_mktsegment") == "MACHINERY", F.concat(brand, F.lit(" Health Resort")))
             .otherwise(brand))
-    doc = F.struct(F.col("c_custkey").cast("int").alias("pos"),
+    doc = F.struct(F.col("c_custkey").alias("pos"),
                    F.concat(F.lit("k"), F.col("c_custkey").cast("string")).alias("id"), name.alias("name"),
                    F.lit(0.01).alias("weight"), F.lit("key").alias("shortName"),
                    F.lit("/img/k").alias("image512pxLink"),
@@ -1739,9 +1885,10 @@ def _keys_sql():
     from quartermaster.functions import vocab as V
     code = "CASE map " + " ".join(f"WHEN '{k}' THEN '{v[0]}'" for k, v in V.MAP_CODES.items()) + " ELSE 'N/A' END"
     en = "CASE c " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in V.MAP_CODE_EN.items()) + " ELSE c END"
-    names = ", ".join(f"'{n}'" for n in _MAP_NAMES)
+    kr = "CASE c " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in V.MAP_CODE_KR.items()) + " ELSE c END"
+    names = ", ".join(f"'{n}'" for n in _map_names())
     return f"""
-WITH maps AS (SELECT p_partkey AS pos, [{names}][p_size % {len(_MAP_NAMES)} + 1] AS map,
+WITH maps AS (SELECT p_partkey AS pos, [{names}][p_size % {len(_map_names())} + 1] AS map,
                      'key ' || p_brand AS key FROM part),
 km AS (SELECT key, arg_max(map, pos) AS map FROM maps GROUP BY key),
 keys AS (SELECT c_custkey, c_nationkey,
@@ -1755,7 +1902,7 @@ coded AS (SELECT c_custkey, c_nationkey, name,
                       ELSE (SELECT {code} FROM (SELECT km.map AS map)) END AS c
           FROM keys LEFT JOIN km ON keys.name = km.key)
 SELECT 'k' || CAST(c_custkey AS VARCHAR) AS id, name, c_nationkey AS uses, c AS map_value,
-       {en} AS use_map_en FROM coded"""
+       {en} AS use_map_en, {kr} AS use_map_kr, TIMESTAMP '2024-01-15 00:00:00' AS update_time FROM coded"""
 
 
 @register("catalogue_keys", _keys_sql())
@@ -1765,7 +1912,8 @@ def q_catalogue_keys(spark, d):
     from quartermaster.plans import items as I
     k = I.item_sources(customer_keys(spark, d), part_maps(spark, d), AS_OF, only=["key"])["key"]
     return k.select("id", "name", "uses", F.array_join("map_value", "|").alias("map_value"),
-                    F.array_join("use_map_en", "|").alias("use_map_en"))
+                    F.array_join("use_map_en", "|").alias("use_map_en"),
+                    F.array_join("use_map_kr", "|").alias("use_map_kr"), "update_time")
 
 
 @register("catalogue_narrow", f"""
@@ -1797,7 +1945,7 @@ def event_pantry(spark, d) -> DataFrame:
                    F.when(et == "purchase", F.lit("Metabolism")).when(et == "signup", F.lit("Recoil Control"))
                    .alias("skillName"),
                    F.lit(60).alias("duration"))
-    doc = F.struct(F.col("event_id").cast("int").alias("pos"),
+    doc = F.struct(F.col("event_id").cast("bigint").alias("pos"),
                    F.concat(F.lit("f"), F.col("event_id").cast("string")).alias("id"),
                    F.when(et == "click", F.lit("Bottle of Tarkovskaya vodka"))
                    .otherwise(F.concat(F.lit("food "), F.col("event_id").cast("string"))).alias("name"),
@@ -1805,6 +1953,7 @@ def event_pantry(spark, d) -> DataFrame:
                    F.struct(F.when(et == "click", F.lit("Drink")).otherwise(F.lit("Food")).alias("name"),
                             F.struct(F.lit("Food and drink").alias("name")).alias("parent")).alias("category"),
                    F.to_json(F.struct(F.floor("value").cast("int").alias("energy"),
+                                      (F.col("event_id") % 9).cast("int").alias("hydration"),
                                       F.array(eff).alias("stimEffects"))).alias("properties"))
     return e.select(F.to_json(doc).alias("j")).select(F.from_json("j", ITEM_SCHEMA).alias("d")).select("d.*")
 
@@ -1812,8 +1961,11 @@ def event_pantry(spark, d) -> DataFrame:
 @register("catalogue_provisions", """
 SELECT 'f' || CAST(event_id AS VARCHAR) AS id,
        CASE WHEN event_type = 'click' THEN 'Drink' ELSE 'Food' END AS category,
-       CAST(floor(value) AS INTEGER) AS energy,
+       CAST(floor(value) AS INTEGER) AS energy, CAST(event_id % 9 AS INTEGER) AS hydration,
        CASE WHEN event_type = 'click' THEN 2 ELSE 1 END AS n_effects,
+       CASE WHEN event_type = 'signup' THEN 'delay,duration,skillName,type,value'
+            WHEN event_type = 'click' THEN 'delay,duration,krSkill,skillName,type,value|delay,duration,krSkill,skillName,type,value'
+            ELSE 'delay,duration,krSkill,skillName,type,value' END AS fields,
        CASE event_type WHEN 'purchase' THEN '신진대사' WHEN 'view' THEN '손 떨림'
                        WHEN 'signup' THEN NULL ELSE '에너지 회복' END AS first_label,
        CASE WHEN event_type = 'click' THEN '진통제'
@@ -1825,10 +1977,10 @@ def q_catalogue_provisions(spark, d):
     """I6 with the food vocabulary (Recoil Control is not in it), then
     I7 drink painkiller with its own label, then JSON (X11)."""
     from quartermaster.plans import items as I
-    maps = spark.createDataFrame([], "pos int, name string, locks array<struct<key:struct<name:string>>>")
+    maps = spark.createDataFrame([], "pos bigint, name string, locks array<struct<key:struct<name:string>>>")
     pv = I.item_sources(event_pantry(spark, d), maps, AS_OF, only=["provisions"])["provisions"]
-    return pv.select("id", "category", "energy",
-                     F.json_array_length("stim_effects").alias("n_effects"),
+    return pv.select("id", "category", "energy", "hydration",
+                     F.json_array_length("stim_effects").alias("n_effects"), _effect_content("stim_effects")[1].alias("fields"),
                      F.get_json_object("stim_effects", "$[0].krSkill").alias("first_label"),
                      F.element_at(F.from_json("stim_effects", "array<struct<krSkill:string>>"), -1)
                      ["krSkill"].alias("last_label"))

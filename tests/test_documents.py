@@ -89,7 +89,9 @@ def test_medical(sources):
 def test_provisions(sources):
     p = by_id(sources["provisions"])
     eff = json.loads(p["pv1"]["stim_effects"])
-    assert [e["krSkill"] for e in eff] == ["손 떨림", None, "진통제"]
+    assert [e.get("krSkill") for e in eff] == ["손 떨림", None, "진통제"]
+    assert [set(e) - {"krSkill"} for e in eff] == [{"delay", "value", "type", "skillName", "duration"}] * 3
+    assert ["krSkill" in e for e in eff] == [True, False, True]
     assert eff[-1]["duration"] == 250 and eff[-1]["skillName"] == "Painkiller"
     assert json.loads(p["pv2"]["stim_effects"])[0]["krSkill"] == "신진대사"
 
@@ -182,3 +184,43 @@ def test_staged_routing_matches_cached(spark, tmp_path):
         == sorted(f"route={r}" for r in {"Gun", "Gun image", "Headphones", "Headwear", "Provisions", "Key",
                                           "Meds", "Loot", "Face Cover", "Arm Band", "Vis. observ. device",
                                           "Knife", "Armor", "Backpack", "Common container", "Chest rig", "Ammo"})
+
+
+def test_malformed_bags_fail_the_job(spark):
+    from quartermaster.sources.documents import decode_variant
+    ok = spark.createDataFrame([('{"uses": 2}',), ("{}",), ("null",), (None,)], "p string")
+    assert [r[0] for r in ok.select(decode_variant("p", "uses int")["uses"]).collect()] == [2, None, None, None]
+    for bad in ('{"uses": 2.5}', '{"uses": "x"}', '{"uses": 1'):
+        with pytest.raises(Exception):
+            spark.createDataFrame([(bad,)], "p string").select(decode_variant("p", "uses int")).collect()
+
+
+def test_malformed_lines_fail_the_job(spark, tmp_path):
+    from quartermaster.sources.documents import MAP_SCHEMA, read_documents
+    (tmp_path / "m.jsonl").write_text('{"pos": 3000000000, "name": "x", "locks": []}\n', encoding="utf-8")
+    assert [tuple(r) for r in read_documents(spark, str(tmp_path / "m.jsonl"), MAP_SCHEMA).select("pos", "name").collect()] == [(3_000_000_000, "x")]
+    (tmp_path / "bad.jsonl").write_text('{"pos": "one"}\n{"pos"\n', encoding="utf-8")
+    with pytest.raises(Exception):
+        read_documents(spark, str(tmp_path / "bad.jsonl"), MAP_SCHEMA).collect()
+
+
+def test_image_candidates_are_read_once(spark):
+    import contextlib
+    import io
+    from quartermaster.operators.lookup import lookup_first
+    path = "/root/testdata/sf0.001/part.parquet"
+    c = spark.read.parquet(path)
+    df = spark.createDataFrame([("a", "own")], "k string, own string")
+    out = lookup_first(df, "k", c, "p_name", "p_type", [8, 7, 6], "image", order="p_partkey", own="own")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        out.explain()
+    assert buf.getvalue().count("FileScan parquet") == 1
+
+
+def test_a_match_without_an_image_gives_null(spark):
+    from quartermaster.operators.lookup import lookup_first
+    c = spark.createDataFrame([("gun Default", None, 1), ("pistol Default", "old", 1), ("pistol Default", None, 2)], "n string, i string, pos int")
+    df = spark.createDataFrame([("gun", "own"), ("pistol", "own"), ("none", "own")], "k string, own string")
+    got = rows(lookup_first(df, "k", c, "n", "i", [8, 7, 6], "image", order="pos", own="own"), "k", "image")
+    assert got == sorted([("gun", None), ("none", "own"), ("pistol", None)], key=repr)

@@ -6,7 +6,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
-from quartermaster.plans import catalog
+from quartermaster.plans import catalog, catalog_jobs  # noqa: F401
 from oracle_check import compare, duck
 
 SF = "/root/testdata/sf0.001"

@@ -123,13 +123,31 @@ def test_observed_routing_and_labels(spark):
     assert obs2.get == {"rows": 3, "unmatched": 1}
 
 
-def test_read_lookup_and_parallelism(spark, tmp_path):
-    from quartermaster.sources.tables import ensure_parallelism, read_lookup
+def test_read_lookup(spark, tmp_path):
+    from quartermaster.functions.labels import label
+    from quartermaster.sources.tables import read_lookup
     p = tmp_path / "lk.csv"
     p.write_text("k,v\nThorax,흉부\nStomach,복부\n", encoding="utf-8")
     lk = read_lookup(spark, str(p), "k string, v string")
     assert rows(lk) == [("Stomach", "복부"), ("Thorax", "흉부")]
-    one = spark.range(100).coalesce(1)
-    assert ensure_parallelism(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(100).repartition(6)
-    assert ensure_parallelism(many, 4).rdd.getNumPartitions() == 6
+    # L3 / L7 shapes from files: an array value with an empty default, an int value with 0
+    q = str(tmp_path / "arrays")
+    spark.createDataFrame([("a", [1, 2]), ("b", [3])], "k string, v array<int>").write.parquet(q)
+    arrays = read_lookup(spark, q, "k string, v array<int>", "parquet")
+    df = spark.createDataFrame([("a",), ("z",), (None,)], "k2 string")
+    assert rows(label(df, "k2", arrays, "k", "v", "out", default=[])) == [("a", [1, 2]), ("z", []), (None, [])]
+    bad = tmp_path / "bad.csv"
+    bad.write_text("k,v\nx,notanumber\n", encoding="utf-8")
+    import pytest
+    with pytest.raises(Exception):
+        read_lookup(spark, str(bad), "k string, v int").collect()
+
+
+def test_repeated_dictionary_keys(spark):
+    import pytest
+    from quartermaster.functions.labels import label
+    df = spark.createDataFrame([("a",)], "k2 string")
+    lk = spark.createDataFrame([("a", "z", 0), ("a", "b", 1)], "k string, v string, pos int")
+    assert rows(label(df, "k2", lk, "k", "v", "out", order="pos")) == [("a", "b")]
+    with pytest.raises(Exception, match="repeated dictionary key"):
+        label(df, "k2", lk, "k", "v", "out").collect()

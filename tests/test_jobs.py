@@ -75,3 +75,98 @@ def test_streaming_merge_bucketed(spark, tmp_path):
                  str(tmp_path / "ckpt"), buckets=4, target_schema=schema)
     t = spark.read.parquet(f"{root}/knife")
     assert rows(t, "id", "name") == [("k1", "Bayonet v2")]
+
+
+def test_retention_runs_behind_the_gate(spark, tmp_path, monkeypatch):
+    root, snap = str(tmp_path / "db"), str(tmp_path / "snap")
+    publish_all({"t": spark.createDataFrame([(1,)], "x int")}, root, version="a")
+    days = lambda: sorted(x.split("=")[1] for x in os.listdir(f"{snap}/t") if x.startswith("snapshot_date="))
+    for d in (1, 2, 3, 5):
+        assert C.snapshot_job(spark, root, snap, ["t"], dt.date(2024, 1, d))
+    assert days() == ["2024-01-02", "2024-01-03", "2024-01-05"]
+    monkeypatch.setattr(C, "verify_snapshot", lambda *a: False)
+    assert not C.snapshot_job(spark, root, snap, ["t"], dt.date(2024, 1, 20))
+    assert days() == ["2024-01-02", "2024-01-03", "2024-01-05", "2024-01-20"]
+
+
+def test_a_retried_version_changes_nothing(spark, tmp_path):
+    root = str(tmp_path / "db")
+    one, two = (spark.createDataFrame([(x,)], "x int") for x in (1, 2))
+    first = publish_all({"t": one}, root, version="b1")
+    assert publish_all({"t": two}, root, version="b1") == first
+    assert rows(read_published(spark, root, "t")) == [(1,)]
+    # an attempt that died before its commit is written over
+    two.write.parquet(f"{root}/t/v=b2")
+    publish_all({"t": one}, root, version="b2")
+    assert rows(read_published(spark, root, "t")) == [(1,)]
+
+
+def test_streaming_order_over_files(spark, tmp_path):
+    """Two files in one batch with the same positions: the later file wins."""
+    root, landing = str(tmp_path / "db"), tmp_path / "landing"
+    landing.mkdir()
+    publish_all({"t": spark.createDataFrame([], "id string, v string")}, root, version="a0")
+    for name, v, at in (("b.jsonl", "old", 1_700_000_000), ("a.jsonl", "new", 1_700_000_100)):
+        (landing / name).write_text(f'{{"pos": 1, "id": "k", "v": "{v}"}}\n', encoding="utf-8")
+        os.utime(landing / name, (at, at))
+    merge_landed(spark, str(landing), "pos bigint, id string, v string", root, "t", "id", ["v"], lambda b: b, str(tmp_path / "ckpt"))
+    assert rows(read_published(spark, root, "t"), "id", "v") == [("k", "new")]
+
+
+def test_statistics_are_read_back_not_computed_twice(spark, tmp_path, monkeypatch):
+    root, calls = str(tmp_path / "db"), []
+    publish_all({"user": spark.createDataFrame([("a", 10, 0)], "email string, attendance_count int, grade int"),
+                 "user_post_statistics": spark.createDataFrame([], "user_email string, post_count bigint, comment_count bigint"),
+                 "user_grade": spark.createDataFrame([(1, 0)], "id int, score int"),
+                 "board_union": spark.createDataFrame([("p", "a")], "id string, writer string"),
+                 "comments": spark.createDataFrame([], "board_id string, user_email string, is_delete_by_user boolean, is_delete_by_admin boolean")},
+                root, version="0")
+    own = C.activity.update_user_grade
+
+    def seen(users, stats, grades, **kw):
+        calls.append(stats.inputFiles())
+        return own(users, stats, grades, **kw)
+
+    monkeypatch.setattr(C.activity, "update_user_grade", seen)
+    C.statistics_and_grades_job(spark, root)
+    assert len(calls) == 1 and all("user_post_statistics" in f for f in calls[0]) and calls[0]
+    assert rows(read_published(spark, root, "user")) == [("a", 10, 1)]
+
+
+def test_index_reads_each_table_once():
+    seen = []
+    branches = C.index_branches(lambda name: seen.append(name))
+    assert len(seen) == len(set(seen)) == len(branches) and sum(len(b.emits) for b in branches) == 25
+
+
+def test_expired_keys_are_written_once(spark):
+    from quartermaster.operators.deletes import cascade_delete
+    p = spark.createDataFrame([("a", dt.datetime(2024, 1, 1)), ("b", None)], "email string, e timestamp_ntz")
+    kids = {n: (spark.createDataFrame([("a", 1), ("b", 2)], "u string, x int"), "u") for n in ("one", "two")}
+    out = cascade_delete(p, "email", "e", dt.datetime(2024, 2, 1), kids)
+    for n in kids:
+        assert rows(out[n]) == [("b", 2)]
+        assert "ExistingRDD" in out[n]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_checkpoint_folder_must_be_named_on_a_cluster(spark, monkeypatch):
+    import pytest
+    from quartermaster import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:  # noqa: N801
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
+    assert session.ensure_checkpoint_dir(spark)

@@ -6,7 +6,7 @@ import os
 
 import pytest
 
-import __spark_entry__ as E
+from quartermaster.plans import catalog as E, catalog_jobs  # noqa: F401
 
 SF = "/root/testdata/sf0.1"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="provided tables missing")
@@ -19,32 +19,32 @@ def plan(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.QUERIES))
 def test_no_cartesian_no_python(spark, name):
-    p = plan(E.queries()[name](spark, SF))
+    p = plan(E.QUERIES[name](spark, SF))
     assert "CartesianProduct" not in p
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
 
 
 def test_theta_join_is_broadcast(spark):
-    p = plan(E.queries()["user_grade"](spark, SF))
+    p = plan(E.QUERIES["user_grade"](spark, SF))
     assert "BroadcastNestedLoopJoin" in p
 
 
 def test_statistics_partial_aggregation_and_pruning(spark):
-    p = plan(E.queries()["user_post_statistics"](spark, SF))
+    p = plan(E.QUERIES["user_post_statistics"](spark, SF))
     assert "partial_count" in p
     # lineitem is read with only the columns the job needs
     assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint,l_returnflag:string,l_linestatus:string>" in p
 
 
 def test_windows_push_filters(spark):
-    p = plan(E.queries()["interval_window"](spark, SF))
+    p = plan(E.QUERIES["interval_window"](spark, SF))
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in p
 
 
 def test_index_numbering_has_no_single_partition_data_exchange(spark):
-    df = E.queries()["search_index"](spark, SF)
+    df = E.QUERIES["search_index"](spark, SF)
     p = plan(df)
     # the only single-partition exchange allowed is over the per-partition counts
     assert p.count("SinglePartition") <= 1
@@ -54,18 +54,38 @@ def test_index_numbering_has_no_single_partition_data_exchange(spark):
 #: checks whose plan may hold a single-partition exchange, and over what
 SINGLE_PARTITION_OK = {
     "search_index": "prefix sums over one row per range partition (W2)",
-    "user_grade": "interval bounds over the checked-small threshold table",
-    "user_grade_sweep": "carry over one row per value bucket",
+    "search_index_job": "prefix sums over one row per range partition (W2)",
+    "user_grade": "interval bounds over the bounded threshold table",
+    "grade_max_by": "interval bounds over the bounded threshold table",
+    "threshold_times": "interval bounds over the bounded threshold table",
+    "user_grade_sweep": "carry over one row per range partition",
+    "threshold_times_sweep": "carry over one row per range partition",
 }
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.QUERIES))
 def test_single_partition_only_over_bounded_tables(spark, name):
-    p = plan(E.queries()[name](spark, SF))
+    p = plan(E.QUERIES[name](spark, SF))
     if name not in SINGLE_PARTITION_OK:
         assert "SinglePartition" not in p, name
 
 
 def test_merge_dedups_map_side(spark):
-    p = plan(E.queries()["merge_last_wins"](spark, SF))
+    p = plan(E.QUERIES["merge_last_wins"](spark, SF))
     assert "partial_max_by" in p
+
+
+def test_zoned_window_pushes_both_bounds(spark):
+    p = plan(E.QUERIES["zoned_window"](spark, SF))
+    assert "GreaterThanOrEqual(ts,2024-01-04T15:00" in p and "LessThan(ts,2024-01-11T15:00" in p
+
+
+def test_composite_merge_joins_on_two_columns(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = E.QUERIES["merge_composite"](spark, SF)
+        text = df._jdf.queryExecution().executedPlan().toString()
+        joins = [x for x in text.splitlines() if "Join [" in x]
+        assert joins and all(x.split("Join ", 1)[1].split("]")[0].count("#") == 2 for x in joins)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
