@@ -34,7 +34,7 @@ from quartermaster.llm.common import byte_chunks, ids_and_texts, read
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
 #: entries of a worker's table of units, and the longest unit kept
-MEMO, MEMO_CHARS = 600_000, 48
+MEMO, MEMO_CHARS = 400_000, 48
 
 
 class _Memo(dict):

@@ -38,7 +38,7 @@ EPOCHS = 2
 THRESHOLD = 0.3
 FOLDS = 5
 #: longer texts are taken in pieces of this many bytes, cut at white space
-_PIECE = 1 << 20
+_PIECE = 1 << 18
 
 
 # ----------------------------------------------------------------- features
@@ -133,7 +133,7 @@ def _pieces(text: bytes) -> list[bytes]:
 def _sums(texts: list[bytes], weights: np.ndarray) -> np.ndarray:
     """The dot product of each text's features with ``weights``."""
     total, count = np.zeros(len(texts)), np.zeros(len(texts))
-    for a, b in byte_chunks(texts):
+    for a, b in byte_chunks(texts, _PIECE):
         if b - a == 1:
             for piece in _pieces(texts[a]):
                 _, f = ngrams([piece])
