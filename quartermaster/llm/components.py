@@ -19,8 +19,8 @@ def connected_components(links: DataFrame, a: str, b: str, most_rounds: int = 60
     Alternating large-star and small-star steps: every step replaces the
     links of a node by links to the smallest neighbour, found by a map-side
     combined ``min``, so a node with millions of links never meets in one
-    group; the join that hands the minimum back is a plain inner join, whose
-    skewed partitions Spark splits. The links after a round are at most as
+    group; the minima are written before the join that hands them back, so that
+    it reads two plain shuffles and Spark can split a skewed partition. The links after a round are at most as
     many as before it. Rounds end when nothing changes (about the logarithm
     of the longest path); each one is checkpointed. Self links and NULL ends
     are ignored, repeated links count once, an empty table gives an empty one.
@@ -33,10 +33,10 @@ def connected_components(links: DataFrame, a: str, b: str, most_rounds: int = 60
         if not state[0]:
             break
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (both.filter("v > u").join(low, "u")
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        large = materialize(both.filter("v > u").join(low, "u")
+                            .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        low = materialize(large.groupBy("u").agg(F.min("v").alias("m")))
         small = (large.join(low, "u").filter("v != m")
                  .select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(low).distinct())
