@@ -246,7 +246,8 @@ def dedup(docs: DataFrame) -> DataFrame:
     mixed = rows.filter(~F.col("alike"))
     # one of each kind of segment; all of a kind with several repeat
     place = F.struct("key", "doc_id", "first")
-    kinds = mixed.groupBy("gram", "content", "windows").agg(F.count(F.lit(1)).alias("m"), F.min(place).alias("p"), F.max("n").alias("n"))
+    kinds = stage(mixed.groupBy("gram", "content", "windows")
+                  .agg(F.count(F.lit(1)).alias("m"), F.min(place).alias("p"), F.max("n").alias("n")))
     again = kinds.filter("m > 1").select("gram", "content")
     sure = span(rows.filter("alike")).union(span(mixed.join(again, ["gram", "content"], "left_semi")))
     part = F.when(F.col("n") > HOT, F.pmod(F.xxhash64("p.key", "p.first"), F.ceil(F.col("n") / HOT))).otherwise(0)
