@@ -246,13 +246,13 @@ def licences(docs: DataFrame) -> DataFrame:
     an empty result; other columns are not looked at.
     """
     found = scan(docs)
-    per = found.groupBy("key").agg(
+    per = found.groupBy(F.col("key").alias("__key"), F.col("doc_id").alias("__id")).agg(
         F.count(F.when(F.col("confirmed"), 1)).alias("n_licences"), F.count(F.when(~F.col("confirmed"), 1)).alias("n_unconfirmed"),
         F.array_join(F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))), ",").alias("families"))
     text = F.coalesce(docs["text"], F.lit(""))
     d = docs.select(docs["doc_id"].alias("doc_id"), row_key(docs).alias("key"),
                     (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"))
-    return d.join(per, "key", "left").select(
+    return d.join(per, (d["key"] == per["__key"]) & d["doc_id"].eqNullSafe(per["__id"]), "left").select(
         "doc_id", "n_lines", F.coalesce("n_licences", F.lit(0)).cast("long").alias("n_licences"),
         F.coalesce("n_unconfirmed", F.lit(0)).cast("long").alias("n_unconfirmed"),
         F.coalesce("families", F.lit("")).alias("families"))

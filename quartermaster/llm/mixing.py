@@ -123,8 +123,9 @@ def take(docs: DataFrame) -> DataFrame:
     """The mix itself: every row of ``docs`` (all columns) as many times as
     the mix takes it. Exactly repeated rows each come as often as the one
     taken most."""
-    copies = mix(docs).groupBy("key").agg(F.max("copies").alias("__copies")).withColumnRenamed("key", "__key")
-    out = docs.withColumn("__key", row_key(docs)).join(copies.filter("__copies > 0"), "__key")
+    copies = (mix(docs).groupBy(F.col("key").alias("__key"), F.col("doc_id").alias("__id"))
+              .agg(F.max("copies").alias("__copies")).filter("__copies > 0"))
+    out = docs.join(copies, (row_key(docs) == copies["__key"]) & docs["doc_id"].eqNullSafe(copies["__id"]))
     return (out.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies")))
             .select(*(F.col(f"`{c}`") for c in docs.columns)))
 
