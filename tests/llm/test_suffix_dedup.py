@@ -133,3 +133,27 @@ def test_edges(edge_docs, no_docs):
     for r in got:
         by.setdefault(r.doc_id, []).append(len(r.kept))
     assert by[4] == [0] and by[5] == [0, 0] and by[2] == [0, 0] and by[9] == [3]
+
+
+def test_blocks_of_whole_routes(monkeypatch):
+    """Rows sorted by route in several batches: blocks end between routes,
+    whatever their size, and every segment is judged with its whole route."""
+    import pyarrow as pa
+    rng = random.Random(19)
+    shared = "".join(rng.choice("abcdefgh ") for _ in range(230)).encode()
+    rows = []
+    for route in range(30):
+        for k in range(rng.randint(1, 6)):
+            own = "".join(rng.choice("abcdefgh ") for _ in range(260)).encode()
+            rows.append((route, route % 3 == 0, len(rows), 0, 1000, shared + bytes([48 + k]) + own if route == 7 else own))
+    schema = pa.schema([("route", pa.int64()), ("hot", pa.bool_()), ("doc_id", pa.int64()), ("key", pa.int64()),
+                        ("first", pa.int64()), ("bytes", pa.binary())])
+    table = pa.Table.from_pylist([dict(zip(schema.names, r)) for r in rows], schema)
+    for block in (1, 700, 5000, 1 << 20):
+        monkeypatch.setattr(S, "BLOCK", block)
+        out = pa.Table.from_batches(list(S._index_batches(iter(table.to_batches(max_chunksize=7))))).to_pylist()
+        spans = {(r["doc_id"], r["start"], r["end"]) for r in out if r["digest"] is None}
+        sevens = [i for i, r in enumerate(rows) if r[0] == 7]
+        assert spans == ({(i, 1000, 1230) for i in sevens} if len(sevens) > 1 else set())
+        digests = [r for r in out if r["digest"] is not None]
+        assert all(r["alone"] for r in digests) and len(digests) == sum(261 - 200 for r in rows if r[1])
