@@ -19,13 +19,6 @@ def plan(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(E.QUERIES))
-def test_no_cartesian_no_python(spark, name):
-    p = plan(E.QUERIES[name](spark, SF))
-    assert "CartesianProduct" not in p
-    assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
-
-
 def test_theta_join_is_broadcast(spark):
     p = plan(E.QUERIES["user_grade"](spark, SF))
     assert "BroadcastNestedLoopJoin" in p
@@ -64,8 +57,10 @@ SINGLE_PARTITION_OK = {
 
 
 @pytest.mark.parametrize("name", sorted(E.QUERIES))
-def test_single_partition_only_over_bounded_tables(spark, name):
+def test_no_cartesian_no_python_no_single_partition_over_data(spark, name):
     p = plan(E.QUERIES[name](spark, SF))
+    assert "CartesianProduct" not in p
+    assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
     if name not in SINGLE_PARTITION_OK:
         assert "SinglePartition" not in p, name
 
