@@ -238,16 +238,18 @@ def q_issue_upsert(spark, d):
 WITH {_ISSUES_SQL},
 step1 AS (SELECT * FROM issues WHERE NOT COALESCE(board_id IN (SELECT id FROM boards WHERE like_count < 10), FALSE)),
 step2 AS (SELECT * FROM step1 i WHERE EXISTS (SELECT 1 FROM boards b WHERE b.id = i.board_id)),
-src AS (SELECT id AS board_id, type AS board_type FROM boards WHERE like_count >= 10)
+src AS (SELECT id AS board_id, type AS board_type, o_orderdate AS create_time
+        FROM boards JOIN orders ON id = o_orderkey WHERE like_count >= 10)
 SELECT COALESCE(i.board_id, s.board_id) AS board_id,
-       CASE WHEN s.board_id IS NOT NULL THEN s.board_type ELSE i.board_type END AS board_type
+       CASE WHEN s.board_id IS NOT NULL THEN s.board_type ELSE i.board_type END AS board_type,
+       CASE WHEN s.board_id IS NOT NULL THEN s.create_time ELSE TIMESTAMP '1990-01-01 00:00:00' END AS create_time
 FROM step2 i FULL JOIN src s ON i.board_id = s.board_id
 """)
 def q_issue_board(spark, d):
     """B9 -> B10 -> B3, in this order."""
     from quartermaster.operators.deletes import issue_board
-    return issue_board(issues(spark, d), boards(spark, d),
-                       insert_map={"board_type": "type"})
+    old = issues(spark, d).withColumn("create_time", F.lit("1990-01-01 00:00:00").cast("timestamp_ntz"))
+    return issue_board(old, boards(spark, d))
 
 
 # ------------------------------------------------------------------ expiry
@@ -1440,11 +1442,11 @@ pd AS (SELECT 'p' || CAST(p_partkey AS VARCHAR) AS id,
 @register("catalogue_knife", f"""
 WITH {_PART_DOC_SQL}
 SELECT id, name, short_name, image, 'Knife' AS category, p_size AS slash_damage, p_size * 2 AS stab_damage,
-       p_retailprice / 1000 AS hit_radius FROM pd WHERE p_type = 'STANDARD'
+       p_retailprice / 1000 AS hit_radius, TIMESTAMP '2024-01-15 00:00:00' AS update_time FROM pd WHERE p_type = 'STANDARD'
 """)
 def q_catalogue_knife(spark, d):
     """P2 on the part catalogue (A1, A6, C5i, C1)."""
-    return _part_item_sources(spark, d, "knife")["knife"].drop("pos", "update_time")
+    return _part_item_sources(spark, d, "knife")["knife"].drop("pos")
 
 
 @register("catalogue_ammo", f"""
@@ -1452,11 +1454,12 @@ WITH {_PART_DOC_SQL}
 SELECT id, name, short_name, p_size AS damage, p_size + 10 AS penetration_power,
        CAST(NULL AS INTEGER) AS armor_damage, p_retailprice / 10000 AS accuracy_modifier,
        CAST(NULL AS DOUBLE) AS recoil_modifier, CAST(NULL AS DOUBLE) AS light_bleed_modifier,
-       CAST(NULL AS DOUBLE) AS heavy_bleed_modifier, image FROM pd WHERE p_type = 'ECONOMY'
+       CAST(NULL AS DOUBLE) AS heavy_bleed_modifier, image, TIMESTAMP '2024-01-15 00:00:00' AS update_time
+FROM pd WHERE p_type = 'ECONOMY'
 """)
 def q_catalogue_ammo(spark, d):
     """P13 on the part catalogue."""
-    return _part_item_sources(spark, d, "ammo")["ammo"].drop("pos", "update_time")
+    return _part_item_sources(spark, d, "ammo")["ammo"].drop("pos")
 
 
 def _zones_kr_sql(expr, mapping, default):
@@ -1495,38 +1498,40 @@ def _armor_sql():
     from quartermaster.functions import vocab as V
     case = "CASE z " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in V.ARMOR_ZONES_KR.items()) + " END"
     return f"""
-WITH {_PART_DOC_SQL}
-SELECT id, p_size % 6 AS class_value,
-       array_to_string(list_filter(list_transform(['Thorax', 'Stomach, ' || upper(left(split_part(p_name, ' ', 2), 1))
-         || lower(substr(split_part(p_name, ' ', 2), 2))], lambda z: {case}), lambda y: y IS NOT NULL), '|') AS areas_kr
-FROM pd WHERE p_type = 'PROMO'"""
+WITH {_PART_DOC_SQL},
+a AS (SELECT *, ['Thorax', 'Stomach, ' || upper(left(split_part(p_name, ' ', 2), 1))
+                 || lower(substr(split_part(p_name, ' ', 2), 2))] AS zones FROM pd WHERE p_type = 'PROMO')
+SELECT id, name, short_name, weight, image, TIMESTAMP '2024-01-15 00:00:00' AS update_time,
+       p_size % 6 AS class_value, array_to_string(zones, '|') AS areas_en,
+       array_to_string(list_filter(list_transform(zones, lambda z: {case}), lambda y: y IS NOT NULL), '|') AS areas_kr
+FROM a"""
 
 
 @register("catalogue_armor", _armor_sql())
 def q_catalogue_armor(spark, d):
     """P6 on the part catalogue: I1 drops unknown zones."""
-    a = _part_item_sources(spark, d, "armor_vest")["armor_vest"]
-    return a.select("id", "class_value", F.array_join("areas_kr", "|").alias("areas_kr"))
+    a = _part_item_sources(spark, d, "armor_vest")["armor_vest"].drop("pos")
+    return a.withColumns({c: F.array_join(c, "|") for c in ("areas_en", "areas_kr")})
 
 
 @register("catalogue_loot", f"""
 WITH {_PART_DOC_SQL}
 SELECT id, name AS name_en, short_name, image,
-       CASE WHEN p_size > 45 THEN 'Special equipment' ELSE 'Tools' END AS category
+       CASE WHEN p_size > 45 THEN 'Special equipment' ELSE 'Tools' END AS category, TIMESTAMP '2024-01-15 00:00:00' AS update_time
 FROM pd WHERE p_type = 'LARGE' AND NOT contains(name, 'Locked')
 """)
 def q_catalogue_loot(spark, d):
     """P14 on the part catalogue: C5g routing, X7 recategorisation."""
-    return _part_item_sources(spark, d, "loot")["loot"].drop("pos", "update_time")
+    return _part_item_sources(spark, d, "loot")["loot"].drop("pos")
 
 
 @register("catalogue_headset", f"""
 WITH {_PART_DOC_SQL}
-SELECT id, name, short_name, image FROM pd WHERE p_type = 'SMALL'
+SELECT id, name, short_name, image, TIMESTAMP '2024-01-15 00:00:00' AS update_time FROM pd WHERE p_type = 'SMALL'
 """)
 def q_catalogue_headset(spark, d):
     """P4 on the part catalogue (no bag test)."""
-    return _part_item_sources(spark, d, "headset")["headset"].drop("pos", "update_time")
+    return _part_item_sources(spark, d, "headset")["headset"].drop("pos")
 
 
 @register("catalogue_ammo_upsert", f"""
@@ -1566,12 +1571,13 @@ def _station_sources(spark, d, table):
 
 @register("stations_master", """
 SELECT CAST(o_orderkey AS VARCHAR) AS id, 'station ' || CAST(o_orderkey AS VARCHAR) AS name_en,
-       CAST(o_orderkey AS VARCHAR) || '-1|' || CAST(o_orderkey AS VARCHAR) || '-2' AS level_ids FROM orders
+       CAST(NULL AS VARCHAR) AS image, CAST(o_orderkey AS VARCHAR) || '-1|' || CAST(o_orderkey AS VARCHAR) || '-2' AS level_ids, TIMESTAMP '2024-01-15 00:00:00' AS update_time
+FROM orders
 """)
 def q_stations_master(spark, d):
     """Station rows with their level ids."""
     m = _station_sources(spark, d, "hideout_master")
-    return m.select("id", "name_en", F.array_join("level_ids", "|").alias("level_ids"))
+    return m.drop("pos").withColumn("level_ids", F.array_join("level_ids", "|"))
 
 
 @register("stations_bonus", """
@@ -1600,21 +1606,22 @@ def q_stations_bonus(spark, d):
 SELECT CAST(o_orderkey AS VARCHAR) || '-t' AS id, CAST(o_orderkey AS VARCHAR) || '-2' AS level_id,
        CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS name_en,
        CAST(o_custkey % 4 AS INTEGER) AS value, 'loyaltyLevel' AS require_type, '>=' AS compare,
-       CASE WHEN o_orderstatus <> 'P' THEN '/trader/' || o_orderpriority END AS image
+       CASE WHEN o_orderstatus <> 'P' THEN '/trader/' || o_orderpriority END AS image, TIMESTAMP '2024-01-15 00:00:00' AS update_time
 FROM orders
 """)
 def q_stations_trader(spark, d):
     """Trader requirements with a NULL trader."""
-    return _station_sources(spark, d, "hideout_trader_require").drop("pos", "update_time")
+    return _station_sources(spark, d, "hideout_trader_require").drop("pos")
 
 
 @register("stations_crafts", """
 SELECT CAST(o_orderkey AS VARCHAR) || '-c' AS id, CAST(o_orderkey AS VARCHAR) || '-1' AS level_id,
-       1 AS level, CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderpriority END AS name_en FROM orders
+       1 AS level, CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderpriority END AS name_en, TIMESTAMP '2024-01-15 00:00:00' AS update_time
+FROM orders
 """)
 def q_stations_crafts(spark, d):
     """P25: craft rows (X2 key text, I12 first reward)."""
-    return _station_sources(spark, d, "hideout_crafts").drop("pos", "update_time")
+    return _station_sources(spark, d, "hideout_crafts").drop("pos")
 
 
 def quest_docs(spark, d) -> DataFrame:
