@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quartermaster.llm.common import materialize, read, stage
+from quartermaster.llm.common import map_batches, materialize, read, stage
 from quartermaster.llm.components import connected_components
 
 TABLES, BLOCKS, PROBES, SCALE = 3, 2, 2, 0.7
@@ -260,7 +260,7 @@ def _links(classes: DataFrame) -> DataFrame:
     """``(id, links, root)`` parts: for classes ``(id, copies, vector)``,
     copies of other classes linked with, and a class of the same component."""
     schema = "cell long, id long, copies long, vector binary, points binary"
-    at = stage(classes.select("id", "copies", "vector").mapInArrow(_cell_batches, schema))
+    at = stage(map_batches(classes.select("id", "copies", "vector"), _cell_batches, schema))
     hot = materialize(at.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > PART)
                       .select("cell", F.ceil(F.col("n") / PART).cast("long").alias("parts")))
     if hot.count() <= _BROADCAST_ROWS:  # measured; two longs a row
@@ -274,8 +274,8 @@ def _links(classes: DataFrame) -> DataFrame:
     rest = (at.join(hot, "cell", "left_anti")
             .select("cell", zero.alias("part"), zero.alias("own"), "id", "copies", "vector", "points"))
     n = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (rest.union(cut).repartition(n, "cell", "part").sortWithinPartitions("cell", "part")
-            .mapInArrow(_compare_batches, "id long, links long, root long"))
+    groups = rest.union(cut).repartition(n, "cell", "part").sortWithinPartitions("cell", "part")
+    return map_batches(groups, _compare_batches, "id long, links long, root long")
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:

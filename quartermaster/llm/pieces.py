@@ -29,7 +29,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quartermaster.llm.common import byte_chunks, ids_and_texts, read
+from quartermaster.llm.common import byte_chunks, ids_and_texts, map_batches, read
 
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
@@ -266,7 +266,7 @@ def encode_decode(docs: DataFrame, model: str = MODEL) -> DataFrame:
                     [batch.column(0)[a:b], pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids))),
                      pa.array([pieces.decode(x) for x in ids], pa.string())], names=["doc_id", "ids", "decoded"])
 
-    return d.mapInArrow(batches, f"doc_id {kind}, ids array<int>, decoded string")
+    return map_batches(d, batches, f"doc_id {kind}, ids array<int>, decoded string")
 
 
 def digests(encoded: DataFrame, *more: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quartermaster.llm.common import binary_column, byte_chunks, ids_and_texts, read
+from quartermaster.llm.common import binary_column, byte_chunks, ids_and_texts, map_batches, read
 
 #: at most so many labelled rows are trained on
 SAMPLE = 8192
@@ -205,7 +205,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int
             .select("text", "label", F.explode(F.sequence(F.lit(1), F.lit(EPOCHS))).alias("epoch"), "id"))
     order = ["epoch", F.xxhash64("epoch", "id"), "text"]
     sample = rows.repartition(1).sortWithinPartitions(*order).select("text", "label")
-    found = sample.mapInArrow(_train_batches, "weights binary").first()
+    found = map_batches(sample, _train_batches, "weights binary").first()
     return np.frombuffer(found["weights"], np.float32) if found else np.zeros((1 << BITS) + 1, np.float32)
 
 
@@ -223,7 +223,7 @@ def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
             s = _sigmoid(_sums(binary_column(batch, "text"), w) + w[-1])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s)], names=["doc_id", "score"])
 
-    return d.mapInArrow(batches, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, score double")
+    return map_batches(d, batches, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, score double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -256,7 +256,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
             good = _sigmoid(_sums(texts, w) + w[-1]) >= threshold
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(good)], names=[*names, mark])
 
-    return docs.mapInArrow(batches, schema).filter(F.col(mark)).drop(mark)
+    return map_batches(docs, batches, schema).filter(F.col(mark)).drop(mark)
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

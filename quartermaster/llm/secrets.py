@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quartermaster.llm.common import ids_and_texts, read
+from quartermaster.llm.common import ids_and_texts, map_batches, read
 
 KINDS = ("assign", "access", "hex", "guess")
 #: values that take fewer guesses, or are shorter, are left alone
@@ -198,8 +198,8 @@ def scan(docs: DataFrame) -> DataFrame:
             spans = [_scan(t or "") for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, pa.list_(_SPAN))], names=["doc_id", "spans"])
 
-    return d.mapInArrow(batches, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, "
-                                 "spans array<struct<kind string, start int, end int, log_guesses double>>")
+    return map_batches(d, batches, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, "
+                                   "spans array<struct<kind string, start int, end int, log_guesses double>>")
 
 
 def _joined(spans: Column) -> Column:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quartermaster.llm.common import binary_column, ids_and_texts, long_array, materialize, read
+from quartermaster.llm.common import binary_column, ids_and_texts, long_array, map_batches, materialize, read
 from quartermaster.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -117,7 +117,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """``(doc_id, fp)``: fp is the fingerprint's 64 bits as a signed long."""
     d = ids_and_texts(docs)
     kind = d.schema["doc_id"].dataType.simpleString()
-    return d.mapInArrow(_fingerprint_batches, f"doc_id {kind}, fp long")
+    return map_batches(d, _fingerprint_batches, f"doc_id {kind}, fp long")
 
 
 # ------------------------------------------------------------------ anchors
@@ -252,7 +252,7 @@ def _compare_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def links(fps: DataFrame) -> DataFrame:
     """``(a, b)``: links between different fingerprints of column ``fp``
     that connect exactly what all links within the distance connect."""
-    at = materialize(fps.select("fp").distinct().mapInArrow(_anchor_batches, "anchor long, fp long"))
+    at = materialize(map_batches(fps.select("fp").distinct(), _anchor_batches, "anchor long, fp long"))
     hot = materialize(at.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > PART)
                       .select("anchor", F.ceil(F.col("n") / PART).cast("long").alias("parts")))
     if hot.count() <= _BROADCAST_ROWS:  # measured; two longs a row
@@ -266,8 +266,8 @@ def links(fps: DataFrame) -> DataFrame:
            .select(F.xxhash64("anchor", "t.x", "t.y").alias("key"), "fp"))
     rest = at.join(hot, "anchor", "left_anti").select(F.xxhash64("anchor").alias("key"), "fp")
     n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (rest.union(cut).repartition(n, "key").sortWithinPartitions("key")
-            .mapInArrow(_compare_batches, "a long, b long").distinct())
+    groups = rest.union(cut).repartition(n, "key").sortWithinPartitions("key")
+    return map_batches(groups, _compare_batches, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

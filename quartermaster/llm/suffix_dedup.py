@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quartermaster.llm import anchors
-from quartermaster.llm.common import binary_column, long_array, read, row_key, stage
+from quartermaster.llm.common import binary_column, long_array, map_batches, read, row_key, stage
 from quartermaster.llm.run_index import SEPARATOR, RunIndex
 
 LENGTH = 200
@@ -82,8 +82,8 @@ def _repeated(docs: DataFrame) -> DataFrame:
     """Segments of grams that occur at least twice: ``(doc_id, key, first,
     windows, gram, content, n, alike)``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", "key", "text").mapInArrow(
-        _segment_batches, f"doc_id {kind}, key long, first long, windows int, gram long, content long")
+    rows = map_batches(
+        docs.select("doc_id", "key", "text"), _segment_batches, f"doc_id {kind}, key long, first long, windows int, gram long, content long")
     grams = (rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("content").alias("lo"), F.max("content").alias("hi"))
              .filter("n > 1").select("gram", "n", (F.col("lo") == F.col("hi")).alias("alike")))
     # written first: the join then reads two plain shuffles, and Spark can split a hot gram
@@ -259,18 +259,18 @@ def dedup(docs: DataFrame) -> DataFrame:
         x = x.withColumnsRenamed({"key": "__key", "doc_id": "__id"})
         return d.join(x, (d["key"] == x["__key"]) & d["doc_id"].eqNullSafe(x["__id"]), how)
 
-    fetched = with_texts(wanted, "inner").select("doc_id", "key", "text", "wanted").mapInArrow(
-        _fetch_batches, f"route long, hot boolean, doc_id {kind}, key long, first long, bytes binary")
-    found = stage(fetched.repartition(n, "route").sortWithinPartitions("route").mapInArrow(
-        _index_batches, f"doc_id {kind}, key long, start long, end long, digest binary, alone boolean"))
+    fetched = map_batches(
+        with_texts(wanted, "inner").select("doc_id", "key", "text", "wanted"), _fetch_batches, f"route long, hot boolean, doc_id {kind}, key long, first long, bytes binary")
+    found = stage(map_batches(
+        fetched.repartition(n, "route").sortWithinPartitions("route"), _index_batches, f"doc_id {kind}, key long, start long, end long, digest binary, alone boolean"))
     indexed = found.filter("digest is null").select("doc_id", "key", "start", "end")
     twice = (found.filter("digest is not null").groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
              .filter("n > 1").select("digest"))
     across = found.filter("alone").join(twice, "digest", "left_semi").select("doc_id", "key", "start", "end")
     spans = (sure.union(indexed).union(across).groupBy("key", "doc_id")
              .agg(F.collect_set(F.struct("start", "end")).alias("spans")))
-    return with_texts(spans, "left").select("doc_id", "text", "spans").mapInArrow(
-        _cut_batches, f"doc_id {kind}, n_bytes long, spans array<struct<start long, end long>>, kept binary")
+    return map_batches(
+        with_texts(spans, "left").select("doc_id", "text", "spans"), _cut_batches, f"doc_id {kind}, n_bytes long, spans array<struct<start long, end long>>, kept binary")
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
