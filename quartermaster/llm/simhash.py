@@ -284,8 +284,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     fps = materialize(fingerprints(docs))
     comp = connected_components(links(fps), "a", "b").withColumnRenamed("node", "fp")
     low = fps.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    named = low.join(comp, "fp", "left").select("fp", "low", F.coalesce("component", "fp").alias("c"))
-    least = named.groupBy("c").agg(F.min("low").alias("component_id"))
+    named = materialize(low.join(comp, "fp", "left").select("fp", "low", F.coalesce("component", "fp").alias("c")))
+    # written before it is joined back, so that Spark can split a large component
+    least = materialize(named.groupBy("c").agg(F.min("low").alias("component_id")))
     of_fp = materialize(named.join(least, "c").select("fp", "component_id"))
     return (fps.join(of_fp, "fp")
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
