@@ -24,6 +24,7 @@ pairs.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -46,29 +47,32 @@ _SHIFTS = 8
 _BLOCKS = ((0, 22), (22, 21), (43, 21))  # (lowest bit, bits)
 _PAIRS = ((0, 1), (0, 2), (1, 2))
 _LONG_TEXT = 1 << 22
+_SPACE = re.compile(rb"[\x09-\x0D\x20]")
 _BROADCAST_ROWS = 1 << 16
 
 
 # ------------------------------------------------------------- fingerprints
 
 def _word_runs(text: bytes, keep: int) -> Iterator[list[bytes]]:
-    """The words of a text, in lists of bounded size; each list after the
-    first repeats the last ``keep`` words before it."""
+    """The words of a text, in lists of bounded size cut at white space; each
+    list after the first repeats the last ``keep`` words before it. A list has
+    more than ``keep`` words unless the whole text has not."""
     text = text.lower()  # bytes: A-Z only
     if len(text) <= _LONG_TEXT:
         yield text.split()  # bytes: ASCII white space only
         return
-    at, tail, rest = 0, [], b""
+    at, words, some = 0, [], False
     while at < len(text):
-        piece = rest + text[at:at + _LONG_TEXT]
-        at += _LONG_TEXT
-        words = piece.split()
-        if at < len(text) and words and not piece[-1:].isspace():
-            rest = words.pop()
-        else:
-            rest = b""
-        yield tail + words
-        tail = (tail + words)[-keep:] if keep else []
+        space = _SPACE.search(text, at + _LONG_TEXT)
+        end = space.end() if space else len(text)
+        words += text[at:end].split()
+        at = end
+        if len(words) > keep:
+            yield words
+            some = True
+            words = words[len(words) - keep:]
+    if not some:
+        yield words
 
 
 def _shingle_hashes(words: list[bytes], k: int, seed: int) -> list[int]:
@@ -93,13 +97,8 @@ def _bit_counts(hashes: np.ndarray) -> np.ndarray:
 def fingerprint(text: bytes, k: int = SHINGLE_WORDS, seed: int = SEED) -> int:
     """The 64-bit SimHash of one UTF-8 text (0 when it has no word)."""
     counts, n = np.zeros(64, np.int64), 0
-    runs = list(_word_runs(text, k - 1)) if len(text) <= _LONG_TEXT else _word_runs(text, k - 1)
-    first = True
-    for words in runs:
-        if not first and len(words) < k:
-            continue  # only words that earlier lists have covered
+    for words in _word_runs(text, k - 1):
         h = np.array(_shingle_hashes(words, k, seed), np.uint64)
-        first = False
         counts += _bit_counts(h)
         n += len(h)
     if not n:

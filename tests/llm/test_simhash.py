@@ -48,6 +48,16 @@ def test_fingerprint_matches_definition(monkeypatch):
         assert S.fingerprint(t.encode()) == plain_fingerprint(t)
 
 
+def test_long_texts_of_few_words():
+    """Words longer than a piece of a long text, and short first pieces."""
+    long, other = "q" * (S._LONG_TEXT + 1000), "z" * (S._LONG_TEXT + 1000)
+    texts = [long, other, f" {long}\n", f"data: {long}", f"data: {other}", f"a b {long}", f"a b {long} c d e",
+             f"{long} a {other} b c", " " * S._LONG_TEXT + " a b", "a" + " " * S._LONG_TEXT + "b c", "\n" * (S._LONG_TEXT + 9)]
+    got = [S.fingerprint(t.encode()) for t in texts]
+    assert got == [plain_fingerprint(t) for t in texts]
+    assert got[0] != got[1] and got[3] != got[4] and got[0] != 0 and got[0] == got[2]
+
+
 def test_anchors_cover_every_link():
     """Any two fingerprints within four bits share an anchor."""
     rng = np.random.default_rng(2)
