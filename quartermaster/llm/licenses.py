@@ -1,6 +1,7 @@
 """Licence scans: a trained paragraph classifier with template confirmation.
 
-A paragraph is a line of a text. Sparse logistic regression over its hashed
+A paragraph is a line of a text, or the words of a notice that is wrapped over
+several lines. Sparse logistic regression over its hashed
 words and word pairs names a licence family or ``unknown``; it is trained
 here on the templates below (whole, with words left out, and set among other
 words) and, for ``unknown``, on paragraphs of the corpus, on sentences that
@@ -9,6 +10,12 @@ The probability from which a family is believed is calibrated on held-out
 examples of ``unknown``. A prediction counts when a template of the family
 confirms it: the paragraph must hold ``CONFIRM`` of the template's word pairs.
 
+*Wrapped notices*: every line with words near a line with a stem is joined
+with the words that follow it, blank lines and comment marks left out, in
+``SPANS`` of words. A template that begins in a line lies whole in one of
+that line's spans, however its lines are cut. A joined paragraph counts only
+when it is confirmed, and once for each template and run of lines.
+
 Only DataFrame functions and the DataFrame-based ``pyspark.ml`` run. Each
 template holds one of ``STEMS``; paragraphs without any are ``unknown``
 without being scored, so only documents that hold a stem are cut into
@@ -24,7 +31,7 @@ from pyspark.ml import PipelineModel, Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quartermaster.llm.common import materialize, read, row_key, stage
@@ -110,6 +117,9 @@ TEMPLATES = {
     ],
 }
 
+#: words of joined paragraphs after their first line; the last is the longest template's
+SPANS = (10, 18, 28, 38)
+
 # Sentences with the same words that name no licence.
 OTHERWISE = [
     "The driver renewed the license of the car under the new rules.",
@@ -145,6 +155,15 @@ def has_stem(text: Column) -> Column:
     return reduce(lambda a, b: a | b, (F.contains(F.lower(text), F.lit(s)) for s in STEMS))
 
 
+def _may_hold_stem(text: Column, one_line: bool) -> Column:
+    """Whether a text, or one line of a wrapped text, may hold a stem that
+    line ends cut in two words."""
+    found = [F.contains(F.lower(text), F.lit(w)) for s in STEMS for w in s.split(" ")[-1:]]
+    if not one_line:
+        found = [reduce(lambda a, b: a & b, (F.contains(F.lower(text), F.lit(w)) for w in s.split(" "))) for s in STEMS]
+    return reduce(lambda a, b: a | b, found)
+
+
 def _featured(df: DataFrame) -> DataFrame:
     """Add ``words``, ``pairs`` and ``terms`` of column ``line``."""
     d = df.withColumn("words", words(F.col("line")))
@@ -210,38 +229,96 @@ def _believed(model: PipelineModel, classes: list[str], df: DataFrame) -> DataFr
     return d.withColumn("family", F.get(names, F.array_position("p", F.col("probability")).cast("int") - 1)).drop("p")
 
 
+def _joined(docs: DataFrame) -> DataFrame:
+    """``(doc_id, key, pos, upto, words, pairs, terms)``: the joined
+    paragraphs of ``(doc_id, key, text)``, from line ``pos`` to line ``upto``."""
+    most = max(SPANS)
+    line = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("pos"), x.alias("line")))
+    d = (docs.filter(_may_hold_stem(F.col("text"), False))
+         .withColumn("lines", F.filter(line, lambda x: x["line"].rlike(r"[\p{L}\p{N}]")))
+         .select("doc_id", "key", F.transform("lines", lambda x: F.struct(
+             x["pos"].alias("pos"), words(x["line"]).alias("words"), _may_hold_stem(x["line"], True).alias("stem"))).alias("lines")))
+    # of a line, no more words than a template has can belong to a wrapped one
+    most_of = lambda x: F.when(F.size(x) > 2 * most, F.concat(F.slice(x, 1, most), F.slice(x, -most, most))).otherwise(x)
+    d = d.withColumn("lines", F.transform("lines", lambda x: F.struct(x["pos"].alias("pos"), x["stem"].alias("stem"), most_of(x["words"]).alias("words"))))
+    d = stage(d.filter(F.exists("lines", lambda x: x["stem"])))
+    after = lambda j: F.slice("lines", j + 2, most)
+    # a span of the line reaches a line with a stem
+    reach = lambda j: F.get("lines", j)["stem"] | F.aggregate(
+        after(j), F.struct(F.lit(0).alias("n"), F.lit(False).alias("hit")),
+        lambda a, x: F.struct((a["n"] + F.size(x["words"])).alias("n"), (a["hit"] | (x["stem"] & (a["n"] < most))).alias("hit")), lambda a: a["hit"])
+    following = lambda j: F.slice(F.flatten(F.transform(after(j), lambda x: F.transform(
+        F.slice(x["words"], 1, most), lambda w: F.struct(x["pos"].alias("pos"), w.alias("w"))))), 1, most)
+    begin = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), reach)
+    at = d.select("doc_id", "key", F.explode(F.transform(begin, lambda j: F.struct(
+        F.get("lines", j)["pos"].alias("pos"), F.get("lines", j)["words"].alias("first"), following(j).alias("next")))).alias("x"))
+    at = at.select("doc_id", "key", "x.*").filter(F.size("next") > 0).select("doc_id", "key", "pos", "first", F.explode(F.array_distinct(F.transform(
+        F.array(*map(F.lit, SPANS)), lambda n: F.slice("next", 1, n)))).alias("next"))
+    # the first line gives as many words as the span has
+    first = F.when(F.size("first") > F.size("next"), F.slice("first", -F.size("next"), F.size("next"))).otherwise(F.col("first"))
+    at = at.select("doc_id", "key", "pos", F.element_at("next", -1)["pos"].alias("upto"), F.concat(first, F.col("next.w")).alias("words"))
+    at = at.filter(has_stem(F.array_join("words", " "))).withColumn("pairs", pairs(F.col("words")))
+    return at.withColumn("terms", F.concat("words", "pairs"))
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """``(doc_id, key, pos, family, probability, likeness, confirmed)``: every
-    paragraph (``pos`` from 0) of ``docs`` in which the classifier believes a
-    licence family, whether or not a template confirms it; ``key`` is the
-    row's key. Rows that repeat give the same paragraphs once each; NULL and
-    empty texts none."""
+    paragraph (``pos``, its first line, from 0) of ``docs`` in which the
+    classifier believes a licence family, whether or not a template confirms
+    it; ``key`` is the row's key. A joined paragraph is given when it is
+    confirmed and no line of it is by itself, in place of its lines that are
+    not confirmed. Rows that repeat give the same paragraphs once each; NULL
+    and empty texts none."""
     model, classes, least = train(docs)
     d = docs.select(docs["doc_id"].alias("doc_id"), row_key(docs).alias("key"), docs["text"].alias("text"))
     lines = (d.filter(has_stem(F.col("text")))
              .select("doc_id", "key", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
              .filter(has_stem(F.col("line"))).dropDuplicates(["key", "pos"]))
-    # the few lines with a stem are written with their terms: a condition on the prediction would
+    lines = _featured(lines).select("doc_id", "key", "pos", F.col("pos").alias("upto"), "words", "pairs", "terms")
+    # the few paragraphs with a stem are written with their terms: a condition on the prediction would
     # otherwise be moved down to where every mention of a term reads the line anew
-    lines = stage(_featured(lines).drop("line"))
+    lines = stage(lines.withColumn("joined", F.lit(False)).unionByName(_joined(d).withColumn("joined", F.lit(True))))
     found = _believed(model, classes, lines).filter((F.col("family") != UNKNOWN) & (F.col("probability") >= least))
     wanted = docs.sparkSession.createDataFrame([(f, n) for f, notices in TEMPLATES.items() for n in notices],
                                                "family string, line string")
-    wanted = _featured(wanted).select(F.col("family").alias("f"), F.array_distinct("pairs").alias("want"))
+    wanted = _featured(wanted).select(F.col("family").alias("f"), F.array_distinct("pairs").alias("want"), F.col("line").alias("template"))
     held = F.size(F.array_intersect("pairs", "want")).cast("double") / F.greatest(F.size("want"), F.lit(1))
     # the templates: a fixed table of a few dozen rows
-    return (found.join(F.broadcast(wanted), F.col("family") == F.col("f"))
-            .groupBy("doc_id", "key", "pos", "family", "probability").agg(F.max(held).alias("likeness"))
-            .withColumn("confirmed", F.col("likeness") >= CONFIRM))
+    best = (found.join(F.broadcast(wanted), F.col("family") == F.col("f"))
+            .groupBy("doc_id", "key", "pos", "upto", "joined", "family", "probability")
+            .agg(F.max(F.struct(held.alias("likeness"), "template")).alias("best"))
+            .select("*", "best.likeness", "best.template").drop("best").withColumn("confirmed", F.col("likeness") >= CONFIRM))
+    best = materialize(best.filter("confirmed or not joined"))
+    lines, wraps = best.filter("not joined").drop("joined", "upto", "template"), best.filter("joined")
+    return _with_wrapped(lines, wraps)
+
+
+def _with_wrapped(lines: DataFrame, wraps: DataFrame) -> DataFrame:
+    """Lines believed, and the confirmed joined paragraphs that say more."""
+    same = (F.col("key") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+    sure = lines.filter("confirmed")
+    other = sure.select(F.col("key").alias("__key"), F.col("doc_id").alias("__id"), F.col("pos").alias("__pos"), F.col("family").alias("__family"))
+    wraps = wraps.join(other, same & F.col("__pos").between(F.col("pos"), F.col("upto")) & (F.col("family") == F.col("__family")), "left_anti")
+    # paragraphs of one template that overlap are one notice: the likest, the narrowest of equals
+    by = Window.partitionBy("key", "doc_id", "family", "template").orderBy("pos", "upto")
+    wraps = wraps.withColumn("reach", F.max("upto").over(by.rowsBetween(Window.unboundedPreceding, -1)))
+    wraps = wraps.withColumn("run", F.sum(F.when(F.col("pos") <= F.col("reach"), 0).otherwise(1)).over(by))
+    notice = F.max(F.struct("likeness", (F.col("pos") - F.col("upto")).alias("narrow"), "probability", "pos", "upto")).alias("best")
+    wraps = materialize(wraps.groupBy("doc_id", "key", "family", "template", "run").agg(notice)
+                        .select("doc_id", "key", "best.pos", "best.upto", "family", "best.probability", "best.likeness", F.lit(True).alias("confirmed")))
+    parts = lines.filter("not confirmed")
+    other = wraps.select(F.col("key").alias("__key"), F.col("doc_id").alias("__id"), F.col("pos").alias("__pos"), F.col("upto").alias("__upto"))
+    parts = parts.join(other, same & F.col("pos").between(F.col("__pos"), F.col("__upto")), "left_anti")
+    return sure.unionByName(parts).unionByName(wraps.drop("upto"))
 
 
 def licences(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_lines, n_licences, n_unconfirmed, families)`` for every
-    row of ``docs``: its paragraphs, how many of them are confirmed notices,
-    how many were believed but not confirmed, and the confirmed families in
+    row of ``docs``: its lines, how many notices (in a line, or wrapped over
+    several) are confirmed, how many lines were believed but not confirmed, and the confirmed families in
     order, comma-joined ('' if none).
 
-    NULL and empty texts have one empty paragraph and no licence; rows that
+    NULL and empty texts have one empty line and no licence; rows that
     repeat get the same result; a NULL doc_id is kept; an empty table gives
     an empty result; other columns are not looked at.
     """

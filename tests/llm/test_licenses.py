@@ -1,6 +1,7 @@
 """Licence scan: held-out variants, look-alikes, edges."""
 
 import random
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
@@ -58,6 +59,37 @@ def test_repeated_rows_and_two_notices(spark):
     assert got == [(1, "CC-BY-4.0,MIT", 2), (1, "CC-BY-4.0,MIT", 2), (2, "MIT", 1)]
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."""
+GPL = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+WRAPPED = {
+    "MIT": MIT,
+    "GPL-3.0": GPL + "\n\nThis program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
+    "GPL-2.0": GPL.replace("software: you", "software; you").replace("Foundation, either version 3", "Foundation; either version 2"),
+    "BSD": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n\n"
+           "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "ISC": L.TEMPLATES["ISC"][0],
+    "Unlicense": L.TEMPLATES["Unlicense"][0],
+    "Apache-2.0": "You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0",
+}
+
+
+def test_wrapped_notices(spark):
+    """Published wording, wrapped at several widths, as it is and in comments."""
+    docs, want = [], {}
+    for f, text in WRAPPED.items():
+        for width in (30, 55, 70, 79):
+            for mark in ("", " * ", "# "):
+                lines = [mark + x for p in text.split("\n") for x in (textwrap.wrap(p, width) or [""])]
+                want[len(docs)] = (f, {"MIT": 2, "BSD": 2}.get(f, 1))
+                docs.append((len(docs), "\n".join(["wher inder of", *lines, "int main() of the"])))
+    got = {r.doc_id: (r.families, r.n_licences) for r in L.licences(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == want, {i: (docs[i][1], got[i], w) for i, w in want.items() if got[i] != w}
+
+
 def test_only_built_in_functions(spark):
     plan = L.op2_license_scan(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert not any(x in plan for x in ("MapInPandas", "MapInArrow", "PythonUDF", "ArrowEval"))
