@@ -2,11 +2,15 @@
 
 The grams of a text are its runs of ``GRAM`` consecutive words (all words
 when there are fewer); a word is a run without ASCII white space, in lower
-case. The hashes of consecutive grams form windows of ``WINDOW``; of each
+case. Where white space does not part words, characters do: each character of
+a script written without spaces (``UNSPACED``) is a word, and a run of more
+than ``LONG`` characters (minified code, encoded data) is read as its
+overlapping runs of ``SPAN`` characters, one from each character on. The hashes of consecutive grams form windows of ``WINDOW``; of each
 window the smallest hash is kept, the rightmost one of equals, with its
 position. Two texts that share ``GRAM + WINDOW - 1`` consecutive words
 therefore share a kept hash (the winnowing guarantee), and nothing shorter
-than ``GRAM`` words matches.
+than ``GRAM`` words matches; inside a long run these are ``GRAM + WINDOW +
+SPAN - 2`` (15) characters.
 
 Everything is built-in array functions: a gram's 32-bit hash and the reversed
 position are packed into one long, so that ``least`` over a window finds the
@@ -23,17 +27,40 @@ from quartermaster.operators.index import contiguous_number
 
 GRAM, WINDOW = 5, 4
 WORD = r"[^\x20\x09-\x0D]+"
+#: scripts written without spaces between words (ranges, which are tested much faster than script names):
+#: Thai to Myanmar, Khmer, Tai, Balinese, Han, kana, Bopomofo, Yi, Javanese, Myanmar, Tai Viet
+UNSPACED = (r"[\x{E00}-\x{3FFFF}&&[\x{E01}-\x{109F}\x{1780}-\x{17FF}\x{1950}-\x{19FF}\x{1A20}-\x{1AAF}\x{1B00}-\x{1B7F}"
+            r"\x{2E80}-\x{2FDF}\x{3005}-\x{3007}\x{3021}-\x{312F}\x{31A0}-\x{31FF}\x{3400}-\x{4DBF}\x{4E00}-\x{A4CF}"
+            r"\x{A980}-\x{A9FF}\x{AA60}-\x{AADF}\x{F900}-\x{FAFF}\x{FF66}-\x{FF9F}\x{1B000}-\x{1B16F}\x{20000}-\x{3FFFF}]]")
+WORD_UNSPACED = rf"{UNSPACED}|(?:(?!{UNSPACED})[^\x20\x09-\x0D])++"
+#: runs of more characters than ``LONG`` are cut into overlapping runs of ``SPAN``
+LONG, SPAN = 32, 8
 _POS = (1 << 31) - 1
 
 
+def _words(text: Column) -> Column:
+    low = F.lower(F.coalesce(text, F.lit("")))
+    wide = (F.octet_length(low) > F.length(low)) & low.rlike(UNSPACED)  # ASCII texts are not searched
+    return F.when(wide, F.regexp_extract_all(low, F.lit(WORD_UNSPACED), F.lit(0))).otherwise(
+        F.regexp_extract_all(low, F.lit(WORD), F.lit(0)))
+
+
+def _units(words: Column) -> Column:
+    """Hashes of the words of an array, long ones cut."""
+    cut = lambda x: F.transform(F.regexp_extract_all(x, F.lit(rf"(?s)(?=(.{{{SPAN}}}))."), F.lit(1)), lambda y: F.xxhash64(y))
+    long = lambda x: F.length(x) > LONG
+    return F.when(F.exists(words, long), F.flatten(F.transform(
+        words, lambda x: F.when(long(x), cut(x)).otherwise(F.array(F.xxhash64(x)))))).otherwise(
+        F.transform(words, lambda x: F.xxhash64(x)))
+
+
 def winnow(df: DataFrame, text: str, out: str, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
     """Add column ``out``: array<struct<hash int, pos int>>, the kept hashes
     of string column ``text`` in the order of their positions (numbers of
     words before the gram). NULL and texts without words: an empty array."""
     words, grams, packed, kept = (f"__{out}_{x}" for x in ("words", "grams", "packed", "kept"))
     keep = df.columns
-    d = df.withColumn(words, F.transform(
-        F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(WORD), F.lit(0)), lambda x: F.xxhash64(x)))
+    d = df.withColumn(words, _words(F.col(text))).withColumn(words, _units(F.col(words)))
     # grams: fewer words than a gram make one gram of all (xxhash64 skips the missing)
     last = F.greatest(F.size(words) - gram, F.lit(0))
     d = d.withColumn(grams, F.when(F.size(words) > 0, F.transform(

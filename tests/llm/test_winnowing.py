@@ -97,6 +97,28 @@ def test_edges(spark, edge_docs, no_docs):
     assert [r.edited for r in one] == ["abcdab"]
 
 
+def test_texts_without_white_space(spark):
+    """Two thirds of a text in one word stay: most hashes are shared, and a
+    passage that is moved inside other text is found."""
+    rng = random.Random(17)
+    alphabets = {"han": [chr(0x4E00 + i) for i in range(2000)], "kana": [chr(0x3041 + i) for i in range(80)],
+                 "thai": [chr(0x0E01 + i) for i in range(46)], "code": list("abcdefghijklmnopqrstuvwxyz0123456789(){};=.,+"),
+                 "emoji": [chr(0x1F300 + i) for i in range(200)]}
+    rows = []
+    for name, chars in alphabets.items():
+        make = lambda n: "".join(rng.choice(chars) for _ in range(n))  # noqa: E731,B023
+        text, passage = make(600), make(20)
+        rows.append((name, text, text[:400] + make(200), make(45) + passage + make(51), make(38) + passage + make(40)))
+    d = spark.createDataFrame(rows, "name string, a string, b string, c string, d string")
+    for x in "abcd":
+        d = W.winnow(d, x, f"k{x}")
+    got = d.select("name", W.likeness(F.col("ka.hash"), F.col("kb.hash")).alias("near"), W.likeness(F.col("ka.hash"), F.col("kc.hash")).alias("far"),
+                   F.size(F.array_intersect("kc.hash", "kd.hash")).alias("shared"), F.size("ka").alias("n")).collect()
+    assert len(got) == len(alphabets)
+    for r in got:
+        assert 0.4 < r.near < 0.6 and r.far < 0.02 and r.shared >= 1 and r.n > 200, r
+
+
 def test_only_built_in_functions(spark):
     plan = W.op5_fingerprints(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert not any(x in plan for x in ("MapInPandas", "MapInArrow", "PythonUDF", "ArrowEval"))
