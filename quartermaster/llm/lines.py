@@ -6,8 +6,9 @@ position) stays; every line that a later occurrence covers is removed.
 
 Only built-in functions run on the rows: windows are hashed where the text
 is, 64 bits of the hash are counted with map-side combining, and only windows
-whose hash occurs again go on to the exact comparison (64 + 32 bits) and the
-choice of the first one. Covered positions return to their document as one
+whose hash occurs again go on to the comparison of 96 bits (64 + 32) and the
+choice of the first one. Windows are equal when these hashes are; their texts
+are not compared. Covered positions return to their document as one
 list, bounded by the document itself.
 """
 
@@ -64,7 +65,7 @@ def dedup_lines(docs: DataFrame, counts: bool = False) -> DataFrame:
     later occurrence of a repeated window covers; with ``counts`` also
     ``__n_lines`` and ``__n_removed``.
 
-    Lines end at line feeds and are compared exactly. Texts of fewer than
+    Lines end at line feeds; windows are compared by 96-bit hashes. Texts of fewer than
     three lines, NULL and empty ones stay as they are; a text of which every
     line goes becomes empty. Occurrences inside one document count (of five
     equal lines the first stays). Rows that repeat a document are treated
