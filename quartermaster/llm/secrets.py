@@ -35,7 +35,8 @@ MIN_LOG_GUESSES, MIN_CHARS = 10.0, 8
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # a run is one match, so this is the runs of 24 and more
-_CONTEXT = re.compile(r"""(?<![A-Za-z0-9])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|auth|login|(?:api|access|private|secret)[_-]?key)["']?\x20*(?:[:=]|=>|->|\bis\b)\x20*["']?([^\s"',;<>()]{8,})""", re.I | re.A)
+# the base words anywhere, the others where a word starts, also in camel case
+_CONTEXT = re.compile(r"""(?:(?:(?<![A-Za-z0-9])|(?-i:(?<=[a-z0-9])(?=[A-Z])))(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|auth|login|(?:api|access|private|secret)[_-]?key)|password|passwd|secret|token|api[_-]?key)["']?\x20*(?:[:=]|=>|->|\bis\b)\x20*["']?([^\s"',;<>()]{8,})""", re.I | re.A)
 #: every context holds one of these (a cheap test before the patterns)
 _HINTS = ("pass", "pwd", "secret", "token", "credential", "auth", "login", "key")
 

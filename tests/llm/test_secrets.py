@@ -97,6 +97,16 @@ def test_guessable_values_are_left_alone():
         assert kind == "guess" and cost >= S.MIN_LOG_GUESSES and strong[a:b] in strong
 
 
+def test_context_inside_names():
+    """Camel-case names, and the base words after any letter or digit."""
+    value = "Zx9!kk#Lq2$"
+    for name in ("clientSecret", "dbPassword", "accessToken", "db2Pwd", "awsPrivateKey", "userCredentials", "MYPASSWORD", "mysecret", "x1api_key"):
+        text = f'"{name}": "{value}"'
+        assert [(text[a:b], k) for a, b, k, _ in S.guess_spans(text)] == [(value, "guess")], name
+    for name in ("compass", "oauth", "bypass"):  # the wider words only where a word starts
+        assert S.guess_spans(f'"{name}": "{value}"') == [], name
+
+
 def test_edges(edge_docs, no_docs):
     assert S.scan(no_docs).count() == 0
     got = S.scan(edge_docs).collect()
