@@ -5,18 +5,9 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-FIXTURES = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "fixtures")
-
 
 @pytest.fixture(scope="session")
 def spark():
     from quartermaster.session import local_session
     s = local_session("*", shuffle_partitions=8)
     yield s
-
-
-def rows(df, *cols):
-    """Rows as sorted tuples (optionally of selected columns)."""
-    if cols:
-        df = df.select(*cols)
-    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -2,7 +2,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from conftest import rows
+from helpers import rows
 from quartermaster.operators import activity
 
 USERS = "email string, attendance_count int, grade int"

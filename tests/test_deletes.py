@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from quartermaster.operators.deletes import (cascade_delete, delete_in, delete_not_exists,
                                              delete_where, expired, issue_board)
 

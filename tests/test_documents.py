@@ -7,7 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import FIXTURES, rows
+from helpers import FIXTURES, rows
 from quartermaster.plans import items as I
 from quartermaster.plans import quests as Q
 from quartermaster.plans import stations as S

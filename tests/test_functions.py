@@ -4,7 +4,7 @@ import io
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from quartermaster.functions import vocab as V
 from quartermaster.functions.effects import effect, split_effects
 from quartermaster.functions.labels import (bucket, label_value, normalise_element, relabel_array,

@@ -3,7 +3,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from quartermaster.operators.index import (IndexBranch, IndexEmit, contiguous_number,
                                            publish_all, read_published, search_index)
 

@@ -2,7 +2,7 @@ import datetime as dt
 import os
 import shutil
 
-from conftest import FIXTURES, rows
+from helpers import FIXTURES, rows
 from quartermaster.operators.index import publish_all, read_published
 from quartermaster.plans import community as C
 from quartermaster.plans.items import knife_rows

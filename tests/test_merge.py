@@ -1,6 +1,6 @@
 import pytest
 
-from conftest import rows
+from helpers import rows
 from quartermaster.operators.merge import (assert_unique_keys, duplicate_keys, last_per_key,
                                            merge, update_from)
 

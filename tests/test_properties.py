@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from quartermaster.functions.effects import effect, split_effects
 from quartermaster.functions import vocab as V
 from quartermaster.operators import activity
