@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from quartermaster.llm import lattice, licenses, lines, mixing, pieces, quality, secrets, simhash, suffix_dedup, winnowing
+from quartermaster.llm import (lattice, licenses, lines, mixing, packing, periods, pieces, quality, secrets, simhash,
+                               suffix_dedup, winnowing)
 
 #: query name -> function of (spark, sf_dir)
 QUERIES = {
@@ -16,6 +17,8 @@ QUERIES = {
     "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_line_dedup": lines.op9_line_dedup,
     "op10_embedding_near_dedup": lattice.op10_embedding_near_dedup,
+    "op11_packing": packing.op11_packing,
+    "op13_periodic_runs": periods.op13_periodic_runs,
 }
 
 #: query name -> DuckDB SQL, where SQL can express it on whole tables
