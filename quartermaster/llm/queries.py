@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from quartermaster.llm import (lattice, licenses, lines, mixing, packing, periods, pieces, quality, secrets, simhash,
-                               suffix_dedup, winnowing)
+                               spelling, suffix_dedup, winnowing)
 
 #: query name -> function of (spark, sf_dir)
 QUERIES = {
@@ -18,6 +18,7 @@ QUERIES = {
     "op9_line_dedup": lines.op9_line_dedup,
     "op10_embedding_near_dedup": lattice.op10_embedding_near_dedup,
     "op11_packing": packing.op11_packing,
+    "op12_spelling_variants": spelling.op12_spelling_variants,
     "op13_periodic_runs": periods.op13_periodic_runs,
 }
 
