@@ -18,6 +18,8 @@ that runs again cannot place a document twice.
 
 from __future__ import annotations
 
+import json
+import re
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
@@ -33,9 +35,9 @@ from quartermaster.llm.common import ids_and_texts, map_batches, read, stage
 TOKENIZER = "byte_bpe_50k.json"
 SIZE, END_ID, OPEN, LEAST_CUT = 1024, 0, 64, 8
 #: ids of open windows that one task of a later level places, at least (and four tasks' open windows)
-GATHERED = 1 << 22
-#: entries of a worker's table of words, and the longest word kept
-MEMO, MEMO_CHARS = 300_000, 48
+GATHERED = 1 << 19
+#: entries of a worker's tables of words, and the longest word kept
+MEMO, MEMO_CHARS = 600_000, 48
 #: characters after which a long text is cut for encoding, where no token can reach across
 _LONG = 1 << 20
 #: bytes of ids in a batch of results
@@ -45,6 +47,8 @@ _BATCH_BYTES = 1 << 22
 # tables of ``regex`` and of ``tokenizers``; texts with others are encoded whole.
 _SURE = ((0x0, 0x557), (0x590, 0x87F), (0x900, 0xC5B), (0xC5D, 0xCDB), (0xCDD, 0x208E), (0x20A0, 0xA7CD),
          (0xA7F2, 0xAB6B), (0xAB6E, 0xFFFF), (0x1F000, 0x1FBFF), (0x20000, 0x2B738))
+#: first character after the Latin letters, whose classes do not change
+_LATIN_END = "\u0250"
 
 
 # ------------------------------------------------------------------- tokens
@@ -64,37 +68,78 @@ class _Memo(dict):
         return ids
 
 
+def _letters_of_bytes() -> dict[int, str]:
+    """The character that byte-level models write for each byte: itself where
+    it is printable in Latin-1, otherwise the next one from U+0100 on."""
+    shown = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xFF and b != 0xAD]
+    others = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class Tokens:
     """A byte-level BPE of the tokenizers library: texts to ids, which stand
     one after the other as unsigned little-endian 32-bit numbers.
 
-    Merges stay within the words that the tokenizer's pattern cuts, so each
-    different word is encoded by the library once and kept in a table."""
+    Merges stay within the words that the tokenizer's pattern cuts, and no
+    word holds a space but at its beginning. So texts are cut before spaces
+    that follow other characters than white space; each different unit is cut
+    by the pattern and its words are encoded by the library's model, and the
+    ids are kept in a table. Texts with special tokens, or with characters
+    whose classes are not sure, and all texts of tokenizers that have other
+    steps, are encoded by the library as a whole."""
 
     def __init__(self, path: str, pattern: str):
         import numpy as np
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
+        steps = json.loads(tokenizer.to_str())
+        before = steps["pre_tokenizer"] or {}
+        self.plain = (before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
+                      and steps["model"]["type"] == "BPE" and not steps["model"].get("dropout")
+                      and not any(steps.get(k) for k in ("normalizer", "truncation", "padding")))
+        model, letters = tokenizer.model, _letters_of_bytes()
 
         def whole(text: str) -> bytes:
             return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+        def word(text: str) -> bytes:
+            return b"".join([t.id.to_bytes(4, "little") for t in model.tokenize(text.encode().decode("latin-1").translate(letters))])
+
         self.whole, self.words = whole, regex.compile(pattern)
+        narrow = pattern.replace(r"[^\s\p{L}\p{N}]", r"[^\sA-Za-z0-9]").replace(r"\p{L}", "[A-Za-z]").replace(r"\p{N}", "[0-9]")
+        self.ascii_words = re.compile(narrow, re.A) if r"\p" not in narrow else self.words
         self.unsure = regex.compile("[^" + "".join(f"{chr(a)}-{chr(b)}" for a, b in _SURE) + "]")
         self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         self.border = regex.compile(r"(?<=\S)(?=\s)")
-        self.memo = _Memo(whole)
+        self.spaces = re.compile(r"[\s\x85]\x20")  # a space that must not be cut before
+        self.make = word
+        self.word, self.after_space = _Memo(word), _Memo(self._unit)
+
+    def _unit(self, unit: str) -> bytes:
+        """The ids of a unit and the space before it."""
+        if unit.isalpha() and (unit.isascii() or max(unit) < _LATIN_END):
+            return self.make(" " + unit)
+        first, *more = (self.ascii_words if unit.isascii() else self.words).findall(" " + unit)
+        if not more:
+            return self.make(first)
+        return (self.after_space[first[1:]] if first != " " else self.word[first]) + b"".join(map(self.word.__getitem__, more))
+
+    def _words(self, text: str) -> bytes:
+        return b"".join(map(self.word.__getitem__, (self.ascii_words if text.isascii() else self.words).findall(text)))
 
     def _encode(self, text: str) -> bytes:
-        if self.unsure.search(text) or any(s in text for s in self.special):
+        if not self.plain or self.unsure.search(text) or any(s in text for s in self.special):
             return self.whole(text)
-        return b"".join(map(self.memo.__getitem__, self.words.findall(text)))
+        if text.startswith(" ") or self.spaces.search(text):
+            return self._words(text)
+        units = text.split(" ")
+        return self._words(units[0]) + b"".join(map(self.after_space.__getitem__, units[1:]))
 
     def encode(self, text: str) -> bytes:
         """The ids of a text, special tokens in it included, none added."""
         parts, at = [], 0
-        while len(text) - at > _LONG:
+        while len(text) - at > _LONG and self.plain:
             cut = self.border.search(text, at + _LONG)
             if not cut:
                 break
