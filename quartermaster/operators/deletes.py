@@ -92,16 +92,37 @@ def issue_board(issues: DataFrame, boards: DataFrame, like_bound: int = 10,
     and (B3) upserting posts with at least ``like_bound`` likes.
 
     A NULL like count satisfies neither threshold (C6): such a post is
-    neither demoted nor promoted.
-    """
-    from quartermaster.operators.merge import merge
+    neither demoted nor promoted. A post that is to be promoted twice, or
+    without id, fails the job.
 
+    One pass: posts are reduced to one row per id (a partial + final
+    aggregate), and one left join with the issues classifies everything.
+    Issues without a post, NULL ids among them, match no post and are gone;
+    the rest of an id's fate hangs on its post alone.
+    """
     insert_map = insert_map or {"board_type": "type", "create_time": "create_time"}
-    demoted = boards.filter(below(likes, like_bound)).select(board_id)
-    step1 = delete_in(issues, demoted, board_key, board_id)
-    step2 = delete_not_exists(step1, boards.select(board_id), board_key, board_id)
-    promoted = boards.filter(at_least(likes, like_bound)).select(
-        F.col(board_id).alias(board_key),
-        *[F.col(src).alias(dst) for dst, src in insert_map.items()])
-    return merge(step2, promoted, board_key, insert_cols=list(insert_map),
-                 duplicates="error")
+    promoted = F.coalesce(at_least(likes, like_bound), F.lit(False))
+    row = F.struct(*[F.col(src).alias(f"__new_{dst}") for dst, src in insert_map.items()])
+    posts = (boards.filter(F.col(board_id).isNotNull() | promoted)
+             .groupBy(F.col(board_id).alias("__post"))
+             .agg(F.count_if(promoted).alias("__promoted"), F.count_if(below(likes, like_bound)).alias("__demoted"),
+                  F.first(F.when(promoted, row), ignorenulls=True).alias("__row")))
+    wrong = (F.col("__promoted") > 1) | F.col("__post").isNull()
+    text = F.concat(F.lit("duplicate or NULL key in source: "), F.to_json(F.struct("__post")))
+    posts = posts.select("__post", F.col("__demoted") > 0, "__row",
+                         F.when(wrong, F.raise_error(text).cast("boolean")).otherwise(F.col("__promoted") > 0).alias("__up")
+                         ).toDF("__post", "__down", "__row", "__up")
+    old = issues.withColumn("__there", F.lit(True))
+    both = posts.join(old, F.col("__post") == F.col(board_key), "left")
+    stays = F.col("__there") & ~F.col("__down")  # NULL where there is no issue
+    out = []
+    for c in issues.columns:
+        kind = issues.schema[c].dataType
+        if c == board_key:
+            value = F.col("__post").cast(kind)
+        elif c in insert_map:
+            value = F.when(F.col("__up"), F.col("__row")[f"__new_{c}"].cast(kind)).otherwise(F.col(c))
+        else:
+            value = F.when(stays, F.col(c))
+        out.append(value.alias(c))
+    return both.filter(F.col("__up") | F.coalesce(stays, F.lit(False))).select(*out)

@@ -14,12 +14,12 @@ Semantics (B1-B6, B12, B15):
 * keys that exist only in the target are kept unchanged; a merge never
   deletes.
 
-Plan shape: the source is reduced to one row per key with a partial + final
-aggregate (map-side combine absorbs a hot key). Target rows take their new
-values through a left join with it, and keys that the target lacks are added
-by an anti join: unlike a full outer join, both can be split by AQE when a
-partition is skewed. Target rows whose key is NULL match nothing and go round
-the join, so they never meet in one task.
+Plan shape: one pass over either side. The source is reduced to one row per
+key with a partial + final aggregate (map-side combine absorbs a hot key);
+its shuffle serves the full outer join with the target as well, so that each
+side is read once and shuffled once. Both sides hold a key once, so no
+partition of the join is skewed by a key; target rows whose key is NULL match
+nothing and are dealt out by their content.
 """
 
 from __future__ import annotations
@@ -27,15 +27,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quartermaster.functions.scalars import as_of_lit
-from quartermaster.session import materialize
 
 _S = "__src_"
-_S_PRESENT = "__src_present"
+_S_PRESENT, _T_PRESENT, _HASH = "__src_present", "__tgt_present", "__key_hash"
 
 
 def _as_list(x: str | Sequence[str] | None) -> list[str]:
@@ -66,17 +65,15 @@ def last_per_key(df: DataFrame, key: str | Sequence[str],
     return agg.select(*keys, *[F.col("__last")[c].alias(c) for c in payload])
 
 
-def _checked(agg: DataFrame, keys: list[str], bad: Column, message: str) -> DataFrame:
-    """``agg`` with its keys raising where ``bad`` holds or a key is NULL.
-
-    ``agg`` is an aggregate with the row count ``__n``, and the check reads
-    that count: a condition on the keys that Spark infers from a later join
-    can then not be moved below the aggregate, where it might see rows that a
-    filter is about to drop. No extra pass."""
+def _bad(keys: list[str], bad: Column, message: str) -> tuple[Column, Column]:
+    """Whether a row of an aggregate with the row count ``__n`` breaks a rule
+    or has a NULL key, and the text to fail with. It reads the count, so that
+    a condition on the keys that Spark infers from a later join cannot be
+    moved below the aggregate, where it might see rows that a filter is about
+    to drop."""
     text = F.concat(F.lit(f"{message}: "), F.to_json(F.struct(*keys)))
     null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]) & (F.col("__n") > 0)
-    return agg.select(*[F.when(bad | null, F.raise_error(text)).otherwise(F.col(k)).alias(k) for k in keys],
-                      *[c for c in agg.columns if c not in keys])
+    return bad | null, text
 
 
 def assert_unique_keys(df: DataFrame, key: str | Sequence[str],
@@ -92,21 +89,34 @@ def assert_unique_keys(df: DataFrame, key: str | Sequence[str],
     agg = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("__n"),
         *([F.first(F.struct(*others)).alias("__row")] if others else []))
-    checked = _checked(agg, keys, F.col("__n") > 1, f"duplicate or NULL key in {what}")
-    return checked.select(*keys, *[F.col("__row")[c].alias(c) for c in others])
+    bad, text = _bad(keys, F.col("__n") > 1, f"duplicate or NULL key in {what}")
+    return agg.select(*[F.when(bad, F.raise_error(text)).otherwise(F.col(k)).alias(k) for k in keys],
+                      *[F.col("__row")[c].alias(c) for c in others])
 
 
-def last_row_per_key(df: DataFrame, key: str | Sequence[str], order_cols: str | Sequence[str | Column],
-                     cols: Sequence[str]) -> DataFrame:
-    """:func:`last_per_key` for a table whose key must not be NULL (a NULL
-    fails the job), with the columns ``cols`` and the key."""
-    keys = _as_list(key)
-    payload = [c for c in cols if c not in keys]
-    order = [F.col(c) if isinstance(c, str) else c for c in _as_list(order_cols)]
-    row = [F.max_by(F.struct(*payload), F.struct(*order)).alias("__last")] if payload else []
-    agg = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *row)
-    checked = _checked(agg, keys, F.lit(False), "NULL key in merge source")
-    return checked.select(*keys, *[F.col("__last")[c].alias(c) for c in payload])
+def _merge_source(source: DataFrame, keys: list[str], cols: list[str], order_cols, duplicates: str) -> DataFrame:
+    """The source as one row per key: the key's hash, the key and ``cols``
+    under prefixed names, and a marker that is true, or fails the job where
+    the row must not be merged. The keys leave the aggregate as they are, so
+    its shuffle is the join's as well."""
+    row = F.struct(*cols) if cols else None
+    if duplicates == "last":
+        if order_cols is None:
+            raise ValueError("duplicates='last' needs order_cols")
+        order = F.struct(*[F.col(c) if isinstance(c, str) else c for c in _as_list(order_cols)])
+        picked = row is not None and F.max_by(row, order)
+        bad, message = F.lit(False), "NULL key in merge source"
+    elif duplicates == "error":
+        picked = row is not None and F.first(row)
+        bad, message = F.col("__n") > 1, "duplicate or NULL key in source"
+    else:
+        raise ValueError("duplicates must be 'last' or 'error'")
+    agg = (source.withColumn(_HASH, F.xxhash64(*keys)).groupBy(_HASH, *keys)
+           .agg(F.count(F.lit(1)).alias("__n"), *([picked.alias("__row")] if cols else [])))
+    bad, text = _bad(keys, bad, message)
+    return agg.select(F.col(_HASH).alias(_S + _HASH), *[F.col(k).alias(_S + k) for k in keys],
+                      *[F.col("__row")[c].alias(_S + c) for c in cols],
+                      F.when(bad, F.raise_error(text).cast("boolean")).otherwise(True).alias(_S_PRESENT))
 
 
 def merge(target: DataFrame, source: DataFrame, key: str | Sequence[str],
@@ -136,26 +146,40 @@ def merge(target: DataFrame, source: DataFrame, key: str | Sequence[str],
     if not set(update_cols) <= set(insert_cols):
         raise ValueError("update_cols must be a subset of insert_cols")
 
-    if duplicates == "last":
-        if order_cols is None:
-            raise ValueError("duplicates='last' needs order_cols")
-        src = last_row_per_key(source, keys, order_cols, insert_cols)
-    elif duplicates == "error":
-        src = assert_unique_keys(source.select(*keys, *insert_cols), keys)
-    else:
-        raise ValueError("duplicates must be 'last' or 'error'")
-
-    s = src.select(*[F.col(k).alias(_S + k) for k in keys], *[F.col(c).alias(_S + c) for c in insert_cols],
-                   F.lit(True).alias(_S_PRESENT))
+    for k in keys:  # equal keys must have equal hashes
+        kind, own = target.schema[k].dataType, source.schema[k].dataType
+        if own != kind:
+            if not (isinstance(own, T.NumericType) and isinstance(kind, T.NumericType)):
+                raise ValueError(f"key {k} is {kind.simpleString()} in the target, {own.simpleString()} in the source")
+            source = source.withColumn(k, F.col(k).cast(kind))
+    s = _merge_source(source, keys, insert_cols, order_cols, duplicates)
     has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    matching = reduce(lambda a, b: a & b, [F.col(k) == F.col(_S + k) for k in keys])
-    kept = (target.filter(has_key).join(s, matching, "left")
-            .select(*[F.when(F.col(_S_PRESENT), F.col(_S + c)).otherwise(F.col(c)).alias(c)
-                      if c in update_cols else F.col(c) for c in tcols]))
-    added = (s.join(target.select(*keys), matching, "left_anti")
-             .select(*[(F.col(_S + c) if c in keys + insert_cols else F.lit(None))
-                       .cast(target.schema[c].dataType).alias(c) for c in tcols]))
-    return kept.unionByName(target.filter(~has_key)).unionByName(added)
+    spread = F.xxhash64(F.spark_partition_id(), *[F.col(f.name) for f in target.schema.fields if _hashable(f.dataType)])
+    t = (target.withColumn(_HASH, F.when(has_key, F.xxhash64(*keys)).otherwise(spread))
+         .withColumn(_T_PRESENT, F.lit(True)))
+    matching = reduce(lambda a, b: a & b, [F.col(_HASH) == F.col(_S + _HASH), *[F.col(k) == F.col(_S + k) for k in keys]])
+    both = t.join(s, matching, "full")
+
+    def value(c: str) -> Column:
+        kind, new, old = target.schema[c].dataType, F.col(_S + c), F.col(c)
+        if c in keys:  # reads the marker in every row, so that a bad source row always fails the job
+            return F.when(F.coalesce(F.col(_S_PRESENT), F.lit(True)), F.when(F.col(_T_PRESENT), old).otherwise(new))
+        if c in update_cols:
+            return F.when(F.col(_S_PRESENT), new.cast(kind)).otherwise(old)
+        if c in insert_cols:
+            return F.when(F.col(_T_PRESENT), old).otherwise(new.cast(kind))
+        return old
+
+    return both.select(*[value(c).alias(c) for c in tcols])
+
+
+def _hashable(kind: T.DataType) -> bool:
+    """Whether Spark hashes values of a type (maps and variants it does not)."""
+    if isinstance(kind, T.ArrayType):
+        return _hashable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))
 
 
 def update_from(target: DataFrame, source: DataFrame, key: str | Sequence[str],
@@ -188,80 +212,3 @@ def duplicate_keys(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     keys = _as_list(key)
     return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
             .filter(F.col("n") > 1))
-
-
-BUCKET_COL = "key_bucket"
-#: where a bucketed table keeps its bucket count (hidden from table reads)
-LAYOUT = "_layout"
-
-
-def key_bucket(keys: Sequence[str], buckets: int) -> Column:
-    """Stable bucket of a key: ``pmod(xxhash64(key...), buckets)``."""
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
-
-
-def _stored_buckets(spark: SparkSession, path: str) -> int | None:
-    """The bucket count stored beside a bucketed table; None when there is
-    no table yet. Any other trouble in reading it is an error."""
-    try:
-        return spark.read.schema("buckets int").json(f"{path.rstrip('/')}/{LAYOUT}").first()["buckets"]
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
-def merge_into_path(source: DataFrame, path: str, key: str | Sequence[str],
-                    insert_cols: Sequence[str], update_cols: Sequence[str] | None = None,
-                    order_cols: str | Sequence[str | Column] | None = None,
-                    duplicates: str = "last", buckets: int = 64,
-                    target_schema: str | None = None) -> list[int]:
-    """B1 for a large target kept as Parquet partitioned by ``key_bucket``:
-    only the buckets the source touches are read, merged and rewritten.
-
-    The number of buckets is stored beside the table (``_layout``) when it is
-    first written and must be the same ever after: another number would put a
-    key into another folder, so a mismatch fails. Choose it so that a bucket
-    is a few hundred megabytes.
-
-    1. the source is reduced and checkpointed once; the buckets it touches
-       (at most ``buckets`` small integers) reach the driver;
-    2. the target is read with a partition filter on those buckets
-       (partition pruning: untouched buckets are not even listed);
-    3. :func:`merge` on that slice, dealt out by bucket so that each folder
-       is written by one task, into a staged copy;
-    4. dynamic partition overwrite replaces exactly the touched bucket
-       folders in one job commit.
-
-    Only a missing table starts empty (with ``target_schema``). Returns the
-    touched buckets.
-    """
-    spark = source.sparkSession
-    keys = _as_list(key)
-    stored = _stored_buckets(spark, path)
-    if stored is None:
-        if target_schema is None:
-            raise ValueError(f"no table at {path}: a first run needs target_schema")
-        current = spark.createDataFrame([], target_schema).withColumn(BUCKET_COL, F.lit(None).cast("int"))
-    elif stored != buckets:
-        raise ValueError(f"{path} has {stored} buckets, not {buckets}")
-    else:
-        current = spark.read.parquet(path)
-    cols = [*insert_cols, BUCKET_COL]
-    src = source.withColumn(BUCKET_COL, key_bucket(keys, buckets))
-    if duplicates == "last":
-        if order_cols is None:
-            raise ValueError("duplicates='last' needs order_cols")
-        src = last_row_per_key(src, keys, order_cols, cols)
-    src = materialize(src.select(*keys, *cols))
-    touched = sorted(r[0] for r in src.select(BUCKET_COL).distinct().collect())
-    target = current.filter(F.col(BUCKET_COL).isin(touched))
-    merged = merge(target, src, keys, insert_cols=cols,
-                   update_cols=[*(update_cols if update_cols is not None else insert_cols), BUCKET_COL],
-                   duplicates="error")
-    merged = materialize(merged.repartition(BUCKET_COL))
-    if stored is None:
-        spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.json(f"{path.rstrip('/')}/{LAYOUT}")
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET_COL).parquet(path))
-    return touched

@@ -147,7 +147,10 @@ def route_split(df: DataFrame, rules: dict[str, Column], stage_dir: str | None =
     written once as Parquet partitioned by ``route`` (in ``stage_dir``, by
     default a fresh folder under the shared checkpoint folder). Each target
     reads only its own partition, and a lost executor re-reads files instead
-    of recomputing the parse."""
+    of recomputing the parse. A single target needs no copy (unless
+    ``stage_dir`` asks for one)."""
+    if len(rules) == 1 and stage_dir is None:
+        return {n: route(df, rules).drop("route") for n in rules}
     spark = df.sparkSession
     if stage_dir is None:
         stage_dir = f"{ensure_checkpoint_dir(spark).rstrip('/')}/routed-{uuid.uuid4().hex}"

@@ -1566,7 +1566,7 @@ def q_catalogue_ammo_upsert(spark, d):
 
 def _station_sources(spark, d, table):
     from quartermaster.plans import stations as S
-    return S.station_sources(station_docs(spark, d), AS_OF)[table]
+    return S.station_sources(station_docs(spark, d), AS_OF, only=[table])[table]
 
 
 @register("stations_master", """
@@ -1595,7 +1595,7 @@ def q_stations_bonus(spark, d):
     last-wins (B2 + E5), an empty skill name is NULL (X10)."""
     from quartermaster.plans import stations as S
     from quartermaster.operators.merge import merge
-    src = S.bonus_rows(station_docs(spark, d))
+    src = S.target_rows(station_docs(spark, d), "hideout_bonus")
     empty = spark.createDataFrame([], "level_id string, type string, name_en string, value double, "
                                       "skill_name_en string")
     return merge(empty, src, ["level_id", "type"], insert_cols=["name_en", "value", "skill_name_en"],

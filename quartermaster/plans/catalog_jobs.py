@@ -182,23 +182,25 @@ def q_stations_skill_require(spark, d):
 @register("quest_items_upsert", f"""
 WITH t AS (SELECT 'p' || CAST(p_partkey AS VARCHAR) AS id, p_name AS name_en, p_brand AS short_name, '/old' AS image,
                   'Tools' AS category, 'curated ' || p_brand AS name_kr, TIMESTAMP '2023-01-01 00:00:00' AS at FROM part),
-s AS (SELECT 'p' || CAST(c_custkey % 40000 AS VARCHAR) AS id, arg_max(c_name, c_custkey) AS name_en,
-             arg_max('/quest/' || c_mktsegment, c_custkey) AS image FROM customer WHERE c_custkey % 3 = 0 GROUP BY 1)
+s AS (SELECT 'p' || CAST(c_custkey // 2 * 3 AS VARCHAR) AS id, arg_max(c_name, c_custkey) AS name_en,
+             arg_max('/quest/' || c_mktsegment, c_custkey) AS image FROM customer GROUP BY 1)
 SELECT COALESCE(t.id, s.id) AS id, COALESCE(s.name_en, t.name_en) AS name_en, t.short_name,
        COALESCE(s.image, t.image) AS image, CASE WHEN s.id IS NULL THEN t.category ELSE '{V.QUEST_ITEM_CATEGORY}' END AS category,
        t.name_kr, CASE WHEN s.id IS NULL THEN t.at ELSE TIMESTAMP '2024-01-15 00:00:00' END AS update_time
 FROM t FULL JOIN s ON t.id = s.id
 """)
 def q_quest_items_upsert(spark, d):
-    """Quest items (customers) as second feed of a loot table (parts):
-    short and local names survive, the load time moves where it is fed."""
+    """Quest items (customers, two to an id, ids beyond the parts' among
+    them) as second feed of a loot table (parts): short and local names
+    survive, the load time moves where it is fed."""
     p = read_table(spark, d, "part")
     loot = p.select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("id"), F.col("p_name").alias("name_en"),
                     F.col("p_brand").alias("short_name"), F.lit("/old").alias("image"), F.lit("Tools").alias("category"),
                     F.concat(F.lit("curated "), F.col("p_brand")).alias("name_kr"),
                     F.lit("2023-01-01 00:00:00").cast("timestamp_ntz").alias("update_time"))
-    c = read_table(spark, d, "customer").filter(F.col("c_custkey") % 3 == 0)
-    doc = F.struct(F.col("c_custkey").alias("pos"), F.concat(F.lit("p"), (F.col("c_custkey") % 40000).cast("string")).alias("id"),
+    c = read_table(spark, d, "customer")
+    fed = F.floor(F.col("c_custkey") / 2) * 3
+    doc = F.struct(F.col("c_custkey").alias("pos"), F.concat(F.lit("p"), fed.cast("string")).alias("id"),
                    F.col("c_name").alias("name"), F.concat(F.lit("/quest/"), F.col("c_mktsegment")).alias("image512pxLink"))
     feed = c.select(F.from_json(F.to_json(doc), QUEST_ITEM_SCHEMA, {"mode": "FAILFAST"}).alias("q")).select("q.*")
     return quests.upsert_quest_items(loot, feed, AS_OF)
@@ -234,26 +236,48 @@ def q_label_int(spark, d):
 
 # --------------------------------------------------- community jobs on frames
 
-_INDEX_TABLES = list(dict.fromkeys(row[0] for row in community.INDEX_SPEC))
-
-
-def _index_sql():
-    parts, b = [], 0
-    for table, variants, path, typ, with_id in community.INDEX_SPEC:
-        k = _INDEX_TABLES.index(table)
-        for prefix, col in variants:
-            name = {"name": "p_name", "name_en": "upper(p_name)", "name_kr": "CASE WHEN p_size % 9 > 0 THEN 'kr ' || p_name END"}[col]
-            link = f"'{path}' || CAST(p_partkey AS VARCHAR)" if with_id else f"'{path}'"
-            parts.append(f"""SELECT '{prefix}' || {name} AS value, {link} AS link, CAST(p_partkey AS VARCHAR) AS page_value,
-       '{typ}' AS type, {b} AS branch FROM part WHERE p_partkey % {len(_INDEX_TABLES)} = {k}""")
-            b += 1
-    return f"""
-WITH u AS ({' UNION ALL '.join(parts)})
+#: the 25 branches in order: number, table (as numbered below), label, column, link, link ends with the id, type
+_INDEX_SQL = """
+WITH b(branch, k, label, col, link, with_id, type) AS (VALUES
+  (0, 0, '타르코프 지도 : ', 'kr', '/map-of-tarkov/', TRUE, 'MAP_OF_TARKOV'),
+  (1, 0, '대화형 지도 : ', 'kr', '/map/', TRUE, 'MAP'),
+  (2, 1, '보스 : ', 'kr', '/boss/', TRUE, 'BOSS'),
+  (3, 2, '하이드아웃 : ', 'en', '/hideout', FALSE, 'HIDEOUT'),
+  (4, 2, '하이드아웃 : ', 'kr', '/hideout', FALSE, 'HIDEOUT'),
+  (5, 3, '퀘스트 : ', 'kr', '/quest/detail/', TRUE, 'QUEST'),
+  (6, 3, '퀘스트 : ', 'en', '/quest/detail/', TRUE, 'QUEST'),
+  (7, 4, '상인 : ', 'kr', '/quest', FALSE, 'TRADER'),
+  (8, 5, '무기 : ', 'name', '/weapon?id=', TRUE, 'WEAPON'),
+  (9, 6, '무기 : ', 'name', '/weapon?id=', TRUE, 'WEAPON'),
+  (10, 7, '무기 : ', 'name', '/weapon?id=', TRUE, 'WEAPON'),
+  (11, 8, '탄약 : ', 'name', '/ammo?id=', TRUE, 'AMMO'),
+  (12, 9, '방탄모 : ', 'name', '/head-wear?id=', TRUE, 'HEADWEAR'),
+  (13, 10, '전술 조끼 : ', 'name', '/rig?id=', TRUE, 'RIG'),
+  (14, 11, '방탄 조끼 : ', 'name', '/armor-vest?id=', TRUE, 'ARMOR_VEST'),
+  (15, 12, '헤드셋 : ', 'name', '/headset?id=', TRUE, 'HEADSET'),
+  (16, 13, '가방 : ', 'name', '/backpack?id=', TRUE, 'BACKPACK'),
+  (17, 14, '의료품 : ', 'kr', '/medical?id=', TRUE, 'MEDICAL'),
+  (18, 15, '컨테이너 : ', 'kr', '/container?id=', TRUE, 'CONTAINER'),
+  (19, 16, '키 : ', 'name', '/key?id=', TRUE, 'KEY'),
+  (20, 17, '식량 : ', 'kr', '/provisions?id=', TRUE, 'PROVISIONS'),
+  (21, 18, '전리품 : ', 'kr', '/loot?id=', TRUE, 'LOOT'),
+  (22, 19, '얼굴 커버 : ', 'name', '/face-cover?id=', TRUE, 'FACE_COVER'),
+  (23, 20, '완장 : ', 'name', '/arm-band?id=', TRUE, 'ARM_BAND'),
+  (24, 21, '안경 : ', 'name', '/glasses?id=', TRUE, 'GLASSES')),
+u AS (SELECT label || CASE col WHEN 'name' THEN p_name WHEN 'en' THEN upper(p_name)
+                               WHEN 'kr' THEN CASE WHEN p_size % 9 > 0 THEN 'kr ' || p_name END END AS value,
+             link || CASE WHEN with_id THEN CAST(p_partkey AS VARCHAR) ELSE '' END AS link,
+             CAST(p_partkey AS VARCHAR) AS page_value, type, branch
+      FROM part JOIN b ON p_partkey % 22 = k)
 SELECT value, link, page_value, type,
        CAST(ROW_NUMBER() OVER (ORDER BY branch, page_value, value NULLS FIRST, link) AS BIGINT) AS "order" FROM u"""
 
+#: the tables as the SQL above numbers them
+_INDEX_TABLES = ["map_parent", "boss", "hideout_master", "quest", "npc", "weapon", "throwable", "knife", "ammo", "headwear", "rig",
+                 "armor_vest", "headset", "backpack", "medical", "container", "key", "provisions", "loot", "face_cover", "arm_band", "glasses"]
+
 
-@register("search_index_job", _index_sql())
+@register("search_index_job", _INDEX_SQL)
 def q_search_index_job(spark, d):
     """P32 over every branch of its specification (U1-U5: two languages, one
     table under two paths, several tables under one type, links without id):

@@ -1,9 +1,10 @@
 """Community jobs (P28-P33) as complete runs over versioned tables.
 
 Each job reads the latest published version of its inputs
-(:func:`read_published`), computes the new state lazily, and publishes all
-of its outputs with one commit (:func:`publish_all`), so readers never see a
-half-applied run. ``as_of`` is the run clock (one instant per run).
+(:func:`read_published`), computes the new state lazily, and publishes its
+outputs with one commit (:func:`publish_all`), so readers never see a
+half-applied run; only :func:`statistics_and_grades_job` commits twice.
+``as_of`` is the run clock (one instant per run).
 """
 
 from __future__ import annotations
@@ -35,7 +36,8 @@ def issue_job(spark: SparkSession, root: str) -> dict[str, str]:
 def statistics_and_grades_job(spark: SparkSession, root: str) -> dict[str, str]:
     """P29 then P30: statistics upserted (duplicates are an error) and
     published; then the users are graded from the published statistics, so
-    they are computed once."""
+    they are computed once. Two commits: a failure in between leaves the new
+    statistics with the old grades until the job runs again."""
     users = _t(spark, root, "user")
     src = activity.user_post_statistics(users, _t(spark, root, "board_union"), _t(spark, root, "comments"))
     stats = merge(_t(spark, root, "user_post_statistics"), src, "user_email",
@@ -112,8 +114,8 @@ KEEP_DAYS = 3
 
 def snapshot_job(spark: SparkSession, root: str, snap_root: str, tables: list[str], as_of,
                  keep_days: int = KEEP_DAYS) -> bool:
-    """Dated snapshot of every table (B13); when all of them hold as
-    many rows as their sources, older ones beyond ``keep_days`` go (B14).
+    """Dated snapshot of every table (B13); when all of them hold the
+    rows of their sources, older ones beyond ``keep_days`` go (B14).
     False (and nothing removed) when the gate fails."""
     frames = {t: _t(spark, root, t) for t in tables}
     snapshot(frames, snap_root, as_of)

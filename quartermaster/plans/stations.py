@@ -1,130 +1,155 @@
 """Station ("hideout") jobs (P18-P25): station documents -> 8 tables.
 
-Every table comes from the same scan by ``explode`` (N1) or two nested
-explodes carrying the level id (N2): a ``Generate`` node per level inside
-the scan stage, no shuffle before the merge.
+Each target is an expression on a document: the array of the rows that the
+document gives it, walked level by level (N1) and requirement by requirement
+(N2). One target is one ``Generate`` over its array, inside the scan stage.
+Several targets are one ``Generate`` over all their arrays: every row is
+tagged with its target and the documents are read and parsed once.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quartermaster.functions.scalars import composite_text, falsy_to_null
 from quartermaster.operators.merge import merge, with_load_time
-from quartermaster.operators.nested import child_ids, first_child, unnest
+from quartermaster.operators.nested import child_ids, first_child
 from quartermaster.session import ensure_checkpoint_dir
 
 
-def _levels(st: DataFrame) -> DataFrame:
-    return unnest(st, "levels", keep=[F.col("pos").alias("st_pos")], alias="lv", with_pos=True)
+def _struct(pos: Sequence[Column], cols: dict[str, Column]) -> Column:
+    """A row of a target: where it stands in its documents (for the
+    last-wins order) and its columns."""
+    at = F.struct(*[c.alias(f"p{i}") for i, c in enumerate(pos)])
+    return F.struct(at.alias("pos"), *[c.alias(n) for n, c in cols.items()])
 
 
-def _children(st: DataFrame, field: str) -> DataFrame:
-    """Requirement rows with ``level_id`` and a (station, level,
-    element) position for last-wins ordering."""
-    lv = _levels(st)
-    ch = unnest(lv, f"lv.{field}", keep=["st_pos", "lv_pos", F.col("lv.id").alias("level_id")],
-                alias="c", with_pos=True)
-    return ch.withColumn("pos", F.struct("st_pos", "lv_pos", "c_pos"))
+def _levels(build: Callable[[Column], dict[str, Column]]) -> Column:
+    """A row per level."""
+    return F.transform("levels", lambda lv, i: _struct([F.col("pos"), i], build(lv)))
 
 
-def master_rows(st: DataFrame) -> DataFrame:
+def _children(field: str, build: Callable[[Column], dict[str, Column]]) -> Column:
+    """A row per element of a level's list, with the level's id."""
+    def rows(lv: Column, i: Column) -> Column:
+        own = F.transform(lv[field], lambda c, j: _struct([F.col("pos"), i, j], {"level_id": lv["id"], **build(c)}))
+        return F.coalesce(own, F.array())
+    return F.flatten(F.transform("levels", rows))
+
+
+def _master() -> Column:
     """Station with the ids of its levels in order."""
-    return st.select("pos", "id", F.col("name").alias("name_en"), F.col("imageLink").alias("image"),
-                     child_ids("levels").alias("level_ids"))
+    return F.array(_struct([F.col("pos")], {"id": F.col("id"), "name_en": F.col("name"), "image": F.col("imageLink"),
+                                            "level_ids": child_ids("levels")}))
 
 
-def level_rows(st: DataFrame) -> DataFrame:
+def _level() -> Column:
     """P19 (N1)."""
-    lv = _levels(st)
-    return lv.select(F.struct("st_pos", "lv_pos").alias("pos"), F.col("lv.id").alias("id"),
-                     F.col("lv.level").alias("level"),
-                     F.col("lv.constructionTime").alias("construction_time"))
+    return _levels(lambda lv: {"id": lv["id"], "level": lv["level"], "construction_time": lv["constructionTime"]})
 
 
-def item_require_rows(st: DataFrame) -> DataFrame:
+def _item_require() -> Column:
     """P20 (N2)."""
-    c = _children(st, "itemRequirements")
-    return c.select("pos", F.col("c.id").alias("id"), "level_id",
-                    F.col("c.item.name").alias("name_en"), F.col("c.quantity").alias("quantity"),
-                    F.col("c.count").alias("count"), F.col("c.item.image512pxLink").alias("image"))
+    return _children("itemRequirements", lambda c: {
+        "id": c["id"], "name_en": c["item"]["name"], "quantity": c["quantity"], "count": c["count"],
+        "image": c["item"]["image512pxLink"]})
 
 
-def trader_require_rows(st: DataFrame) -> DataFrame:
+def _trader_require() -> Column:
     """P21 (N2, C2: NULL trader gives NULL name / image)."""
-    c = _children(st, "traderRequirements")
-    return c.select("pos", F.col("c.id").alias("id"), "level_id",
-                    F.col("c.trader.name").alias("name_en"), F.col("c.value").alias("value"),
-                    F.col("c.requirementType").alias("require_type"),
-                    F.col("c.compareMethod").alias("compare"),
-                    F.col("c.trader.imageLink").alias("image"))
+    return _children("traderRequirements", lambda c: {
+        "id": c["id"], "name_en": c["trader"]["name"], "value": c["value"], "require_type": c["requirementType"],
+        "compare": c["compareMethod"], "image": c["trader"]["imageLink"]})
 
 
-def station_require_rows(st: DataFrame) -> DataFrame:
+def _station_require() -> Column:
     """P22 (N2)."""
-    c = _children(st, "stationLevelRequirements")
-    return c.select("pos", F.col("c.id").alias("id"), "level_id", F.col("c.level").alias("level"),
-                    F.col("c.station.name").alias("name_en"),
-                    F.col("c.station.imageLink").alias("image"))
+    return _children("stationLevelRequirements", lambda c: {
+        "id": c["id"], "level": c["level"], "name_en": c["station"]["name"], "image": c["station"]["imageLink"]})
 
 
-def skill_require_rows(st: DataFrame) -> DataFrame:
+def _skill_require() -> Column:
     """P23 (N2)."""
-    c = _children(st, "skillRequirements")
-    return c.select("pos", F.col("c.id").alias("id"), "level_id", F.col("c.level").alias("level"),
-                    F.col("c.skill.name").alias("name_en"))
+    return _children("skillRequirements", lambda c: {"id": c["id"], "level": c["level"], "name_en": c["skill"]["name"]})
 
 
-def bonus_rows(st: DataFrame) -> DataFrame:
+def _bonus() -> Column:
     """P24 (N2, X10/T15): key (level_id, type); an empty skill name is
     NULL; a type repeated within a level is last-wins (merge order)."""
-    c = _children(st, "bonuses")
-    return c.select("pos", "level_id", F.col("c.type").alias("type"),
-                    F.col("c.name").alias("name_en"), F.col("c.value").alias("value"),
-                    falsy_to_null("c.skillName").alias("skill_name_en"))
+    return _children("bonuses", lambda c: {"type": c["type"], "name_en": c["name"], "value": c["value"],
+                                           "skill_name_en": falsy_to_null(c["skillName"])})
 
 
-def craft_rows(st: DataFrame, missing_station: str | None = None) -> DataFrame:
+def _crafts(missing_station: str | None = None) -> Column:
     """P25 (N1, X2/T14, I12/G2): level key ``station-level`` (NULL when the
     station is missing, or the text given in ``missing_station``), name of
     the first reward (NULL when there is none)."""
-    c = unnest(st, "crafts", keep=[F.col("pos").alias("st_pos")], alias="c", with_pos=True)
-    return c.select(F.struct("st_pos", "c_pos").alias("pos"), F.col("c.id").alias("id"),
-                    composite_text(F.col("c.station.id"), F.col("c.level"),
-                                   null_text=missing_station).alias("level_id"),
-                    F.col("c.level").alias("level"),
-                    first_child("c.rewardItems").alias("name_en"))
+    return F.transform("crafts", lambda c, i: _struct([F.col("pos"), i], {
+        "id": c["id"], "level_id": composite_text(c["station"]["id"], c["level"], null_text=missing_station),
+        "level": c["level"], "name_en": first_child(c["rewardItems"])}))
 
 
-#: target -> (row builder, key, insert columns)
+#: target -> (array of its rows in a document, key, insert columns)
 TARGETS = {
-    "hideout_master": (master_rows, ["id"], ["name_en", "image", "level_ids"]),
-    "hideout_level": (level_rows, ["id"], ["level", "construction_time"]),
-    "hideout_item_require": (item_require_rows, ["id"],
-                                 ["level_id", "name_en", "quantity", "count", "image"]),
-    "hideout_trader_require": (trader_require_rows, ["id"],
-                                   ["level_id", "name_en", "value", "require_type", "compare",
-                                    "image"]),
-    "hideout_station_require": (station_require_rows, ["id"],
-                                    ["level_id", "level", "name_en", "image"]),
-    "hideout_skill_require": (skill_require_rows, ["id"], ["level_id", "level", "name_en"]),
-    "hideout_bonus": (bonus_rows, ["level_id", "type"], ["name_en", "value", "skill_name_en"]),
-    "hideout_crafts": (craft_rows, ["id"], ["level_id", "level", "name_en"]),
+    "hideout_master": (_master, ["id"], ["name_en", "image", "level_ids"]),
+    "hideout_level": (_level, ["id"], ["level", "construction_time"]),
+    "hideout_item_require": (_item_require, ["id"], ["level_id", "name_en", "quantity", "count", "image"]),
+    "hideout_trader_require": (_trader_require, ["id"],
+                                   ["level_id", "name_en", "value", "require_type", "compare", "image"]),
+    "hideout_station_require": (_station_require, ["id"], ["level_id", "level", "name_en", "image"]),
+    "hideout_skill_require": (_skill_require, ["id"], ["level_id", "level", "name_en"]),
+    "hideout_bonus": (_bonus, ["level_id", "type"], ["name_en", "value", "skill_name_en"]),
+    "hideout_crafts": (_crafts, ["id"], ["level_id", "level", "name_en"]),
 }
 
 
-def station_sources(stations: DataFrame, as_of) -> dict[str, DataFrame]:
-    """The source rows of every target. The documents are parsed once: a
-    Parquet copy under the shared checkpoint folder serves all targets, each
-    of which reads only the columns and nested fields it needs."""
-    spark = stations.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stations-{uuid.uuid4().hex}"
-    stations.write.parquet(path)
-    staged = spark.read.schema(stations.schema).parquet(path)
-    return {t: with_load_time(build(staged), as_of) for t, (build, _, _) in TARGETS.items()}
+def _generate(stations: DataFrame, rows: Column, always: str) -> DataFrame:
+    """One row per element of ``rows``. Written as an outer ``inline`` and a
+    filter: an inner one makes Spark infer ``size(rows) > 0`` and evaluate
+    the whole array twice."""
+    return stations.select(F.inline_outer(rows)).filter(F.col(always).isNotNull())
+
+
+def target_rows(stations: DataFrame, target: str, **options) -> DataFrame:
+    """The source rows of one target (with ``pos``)."""
+    return _generate(stations, TARGETS[target][0](**options), "pos")
+
+
+def tagged_rows(stations: DataFrame, targets: Sequence[str] = tuple(TARGETS)) -> DataFrame:
+    """``(target, <one struct column per target>)``: the rows of several
+    targets from one pass over the documents; the struct of the row's own
+    target is filled."""
+    arrays = {t: TARGETS[t][0]() for t in targets}
+    kinds = stations.select(*[a.alias(t) for t, a in arrays.items()]).schema
+    none = {t: F.lit(None).cast(kinds[t].dataType.elementType).alias(t) for t in targets}
+
+    def tagged(t: str) -> Column:
+        own = F.transform(arrays[t], lambda r: F.struct(F.lit(t).alias("target"), *[r.alias(x) if x == t else none[x] for x in targets]))
+        return F.coalesce(own, F.array())  # a document without the list
+
+    return _generate(stations, F.concat(*[tagged(t) for t in targets]), "target")
+
+
+def station_sources(stations: DataFrame, as_of, only: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """The source rows of every target (or of the ``only`` targets), stamped
+    with the load time (B15). Several targets are written once, by target,
+    under the shared checkpoint folder, and each reads its own part; a single
+    one needs no copy."""
+    targets = [t for t in TARGETS if only is None or t in only]
+    if len(targets) == 1:
+        rows = {targets[0]: target_rows(stations, targets[0])}
+    else:
+        spark = stations.sparkSession
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stations-{uuid.uuid4().hex}"
+        tagged = tagged_rows(stations, targets)
+        tagged.write.partitionBy("target").parquet(path)
+        staged = spark.read.schema(tagged.schema).parquet(path)
+        rows = {t: staged.filter(F.col("target") == t).select(f"{t}.*") for t in targets}
+    return {t: with_load_time(r, as_of) for t, r in rows.items()}
 
 
 def upsert_stations(targets: dict[str, DataFrame], stations: DataFrame, as_of) -> dict[str, DataFrame]:

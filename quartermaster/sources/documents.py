@@ -1,9 +1,10 @@
 """Nested, polymorphic documents.
 
 Documents are landed as JSON lines, one entity per line with an integer
-``pos`` for document order (a single enveloped file would be one task
-whatever its size; :func:`read_enveloped` handles that form too). Schemas
-are explicit and malformed input stops the run (``FAILFAST``). The
+``pos`` for document order, or as enveloped files, whose one large list is
+read by many tasks (:func:`read_enveloped`). Schemas are explicit and
+malformed input stops the run (``FAILFAST``) unless the caller asks for the
+malformed lines (:func:`scan_documents`). The
 polymorphic ``properties`` bag is kept as raw JSON text so that ``{}``,
 ``{"class": null}`` and ``null`` stay distinguishable (T1), and decoded
 per category with :func:`decode_variant`.
@@ -11,9 +12,14 @@ per category with :func:`decode_variant`.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quartermaster.session import ensure_checkpoint_dir
+from quartermaster.sources.enveloped import enveloped_texts
+
 #: Effect struct as read: the fields of both effect selections (``chance``
 #: only exists for stimulants) plus the label field added by I6 - fields
 #: missing from a document read as NULL.
@@ -86,19 +92,29 @@ def read_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
+def scan_documents(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """A1-A5 for files that may hold broken lines: ``(documents, malformed)``,
+    the latter as ``(file, line)`` with the line's text. The lines are read
+    once, into a copy under the shared checkpoint folder that both results
+    come from, so that they always add up; count ``malformed`` before the
+    documents are used, or keep it for repair. Blank lines are neither."""
+    bad = "__malformed"
+    rows = (spark.read.schema(f"{schema}, {bad} string").option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", bad).json(path).withColumn("__file", F.col("_metadata.file_path")))
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scanned-{uuid.uuid4().hex}"
+    rows.write.parquet(folder)
+    staged = spark.read.schema(rows.schema).parquet(folder)
+    return (staged.filter(F.col(bad).isNull()).drop(bad, "__file"),
+            staged.filter(F.col(bad).isNotNull()).select(F.col("__file").alias("file"), F.col(bad).alias("line")))
+
+
 def read_enveloped(spark: SparkSession, path: str, root: str, entity_schema: str) -> DataFrame:
-    """A1 / A2 for the enveloped form ``{"data": {root: [...]}}``: the file
-    is one record (one task), its list is exploded with positions into
-    ``pos``. Prefer landing JSON lines at scale."""
-    env = f"data struct<{root}: array<struct<{_strip_pos(entity_schema)}>>>"
-    doc = spark.read.schema(env).option("multiLine", "true").option("mode", "FAILFAST").json(path)
-    ex = doc.select(F.posexplode(f"data.{root}").alias("pos", "e"))
-    return ex.select(F.col("pos").cast("bigint").alias("pos"), "e.*")
-
-
-def _strip_pos(schema: str) -> str:
-    fields = [f.strip() for f in _split_top(schema)]
-    return ", ".join(f.replace(" ", ":", 1) for f in fields if not f.startswith("pos "))
+    """A1 / A2 for the enveloped form ``{"data": {root: [...]}}``: the list's
+    elements with their positions as ``pos``. A file of any size is read in
+    byte ranges (:mod:`quartermaster.sources.enveloped`)."""
+    fields = ", ".join(f.strip() for f in _split_top(entity_schema) if not f.strip().startswith("pos "))
+    rows = enveloped_texts(spark, path, ("data", root))
+    return rows.select(F.col("pos").cast("bigint").alias("pos"), F.from_json("text", fields, {"mode": "FAILFAST"}).alias("e")).select("pos", "e.*")
 
 
 def _split_top(schema: str) -> list[str]:

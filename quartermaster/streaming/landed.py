@@ -15,8 +15,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quartermaster.operators.bucketed import merge_into_path
 from quartermaster.operators.index import publish_all, read_published
-from quartermaster.operators.merge import merge, merge_into_path
+from quartermaster.operators.merge import merge
 
 
 def merge_landed(spark: SparkSession, landing: str, schema: str, root: str, table: str,

@@ -73,7 +73,8 @@ def test_streaming_merge_bucketed(spark, tmp_path):
     root = str(tmp_path / "db")
     merge_landed(spark, str(landing), ITEM_SCHEMA, root, "knife", "id", cols, build,
                  str(tmp_path / "ckpt"), buckets=4, target_schema=schema)
-    t = spark.read.parquet(f"{root}/knife")
+    from quartermaster.operators.bucketed import read_bucketed
+    t = read_bucketed(spark, f"{root}/knife")
     assert rows(t, "id", "name") == [("k1", "Bayonet v2")]
 
 
@@ -170,3 +171,32 @@ def test_checkpoint_folder_must_be_named_on_a_cluster(spark, monkeypatch):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(Session())
     assert session.ensure_checkpoint_dir(spark)
+
+
+def test_gate_sees_a_changed_row(spark, tmp_path):
+    from quartermaster.operators.snapshot import snapshot, table_digest, verify_snapshot
+    schema = "a string, b string, n double, xs array<string>, m map<string,int>, s struct<p:int,q:int>"
+    base = [("x", None, 1.5, ["u", None], {"k": 1}, (1, None)), (None, "x", None, [], None, (None, 1)), ("y", "z", 2.0, None, {}, None)]
+    T = lambda data: spark.createDataFrame(data, schema)
+    day, root = dt.date(2024, 1, 15), str(tmp_path / "s")
+    snapshot({"t": T(base)}, root, day)
+    assert verify_snapshot(spark, root, "t", T(base[::-1]).select("s", "m", "xs", "n", "b", "a"), day)
+    for other in ([base[0], ("x", None, None, [], None, (None, 1)), base[2]],       # a value in the other column
+                  [base[0], base[1], ("y", "z", 2.5, None, {}, None)],               # a changed value
+                  [base[0], base[1], ("y", "z", 2.0, [], {}, None)],                 # an empty list for none
+                  [("x", None, 1.5, [None, "u"], {"k": 1}, (1, None)), *base[1:]],   # another order in a list
+                  [("x", None, 1.5, ["u", None], {"k": 1}, (None, 1)), *base[1:]],   # a nested value in the other field
+                  base[:2], [*base, base[0]], [base[0], base[0], base[2]]):
+        assert not verify_snapshot(spark, root, "t", T(other), day), other
+    assert table_digest(T([])) == (0, 0, 0)
+
+
+def test_snapshot_job_keeps_old_days_when_a_row_changed(spark, tmp_path, monkeypatch):
+    root, snap = str(tmp_path / "db"), str(tmp_path / "snap")
+    publish_all({"t": spark.createDataFrame([(1,), (2,)], "x int")}, root, version="a")
+    assert C.snapshot_job(spark, root, snap, ["t"], dt.date(2024, 1, 1))
+    own = C.snapshot
+    # the copy loses one row's value on the way
+    monkeypatch.setattr(C, "snapshot", lambda frames, *a: own({k: f.selectExpr("nullif(x, 2) AS x") for k, f in frames.items()}, *a))
+    assert not C.snapshot_job(spark, root, snap, ["t"], dt.date(2024, 1, 20))
+    assert sorted(x for x in os.listdir(f"{snap}/t") if "=" in x) == ["snapshot_date=2024-01-01", "snapshot_date=2024-01-20"]

@@ -83,92 +83,71 @@ def test_merge_last_wins_rejects_null_key(spark):
     assert "NULL key" in str(e.value)
 
 
-def test_merge_into_path_rewrites_only_touched_buckets(spark, tmp_path):
-    import os
-    from quartermaster.operators.merge import merge_into_path
-    path = str(tmp_path / "t")
-    schema = "id bigint, v string, curated string"
-    first = spark.createDataFrame([(i, f"v{i}", None, i) for i in range(200)],
-                                  "id bigint, v string, curated string, pos int")
-    merge_into_path(first, path, "id", ["v"], order_cols="pos", buckets=8, target_schema=schema)
-
-    def files():
-        out = {}
-        for d in os.listdir(path):
-            if d.startswith("key_bucket="):
-                out[d] = sorted(f for f in os.listdir(os.path.join(path, d)) if f.endswith(".parquet"))
-        return out
-    before = files()
-    assert len(before) == 8
-    upd = spark.createDataFrame([(3, "new3", None, 0), (3, "newer3", None, 1), (1000, "n", None, 0)],
-                                "id bigint, v string, curated string, pos int")
-    touched = merge_into_path(upd, path, "id", ["v"], order_cols="pos", buckets=8)
-    after = files()
-    for b, fs in before.items():
-        if int(b.split("=")[1]) not in touched:
-            assert after[b] == fs            # untouched bucket folders are not rewritten
-    t = spark.read.parquet(path)
-    assert t.count() == 201
-    assert sorted(rows(t.filter("id in (3, 1000)"), "id", "v")) == [(3, "newer3"), (1000, "n")]
-
-
-def test_bucketed_read_is_partition_pruned(spark, tmp_path):
-    import contextlib
-    import io
-    from pyspark.sql import functions as F
-    from quartermaster.operators.merge import BUCKET_COL, merge_into_path
-    path = str(tmp_path / "t")
-    src = spark.createDataFrame([(i, "v", i) for i in range(50)], "id bigint, v string, pos int")
-    merge_into_path(src, path, "id", ["v"], order_cols="pos", buckets=8, target_schema="id bigint, v string")
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        spark.read.parquet(path).filter(F.col(BUCKET_COL).isin([1, 5])).explain()
-    import re
-    assert re.search(r"PartitionFilters: \[key_bucket#\d+ IN \(1,5\)\]", buf.getvalue())
-
-
-def test_bucket_count_is_stored_and_checked(spark, tmp_path):
-    from quartermaster.operators.merge import merge_into_path
-    path = str(tmp_path / "t")
-    src = spark.createDataFrame([(i, "v", i) for i in range(50)], "id bigint, v string, pos int")
-    merge_into_path(src, path, "id", ["v"], order_cols="pos", buckets=8, target_schema="id bigint, v string")
-    with pytest.raises(ValueError, match="8 buckets"):
-        merge_into_path(src, path, "id", ["v"], order_cols="pos", buckets=16)
-    merge_into_path(src, path, "id", ["v"], order_cols="pos", buckets=8)
-    assert spark.read.parquet(path).count() == 50
-
-
-def test_only_a_missing_table_starts_empty(spark, tmp_path):
-    from quartermaster.operators.merge import merge_into_path
-    src = spark.createDataFrame([(1, "v", 1)], "id bigint, v string, pos int")
-    with pytest.raises(ValueError, match="target_schema"):
-        merge_into_path(src, str(tmp_path / "none"), "id", ["v"], order_cols="pos")
-    (tmp_path / "odd" / "_layout").mkdir(parents=True)
-    (tmp_path / "odd" / "_layout" / "part-0.json").write_text("no json", encoding="utf-8")
-    with pytest.raises(Exception):
-        merge_into_path(src, str(tmp_path / "odd"), "id", ["v"], order_cols="pos", target_schema="id bigint, v string")
-
-
-def test_merge_plan_has_no_full_outer_join_and_null_keys_stay_out(spark):
-    import contextlib
-    import io
+def test_merge_keeps_null_keys_and_reads_each_side_once(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        t = spark.range(2000).selectExpr("CASE WHEN id % 3 = 0 THEN NULL ELSE id END AS a", "id % 7 AS b", "id AS v")
-        s = spark.range(500).selectExpr("id + 1800 AS a", "(id + 1800) % 7 AS b", "-id AS v", "id AS pos")
+        t = spark.range(2000).selectExpr("CASE WHEN id % 3 = 0 THEN NULL ELSE id END AS a", "id % 7 AS b", "1 AS v", "map(1, id) AS m")
+        s = spark.range(500).selectExpr("id + 1800 AS a", "(id + 1800) % 7 AS b", "-1 AS v", "id AS pos")
         out = merge(t, s, ["a", "b"], insert_cols=["v"], order_cols="pos")
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            out.explain()
-        plan = buf.getvalue()
-        assert "FullOuter" not in plan and "LeftAnti" in plan and "isnotnull(a" in plan.replace("#", "").lower().replace("isnotnull(cast(a", "isnotnull(a") or "CASE" in plan
-        assert plan.count("SortMergeJoin [a#") + plan.count("SortMergeJoin [CASE") >= 1
-        assert out.count() == 2000 + 500 - t.filter("a >= 1800").count()
-        assert out.filter("a IS NULL").count() == t.filter("a IS NULL").count()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 2 and plan.count("Range (") == 2, plan
+        got = out.cache()
+        assert got.count() == 2000 + 500 - t.filter("a >= 1800").count()
+        assert got.filter("a IS NULL").count() == t.filter("a IS NULL").count()
+        assert got.filter("v = -1").count() == 500
+        assert got.filter("m IS NULL").count() == 500 - t.filter("a >= 1800").count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_null_keys_of_one_content_do_not_meet_in_one_task(spark):
+    from pyspark.sql import functions as F
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        t = spark.range(0, 8000, 1, 8).selectExpr("CASE WHEN id < 0 THEN id END AS k", "0 AS v")
+        s = spark.createDataFrame([(1, 1, 0)], "k bigint, v int, pos int")
+        out = merge(t, s, "k", insert_cols=["v"], order_cols="pos")
+        per_task = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+        assert sum(per_task) == 8001 and max(per_task) <= 5000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_merge_checks_the_source_even_where_nothing_is_taken_from_it(spark):
+    t = spark.createDataFrame([("k", 1)], "id string, a int")
+    s = spark.createDataFrame([("k", 1), ("k", 2)], "id string, a int")
+    with pytest.raises(Exception, match="duplicate"):
+        merge(t, s, "id", insert_cols=["a"], update_cols=[], duplicates="error").collect()
+
+
+def test_key_types(spark):
+    t = spark.createDataFrame([(1, 1)], "id bigint, a int")
+    s = spark.createDataFrame([(1, 5, 0), (2, 6, 0)], "id int, a int, pos int")
+    assert rows(merge(t, s, "id", insert_cols=["a"], order_cols="pos")) == [(1, 5), (2, 6)]
+    with pytest.raises(ValueError, match="key id"):
+        merge(t, s.selectExpr("string(id) AS id", "a", "pos"), "id", insert_cols=["a"], order_cols="pos")
+
+
+def test_issue_board_by_cases(spark):
+    """The one-pass board against its three steps."""
+    from quartermaster.operators.deletes import delete_in, delete_not_exists, issue_board
+    boards = spark.createDataFrame([(1, "t1", 12), (2, "t2", 3), (3, "t3", None), (4, "t4", 10), (6, "t6", 11), (6, "t6", 2)],
+                                   "id int, type string, like_count int")
+    old = spark.createDataFrame([(1, "o1", "x"), (2, "o2", "x"), (3, "o3", "x"), (5, "o5", "x"), (None, "on", "x"), (6, "o6", "x")],
+                                "board_id int, board_type string, note string")
+    out = issue_board(old, boards, insert_map={"board_type": "type"})
+    step = delete_not_exists(delete_in(old, boards.filter("like_count < 10").select("id"), "board_id", "id"), boards.select("id"), "board_id", "id")
+    up = boards.filter("like_count >= 10").selectExpr("id AS board_id", "type AS board_type")
+    assert rows(out) == rows(merge(step, up, "board_id", duplicates="error")) == sorted(
+        [(1, "t1", "x"), (3, "o3", "x"), (4, "t4", None), (6, "t6", None)], key=repr)
+    twice = boards.union(spark.createDataFrame([(1, "again", 20)], boards.schema))
+    with pytest.raises(Exception, match="duplicate"):
+        issue_board(old, twice, insert_map={"board_type": "type"}).collect()
+    nobody = boards.union(spark.createDataFrame([(None, "n", 20)], boards.schema))
+    with pytest.raises(Exception, match="NULL key"):
+        issue_board(old, nobody, insert_map={"board_type": "type"}).collect()
+
+
 def test_key_checks_see_only_rows_that_a_filter_lets_through(spark):
     t = spark.createDataFrame([(1, 0)], "id int, a int")
     s = spark.createDataFrame([(None, 1, 0), (2, 2, 1)], "id int, a int, pos int").filter("id IS NOT NULL")

@@ -6,7 +6,7 @@ import os
 
 import pytest
 
-from quartermaster.plans import catalog as E, catalog_jobs  # noqa: F401
+from quartermaster.plans import catalog as E, catalog_files, catalog_jobs  # noqa: F401
 
 SF = "/root/testdata/sf0.1"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="provided tables missing")
@@ -75,12 +75,31 @@ def test_zoned_window_pushes_both_bounds(spark):
     assert "GreaterThanOrEqual(ts,2024-01-04T15:00" in p and "LessThan(ts,2024-01-11T15:00" in p
 
 
-def test_composite_merge_joins_on_two_columns(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        df = E.QUERIES["merge_composite"](spark, SF)
-        text = df._jdf.queryExecution().executedPlan().toString()
-        joins = [x for x in text.splitlines() if "Join [" in x]
-        assert joins and all(x.split("Join ", 1)[1].split("]")[0].count("#") == 2 for x in joins)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_composite_merge_joins_on_all_key_columns(spark):
+    text = E.QUERIES["merge_composite"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    joins = [x for x in text.splitlines() if "Join [" in x]
+    # the key's hash and both columns
+    assert joins and all(x.split("Join ", 1)[1].split("]")[0].count("#") == 3 for x in joins)
+
+
+@pytest.mark.parametrize("name,sides", [("merge_last_wins", 2), ("merge_composite", 2), ("merge_partial_columns", 2),
+                                        ("merge_insert_only", 2), ("issue_upsert", 4), ("issue_board", 3), ("two_feeders", 2)])
+def test_merges_read_and_shuffle_each_side_once(spark, name, sides):
+    """One scan per input (the issues of the checks are a union of three, of
+    which the board's left join needs two) and one exchange per side of a join."""
+    p = plan(E.QUERIES[name](spark, SF)).split("\n\n(1) ")[0]
+    assert p.count("Scan parquet") == sides, p
+    joins = p.count("Join")
+    assert p.count("Exchange") <= 2 * joins, p
+
+
+def test_all_station_targets_come_from_one_parse(spark):
+    from quartermaster.plans import stations as S
+    p = plan(S.tagged_rows(E.station_docs(spark, SF)))
+    assert p.count("- Generate (") == 1 and p.count("- Scan parquet") == 1, p
+    assert p.split("(1) ")[1].count("from_json") == 1, p
+
+
+def test_a_single_target_is_not_staged(spark):
+    for name in ("stations_master", "catalogue_knife"):
+        assert "/part.parquet" in plan(E.QUERIES[name](spark, SF)) or "/orders.parquet" in plan(E.QUERIES[name](spark, SF))
