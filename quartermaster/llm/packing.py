@@ -303,8 +303,8 @@ def pack(docs: DataFrame, size: int = SIZE, tokenizer: str = TOKENIZER, end_id:
         if not left:
             break
         last = left <= gathered
-        parts = 1 if last else int(left // gathered) + 1
-        dealt = rest.repartition(1) if last else rest.repartition(parts, "sequence_id")
+        parts = 1 if last else int(left // gathered) + 1  # each leaves most_open windows at most
+        dealt = rest.repartition(parts)
         # a total order, whichever way the rows came
         dealt = dealt.sortWithinPartitions(F.octet_length("ids").desc(), "sequence_id", "offset").select(*_NAMES[:4])
         placed = stage(_placed(dealt, _pieces_of_rows, level, last, *how))
