@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
-import zipfile
-from collections.abc import Callable, Iterator
-from functools import lru_cache
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quartermaster.session import ensure_checkpoint_dir, materialize
+from quartermaster.workers import map_batches
 
-__all__ = ["read", "ids_and_texts", "row_key", "materialize", "stage", "byte_chunks", "binary_column", "map_batches"]
+__all__ = ["read", "ids_and_texts", "row_key", "materialize", "stage", "byte_chunks", "binary_column", "map_batches",
+           "free_name"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -48,30 +46,13 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-@lru_cache(maxsize=8)
-def _package_archive(root: str) -> str:
-    """The package's sources as a zip file, for the workers to import."""
-    path = os.path.join(tempfile.mkdtemp(prefix="quartermaster-"), "quartermaster.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for folder, _, names in os.walk(os.path.join(root, "quartermaster")):
-            for name in names:
-                if name.endswith(".py"):
-                    file = os.path.join(folder, name)
-                    z.write(file, os.path.relpath(file, root))
-    return path
-
-
-def map_batches(df: DataFrame, function: Callable, schema) -> DataFrame:
-    """``df.mapInArrow(function, schema)``. Unless the Python path that workers
-    inherit names the package, Spark hands them its sources (``addPyFile``),
-    so that ``function`` can be imported wherever the driver was started."""
-    sc = df.sparkSession.sparkContext
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    if root not in os.environ.get("PYTHONPATH", "").split(os.pathsep):
-        archive = _package_archive(root)
-        if not any(f.endswith(os.path.basename(archive)) for f in sc.listFiles):
-            sc.addPyFile(archive)
-    return df.mapInArrow(function, schema)
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as make it the name of no
+    column of ``docs`` (names differ by more than case)."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
 
 
 def binary_column(batch: pa.RecordBatch, name: str) -> list[bytes]:

@@ -116,6 +116,8 @@ def _cell_key(table, first: np.ndarray, second: np.ndarray) -> np.ndarray:
 
 def _unit(blobs: list[bytes]) -> np.ndarray:
     x = np.frombuffer(b"".join(blobs), np.float64).reshape(len(blobs), -1)
+    # by the largest component first: squares of very large or small ones would leave the range of doubles
+    x = x / np.abs(x).max(axis=1)[:, None]
     return x / np.linalg.norm(x, axis=1)[:, None]
 
 
@@ -288,8 +290,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     Vectors that are NULL, empty, zero or hold NULL or non-finite components
     link with nothing (0 links, their own component, kept), as do vectors of
     different lengths with each other; rows that repeat are vectors of their
-    own with equal values; a NULL id counts as a link of others, and names no
-    component unless nothing else can; an empty table gives an empty result;
+    own with equal values; rows that share an id but differ each have their own
+    links; a NULL id counts as a link of others, and its row is kept only in a
+    component without ids (whose id is NULL); an empty table gives an empty result;
     other columns are not looked at. Ids are whole numbers.
     """
     x = F.col("x")
@@ -300,21 +303,25 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     same = F.transform(x, lambda e: e + F.lit(0.0))
     v = v.withColumn("ok", F.coalesce(good, F.lit(False))).withColumn("x", F.when(F.col("ok"), same))
     v = v.withColumn("h", F.when(F.col("ok"), F.xxhash64(x))).withColumn("g", F.when(F.col("ok"), F.xxhash64(F.lit(SEED), x)))
+    # a class is known by its hash, not by an id that other vectors may have too
     classes = materialize(v.filter("ok").groupBy("h", "g", F.col("x").alias("vector"))
                           .agg(F.min("vec_id").alias("low"), F.count(F.lit(1)).alias("copies"))
-                          .withColumn("id", F.coalesce("low", F.col("h"))))
+                          .withColumn("id", F.xxhash64("h", "g")))
     found = stage(_links(classes))
     comp = connected_components(found.select(F.col("id").alias("a"), F.col("root").alias("b")), "a", "b")
     sums = found.groupBy("id").agg(F.sum("links").alias("links"))
-    of_class = materialize(classes.select("h", "g", "id", "low", "copies").join(sums, "id", "left")
-                           .join(comp.withColumnRenamed("node", "id"), "id", "left")
-                           .select("h", "g", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                                   F.coalesce("component", "low").alias("component")))
+    named = materialize(classes.select("h", "g", "id", "low", "copies").join(sums, "id", "left")
+                        .join(comp.withColumnRenamed("node", "id"), "id", "left")
+                        .select("h", "g", "low", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+                                F.coalesce("component", "id").alias("c")))
+    # written before it is joined back, so that Spark can split a large component
+    least = materialize(named.groupBy("c").agg(F.min("low").alias("component")))
+    of_class = materialize(named.join(least, "c").select("h", "g", "n_links", "component"))
     out = v.select("vec_id", "h", "g").join(of_class, ["h", "g"], "left")
     component = F.coalesce("component", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                       component.cast(T.LongType()).alias("component_id"),
-                      F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
+                      F.col("vec_id").eqNullSafe(component).alias("kept"))
 
 
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quartermaster.llm.common import read, row_key
+from quartermaster.llm.common import free_name, read, row_key
 
 WINDOW = 3
 
@@ -69,19 +69,23 @@ def dedup_lines(docs: DataFrame, counts: bool = False) -> DataFrame:
     three lines, NULL and empty ones stay as they are; a text of which every
     line goes becomes empty. Occurrences inside one document count (of five
     equal lines the first stays). Rows that repeat a document are treated
-    alike; a NULL doc_id comes after all others. Extra columns are kept.
+    alike; a NULL doc_id comes after all others. Extra columns are kept,
+    whatever their names (but with ``counts`` none may be called like the two).
     """
-    found = later_windows(docs).withColumnsRenamed({"key": "__key", "doc_id": "__id", "positions": "__positions"})
-    d = docs.join(found, (row_key(docs) == found["__key"]) & docs["doc_id"].eqNullSafe(found["__id"]), "left")
-    covered = F.flatten(F.transform("__positions", lambda p: F.array(*(p + k for k in range(WINDOW)))))
-    d = d.withColumn("__lines", F.when(F.col("__positions").isNotNull(), _lines(F.col("text"))))
-    d = d.withColumn("__kept", F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), covered))
-    text = (F.when(F.col("__positions").isNull(), F.col("text"))
-            .otherwise(F.array_join(F.transform("__kept", lambda i: F.get("__lines", i)), "\n")))
+    if counts and {"__n_lines", "__n_removed"} & {c.lower() for c in docs.columns}:
+        raise ValueError("docs has columns called like the counts")
+    key, ident, positions, lines, kept = (free_name(docs, n) for n in ("__key", "__id", "__positions", "__lines", "__kept"))
+    found = later_windows(docs).withColumnsRenamed({"key": key, "doc_id": ident, "positions": positions})
+    d = docs.join(found, (row_key(docs) == found[key]) & docs["doc_id"].eqNullSafe(found[ident]), "left")
+    covered = F.flatten(F.transform(positions, lambda p: F.array(*(p + k for k in range(WINDOW)))))
+    d = d.withColumn(lines, F.when(F.col(positions).isNotNull(), _lines(F.col("text"))))
+    d = d.withColumn(kept, F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), covered))
+    text = (F.when(F.col(positions).isNull(), F.col("text"))
+            .otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")))
     out = [text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns]
     if counts:
         out += [F.size(_lines(F.col("text"))).cast("long").alias("__n_lines"),
-                F.when(F.col("__positions").isNull(), 0).otherwise(F.size("__lines") - F.size("__kept"))
+                F.when(F.col(positions).isNull(), 0).otherwise(F.size(lines) - F.size(kept))
                 .cast("long").alias("__n_removed")]
     return d.select(*out)
 

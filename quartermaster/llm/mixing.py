@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quartermaster.llm.common import materialize, read, row_key
+from quartermaster.llm.common import free_name, materialize, read, row_key
 from quartermaster.operators.index import contiguous_number
 
 WEIGHTS = (5, 2, 1)
@@ -123,10 +123,11 @@ def take(docs: DataFrame) -> DataFrame:
     """The mix itself: every row of ``docs`` (all columns) as many times as
     the mix takes it. Exactly repeated rows each come as often as the one
     taken most."""
-    copies = (mix(docs).groupBy(F.col("key").alias("__key"), F.col("doc_id").alias("__id"))
-              .agg(F.max("copies").alias("__copies")).filter("__copies > 0"))
-    out = docs.join(copies, (row_key(docs) == copies["__key"]) & docs["doc_id"].eqNullSafe(copies["__id"]))
-    return (out.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies")))
+    key, ident, copies, copy = (free_name(docs, n) for n in ("__key", "__id", "__copies", "__copy"))
+    taken = (mix(docs).groupBy(F.col("key").alias(key), F.col("doc_id").alias(ident))
+             .agg(F.max("copies").alias(copies)).filter(F.col(copies) > 0))
+    out = docs.join(taken, (row_key(docs) == taken[key]) & docs["doc_id"].eqNullSafe(taken[ident]))
+    return (out.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
             .select(*(F.col(f"`{c}`") for c in docs.columns)))
 
 

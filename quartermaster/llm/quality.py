@@ -9,7 +9,7 @@ the words themselves count, hashed into ``2 ** BITS`` features. A feature's
 value is its share of the text's n-grams, times ``SCALE``; the score is the
 sigmoid of the sparse dot product with the weights, plus a bias.
 
-Training is one online pass, in hash order, over a bounded sample of the
+Training is online, ``EPOCHS`` passes in hash order, over a bounded sample of the
 labelled rows (``SAMPLE``, the rows with the smallest hash of their id), in
 one task; its memory is one text and the weights. The weights (2 ** BITS
 floats, 1 MiB) are all that goes to the driver and out to the scoring tasks.
@@ -17,6 +17,7 @@ floats, 1 MiB) are all that goes to the driver and out to the scoring tasks.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quartermaster.llm.common import binary_column, byte_chunks, ids_and_texts, map_batches, read
+from quartermaster.llm.common import binary_column, byte_chunks, free_name, ids_and_texts, map_batches, read
 
 #: at most so many labelled rows are trained on
 SAMPLE = 8192
@@ -37,8 +38,11 @@ ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.5
 EPOCHS = 2
 THRESHOLD = 0.3
 FOLDS = 5
-#: longer texts are taken in pieces of this many bytes, cut at white space
+#: longer texts are taken in pieces of about this many bytes, cut between words
 _PIECE = 1 << 18
+#: words before a piece that its n-grams look back to: two, and two more for "same word again" of the first
+_BACK = 4
+_CUT = re.compile(rb"[\x00-\x20\x7f]|(?<=[0-9A-Za-z\x80-\xff])(?=[!-/:-@\[-`{-~])|(?<=[!-/:-@\[-`{-~])(?=[0-9A-Za-z\x80-\xff])")
 
 
 # ----------------------------------------------------------------- features
@@ -74,6 +78,12 @@ def _hash(*parts: np.ndarray) -> np.ndarray:
 
 def ngrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """``(row, feature)``: every n-gram of every text, repeats included."""
+    return _ngrams(texts)[:2]
+
+
+def _ngrams(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """``(row, feature, last, starts)``: also where the last word of each
+    n-gram starts, and where all words start, in the joined texts."""
     kind, mixed, power = _tables()
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     buf = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
@@ -94,7 +104,7 @@ def ngrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     mark = of[start] == 2
     row = np.searchsorted(ends, start, side="right")
     if not len(row):
-        return row, row
+        return row, row, row, row
     # shapes: marks stand for themselves
     rough = np.digitize(length, (2, 4, 7, 11, 16))
     shape = (rough + 8 * (upper > 1) + 16 * first_upper + 32 * (digit > 0)).astype(np.uint64)
@@ -114,20 +124,22 @@ def ngrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
              _hash(full(two, int(ab.sum())), word[:-1][ab], word[1:][ab]),
              _hash(full(three, int(ab.sum())), shape[:-1][ab], shape[1:][ab]),
              _hash(full(four, int(abc.sum())), shape[:-2][abc], shape[1:-1][abc], shape[2:][abc])]
-    return np.concatenate(rows), np.concatenate(feats)
+    last = [start, start[1:][ab], start[1:][ab], start[2:][abc]]
+    return np.concatenate(rows), np.concatenate(feats), np.concatenate(last), start
 
 
-def _pieces(text: bytes) -> list[bytes]:
-    """A very long text in pieces, cut after white space (n-grams across a
-    cut are left out), so that arrays stay small."""
-    out, a = [], 0
-    while len(text) - a > _PIECE:
-        b = max(text.rfind(b" ", a + _PIECE // 2, a + _PIECE), text.rfind(b"\n", a + _PIECE // 2, a + _PIECE))
-        b = a + _PIECE if b < 0 else b + 1
-        out.append(text[a:b])
-        a = b
-    out.append(text[a:])
-    return out
+def _features_of(text: bytes) -> Iterator[np.ndarray]:
+    """All n-grams of one text of any length, a part at a time: a long text is
+    read in pieces cut between words, each with the last words before it."""
+    a = back = 0
+    while True:
+        cut = _CUT.search(text, a + _PIECE) if len(text) - a > _PIECE else None
+        b = cut.start() if cut else len(text)
+        _, found, last, starts = _ngrams([text[back:b]])
+        yield found[last >= a - back]  # the others were in the piece before
+        if not cut:
+            return
+        a, back = b, back + int(starts[-_BACK]) if len(starts) >= _BACK else back
 
 
 def _sums(texts: list[bytes], weights: np.ndarray) -> np.ndarray:
@@ -135,8 +147,7 @@ def _sums(texts: list[bytes], weights: np.ndarray) -> np.ndarray:
     total, count = np.zeros(len(texts)), np.zeros(len(texts))
     for a, b in byte_chunks(texts, _PIECE):
         if b - a == 1:
-            for piece in _pieces(texts[a]):
-                _, f = ngrams([piece])
+            for f in _features_of(texts[a]):
                 total[a] += weights[f].sum(dtype=np.float64)
                 count[a] += len(f)
             continue
@@ -173,7 +184,7 @@ class Ftrl:
 
 def _features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Distinct features of one text and their values, the bias last."""
-    found = np.concatenate([ngrams([p])[1] for p in _pieces(text)])
+    found = np.concatenate(list(_features_of(text)))
     at, n = np.unique(found, return_counts=True)
     return np.append(at, 1 << BITS), np.append(SCALE * n / max(1, len(found)), 1.0)
 
@@ -243,7 +254,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     weights = train(docs, labels)
     shared = docs.sparkSession.sparkContext.broadcast(weights)
     names = docs.columns
-    mark = "__accepted"
+    mark = free_name(docs, "__accepted")
     schema = T.StructType([*docs.schema.fields, T.StructField(mark, T.BooleanType())])
     at = names.index("text")
 

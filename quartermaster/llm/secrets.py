@@ -7,9 +7,10 @@ Base kinds (leftmost, non-overlapping, each kind by itself): ``assign``
 
 The method adds kind ``guess``: a value after a credential word (a wider
 set of words and separators) is cut, by dynamic programming, into dictionary
-words, dates, repeats, keyboard walks and brute-force spans such that the
+words (some 30,000, ranked by how common they are), dates, repeats, keyboard walks and brute-force spans such that the
 product of the parts' guesses is smallest; the value is a secret when even
-that cheapest way takes ``10 ** MIN_LOG_GUESSES`` guesses.
+that cheapest way takes ``10 ** MIN_LOG_GUESSES`` guesses. Prose after "is",
+placeholders and code are left alone.
 
 All spans are code points, end exclusive, and cover the whole match (the
 value alone for ``guess``).
@@ -17,10 +18,12 @@ value alone for ``guess``).
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,11 +39,18 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # a run is one match, so this is the runs of 24 and more
 # the base words anywhere, the others where a word starts, also in camel case
-_CONTEXT = re.compile(r"""(?:(?:(?<![A-Za-z0-9])|(?-i:(?<=[a-z0-9])(?=[A-Z])))(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|auth|login|(?:api|access|private|secret)[_-]?key)|password|passwd|secret|token|api[_-]?key)["']?\x20*(?:[:=]|=>|->|\bis\b)\x20*["']?([^\s"',;<>()]{8,})""", re.I | re.A)
+_CONTEXT = re.compile(r"""(?:(?:(?<![A-Za-z0-9])|(?-i:(?<=[a-z0-9])(?=[A-Z])))(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|auth|login|(?:api|access|private|secret)[_-]?key)|password|passwd|secret|token|api[_-]?key)["']?\x20*([:=]|=>|->|\bis\b)\x20*["']?([^\s"',;<>()]{8,})""", re.I | re.A)
 #: every context holds one of these (a cheap test before the patterns)
 _HINTS = ("pass", "pwd", "secret", "token", "credential", "auth", "login", "key")
 
-# Words that people put into passwords, most common first.
+#: vocabulary of a public tokenizer: its whole words rank by how early they were merged, which is how common they are
+VOCABULARY = "byte_bpe_50k.json"
+LEAST_WORD = 3
+#: what a piece of the vocabulary begins with where a word begins
+_WORD_START = chr(0x120)
+
+# Words that people put into passwords, most common first; they
+# rank before the vocabulary's.
 WORDS = """password admin welcome login master dragon monkey letmein qwerty
 sunshine princess football baseball shadow superman batman trustno hello
 freedom whatever secret token test default root user guest changeme change
@@ -48,7 +58,18 @@ temp example sample demo dummy none null true false your here insert enter
 value string secretkey apikey api key access auth love summer winter spring
 autumn monday friday january june july august october december michael
 jordan jennifer thomas charlie ashley daniel computer internet server
-database system service account private public company office money""".split()
+database system service account private public company office money
+iloveyou""".split()
+
+# Values that are no secret, whatever they would cost to guess. Prose ("the
+# password is forgotten"):
+_PROSE = re.compile(r"[^\W\d_]+(?:[-'\u2019][^\W\d_]+)*")
+# variables, templates and masks to be filled in:
+_PLACEHOLDER = re.compile(r"\$\{[^}]*\}?|\$\(.*|\$(?:[A-Z_]+|[a-z_]+)|%\(?(?:[A-Z_]+|[a-z_]+)\)?[sd%]?|\{+[^{}]*\}*|\*+|[xX]+|\.+|-+|_+")
+# names in code: paths, constants and variables of several words without digits,
+_NAME = re.compile(r"[A-Za-z_]+(?:(?:\.|::|->)[A-Za-z_]+)+|[A-Z]+(?:_[A-Z]+)+|[a-z]+(?:_[a-z]+)+")
+# and whatever is called or indexed
+_CALLED = re.compile(r"[A-Za-z_]\w*(?:(?:\.|::|->)[A-Za-z_]\w*)*[(\[]", re.A)
 
 # Rows of a US keyboard, each a half key right of the one above.
 KEY_ROWS = ("`1234567890-=", " qwertyuiop[]\\", " asdfghjkl;'", " zxcvbnm,./")
@@ -72,9 +93,16 @@ def _adjacent() -> dict[str, frozenset[str]]:
 
 @lru_cache(maxsize=1)
 def _words() -> tuple[dict[str, int], int]:
+    """Ranks of words (from 1), and the longest one's length: ``WORDS``, then
+    the words of the vocabulary that stand for themselves, in its order."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(VOCABULARY), encoding="utf-8") as f:
+        vocabulary = json.load(f)["model"]["vocab"]
     rank = {}
-    for i, w in enumerate(WORDS):
-        rank.setdefault(w, i + 1)
+    for w in chain(WORDS, (p[1:].lower() for p in sorted(vocabulary, key=vocabulary.get) if p[0] == _WORD_START and p[1:].isascii() and p[1:].isalpha())):
+        if len(w) >= LEAST_WORD:
+            rank.setdefault(w, len(rank) + 1)
     return rank, max(map(len, rank))
 
 
@@ -169,12 +197,20 @@ def guess_spans(text: str) -> list[tuple[int, int, str, float]]:
         return []
     found = []
     for m in _CONTEXT.finditer(text):
-        value = m.group(1).rstrip(".:!?")
-        if len(value) >= MIN_CHARS and (cost := log_guesses(value)) >= MIN_LOG_GUESSES:
-            found.append((m.start(1), m.start(1) + len(value), "guess", cost))
+        value, start = m.group(2).rstrip(".:!?"), m.start(2)
+        if len(value) < MIN_CHARS or _is_no_secret(m.group(1), value, text[start:start + len(m.group(2)) + 1]):
+            continue
+        if (cost := log_guesses(value)) >= MIN_LOG_GUESSES:
+            found.append((start, start + len(value), "guess", cost))
     return found
 
 
+def _is_no_secret(sign: str, value: str, before_next: str) -> bool:
+    """Prose after "is", placeholders and code."""
+    return bool(sign.lower() == "is" and _PROSE.fullmatch(value) or _PLACEHOLDER.fullmatch(value) or _NAME.fullmatch(value)
+                or _CALLED.match(before_next))
+
+
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("log_guesses", pa.float64())])
 
 

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quartermaster.llm.common import binary_column, ids_and_texts, long_array, map_batches, materialize, read
+from quartermaster.llm.common import binary_column, free_name, ids_and_texts, long_array, map_batches, materialize, read, row_key
 from quartermaster.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -109,14 +109,19 @@ def fingerprint(text: bytes, k: int = SHINGLE_WORDS, seed: int = SEED) -> int:
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         fps = np.array([fingerprint(t) for t in binary_column(batch, "text")], np.uint64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), long_array(fps)], names=["doc_id", "fp"])
+        names = [n for n in batch.schema.names if n != "text"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), long_array(fps)], names=[*names, "fp"])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """``(doc_id, fp)``: fp is the fingerprint's 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, keyed: bool = False) -> DataFrame:
+    """``(doc_id, fp)``: fp is the fingerprint's 64 bits as a signed long;
+    with ``keyed`` also the row's ``key``."""
     d = ids_and_texts(docs)
     kind = d.schema["doc_id"].dataType.simpleString()
-    return map_batches(d, _fingerprint_batches, f"doc_id {kind}, fp long")
+    if not keyed:
+        return map_batches(d, _fingerprint_batches, f"doc_id {kind}, fp long")
+    d = docs.select(docs["doc_id"].alias("doc_id"), row_key(docs).alias("key"), F.coalesce(docs["text"], F.lit("")).alias("text"))
+    return map_batches(d, _fingerprint_batches, f"doc_id {kind}, key long, fp long")
 
 
 # ------------------------------------------------------------------ anchors
@@ -281,9 +286,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     an empty table gives an empty result; other columns are not looked at.
     """
     fps = materialize(fingerprints(docs))
-    comp = connected_components(links(fps), "a", "b").withColumnRenamed("node", "fp")
-    low = fps.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    named = materialize(low.join(comp, "fp", "left").select("fp", "low", F.coalesce("component", "fp").alias("c")))
+    named = _named(fps)
     # written before it is joined back, so that Spark can split a large component
     least = materialize(named.groupBy("c").agg(F.min("low").alias("component_id")))
     of_fp = materialize(named.join(least, "c").select("fp", "component_id"))
@@ -291,20 +294,40 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
 
 
+def _named(fps: DataFrame) -> DataFrame:
+    """``(fp, low, c)``: the smallest doc_id of each fingerprint, and the
+    fingerprint that stands for its component."""
+    comp = connected_components(links(fps), "a", "b").withColumnRenamed("node", "fp")
+    low = fps.groupBy("fp").agg(F.min("doc_id").alias("low"))
+    return materialize(low.join(comp, "fp", "left").select("fp", "low", F.coalesce("component", "fp").alias("c")))
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (all columns) that stay: of each group of linked
-    documents the one with the smallest doc_id. Rows that share that doc_id
-    count as one document, of which one row stays. Rows without doc_id stay
-    when no member of their group has one."""
-    found = near_duplicates(docs)
-    keep = materialize(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                       .groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")))
-    once = keep.filter("n = 1 or doc_id is null").select(F.col("doc_id").alias("__id"))
-    out = docs.join(once, docs["doc_id"].eqNullSafe(once["__id"]), "left_semi")
-    more = keep.filter("n > 1 and doc_id is not null").select(F.col("doc_id").alias("__id"))
+    """The rows of ``docs`` (all columns) that stay: one of each group of
+    linked documents, that with the smallest doc_id; rows without doc_id stay
+    only when no member of their group has one. Rows that share a doc_id count
+    as one document, of which one row stays; of rows that repeat, one."""
+    fps = materialize(fingerprints(docs, keyed=True))
+    named = _named(fps)
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("key"))).alias("best")
+    # first by fingerprint, so that a large component's rows do not travel
+    of_fp = fps.groupBy("fp").agg(best)
+    best = F.min("best").alias("best")
+    chosen = materialize(of_fp.join(named.select("fp", "c"), "fp").groupBy("c").agg(best).select("best.doc_id", "best.key"))
+    chosen = (chosen.filter("doc_id is not null").groupBy("doc_id").agg(F.min("key").alias("key"))
+              .unionByName(chosen.filter("doc_id is null")))
+    times = materialize(fps.join(chosen.withColumnsRenamed({"doc_id": "__i", "key": "__k"}),
+                                 (F.col("key") == F.col("__k")) & F.col("doc_id").eqNullSafe(F.col("__i")), "left_semi")
+                        .groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n")))
+    ident, key = free_name(docs, "__id"), free_name(docs, "__key")
+    times = times.withColumnsRenamed({"doc_id": ident, "key": key})
+
+    def rows(of: DataFrame) -> DataFrame:
+        return docs.join(of, (row_key(docs) == of[key]) & docs["doc_id"].eqNullSafe(of[ident]), "left_semi")
+
+    out, more = rows(times.filter("n = 1")), times.filter("n > 1")
     if more.take(1):
-        rows = docs.join(more, docs["doc_id"] == more["__id"], "left_semi")
-        out = out.union(rows.dropDuplicates(["doc_id"]))
+        out = out.union(rows(more).withColumn(key, row_key(docs)).dropDuplicates(["doc_id", key]).drop(key))
     return out
 
 

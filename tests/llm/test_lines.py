@@ -56,3 +56,10 @@ def test_very_long_text(spark, text):
     docs = spark.createDataFrame([(1, text), (2, "q\nr\ns")], "doc_id long, text string")
     got = {r.doc_id: r.text for r in L.dedup_lines(docs).collect()}
     assert got == plain([(1, text), (2, "q\nr\ns")])
+
+
+def test_columns_with_names_of_its_own(spark):
+    para = "a line\nanother line\nthe third line"
+    docs = spark.createDataFrame([(1, para, "X", [1]), (2, para, "Y", [2])], "doc_id long, text string, __lines string, __kept array<int>")
+    got = sorted(tuple(r) for r in L.dedup_lines(docs).collect())
+    assert got == [(1, para, "X", [1]), (2, "", "Y", [2])]

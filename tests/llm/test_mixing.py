@@ -84,3 +84,10 @@ def test_edges(edge_docs, no_docs):
 def test_only_built_in_functions(spark):
     plan = M.op4_mixing(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert not any(x in plan for x in ("MapInPandas", "MapInArrow", "PythonUDF", "ArrowEval"))
+
+
+def test_columns_with_names_of_its_own(spark):
+    rows = [(k % 40 or None, f"text number {k} has words", "ab"[k % 2], k) for k in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, __id int")
+    out = M.take(docs)
+    assert out.columns == docs.columns and 40 <= out.count() <= 120

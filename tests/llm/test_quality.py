@@ -88,3 +88,43 @@ def test_edges(spark, edge_docs, no_docs, sample):
     assert Q.classify(edge_docs, odd).count() == edge_docs.count()
     kept = Q.keep_good(edge_docs, none)
     assert kept.columns == edge_docs.columns and kept.count() == edge_docs.count()
+
+
+def test_long_texts_lose_no_ngram(monkeypatch):
+    """Cut into pieces of any length, a text has the n-grams of the whole."""
+    rng = random.Random(31)
+    bits = ["word", "Word", " ", " ", "\n", "!!", "a1", "99", "-", "é", "\x00", "wordwordword", "x"]
+    for _ in range(300):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(0, 80))).encode()
+        monkeypatch.setattr(Q, "_PIECE", 1 << 18)
+        whole = np.sort(np.concatenate(list(Q._features_of(text)) or [np.empty(0, np.int64)]))
+        assert np.array_equal(whole, np.sort(Q.ngrams([text])[1]))
+        monkeypatch.setattr(Q, "_PIECE", rng.randint(1, 40))
+        assert np.array_equal(whole, np.sort(np.concatenate(list(Q._features_of(text))))), text
+
+
+def test_scores_against_a_plain_count(spark, sample):
+    """Score = sigmoid of the weights of a text's n-grams, averaged and scaled."""
+    docs, labels = sample
+    w = Q.train(docs, labels).astype(np.float64)
+    got = {r.doc_id: r.score for r in Q.score(docs, w.astype(np.float32)).collect()}
+    for r in docs.limit(50).collect():
+        f = Q.ngrams([r.text.encode()])[1]
+        x = Q.SCALE * sum(w[i] for i in f.tolist()) / max(1, len(f)) + w[-1]
+        assert abs(got[r.doc_id] - 1 / (1 + np.exp(-x))) < 1e-9
+
+
+def test_words_and_pairs_against_a_plain_cut():
+    """As many single words and pairs as a plain reading of the text finds."""
+    for text in ("One two, THREE!! four4 - five", "", "  ", "a", "a b", "é1é ... \t x"):
+        tokens = re.findall(rb"[0-9A-Za-z\x80-\xff]+|[!-/:-@\[-`{-~]+", text.encode())
+        n = len(tokens)
+        assert len(Q.ngrams([text.encode()])[1]) == n + 2 * max(n - 1, 0) + max(n - 2, 0)
+
+
+def test_columns_with_names_of_its_own(spark, sample):
+    docs, labels = sample
+    from pyspark.sql import functions as F
+    more = docs.withColumn("__accepted", F.lit("mine"))
+    kept = Q.keep_good(more, labels)
+    assert kept.columns == more.columns and {r["__accepted"] for r in kept.collect()} == {"mine"}

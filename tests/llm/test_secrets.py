@@ -97,6 +97,32 @@ def test_guessable_values_are_left_alone():
         assert kind == "guess" and cost >= S.MIN_LOG_GUESSES and strong[a:b] in strong
 
 
+def test_dictionary():
+    rank, longest = S._words()
+    assert len(rank) > 20_000 and longest < 40
+    assert rank["password"] < rank["horse"] < 40_000 and rank["the"] < rank["battery"]
+
+
+def test_prose_placeholders_and_code_are_left_alone():
+    for text in ("The password is forgotten by everyone", "login is mandatory here", "secret is important to the plot",
+                 "The token is thwerindershly of the ation", "auth is server-side only", "The passphrase is l\u2019important\u00e9",
+                 "password=${PASSWORD_FROM_ENV}", "password: {{ vault_password }}", "passwd = $DB_PASSWORD", "secret: <your-secret-here>",
+                 "token = tokenizer.encode(text)", "token = get_token_from_server(url)", "api_key = os.environ[NAME]", "secret = settings.SECRET_KEY",
+                 "password = PASSWORD_FROM_ENV", "password: my_secret_variable", "pwd = ********", "password: xxxxxxxxxxxx", "pwd = iloveyoubaby",
+                 "password = sunshine2024", "login: januaryfebruary"):
+        assert S.guess_spans(text) == [], text
+
+
+def test_random_values_are_found():
+    rng = random.Random(21)
+    chars = "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnpqrstuvwxyz23456789!#%*+-@_"
+    for k in range(300):
+        value = "".join(rng.choice(chars) for _ in range(rng.randint(12, 24)))
+        value = "a7" + value[:-1] + "Q"
+        text = rng.choice(["password is {}", "pwd = '{}'", "clientSecret: {}", "api-key -> {}"]).format(value) + " and more"
+        assert any(text[a:b] == value for a, b, _, _ in S.guess_spans(text)), text
+
+
 def test_context_inside_names():
     """Camel-case names, and the base words after any letter or digit."""
     value = "Zx9!kk#Lq2$"

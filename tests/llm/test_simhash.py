@@ -118,3 +118,13 @@ def test_keep_one(spark, edge_docs):
     assert kept.columns == edge_docs.columns
     ids = [r.doc_id for r in kept.collect() if r.doc_id is not None]
     assert len(ids) == len(set(ids)) and 5 not in ids and {1, 2, 4, 9} <= set(ids)
+
+
+def test_keep_one_and_rows_without_id(spark):
+    """A row without id stays only where its group has no row with one."""
+    t, u, v = ("one two three four five six", "seven eight nine ten eleven", "twelve thirteen fourteen fifteen")
+    rows = [(1, t), (None, t), (None, u), (None, u), (None, v), (2, v), (3, t), (4, v), (4, v), (5, u + " x y z w"), (5, u + " x y z w")]
+    docs = spark.createDataFrame([(i, x, k) for k, (i, x) in enumerate(rows)], "doc_id long, text string, __id int")
+    kept = S.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r[0], r[1]) for r in kept.collect()), key=repr) == sorted([(1, t), (None, u), (2, v), (5, u + " x y z w")], key=repr)
