@@ -36,8 +36,8 @@ TOKENIZER = "byte_bpe_50k.json"
 SIZE, END_ID, OPEN, LEAST_CUT = 1024, 0, 64, 8
 #: ids of open windows that one task of a later level places, at least (and four tasks' open windows)
 GATHERED = 1 << 19
-#: entries of a worker's tables of words, and the longest word kept
-MEMO, MEMO_CHARS = 600_000, 48
+#: entries of a worker's tables of words (and as many old ones), and the longest word kept
+MEMO, MEMO_CHARS = 400_000, 48
 #: characters after which a long text is cut for encoding, where no token can reach across
 _LONG = 1 << 20
 #: bytes of ids in a batch of results
@@ -54,17 +54,23 @@ _LATIN_END = "\u0250"
 # ------------------------------------------------------------------- tokens
 
 class _Memo(dict):
-    """Ids of words, as bytes; fills itself and starts anew when it is full."""
+    """Ids of words, as bytes. It fills itself; when it is full, its entries
+    become the old ones and those that are not asked for until it is full
+    again go, so that common words stay."""
 
     def __init__(self, make):
-        self.make = make
+        self.make, self.old = make, {}
 
     def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.make(word)
+            if len(word) > MEMO_CHARS:
+                return ids
         if len(self) >= MEMO:
+            self.old = dict(self)
             self.clear()
-        ids = self.make(word)
-        if len(word) <= MEMO_CHARS:
-            self[word] = ids
+        self[word] = ids
         return ids
 
 

@@ -121,3 +121,14 @@ def test_query(spark):
     out = P.op11_packing(spark, SF)
     assert out.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     assert out.filter((F.col("length") < 1) | (F.col("ids_crc32") < 0)).count() == 0
+
+
+def test_full_tables_keep_common_words(library, monkeypatch):
+    monkeypatch.setattr(P, "MEMO", 5)
+    import public_tokenizers
+    t = P.Tokens(public_tokenizers.path(P.TOKENIZER), public_tokenizers.PATTERN)
+    rng = random.Random(6)
+    for _ in range(200):
+        text = " ".join(rng.choice(["the", "of,", "and", "x1", "'s", "über", "wörd", "a\nb"]) + rng.choice(["", "", "q", "!"]) for _ in range(30))
+        assert np.frombuffer(t.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(t.after_space) <= 5 and len(t.after_space.old) <= 5
