@@ -18,17 +18,22 @@ def bag_key_count(raw_json) -> Column:
     return F.when(keys.isNotNull(), F.size(keys))
 
 
+#: an object without members
+_EMPTY_BAG = r"^\s*\{\s*\}\s*$"
+
+
 def bag_nonempty(raw_json) -> Column:
     """C3 (T1): ``properties != {}`` - true for a non-empty object *and* for
     a NULL bag (NULL is not equal to ``{}``); false only for ``{}``. A struct
     read cannot tell ``{}`` from ``{"class": null}``, so the bag is kept as
-    raw JSON text and its keys are counted."""
-    return F.coalesce(bag_key_count(raw_json) > 0, F.lit(True))
+    raw JSON text; the text alone decides, so that a bag is parsed once, by
+    the target that decodes it, however many rules look at it."""
+    return ~bag_empty(raw_json)
 
 
 def bag_empty(raw_json) -> Column:
     """C4: ``properties == {}``."""
-    return F.coalesce(bag_key_count(raw_json) == 0, F.lit(False))
+    return F.coalesce(_c(raw_json).rlike(_EMPTY_BAG), F.lit(False))
 
 
 def at_least(c, bound) -> Column:

@@ -103,3 +103,14 @@ def test_all_station_targets_come_from_one_parse(spark):
 def test_a_single_target_is_not_staged(spark):
     for name in ("stations_master", "catalogue_knife"):
         assert "/part.parquet" in plan(E.QUERIES[name](spark, SF)) or "/orders.parquet" in plan(E.QUERIES[name](spark, SF))
+
+
+@pytest.mark.parametrize("name", [n for n in sorted(E.QUERIES) if n.startswith("catalogue_") and n != "catalogue_narrow"])
+def test_a_bag_is_parsed_once(spark, name):
+    """Rules read the bag's text; the one target that takes a row decodes it:
+    apart from the document itself, one parse (none for targets without
+    attributes; the arms job stages its two routes, the parse is behind it)."""
+    p = plan(E.QUERIES[name](spark, SF))
+    assert "json_object_keys" not in p
+    tree, details = p.split("\n\n(1) ", 1)
+    assert details.count("from_json(") <= 2 + tree.count("Join"), p
