@@ -193,8 +193,9 @@ def glasses_rows(df: DataFrame) -> DataFrame:
 def key_map(maps: DataFrame) -> DataFrame:
     """A2 + N3 + E4 + L10 (T17): key name -> map codes of the *last* map
     (then lock) that lists it."""
+    # outer, with a filter: see operators.nested (an inner explode would decode the maps twice)
     locks = maps.select(F.col("pos").alias("map_pos"), "name",
-                        F.posexplode("locks").alias("lock_pos", "lock"))
+                        F.posexplode_outer("locks").alias("lock_pos", "lock")).filter(F.col("lock_pos").isNotNull())
     codes = label_value("name", V.MAP_CODES, default=V.MAP_CODES_DEFAULT)
     return last_value_per_key(locks, F.col("lock.key.name"), codes, ["map_pos", "lock_pos"],
                               key_alias="__key", value_alias="__codes")
