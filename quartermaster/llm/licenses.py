@@ -1,29 +1,35 @@
 """Licence scans: a trained paragraph classifier with template confirmation.
 
-A paragraph is a line of a text, or the words of a notice that is wrapped over
-several lines. Sparse logistic regression over its hashed
-words and word pairs names a licence family or ``unknown``; it is trained
-here on the templates below (whole, with words left out, and set among other
-words) and, for ``unknown``, on paragraphs of the corpus, on sentences that
-use the same words otherwise, and on templates with their words shuffled.
-The probability from which a family is believed is calibrated on held-out
-examples of ``unknown``. A prediction counts when a template of the family
-confirms it: the paragraph must hold ``CONFIRM`` of the template's word pairs.
-
-*Wrapped notices*: every line with words near a line with a stem is joined
-with the words that follow it, blank lines and comment marks left out, in
-``SPANS`` of words. A template that begins in a line lies whole in one of
-that line's spans, however its lines are cut. A joined paragraph counts only
-when it is confirmed, and once for each template and run of lines.
-
-Only DataFrame functions and the DataFrame-based ``pyspark.ml`` run. Each
-template holds one of ``STEMS``; paragraphs without any are ``unknown``
-without being scored, so only documents that hold a stem are cut into
-paragraphs.
+A paragraph is a window of ``2 * BLOCK`` words, one from every ``BLOCK``-th
+word on: line ends, comment marks and blank lines are no words, so a notice
+may be wrapped at any width, and any notice of up to ``BLOCK`` words lies whole
+in some paragraph. Every paragraph of every text is scored by sparse
+multinomial logistic regression over its hashed words and word pairs. It is
+trained here on the templates below (whole, with words left out, and set among
+other words) and, for ``unknown``, on paragraphs of the corpus, on sentences
+that use the same words otherwise, and on templates with their words shuffled.
+A paragraph may name several families: each whose odds against ``unknown``
+reach the probability that is calibrated on held-out examples of ``unknown``.
+
+A prediction counts when a template of the family confirms it: the paragraph
+must hold ``CONFIRM`` of the template's word pairs (runs of three words where
+it is short), and no rival (a template that shares half of its pairs and is confirmed itself) may hold more of the pairs
+that tell the two apart (cut at a paragraph's border before any of these, a
+notice is confirmed by the next paragraph only). So a version 3 notice does not confirm version 2,
+and a paragraph with both notices confirms both. SPDX expressions are read as
+one identifier line for each of their licences.
+
+Scoring has two steps, with the same result as one: the sum of each word's and
+pair's largest positive weight bounds every family's odds from above, and only
+paragraphs whose bound reaches the calibrated one go on to the model. The
+bound comes from the trained weights, not from a list of words.
+
+Only DataFrame functions and the DataFrame-based ``pyspark.ml`` run.
 """
 
 from __future__ import annotations
 
+import math
 import random
 from functools import reduce
 
@@ -38,15 +44,24 @@ from quartermaster.llm.common import materialize, read, row_key, stage
 
 UNKNOWN = "unknown"
 CONFIRM = 0.8
-FEATURES = 1 << 13
+FEATURES = 1 << 14
+#: words from one paragraph's start to the next one's; a paragraph has twice as many
+BLOCK = 40
 #: documents and paragraphs of the corpus that examples of ``unknown`` come from, at most
 SAMPLE_DOCS, SAMPLE_LINES = 200, 1500
 #: variants made of each template, and the calibration's share of examples
 VARIANTS, HELD_OUT = 24, 0.25
+#: share of the held-out examples of ``unknown`` that may be believed (no template confirms them)
+FALSE_BELIEFS = 0.01
+#: templates of up to so many words are compared by runs of three words, longer ones by pairs
+SHORT = 8
 SEED = 7
+#: weight of a family's example in training (of ``unknown``: 1)
+WEIGHT = 3.0
+_SPDX = "SPDX-License-Identifier:"
 
-# What licence notices have in common, one in every template.
-STEMS = ("licen", "copyright", "permission", "warrant", "redistribut", "public domain", "spdx")
+# Paragraphs of the corpus with one of these are no examples of ``unknown``.
+STEMS = ("licen", "copyright", "permission", "warrant", "redistribut", "public domain", "spdx", "gnu", "gpl")
 
 # Notices of licence families, as their publishers word them.
 TEMPLATES = {
@@ -65,30 +80,47 @@ TEMPLATES = {
     ],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
+        "Distributed under the terms of the GNU GPL, version 3 or later.",
+        "Licensed under the GNU General Public License v3.0.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
+        "SPDX-License-Identifier: GPL-3.0-only",
         "it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     ],
     "GPL-2.0": [
         "This work is licensed under the GNU General Public License, version 2.",
+        "Distributed under the terms of the GNU GPL, version 2 or later.",
+        "Licensed under the GNU General Public License v2.0.",
         "SPDX-License-Identifier: GPL-2.0-only",
+        "SPDX-License-Identifier: GPL-2.0-or-later",
         "it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
     ],
     "LGPL": [
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
         "SPDX-License-Identifier: LGPL-2.1-or-later",
+        "SPDX-License-Identifier: LGPL-2.1-only",
+        "SPDX-License-Identifier: LGPL-3.0-or-later",
+        "SPDX-License-Identifier: LGPL-3.0-only",
+        "modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+        "modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     ],
     "AGPL-3.0": [
         "This program is licensed under the GNU Affero General Public License, version 3.",
         "SPDX-License-Identifier: AGPL-3.0-only",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+        "it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     ],
     "BSD": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
         "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
         "SPDX-License-Identifier: BSD-3-Clause",
+        "SPDX-License-Identifier: BSD-2-Clause",
     ],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
         "SPDX-License-Identifier: MPL-2.0",
     ],
     "ISC": [
@@ -117,9 +149,6 @@ TEMPLATES = {
     ],
 }
 
-#: words of joined paragraphs after their first line; the last is the longest template's
-SPANS = (10, 18, 28, 38)
-
 # Sentences with the same words that name no licence.
 OTHERWISE = [
     "The driver renewed the license of the car under the new rules.",
@@ -144,57 +173,70 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+(?:\.[\p{N}]+)*"), F.lit(0))
 
 
+def spelled_out(text: Column) -> Column:
+    """``text`` (NULL: empty) with an SPDX line for each licence of an SPDX expression."""
+    text = F.coalesce(text, F.lit(""))
+    return F.when(F.contains(text, F.lit(_SPDX)), F.regexp_replace(
+        text, rf"(?<={_SPDX}[^\n]{{0,400}})\s(?:OR|AND)\s", f" {_SPDX} ")).otherwise(text)
+
+
 def pairs(ws: Column) -> Column:
-    """Adjacent words joined by a space."""
+    """Hashes of adjacent words, from the words' hashes."""
     return F.when(F.size(ws) > 1, F.transform(
-        F.sequence(F.lit(0), F.size(ws) - 2), lambda i: F.concat_ws(" ", F.get(ws, i), F.get(ws, i + 1)))
-    ).otherwise(F.array().cast("array<string>"))
+        F.sequence(F.lit(0), F.size(ws) - 2), lambda i: F.xxhash64(F.get(ws, i), F.get(ws, i + 1)))
+    ).otherwise(F.array().cast("array<bigint>"))
 
 
 def has_stem(text: Column) -> Column:
     return reduce(lambda a, b: a | b, (F.contains(F.lower(text), F.lit(s)) for s in STEMS))
 
 
-def _may_hold_stem(text: Column, one_line: bool) -> Column:
-    """Whether a text, or one line of a wrapped text, may hold a stem that
-    line ends cut in two words."""
-    found = [F.contains(F.lower(text), F.lit(w)) for s in STEMS for w in s.split(" ")[-1:]]
-    if not one_line:
-        found = [reduce(lambda a, b: a & b, (F.contains(F.lower(text), F.lit(w)) for w in s.split(" "))) for s in STEMS]
-    return reduce(lambda a, b: a | b, found)
+def triples(ws: Column) -> Column:
+    """Hashes of three words in a row, from the words' hashes."""
+    return F.when(F.size(ws) > 2, F.transform(
+        F.sequence(F.lit(0), F.size(ws) - 3), lambda i: F.xxhash64(F.get(ws, i), F.get(ws, i + 1), F.get(ws, i + 2)))
+    ).otherwise(F.array().cast("array<bigint>"))
 
 
 def _featured(df: DataFrame) -> DataFrame:
-    """Add ``words``, ``pairs`` and ``terms`` of column ``line``."""
-    d = df.withColumn("words", words(F.col("line")))
-    d = d.withColumn("pairs", pairs(F.col("words")))
+    """Add ``words``, ``pairs`` and ``terms`` (hashes) of column ``line``."""
+    return _with_terms(df.withColumn("words", F.transform(words(F.col("line")), lambda x: F.xxhash64(x))))
+
+
+def _with_terms(df: DataFrame) -> DataFrame:
+    d = df.withColumn("pairs", pairs(F.col("words")))
     return d.withColumn("terms", F.concat("words", "pairs"))
 
 
 def _examples() -> list[tuple[str, str]]:
     """(family, line): the templates, variants of them and look-alikes."""
     rng = random.Random(SEED)
-    filler = [w for line in OTHERWISE for w in line.split()]
+    known = [w for line in OTHERWISE for w in line.split()]
+    letters = "etaoinshrdlu"
+
+    def other(most):  # words around a notice: of the sentences below, or made up
+        return [rng.choice(known) if rng.random() < 0.5 else "".join(rng.choice(letters) for _ in range(rng.randint(2, 8)))
+                for _ in range(rng.randint(0, most))]
+
     out = []
     for family, notices in TEMPLATES.items():
         for notice in notices:
             out += [(family, notice)] * 2
             ws = notice.split()
-            for _ in range(VARIANTS):
+            for v in range(VARIANTS):
                 kept = [w for w in ws if rng.random() > 0.06] or ws
-                before = [rng.choice(filler) for _ in range(rng.randint(0, 4))]
-                after = [rng.choice(filler) for _ in range(rng.randint(0, 4))]
-                out.append((family, " ".join(before + kept + after)))
+                most = (4, BLOCK)[v % 2]
+                out.append((family, " ".join(other(most) + kept + other(most))))
             for _ in range(VARIANTS // 4):
-                mixed = ws + [rng.choice(filler) for _ in range(rng.randint(0, 6))]
+                mixed = ws + other(6)
                 rng.shuffle(mixed)
                 if len(ws) > 3:
                     out.append((UNKNOWN, " ".join(mixed)))
     for line in OTHERWISE:
         ws = line.split()
         out += [(UNKNOWN, line)] * 4
-        for _ in range(VARIANTS):
-            out.append((UNKNOWN, " ".join(w for w in ws + [rng.choice(filler) for _ in range(rng.randint(0, 5))] if rng.random() > 0.15)))
+        for v in range(VARIANTS):
+            out.append((UNKNOWN, " ".join(w for w in ws + other((5, BLOCK)[v % 2]) if rng.random() > 0.15)))
     return out
 
 
@@ -205,126 +247,142 @@ def train(docs: DataFrame) -> tuple[PipelineModel, list[str], float]:
     classes = [UNKNOWN, *TEMPLATES]
     made = spark.createDataFrame(_examples(), "family string, line string")
     some = docs.select(docs["doc_id"].alias("id"), docs["text"].alias("t")).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS)
-    lines = (some.select(F.explode(F.split(F.coalesce("t", F.lit("")), "\n")).alias("line"))
+    lines = materialize(some.select(F.explode(F.split(F.coalesce("t", F.lit("")), "\n")).alias("line"))
              .filter(~has_stem(F.col("line"))).orderBy(F.xxhash64("line"), "line").limit(SAMPLE_LINES)
              .select(F.lit(UNKNOWN).alias("family"), "line"))
+    # notices set among the corpus' own words: each has a few of the (at most SAMPLE_LINES) paragraphs around it
+    number = lambda d: d.withColumn("i", F.row_number().over(Window.orderBy(F.xxhash64("line"), "line")) - 1)
+    notices = spark.createDataFrame([(f, n, v) for f, ns in TEMPLATES.items() for n in ns for v in range(VARIANTS // 2)], "f string, n string, v int")
+    around = F.pmod(F.xxhash64("n", "v"), F.lit(max(lines.count(), 1)))
+    among = notices.join(number(lines), around == F.col("i")).select(
+        F.col("f").alias("family"), F.when(F.col("v") % 2 == 0, F.concat_ws(" ", "line", "n")).otherwise(F.concat_ws(" ", "n", "line")).alias("line"))
     label = F.element_at(F.create_map(*(F.lit(x) for i, c in enumerate(classes) for x in (c, float(i)))), F.col("family"))
-    examples = materialize(_featured(made.unionByName(lines)).withColumn("label", label).select("line", "terms", "label")
+    examples = materialize(_featured(made.unionByName(among).unionByName(lines)).withColumn("label", label)
+                           .select("line", "terms", "label", F.when(F.col("label") == 0, 1.0).otherwise(WEIGHT).alias("weight"))
                            .withColumn("fold", F.pmod(F.xxhash64("line"), F.lit(1000)) / 1000.0)).coalesce(2)
     model = Pipeline(stages=[
         HashingTF(numFeatures=FEATURES, inputCol="terms", outputCol="features", binary=True),
-        LogisticRegression(family="multinomial", maxIter=40, regParam=0.002, elasticNetParam=0.3, featuresCol="features", labelCol="label"),
+        LogisticRegression(family="multinomial", maxIter=30, regParam=0.0005, elasticNetParam=0.3,
+                           featuresCol="features", labelCol="label", weightCol="weight"),
     ]).fit(examples.filter(F.col("fold") >= HELD_OUT))
     held = _believed(model, classes, examples.filter((F.col("fold") < HELD_OUT) & (F.col("label") == 0)))
-    worst = held.filter(F.col("family") != UNKNOWN).agg(F.max("probability")).first()[0] or 0.0
-    return model, classes, min(max(0.5, worst), 0.95)
+    most = held.agg(F.percentile(F.array_max("odds"), 1.0 - FALSE_BELIEFS)).first()[0] or 0.0
+    return model, classes, min(max(0.5, most), 0.95)
 
 
 def _believed(model: PipelineModel, classes: list[str], df: DataFrame) -> DataFrame:
-    """Add ``family`` and ``probability`` of the likeliest class."""
-    p = vector_to_array("probability")
+    """Add ``family``, the likeliest class, ``probability``, its own against
+    ``unknown``, and ``odds``, those of all families in their order."""
     names = F.array(*map(F.lit, classes))
     keep = [F.col(c) for c in df.columns if c not in ("features", "probability")]
-    d = model.transform(df).select(*keep, p.alias("p")).withColumn("probability", F.array_max("p"))
-    return d.withColumn("family", F.get(names, F.array_position("p", F.col("probability")).cast("int") - 1)).drop("p")
-
-
-def _joined(docs: DataFrame) -> DataFrame:
-    """``(doc_id, key, pos, upto, words, pairs, terms)``: the joined
-    paragraphs of ``(doc_id, key, text)``, from line ``pos`` to line ``upto``."""
-    most = max(SPANS)
-    line = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("pos"), x.alias("line")))
-    d = (docs.filter(_may_hold_stem(F.col("text"), False))
-         .withColumn("lines", F.filter(line, lambda x: x["line"].rlike(r"[\p{L}\p{N}]")))
-         .select("doc_id", "key", F.transform("lines", lambda x: F.struct(
-             x["pos"].alias("pos"), words(x["line"]).alias("words"), _may_hold_stem(x["line"], True).alias("stem"))).alias("lines")))
-    # of a line, no more words than a template has can belong to a wrapped one
-    most_of = lambda x: F.when(F.size(x) > 2 * most, F.concat(F.slice(x, 1, most), F.slice(x, -most, most))).otherwise(x)
-    d = d.withColumn("lines", F.transform("lines", lambda x: F.struct(x["pos"].alias("pos"), x["stem"].alias("stem"), most_of(x["words"]).alias("words"))))
-    d = stage(d.filter(F.exists("lines", lambda x: x["stem"])))
-    after = lambda j: F.slice("lines", j + 2, most)
-    # a span of the line reaches a line with a stem
-    reach = lambda j: F.get("lines", j)["stem"] | F.aggregate(
-        after(j), F.struct(F.lit(0).alias("n"), F.lit(False).alias("hit")),
-        lambda a, x: F.struct((a["n"] + F.size(x["words"])).alias("n"), (a["hit"] | (x["stem"] & (a["n"] < most))).alias("hit")), lambda a: a["hit"])
-    following = lambda j: F.slice(F.flatten(F.transform(after(j), lambda x: F.transform(
-        F.slice(x["words"], 1, most), lambda w: F.struct(x["pos"].alias("pos"), w.alias("w"))))), 1, most)
-    begin = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), reach)
-    at = d.select("doc_id", "key", F.explode(F.transform(begin, lambda j: F.struct(
-        F.get("lines", j)["pos"].alias("pos"), F.get("lines", j)["words"].alias("first"), following(j).alias("next")))).alias("x"))
-    at = at.select("doc_id", "key", "x.*").filter(F.size("next") > 0).select("doc_id", "key", "pos", "first", F.explode(F.array_distinct(F.transform(
-        F.array(*map(F.lit, SPANS)), lambda n: F.slice("next", 1, n)))).alias("next"))
-    # the first line gives as many words as the span has
-    first = F.when(F.size("first") > F.size("next"), F.slice("first", -F.size("next"), F.size("next"))).otherwise(F.col("first"))
-    at = at.select("doc_id", "key", "pos", F.element_at("next", -1)["pos"].alias("upto"), F.concat(first, F.col("next.w")).alias("words"))
-    at = at.filter(has_stem(F.array_join("words", " "))).withColumn("pairs", pairs(F.col("words")))
-    return at.withColumn("terms", F.concat("words", "pairs"))
-
-
-def scan(docs: DataFrame) -> DataFrame:
-    """``(doc_id, key, pos, family, probability, likeness, confirmed)``: every
-    paragraph (``pos``, its first line, from 0) of ``docs`` in which the
-    classifier believes a licence family, whether or not a template confirms
-    it; ``key`` is the row's key. A joined paragraph is given when it is
-    confirmed and no line of it is by itself, in place of its lines that are
-    not confirmed. Rows that repeat give the same paragraphs once each; NULL
-    and empty texts none."""
-    model, classes, least = train(docs)
+    d = model.transform(df).select(*keep, vector_to_array("probability").alias("p"))
+    unknown, best = F.get("p", F.lit(0)), F.array_max("p")
+    d = d.withColumn("odds", F.transform(F.slice("p", 2, len(classes) - 1), lambda x: x / (x + unknown)))
+    d = d.withColumn("family", F.get(names, F.array_position("p", best).cast("int") - 1))
+    return d.withColumn("probability", F.when(F.col("family") == UNKNOWN, unknown).otherwise(best / (best + unknown))).drop("p")
+
+
+def _bounds(model: PipelineModel) -> tuple[Column, float]:
+    """Of each feature the largest weight that any family has above
+    ``unknown``'s (0 if none), as a constant array, and of the intercepts."""
+    lr = model.stages[-1]
+    w, b = lr.coefficientMatrix.toArray(), lr.interceptVector.toArray()
+    most = (w[1:] - w[0]).max(axis=0).clip(min=0)
+    text = ",".join("0" if x == 0 else repr(float(x)) for x in most)
+    return F.split(F.lit(text), ",").cast("array<double>"), float((b[1:] - b[0]).max())
+
+
+def paragraphs(docs: DataFrame, model: PipelineModel | None = None, least: float = 0.0) -> DataFrame:
+    """``(doc_id, key, pos, words, pairs, terms)``: the paragraphs of
+    ``(doc_id, key, text)``, ``pos`` their first word (from 0). With a model,
+    only those that may reach the probability ``least`` for some family."""
+    d = docs.select("doc_id", "key", words(spelled_out(F.col("text"))).alias("words"))
+    d = d.select("doc_id", "key", F.transform("words", lambda x: F.xxhash64(x)).alias("words")).filter(F.size("words") > 0)
+    starts = F.sequence(F.lit(0), F.greatest(F.ceil(F.size("words") / BLOCK) - 2, F.lit(0)).cast("int"))
+    if model is not None:
+        weight, base = _bounds(model)
+        of = lambda term: F.get(weight, F.pmod(F.hash(term), F.lit(FEATURES)))  # noqa: E731 - HashingTF's place of a bigint
+        last = F.size("words") - 1
+        d = d.withColumn("most", F.transform("words", lambda x, i: of(x) + F.when(
+            i < last, of(F.xxhash64(x, F.get("words", i + 1)))).otherwise(0.0)))
+        total = lambda k: F.aggregate(F.slice("most", k * BLOCK + 1, BLOCK), F.lit(0.0), lambda a, x: a + x)
+        d = d.withColumn("sums", F.transform(F.sequence(F.lit(0), F.floor((F.size("most") - 1) / BLOCK).cast("int")), total))
+        enough = math.log(least / (1 - least)) - base - 1e-6
+        starts = F.filter(starts, lambda j: F.get("sums", j) + F.coalesce(F.get("sums", j + 1), F.lit(0.0)) >= enough)
+    d = d.select("doc_id", "key", F.explode(F.transform(starts, lambda j: F.struct(
+        (j * BLOCK).alias("pos"), F.slice("words", j * BLOCK + 1, 2 * BLOCK).alias("words")))).alias("x"))
+    return _with_terms(d.select("doc_id", "key", "x.*"))
+
+
+def _templates(spark: SparkSession) -> list[dict]:
+    """The templates with the hashes of their pairs and of what a paragraph
+    must hold (``want``: pairs, or runs of three words), and of each its rivals:
+    (number, pairs of the rival alone, pairs of the template alone)."""
+    flat = [(f, n) for f, notices in TEMPLATES.items() for n in notices]
+    rows = (_featured(spark.createDataFrame(flat, "family string, line string"))
+            .select("family", "line", "words", "pairs", triples(F.col("words")).alias("triples")).collect())  # a fixed table
+    out = [{"family": r.family, "line": r.line, "pairs": set(r.pairs),
+            "want": set(r.triples if 2 < len(r.words) <= SHORT else r.pairs)} for r in rows]
+    for t in out:
+        t["rivals"] = [(i, sorted(r["pairs"] - t["pairs"]), sorted(t["pairs"] - r["pairs"])) for i, r in enumerate(out)
+                       if r is not t and 2 * len(r["pairs"] & t["pairs"]) >= len(t["pairs"]) and r["pairs"] - t["pairs"]]
+    return out
+
+
+def _longs(values) -> Column:
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>") if values else F.array().cast("array<bigint>")
+
+
+def scan(docs: DataFrame, trained: tuple[PipelineModel, list[str], float] | None = None) -> DataFrame:
+    """``(doc_id, key, pos, family, template, probability, likeness,
+    confirmed)``: for every paragraph (``pos``, its first word) of ``docs`` in
+    which the classifier believes a licence family, the templates that confirm
+    it; where none does, one row of the likeliest family, not confirmed.
+    ``key`` is the row's key. Rows that repeat give the same paragraphs once
+    each; NULL and empty texts none. ``trained`` is what ``train`` returns
+    (by default it is trained on ``docs``)."""
+    model, classes, least = trained or train(docs)
     d = docs.select(docs["doc_id"].alias("doc_id"), row_key(docs).alias("key"), docs["text"].alias("text"))
-    lines = (d.filter(has_stem(F.col("text")))
-             .select("doc_id", "key", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-             .filter(has_stem(F.col("line"))).dropDuplicates(["key", "pos"]))
-    lines = _featured(lines).select("doc_id", "key", "pos", F.col("pos").alias("upto"), "words", "pairs", "terms")
-    # the few paragraphs with a stem are written with their terms: a condition on the prediction would
-    # otherwise be moved down to where every mention of a term reads the line anew
-    lines = stage(lines.withColumn("joined", F.lit(False)).unionByName(_joined(d).withColumn("joined", F.lit(True))))
-    found = _believed(model, classes, lines).filter((F.col("family") != UNKNOWN) & (F.col("probability") >= least))
-    wanted = docs.sparkSession.createDataFrame([(f, n) for f, notices in TEMPLATES.items() for n in notices],
-                                               "family string, line string")
-    wanted = _featured(wanted).select(F.col("family").alias("f"), F.array_distinct("pairs").alias("want"), F.col("line").alias("template"))
-    held = F.size(F.array_intersect("pairs", "want")).cast("double") / F.greatest(F.size("want"), F.lit(1))
-    # the templates: a fixed table of a few dozen rows
-    best = (found.join(F.broadcast(wanted), F.col("family") == F.col("f"))
-            .groupBy("doc_id", "key", "pos", "upto", "joined", "family", "probability")
-            .agg(F.max(F.struct(held.alias("likeness"), "template")).alias("best"))
-            .select("*", "best.likeness", "best.template").drop("best").withColumn("confirmed", F.col("likeness") >= CONFIRM))
-    best = materialize(best.filter("confirmed or not joined"))
-    lines, wraps = best.filter("not joined").drop("joined", "upto", "template"), best.filter("joined")
-    return _with_wrapped(lines, wraps)
-
-
-def _with_wrapped(lines: DataFrame, wraps: DataFrame) -> DataFrame:
-    """Lines believed, and the confirmed joined paragraphs that say more."""
-    same = (F.col("key") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id"))
-    sure = lines.filter("confirmed")
-    other = sure.select(F.col("key").alias("__key"), F.col("doc_id").alias("__id"), F.col("pos").alias("__pos"), F.col("family").alias("__family"))
-    wraps = wraps.join(other, same & F.col("__pos").between(F.col("pos"), F.col("upto")) & (F.col("family") == F.col("__family")), "left_anti")
-    # paragraphs of one template that overlap are one notice: the likest, the narrowest of equals
-    by = Window.partitionBy("key", "doc_id", "family", "template").orderBy("pos", "upto")
-    wraps = wraps.withColumn("reach", F.max("upto").over(by.rowsBetween(Window.unboundedPreceding, -1)))
-    wraps = wraps.withColumn("run", F.sum(F.when(F.col("pos") <= F.col("reach"), 0).otherwise(1)).over(by))
-    notice = F.max(F.struct("likeness", (F.col("pos") - F.col("upto")).alias("narrow"), "probability", "pos", "upto")).alias("best")
-    wraps = materialize(wraps.groupBy("doc_id", "key", "family", "template", "run").agg(notice)
-                        .select("doc_id", "key", "best.pos", "best.upto", "family", "best.probability", "best.likeness", F.lit(True).alias("confirmed")))
-    parts = lines.filter("not confirmed")
-    other = wraps.select(F.col("key").alias("__key"), F.col("doc_id").alias("__id"), F.col("pos").alias("__pos"), F.col("upto").alias("__upto"))
-    parts = parts.join(other, same & F.col("pos").between(F.col("__pos"), F.col("__upto")), "left_anti")
-    return sure.unionByName(parts).unionByName(wraps.drop("upto"))
-
-
-def licences(docs: DataFrame) -> DataFrame:
+    found = _believed(model, classes, stage(paragraphs(d, model, least)))
+    found = stage(found.filter(F.array_max("odds") >= least)
+                  .withColumn("grams", F.concat("pairs", triples(F.col("words")))).drop("terms", "words", "pairs").dropDuplicates(["key", "doc_id", "pos"]))
+    known = _templates(docs.sparkSession)
+    share = lambda want: F.size(F.array_intersect("grams", _longs(sorted(want)))) / float(max(len(want), 1))
+    found = found.withColumn("held", F.array(*(share(t["want"]) for t in known)))
+    held = lambda i: F.get("held", F.lit(i))
+    hits = []
+    for i, t in enumerate(known):
+        odds = F.get("odds", F.lit(classes.index(t["family"]) - 1))
+        beaten = F.lit(False)
+        for j, theirs, own in t["rivals"]:
+            less = (share(theirs) > share(own)) | (share(own) == 0) if own else share(theirs) > 0
+            beaten = beaten | ((held(j) >= CONFIRM) & less)
+        hits.append(F.when((odds >= least) & (held(i) >= CONFIRM) & ~beaten, F.struct(
+            F.lit(t["family"]).alias("family"), F.lit(t["line"]).alias("template"), odds.alias("probability"),
+            held(i).alias("likeness"), F.lit(True).alias("confirmed"))))
+    none = F.struct("family", F.lit(None).cast("string").alias("template"), "probability",
+                    F.array_max("held").alias("likeness"), F.lit(False).alias("confirmed"))
+    found = found.withColumn("hits", F.array_compact(F.array(*hits)))
+    return found.select("doc_id", "key", "pos", F.explode(F.when(F.size("hits") > 0, F.col("hits")).otherwise(
+        F.when(F.col("family") != UNKNOWN, F.array(none)))).alias("x")).select("doc_id", "key", "pos", "x.*")
+
+
+def licences(docs: DataFrame, trained: tuple[PipelineModel, list[str], float] | None = None) -> DataFrame:
     """``(doc_id, n_lines, n_licences, n_unconfirmed, families)`` for every
-    row of ``docs``: its lines, how many notices (in a line, or wrapped over
-    several) are confirmed, how many lines were believed but not confirmed, and the confirmed families in
-    order, comma-joined ('' if none).
+    row of ``docs``: its lines, how many notices are confirmed (a template in
+    paragraphs that follow each other counts once), how many paragraphs were
+    believed but not confirmed, and the confirmed families in order,
+    comma-joined ('' if none).
 
     NULL and empty texts have one empty line and no licence; rows that
     repeat get the same result; a NULL doc_id is kept; an empty table gives
     an empty result; other columns are not looked at.
     """
-    found = scan(docs)
+    by = Window.partitionBy("key", "doc_id", "template").orderBy("pos")
+    found = scan(docs, trained).withColumn("before", F.lag("pos").over(by))
+    new = F.col("confirmed") & (F.col("before").isNull() | (F.col("pos") - F.col("before") > BLOCK))
     per = found.groupBy(F.col("key").alias("__key"), F.col("doc_id").alias("__id")).agg(
-        F.count(F.when(F.col("confirmed"), 1)).alias("n_licences"), F.count(F.when(~F.col("confirmed"), 1)).alias("n_unconfirmed"),
+        F.count(F.when(new, 1)).alias("n_licences"), F.count(F.when(~F.col("confirmed"), 1)).alias("n_unconfirmed"),
         F.array_join(F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))), ",").alias("families"))
     text = F.coalesce(docs["text"], F.lit(""))
     d = docs.select(docs["doc_id"].alias("doc_id"), row_key(docs).alias("key"),

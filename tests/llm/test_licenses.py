@@ -90,6 +90,64 @@ def test_wrapped_notices(spark):
     assert got == want, {i: (docs[i][1], got[i], w) for i, w in want.items() if got[i] != w}
 
 
+HEADER = ("This {0} is free software{1} you can redistribute it and/or modify it under the terms of the GNU {2}General Public License as "
+          "published by the Free Software Foundation{3} either version {4} of the License, or (at your option) any later version.")
+NOTICES = [
+    (HEADER.format("library", ";", "Lesser ", ";", "2.1"), "LGPL"), (HEADER.format("library", ":", "Lesser ", ",", "3"), "LGPL"),
+    (HEADER.format("program", ":", "Affero ", ",", "3"), "AGPL-3.0"), (HEADER.format("program", ":", "", ",", "3"), "GPL-3.0"),
+    (HEADER.format("program", ";", "", ";", "2"), "GPL-2.0"),
+    (MIT.split("\n")[0] + " " + L.TEMPLATES["Apache-2.0"][1], "Apache-2.0,MIT"),
+    ("// SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0"), ("# SPDX-License-Identifier: LGPL-3.0-only", "LGPL"),
+    ("/* SPDX-License-Identifier: BSD-2-Clause */", "BSD"), ("// SPDX-License-Identifier: (MIT OR Apache-2.0)", "Apache-2.0,MIT"),
+    ("SPDX-License-Identifier: (GPL-2.0-only OR BSD-3-Clause) AND ISC", "BSD,GPL-2.0,ISC"),
+    ("Distributed under the terms of the GNU GPL, version 3 or later", "GPL-3.0"),
+]
+
+
+@pytest.fixture(scope="module")
+def trained(spark):
+    return L.train(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+
+
+def test_published_notices(spark, trained):
+    """Alone, within long texts at places around the borders of paragraphs."""
+    filler = "wher inder of the ation eren shly thesonou".split()
+    rows, want = [], {}
+    for text, families in NOTICES:
+        for before in (0, 17, 39, 61, 70, 118):
+            pad = lambda n: " ".join(filler[i % 8] for i in range(n))
+            want[len(rows)] = families
+            rows.append((len(rows), f"{pad(before)}\n{text}\n{pad(before)}"))
+    got = {r.doc_id: r.families for r in L.licences(spark.createDataFrame(rows, "doc_id long, text string"), trained).collect()}
+    assert got == want, {i: (rows[i][1], got[i], w) for i, w in want.items() if got[i] != w}
+
+
+def test_bound_loses_nothing(spark, trained):
+    """The paragraphs kept by the bound hold all that the model believes."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", F.lit(0).alias("key"), "text")
+    docs = docs.unionByName(spark.createDataFrame([(-1 - i, 0, t) for i, (t, _) in enumerate(NOTICES)], "doc_id long, key int, text string"))
+    model, classes, least = trained
+    sure = lambda d: {(r.doc_id, r.pos) for r in L._believed(model, classes, d).filter(F.array_max("odds") >= least).collect()}
+    every = L.paragraphs(docs)
+    kept = L.paragraphs(docs, model, least)
+    assert len(sure(every)) >= len(NOTICES) and sure(every) == sure(kept) and kept.count() < every.count()
+
+
+def test_templates_against_brute_force(spark, trained):
+    """Every line of the table that holds all of a template is confirmed."""
+    import re
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    norm = lambda t: " " + " ".join(re.findall(r"[^\W_]+(?:\.[^\W_]+)*", (t or "").lower())) + " "
+    known = [(f, norm(n)) for f, notices in L.TEMPLATES.items() for n in notices]
+    want = {}
+    for r in docs.collect():
+        text = norm(r.text)
+        hits = [(f, n) for f, n in known if n in text]
+        want[r.doc_id] = ",".join(sorted({f for f, _ in hits}))
+    got = {r.doc_id: r.families for r in L.licences(docs, trained).collect()}
+    assert sum(map(bool, want.values())) > 20 and got == want
+
+
 def test_only_built_in_functions(spark):
     plan = L.op2_license_scan(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert not any(x in plan for x in ("MapInPandas", "MapInArrow", "PythonUDF", "ArrowEval"))
