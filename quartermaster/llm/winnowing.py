@@ -3,14 +3,16 @@
 The grams of a text are its runs of ``GRAM`` consecutive words (all words
 when there are fewer); a word is a run without ASCII white space, in lower
 case. Where white space does not part words, characters do: each character of
-a script written without spaces (``UNSPACED``) is a word, and a run of more
-than ``LONG`` characters (minified code, encoded data) is read as its
-overlapping runs of ``SPAN`` characters, one from each character on. The hashes of consecutive grams form windows of ``WINDOW``; of each
+a script written without spaces (``UNSPACED``) is a word. A word is read as
+its overlapping runs of ``SPAN`` characters, one from each character on (the
+word itself when it is no longer), so that a word of any length (an address,
+minified code, encoded data) changes in few units when it changes in few
+characters. The hashes of consecutive grams form windows of ``WINDOW``; of each
 window the smallest hash is kept, the rightmost one of equals, with its
-position. Two texts that share ``GRAM + WINDOW - 1`` consecutive words
+position. Two texts that share ``GRAM + WINDOW - 1`` consecutive units
 therefore share a kept hash (the winnowing guarantee), and nothing shorter
-than ``GRAM`` words matches; inside a long run these are ``GRAM + WINDOW +
-SPAN - 2`` (15) characters.
+than ``GRAM`` units matches; inside one long word these are ``GRAM + WINDOW +
+SPAN - 2`` (17) characters.
 
 Everything is built-in array functions: a gram's 32-bit hash and the reversed
 position are packed into one long, so that ``least`` over a window finds the
@@ -33,8 +35,8 @@ UNSPACED = (r"[\x{E00}-\x{3FFFF}&&[\x{E01}-\x{109F}\x{1780}-\x{17FF}\x{1950}-\x{
             r"\x{2E80}-\x{2FDF}\x{3005}-\x{3007}\x{3021}-\x{312F}\x{31A0}-\x{31FF}\x{3400}-\x{4DBF}\x{4E00}-\x{A4CF}"
             r"\x{A980}-\x{A9FF}\x{AA60}-\x{AADF}\x{F900}-\x{FAFF}\x{FF66}-\x{FF9F}\x{1B000}-\x{1B16F}\x{20000}-\x{3FFFF}]]")
 WORD_UNSPACED = rf"{UNSPACED}|(?:(?!{UNSPACED})[^\x20\x09-\x0D])++"
-#: runs of more characters than ``LONG`` are cut into overlapping runs of ``SPAN``
-LONG, SPAN = 32, 8
+#: characters of the overlapping runs that words are read as
+SPAN = 10
 _POS = (1 << 31) - 1
 
 
@@ -46,9 +48,9 @@ def _words(text: Column) -> Column:
 
 
 def _units(words: Column) -> Column:
-    """Hashes of the words of an array, long ones cut."""
+    """Hashes of the runs of ``SPAN`` characters of an array's words."""
     cut = lambda x: F.transform(F.regexp_extract_all(x, F.lit(rf"(?s)(?=(.{{{SPAN}}}))."), F.lit(1)), lambda y: F.xxhash64(y))
-    long = lambda x: F.length(x) > LONG
+    long = lambda x: F.length(x) > SPAN
     return F.when(F.exists(words, long), F.flatten(F.transform(
         words, lambda x: F.when(long(x), cut(x)).otherwise(F.array(F.xxhash64(x)))))).otherwise(
         F.transform(words, lambda x: F.xxhash64(x)))
@@ -58,23 +60,32 @@ def winnow(df: DataFrame, text: str, out: str, gram: int = GRAM, window: int = W
     """Add column ``out``: array<struct<hash int, pos int>>, the kept hashes
     of string column ``text`` in the order of their positions (numbers of
     words before the gram). NULL and texts without words: an empty array."""
-    words, grams, packed, kept = (f"__{out}_{x}" for x in ("words", "grams", "packed", "kept"))
-    keep = df.columns
-    d = df.withColumn(words, _words(F.col(text))).withColumn(words, _units(F.col(words)))
-    # grams: fewer words than a gram make one gram of all (xxhash64 skips the missing)
-    last = F.greatest(F.size(words) - gram, F.lit(0))
-    d = d.withColumn(grams, F.when(F.size(words) > 0, F.transform(
-        F.sequence(F.lit(0), last), lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(gram)))))
-        .otherwise(F.array().cast("array<bigint>")))
-    d = d.withColumn(packed, F.transform(grams, lambda g, i: F.shiftleft(g.bitwiseAND(F.lit(0xFFFFFFFF)), 31)
-                                         .bitwiseOR(F.lit(_POS) - i.cast("long"))))
-    # ``get`` is NULL past the end and ``least`` skips NULLs
+    kept = _let(_let(_words(F.col(text)), _units), lambda units: _let(_packed(units, gram), lambda p: _smallest(p, window)))
+    return df.withColumn(out, F.transform(kept, lambda x: F.struct(
+        _signed(F.shiftright(x, 31)).alias("hash"), (F.lit(_POS) - x.bitwiseAND(F.lit(_POS))).cast("int").alias("pos"))))
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often it is named
+    and wherever the optimizer moves the expression."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _packed(units: Column, gram: int) -> Column:
+    """Hash and reversed position of each gram; fewer units than a gram make
+    one gram of all (xxhash64 skips the missing)."""
+    last = F.greatest(F.size(units) - gram, F.lit(0))
+    return F.when(F.size(units) > 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.shiftleft(
+        F.xxhash64(*(F.get(units, i + k) for k in range(gram))).bitwiseAND(F.lit(0xFFFFFFFF)), 31)
+        .bitwiseOR(F.lit(_POS) - i.cast("long")))).otherwise(F.array().cast("array<bigint>"))
+
+
+def _smallest(packed: Column, window: int) -> Column:
+    """The smallest of each window (``get`` is NULL past the end and ``least`` skips NULLs)."""
     last = F.greatest(F.size(packed) - window, F.lit(0))
-    d = d.withColumn(kept, F.when(F.size(packed) > 0, F.array_distinct(F.transform(
-        F.sequence(F.lit(0), last), lambda i: F.least(*(F.get(packed, i + k) for k in range(window))))))
-        .otherwise(F.array().cast("array<bigint>")))
-    return d.select(*(F.col(f"`{c}`") for c in keep), F.transform(kept, lambda x: F.struct(
-        _signed(F.shiftright(x, 31)).alias("hash"), (F.lit(_POS) - x.bitwiseAND(F.lit(_POS))).cast("int").alias("pos"))).alias(out))
+    return F.when(F.size(packed) > 0, F.array_distinct(F.transform(
+        F.sequence(F.lit(0), last), lambda i: F.least(*(F.get(packed, i + k) for k in range(window)))))
+    ).otherwise(F.array().cast("array<bigint>"))
 
 
 def _signed(x: Column) -> Column:

@@ -119,6 +119,21 @@ def test_texts_without_white_space(spark):
         assert 0.4 < r.near < 0.6 and r.far < 0.02 and r.shared >= 1 and r.n > 200, r
 
 
+def test_no_border_of_length(spark):
+    """One character more or less leaves most hashes of a word, at every length."""
+    rng = random.Random(18)
+    text = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(90))
+    least = W.GRAM + W.WINDOW + W.SPAN - 2
+    rows = [(n, text[:n], text[:n + 1], text[1:n + 1], "the of and to " + text[:n] + " in a is") for n in range(2, 90)]
+    d = spark.createDataFrame(rows, "n int, a string, b string, c string, d string")
+    for x in "abcd":
+        d = W.winnow(d, x, f"k{x}")
+    both = lambda x, y: F.size(F.array_intersect(f"k{x}.hash", f"k{y}.hash"))
+    for r in d.select("n", F.size("ka").alias("size"), *(both("a", x).alias(x) for x in "bcd")).collect():
+        if r.n > least:
+            assert min(r.b, r.c, r.d) >= max(1, r["size"] - 4), r
+
+
 def test_only_built_in_functions(spark):
     plan = W.op5_fingerprints(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert not any(x in plan for x in ("MapInPandas", "MapInArrow", "PythonUDF", "ArrowEval"))
