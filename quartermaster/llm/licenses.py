@@ -277,7 +277,9 @@ def _believed(model: PipelineModel, classes: list[str], df: DataFrame) -> DataFr
     keep = [F.col(c) for c in df.columns if c not in ("features", "probability")]
     d = model.transform(df).select(*keep, vector_to_array("probability").alias("p"))
     unknown, best = F.get("p", F.lit(0)), F.array_max("p")
-    d = d.withColumn("odds", F.transform(F.slice("p", 2, len(classes) - 1), lambda x: x / (x + unknown)))
+    # bound once: a condition on the odds is moved down to the model's functions
+    d = d.withColumn("odds", F.get(F.transform(F.array("p"), lambda p: F.transform(
+        F.slice(p, 2, len(classes) - 1), lambda x: x / (x + F.get(p, F.lit(0))))), F.lit(0)))
     d = d.withColumn("family", F.get(names, F.array_position("p", best).cast("int") - 1))
     return d.withColumn("probability", F.when(F.col("family") == UNKNOWN, unknown).otherwise(best / (best + unknown))).drop("p")
 
@@ -343,7 +345,8 @@ def scan(docs: DataFrame, trained: tuple[PipelineModel, list[str], float] | None
     (by default it is trained on ``docs``)."""
     model, classes, least = trained or train(docs)
     d = docs.select(docs["doc_id"].alias("doc_id"), row_key(docs).alias("key"), docs["text"].alias("text"))
-    found = _believed(model, classes, stage(paragraphs(d, model, least)))
+    # the hashes of the words alone are written, a quarter of what is made of them
+    found = _believed(model, classes, _with_terms(stage(paragraphs(d, model, least).select("doc_id", "key", "pos", "words"))))
     found = stage(found.filter(F.array_max("odds") >= least)
                   .withColumn("grams", F.concat("pairs", triples(F.col("words")))).drop("terms", "words", "pairs").dropDuplicates(["key", "doc_id", "pos"]))
     known = _templates(docs.sparkSession)
