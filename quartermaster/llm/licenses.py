@@ -299,7 +299,7 @@ def paragraphs(docs: DataFrame, model: PipelineModel | None = None, least: float
     ``(doc_id, key, text)``, ``pos`` their first word (from 0). With a model,
     only those that may reach the probability ``least`` for some family."""
     d = docs.select("doc_id", "key", words(spelled_out(F.col("text"))).alias("words"))
-    d = d.select("doc_id", "key", F.transform("words", lambda x: F.xxhash64(x)).alias("words")).filter(F.size("words") > 0)
+    d = d.select("doc_id", "key", F.transform("words", lambda x: F.xxhash64(x)).alias("words"))  # (a filter here would be moved below and cut the words twice)
     starts = F.sequence(F.lit(0), F.greatest(F.ceil(F.size("words") / BLOCK) - 2, F.lit(0)).cast("int"))
     if model is not None:
         weight, base = _bounds(model)
@@ -311,6 +311,7 @@ def paragraphs(docs: DataFrame, model: PipelineModel | None = None, least: float
         d = d.withColumn("sums", F.transform(F.sequence(F.lit(0), F.floor((F.size("most") - 1) / BLOCK).cast("int")), total))
         enough = math.log(least / (1 - least)) - base - 1e-6
         starts = F.filter(starts, lambda j: F.get("sums", j) + F.coalesce(F.get("sums", j + 1), F.lit(0.0)) >= enough)
+    starts = F.when(F.size("words") > 0, starts)
     d = d.select("doc_id", "key", F.explode(F.transform(starts, lambda j: F.struct(
         (j * BLOCK).alias("pos"), F.slice("words", j * BLOCK + 1, 2 * BLOCK).alias("words")))).alias("x"))
     return _with_terms(d.select("doc_id", "key", "x.*"))
@@ -345,10 +346,13 @@ def scan(docs: DataFrame, trained: tuple[PipelineModel, list[str], float] | None
     (by default it is trained on ``docs``)."""
     model, classes, least = trained or train(docs)
     d = docs.select(docs["doc_id"].alias("doc_id"), row_key(docs).alias("key"), docs["text"].alias("text"))
-    # the hashes of the words alone are written, a quarter of what is made of them
-    found = _believed(model, classes, _with_terms(stage(paragraphs(d, model, least).select("doc_id", "key", "pos", "words"))))
-    found = stage(found.filter(F.array_max("odds") >= least)
-                  .withColumn("grams", F.concat("pairs", triples(F.col("words")))).drop("terms", "words", "pairs").dropDuplicates(["key", "doc_id", "pos"]))
+    scored = _believed(model, classes, paragraphs(d, model, least))
+    # an explode, as a filter on the odds would be moved below the model and run it twice; only what is believed is written
+    believed = F.filter(F.array(F.struct("pos", "words", "pairs", "odds", "family", "probability")),
+                        lambda x: F.array_max(x["odds"]) >= least)
+    found = stage(scored.select("doc_id", "key", F.explode(believed).alias("x")).select("doc_id", "key", "x.*")
+                  .dropDuplicates(["key", "doc_id", "pos"])
+                  .withColumn("grams", F.concat("pairs", triples(F.col("words")))).drop("words", "pairs"))
     known = _templates(docs.sparkSession)
     share = lambda want: F.size(F.array_intersect("grams", _longs(sorted(want)))) / float(max(len(want), 1))
     found = found.withColumn("held", F.array(*(share(t["want"]) for t in known)))
