@@ -295,7 +295,7 @@ def _bounds(model: PipelineModel) -> tuple[Column, float]:
 
 
 def paragraphs(docs: DataFrame, model: PipelineModel | None = None, least: float = 0.0) -> DataFrame:
-    """``(doc_id, key, pos, words, pairs, terms)``: the paragraphs of
+    """``(doc_id, key, pos, words, terms)``: the paragraphs of
     ``(doc_id, key, text)``, ``pos`` their first word (from 0). With a model,
     only those that may reach the probability ``least`` for some family."""
     d = docs.select("doc_id", "key", words(spelled_out(F.col("text"))).alias("words"))
@@ -312,9 +312,12 @@ def paragraphs(docs: DataFrame, model: PipelineModel | None = None, least: float
         enough = math.log(least / (1 - least)) - base - 1e-6
         starts = F.filter(starts, lambda j: F.get("sums", j) + F.coalesce(F.get("sums", j + 1), F.lit(0.0)) >= enough)
     starts = F.when(F.size("words") > 0, starts)
-    d = d.select("doc_id", "key", F.explode(F.transform(starts, lambda j: F.struct(
-        (j * BLOCK).alias("pos"), F.slice("words", j * BLOCK + 1, 2 * BLOCK).alias("words")))).alias("x"))
-    return _with_terms(d.select("doc_id", "key", "x.*"))
+    cut = F.transform(starts, lambda j: F.struct((j * BLOCK).alias("pos"), F.slice("words", j * BLOCK + 1, 2 * BLOCK).alias("words")))
+    cut = F.transform(cut, lambda x: F.struct(
+        x["pos"].alias("pos"), x["words"].alias("words"), F.concat(x["words"], pairs(x["words"])).alias("terms")))
+    if model is not None:  # once more, as the model does it: a term that repeats counts once
+        cut = F.filter(cut, lambda x: F.aggregate(F.array_distinct(x["terms"]), F.lit(0.0), lambda a, t: a + of(t)) >= enough)
+    return d.select("doc_id", "key", F.explode(cut).alias("x")).select("doc_id", "key", "x.*")
 
 
 def _templates(spark: SparkSession) -> list[dict]:
@@ -348,11 +351,11 @@ def scan(docs: DataFrame, trained: tuple[PipelineModel, list[str], float] | None
     d = docs.select(docs["doc_id"].alias("doc_id"), row_key(docs).alias("key"), docs["text"].alias("text"))
     scored = _believed(model, classes, paragraphs(d, model, least))
     # an explode, as a filter on the odds would be moved below the model and run it twice; only what is believed is written
-    believed = F.filter(F.array(F.struct("pos", "words", "pairs", "odds", "family", "probability")),
+    believed = F.filter(F.array(F.struct("pos", "words", "odds", "family", "probability")),
                         lambda x: F.array_max(x["odds"]) >= least)
     found = stage(scored.select("doc_id", "key", F.explode(believed).alias("x")).select("doc_id", "key", "x.*")
                   .dropDuplicates(["key", "doc_id", "pos"])
-                  .withColumn("grams", F.concat("pairs", triples(F.col("words")))).drop("words", "pairs"))
+                  .withColumn("grams", F.concat(pairs(F.col("words")), triples(F.col("words")))).drop("words"))
     known = _templates(docs.sparkSession)
     share = lambda want: F.size(F.array_intersect("grams", _longs(sorted(want)))) / float(max(len(want), 1))
     found = found.withColumn("held", F.array(*(share(t["want"]) for t in known)))
